@@ -35,13 +35,25 @@ def path_part(uri: str) -> str:
     return re.sub(_SCHEME, "", uri).rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the file system that serves it."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hadoop_path))
+    except AttributeError:  # no JVM gateway (remote session): let the reader decide
+        return True
+
+
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
     """``(path, rel_path, partition_dir, length, modified)`` for files under ``root``.
 
     ``rel_path`` is relative to ``root``; ``partition_dir`` is its folder part
     (empty for an unpartitioned table). An absent root lists as empty.
     """
-    spark_schema_empty = spark.createDataFrame([], MANIFEST_SCHEMA)
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
     try:
         files = (
             spark.read.format("binaryFile")
@@ -52,7 +64,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataF
         )
     except Exception as err:
         if "PATH_NOT_FOUND" in str(err) or "does not exist" in str(err):
-            return spark_schema_empty
+            return spark.createDataFrame([], MANIFEST_SCHEMA)
         raise
     prefix = path_part(root) + "/"
     local = F.regexp_replace(F.col("path"), _SCHEME, "")
