@@ -1,7 +1,7 @@
 """Mirror relational tables into partitioned, compacted Parquet with Spark."""
 
 from mirrorkit.operators.normalize import normalize
-from mirrorkit.plans.batch import TableSource, extract_plan, run_batch, run_job
+from mirrorkit.plans.batch import TableSource, extract_plan, mirror_frame, run_batch, run_job
 from mirrorkit.plans.job import MirrorJob, TableDefinition, derive_job, job_from_spec, lint_job
 from mirrorkit.session import build_session, ensure_checkpoint_dir
 from mirrorkit.sinks.parquet import write_mirror
@@ -10,6 +10,6 @@ from mirrorkit.sources.jdbc import JdbcSource, read_jdbc
 
 __all__ = [
     "JdbcSource", "MirrorJob", "TableDefinition", "TableSource", "build_session",
-    "derive_job", "ensure_checkpoint_dir", "extract_plan", "job_from_spec", "lint_job",
+    "derive_job", "ensure_checkpoint_dir", "extract_plan", "mirror_frame", "job_from_spec", "lint_job",
     "normalize", "read_jdbc", "read_mirror", "run_batch", "run_job", "write_mirror",
 ]

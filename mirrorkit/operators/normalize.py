@@ -63,14 +63,19 @@ def conversion_targets(df: DataFrame, overrides: Mapping[str, str] | None) -> tu
     return stamps, numbers
 
 
-def normalize(
+def prepare(df: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFrame:
+    """Names and declared types only: lowercase, then apply overrides."""
+    return apply_overrides(lowercase_columns(df), overrides)
+
+
+def convert(
     df: DataFrame,
     overrides: Mapping[str, str] | None = None,
     *,
     stamp: bool = True,
     overflow_column: str | None = None,
 ) -> DataFrame:
-    """Lowercase names, apply overrides, convert types, add ``loaded_at``.
+    """Default type rules and the load stamp on a prepared frame.
 
     * timestamps (both flavours) become ``yyyy-MM-dd HH:mm:ss.SSS`` text;
     * DECIMAL(38,10) becomes DECIMAL(10,0), with null on overflow;
@@ -79,17 +84,26 @@ def normalize(
     ``overflow_column`` adds an int column holding, per row, how many values
     overflowed when narrowed, so a writer can count them without a second pass.
     """
-    df = apply_overrides(lowercase_columns(df), overrides)
     stamps, numbers = conversion_targets(df, overrides)
     converted: dict[str, Column] = {name: timestamp_text(F.col(name)) for name in stamps}
     converted.update({name: narrow_decimal(F.col(name)) for name in numbers})
     if overflow_column:
         # Computed from the same input row as the narrowing (one projection).
-        flags = [F.when(narrowing_overflowed(F.col(n)), 1).otherwise(0) for n in numbers]
         total = F.lit(0)
-        for flag in flags:
-            total = total + flag
+        for name in numbers:
+            total = total + F.when(narrowing_overflowed(F.col(name)), 1).otherwise(0)
         converted[overflow_column] = total
     if stamp:
         converted[LOADED_AT_COLUMN] = load_stamp()
     return df.withColumns(converted) if converted else df
+
+
+def normalize(
+    df: DataFrame,
+    overrides: Mapping[str, str] | None = None,
+    *,
+    stamp: bool = True,
+    overflow_column: str | None = None,
+) -> DataFrame:
+    """Lowercase names, apply overrides, convert types, add ``loaded_at``."""
+    return convert(prepare(df, overrides), overrides, stamp=stamp, overflow_column=overflow_column)

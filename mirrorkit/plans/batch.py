@@ -29,7 +29,7 @@ from pyspark.sql.types import (
 from mirrorkit.functions.fixed import PARALLEL_JOBS
 from mirrorkit.operators.chunks import chunked_scan
 from mirrorkit.operators.filters import apply_predicate
-from mirrorkit.operators.normalize import normalize
+from mirrorkit.operators.normalize import convert, prepare
 from mirrorkit.operators.reconcile import new_partitions, stale_files
 from mirrorkit.plans.job import MirrorJob, check_batch
 from mirrorkit.session import ensure_checkpoint_dir
@@ -58,23 +58,29 @@ class TableSource:
         return self.tables[job.table_name]()
 
 
-def extract_plan(
+def extract_plan(job: MirrorJob, source: Callable[[MirrorJob], DataFrame]) -> DataFrame:
+    """The lazy extract of a job before type conversion: chunked scan,
+    lowercase names and declared types, then the job filter.
+
+    The filter is written on the mirror's column names; Catalyst moves it
+    below the renames into the scan (``PushedFilters``, or the ``WHERE`` of
+    every JDBC chunk query).
+    """
+    raw = source(job)
+    if not getattr(source, "applies_chunks", False):
+        raw = chunked_scan(raw, job.predicates)
+    return apply_predicate(prepare(raw, job.overrides), job.predicate)
+
+
+def mirror_frame(
     job: MirrorJob,
     source: Callable[[MirrorJob], DataFrame],
     *,
     stamp: bool = True,
     overflow_column: str | None = None,
 ) -> DataFrame:
-    """The lazy extract of a job: chunked scan, normalise, then the job filter.
-
-    The filter is written after the renames and conversions, on the mirror's
-    column names; Catalyst moves it below them into the scan.
-    """
-    raw = source(job)
-    if not getattr(source, "applies_chunks", False):
-        raw = chunked_scan(raw, job.predicates)
-    df = normalize(raw, job.overrides, stamp=stamp, overflow_column=overflow_column)
-    return apply_predicate(df, job.predicate)
+    """The rows of a job's mirror, fully normalised (what ``run_job`` writes)."""
+    return convert(extract_plan(job, source), job.overrides, stamp=stamp, overflow_column=overflow_column)
 
 
 @dataclass
@@ -128,21 +134,26 @@ def run_job(
         # Materialised now: the listing must show the state before the write.
         before = file_manifest(spark, dest, parts).checkpoint(eager=True)
 
-        df = extract_plan(job, source, overflow_column=OVERFLOW)
+        extracted = extract_plan(job, source)
+
+        def conversions(df: DataFrame) -> DataFrame:
+            return convert(df, job.overrides, overflow_column=OVERFLOW)
+
         observed = Observation(f"mirror-{job.name}")
         metrics = [
             F.count(F.lit(1)).alias("rows"),
             F.coalesce(F.sum(OVERFLOW), F.lit(0)).cast("long").alias("overflow_rows"),
         ]
-        schema = df.drop(OVERFLOW).schema
+        schema = conversions(extracted).drop(OVERFLOW).schema
         if staging_root:
             staged = f"{staging_root.rstrip('/')}/{job.mirror_name}"
-            stage_extract(df, staged, parts, observation=observed, metrics=metrics,
-                          drop_after_observe=[OVERFLOW])
+            stage_extract(extracted, staged, parts, after_exchange=conversions, observation=observed,
+                          metrics=metrics, drop_after_observe=[OVERFLOW])
             compact_staged(spark, staged, dest, schema, parts)
         else:
-            write_mirror(df, dest, parts, observation=observed, metrics=metrics,
-                         drop_after_observe=[OVERFLOW])
+            # Conversions run in the writer tasks, after the compacting exchange.
+            write_mirror(extracted, dest, parts, after_exchange=conversions, observation=observed,
+                         metrics=metrics, drop_after_observe=[OVERFLOW])
         stats = observed.get
         result.rows = int(stats.get("rows", 0))
         result.overflow_rows = int(stats.get("overflow_rows", 0))

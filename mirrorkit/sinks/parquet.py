@@ -12,7 +12,7 @@ replaced whole.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
@@ -39,17 +39,22 @@ def write_mirror(
     max_rows_per_file: int = MAX_ROWS_PER_FILE,
     compact: bool = True,
     replace_touched_only: bool = True,
+    after_exchange: Callable[[DataFrame], DataFrame] | None = None,
     observation: Observation | None = None,
     metrics: Sequence[Column] = (),
     drop_after_observe: Sequence[str] = (),
 ) -> None:
     """Write ``df`` as Hive-partitioned Parquet at ``path`` (one action).
 
-    ``observation``/``metrics`` are computed by the writer tasks themselves,
-    after the exchange, so a retried map task cannot count twice and no extra
+    ``after_exchange`` is a row-wise projection run by the writer tasks (the
+    mirror's type conversions): constant or widened columns then never travel
+    through the shuffle. ``observation``/``metrics`` are computed by the
+    writer tasks too, so a retried map task cannot count twice and no extra
     pass is needed. Columns in ``drop_after_observe`` feed the metrics only.
     """
     out = compacted(df, partitions) if compact else df
+    if after_exchange is not None:
+        out = after_exchange(out)
     if observation is not None and metrics:
         out = out.observe(observation, *metrics)
     if drop_after_observe:

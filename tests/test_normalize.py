@@ -1,0 +1,95 @@
+import datetime as dt
+import re
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType, DecimalType, FloatType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
+)
+
+from mirrorkit.functions.types import merge_overrides, overrides_ddl
+from mirrorkit.operators.normalize import apply_overrides, lowercase_columns, normalize
+
+
+def test_lowercase_and_collision(spark):
+    df = spark.createDataFrame([(1, 2)], "PARID int, TaxYr int")
+    assert lowercase_columns(df).columns == ["parid", "taxyr"]
+    clash = spark.range(1).select(F.lit(1).alias("A"), F.lit(2).alias("a"))
+    with pytest.raises(ValueError):
+        lowercase_columns(clash)
+
+
+def test_timestamp_text_truncates_and_keeps_null(spark):
+    schema = StructType([StructField("TS", TimestampType()), StructField("NTZ", TimestampNTZType())])
+    value = dt.datetime(2026, 1, 2, 3, 4, 5, 678999)
+    df = spark.createDataFrame([(value, value), (None, None)], schema)
+    out = normalize(df, stamp=False).collect()
+    assert {r["ts"] for r in out} == {"2026-01-02 03:04:05.678", None}
+    assert {r["ntz"] for r in out} == {"2026-01-02 03:04:05.678", None}
+
+
+def test_decimal_narrowing_half_up_and_overflow(spark):
+    values = ["1.5", "2.5", "-2.5", "0.49", "12345678901", None]
+    schema = StructType([StructField("AMT", DecimalType(38, 10))])
+    df = spark.createDataFrame([(Decimal(v) if v else None,) for v in values], schema)
+    out = normalize(df, stamp=False, overflow_column="ovf")
+    assert out.schema["amt"].dataType == DecimalType(10, 0)
+    got = [(r["amt"], r["ovf"]) for r in out.collect()]
+    assert got == [(Decimal(2), 0), (Decimal(3), 0), (Decimal(-3), 0), (Decimal(0), 0), (None, 1), (None, 0)]
+
+
+def test_other_decimals_untouched(spark):
+    schema = StructType([StructField("A", DecimalType(18, 10)), StructField("B", DecimalType(38, 2))])
+    df = spark.createDataFrame([(Decimal("1.25"), Decimal("2.50"))], schema)
+    out = normalize(df, stamp=False)
+    assert out.schema["a"].dataType == DecimalType(18, 10)
+    assert out.schema["b"].dataType == DecimalType(38, 2)
+
+
+def test_overrides_exempt_columns_case_insensitive_and_missing_ignored(spark):
+    schema = StructType([
+        StructField("XCOORD", DecimalType(38, 10)), StructField("WHEN_TS", TimestampNTZType()),
+        StructField("TAXYR", DecimalType(38, 10)),
+    ])
+    df = spark.createDataFrame([(Decimal("41.12345678"), dt.datetime(2020, 1, 1), Decimal(2020))], schema)
+    overrides = merge_overrides({"deactivat": "STRING", "taxyr": "INTEGER"}, {"XCoord": "DECIMAL(15,8)"})
+    out = normalize(df, overrides, stamp=False)
+    assert out.schema["xcoord"].dataType == DecimalType(15, 8)
+    assert out.schema["taxyr"].dataType.simpleString() == "int"
+    assert out.collect()[0]["xcoord"] == Decimal("41.12345678")
+    assert out.collect()[0]["when_ts"] == "2020-01-01 00:00:00.000"
+    assert "deactivat" not in out.columns
+
+
+def test_override_precedence_table_beats_global():
+    merged = merge_overrides({"deactivat": "STRING", "taxyr": "INTEGER"}, {"TAXYR": "STRING"})
+    assert merged == {"deactivat": "STRING", "taxyr": "STRING"}
+    assert overrides_ddl(merged) == "deactivat STRING, taxyr STRING"
+
+
+def test_timestamp_override_to_string_keeps_cast_text(spark):
+    schema = StructType([StructField("DEACTIVAT", TimestampNTZType())])
+    df = spark.createDataFrame([(dt.datetime(2020, 1, 1, 5, 6, 7),)], schema)
+    out = normalize(df, {"deactivat": "STRING"}, stamp=False)
+    assert out.collect()[0]["deactivat"] == "2020-01-01 05:06:07"
+
+
+def test_loaded_at_pattern_and_constant(spark):
+    df = spark.range(0, 2000, 1, 8).withColumnRenamed("id", "ID")
+    stamps = {r["loaded_at"] for r in normalize(df).select("loaded_at").distinct().collect()}
+    assert len(stamps) == 1
+    assert re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{3}", stamps.pop())
+
+
+def test_nested_types_pass_through(spark):
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    out = normalize(emb, stamp=False)
+    for field in emb.schema.fields:
+        assert out.schema[field.name.lower()].dataType == field.dataType
+    assert out.count() == emb.count()
+
+
+def test_apply_overrides_ignores_absent(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    assert apply_overrides(df, {"zzz": "STRING"}).schema == df.schema
