@@ -31,7 +31,7 @@ from mirrorkit.operators.chunks import chunked_scan
 from mirrorkit.operators.filters import apply_predicate
 from mirrorkit.operators.normalize import convert, prepare
 from mirrorkit.operators.reconcile import new_partitions, stale_files
-from mirrorkit.plans.job import MirrorJob, check_batch
+from mirrorkit.plans.job import MirrorJob, check_batch, mirror_name
 from mirrorkit.session import ensure_checkpoint_dir
 from mirrorkit.sinks.catalog import create_mirror_table, refresh_mirror_table
 from mirrorkit.sinks.parquet import compact_staged, stage_extract, write_mirror
@@ -53,9 +53,10 @@ class TableSource:
         self.tables = dict(tables)
 
     def __call__(self, job: MirrorJob) -> DataFrame:
-        if job.table_name not in self.tables:
-            raise KeyError(f"no source for table {job.table_name!r}")
-        return self.tables[job.table_name]()
+        for name in (job.table_name, mirror_name(job.table_name)):
+            if name in self.tables:
+                return self.tables[name]()
+        raise KeyError(f"no source for table {job.table_name!r}")
 
 
 def extract_plan(job: MirrorJob, source: Callable[[MirrorJob], DataFrame]) -> DataFrame:
@@ -201,7 +202,9 @@ def run_batch(
     ensure_checkpoint_dir(spark)
 
     def run(job: MirrorJob) -> JobResult:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", "mirror")
+        # One pool per job: under FAIR scheduling, concurrent jobs share the
+        # executors instead of queueing behind the largest one.
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"mirror-{job.mirror_name}")
         return run_job(spark, job, source, dest_root,
                        staging_root=staging_root, catalog_database=catalog_database)
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from mirrorkit.functions.columns import log_line_text
 from mirrorkit.functions.fixed import DEFAULT_CUR, GLOBAL_SCHEMA_OVERRIDES
+from mirrorkit.functions.types import merge_overrides
 from mirrorkit.operators import chunks as ch
 from mirrorkit.operators.checks import definition_profile
 from mirrorkit.operators.filters import apply_predicate, job_predicate
@@ -78,10 +79,27 @@ EVENTS_SOURCE_COLUMNS = (
     "props AS PROPS",
 )
 
+CUSTOMER_SOURCE_COLUMNS = (
+    "lpad(CAST(c_custkey AS STRING), 14, '0') AS PARID",
+    "c_name AS NAME",
+    "CASE WHEN c_mktsegment = 'BUILDING' THEN 'Y' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'D' "
+    "ELSE 'N' END AS CUR",
+    "CAST(CAST(c_acctbal AS DECIMAL(28,2)) AS DECIMAL(38,10)) AS ACCTBAL",
+)
+
+SUPPLIER_SOURCE_COLUMNS = (
+    "s_suppkey AS SUPPKEY",
+    "s_name AS NAME",
+    "CASE WHEN s_acctbal < 0 THEN 'D' ELSE 'Y' END AS CUR",
+    "CAST(CAST(s_acctbal AS DECIMAL(28,2)) AS DECIMAL(38,10)) AS ACCTBAL",
+)
+
 SOURCES = {
     "orders_src": ("orders", ORDERS_SOURCE_COLUMNS),
     "lineitem_src": ("lineitem", LINEITEM_SOURCE_COLUMNS),
-    "events_src": ("events", EVENTS_SOURCE_COLUMNS),
+    "events_src": ("events", EVENTS_SOURCE_COLUMNS + ("CAST(year(ts) AS INT) AS TAXYR",)),
+    "customer_src": ("customer", CUSTOMER_SOURCE_COLUMNS),
+    "supplier_src": ("supplier", SUPPLIER_SOURCE_COLUMNS),
 }
 
 
@@ -93,7 +111,7 @@ def source_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_source(spark: SparkSession, sf_dir: str) -> TableSource:
-    names = list(SOURCES) + ["region", "nation", "customer", "supplier", "part"]
+    names = list(SOURCES) + ["region", "nation", "part"]
     return TableSource({n: (lambda n=n: source_frame(spark, sf_dir, n)) for n in names})
 
 
@@ -159,7 +177,6 @@ SCHEMA_OVERRIDE_TABLE = {"AMOUNT": "DECIMAL(18,2)", "when_ts": "STRING"}
 
 
 def _schema_override(spark, sf):
-    from mirrorkit.functions.types import merge_overrides
     overrides = merge_overrides(GLOBAL_SCHEMA_OVERRIDES, SCHEMA_OVERRIDE_TABLE)
     return normalize(_orders(spark, sf), overrides, stamp=False)
 
@@ -371,42 +388,63 @@ def _new_partitions_all_sql() -> str:
 # Batches, definitions, logs
 # ---------------------------------------------------------------------------
 
+# A sample batch in the job-spec form users keep in YAML/JSON, covering the
+# seven job shapes: plain, year+cur+chunks, year+chunks, year only, year+cur,
+# cur+chunks, cur only. Table names carry a schema prefix, as in a database.
+SAMPLE_BATCH = {
+    "region": {"table_name": "tpch.region", "min_year": None, "max_year": None, "cur": None,
+               "predicates_path": None},
+    "orders": {"table_name": "tpch.orders_src", "min_year": 1996, "max_year": 2000,
+               "predicates_path": "orders_chunks"},
+    "lineitem": {"table_name": "tpch.lineitem_src", "min_year": 1995, "max_year": 1997, "cur": None,
+                 "predicates_path": "lineitem_chunks"},
+    "nation": {"table_name": "tpch.nation", "min_year": None, "max_year": None, "cur": None,
+               "predicates_path": None},
+    "events": {"table_name": "tpch.events_src", "min_year": 2020, "predicates_path": None},
+    "customer": {"table_name": "tpch.customer_src", "min_year": None, "max_year": None,
+                 "predicates_path": "customer_chunks"},
+    "supplier": {"table_name": "tpch.supplier_src", "min_year": None, "max_year": None,
+                 "cur": ["Y"], "predicates_path": None},
+}
+
+
 def _batch_jobs(spark, sf):
-    overrides = tuple(GLOBAL_SCHEMA_OVERRIDES.items())
-    return [
-        MirrorJob("region", "region", None, None, None, overrides),                      # plain
-        MirrorJob("orders", "orders_src", (1996, 2000), DEFAULT_CUR,
-                  tuple(_derived_chunks(spark, sf)), overrides),                          # year+cur+chunks
-        MirrorJob("lineitem", "lineitem_src", (1995, 1997), None, None, overrides),      # year only
-        MirrorJob("events", "events_src", None, ("Y",), None, overrides),                # cur only
-        MirrorJob("nation", "nation", None, None, None, overrides),                       # plain
-    ]
+    chunk_sets = {
+        f"{t}_chunks": ch.derived_chunks(source_frame(spark, sf, f"{t}_src"), "PARID", DERIVED_CHUNK_COUNT)
+        for t in ("orders", "lineitem", "customer")
+    }
+    return [job_from_spec(name, spec, predicate_sets=chunk_sets) for name, spec in SAMPLE_BATCH.items()]
 
 
 def _batch_summary(spark, sf):
     summary = run_batch(spark, _batch_jobs(spark, sf), table_source(spark, sf), work_dir(spark, "batch"))
-    return summary.select("job", "rows", "overflow_rows", "new_partitions")
+    return summary.select("job", "partitions", "rows", "overflow_rows", "new_partitions")
+
+
+def _narrow_overflow_sql(*cols: str) -> str:
+    tests = [f"({c} IS NOT NULL AND TRY_CAST({c} AS DECIMAL(10,0)) IS NULL)" for c in cols]
+    return f"count_if({' OR '.join(tests)})"
 
 
 def _batch_summary_sql() -> str:
-    n = "CAST({v} AS BIGINT)"
+    zero, one = "CAST(0 AS BIGINT)", "CAST(1 AS BIGINT)"
     parts = [
-        f"SELECT 'region' AS job, count(*) AS rows, {n.format(v=0)} AS overflow_rows, "
-        f"{n.format(v=1)} AS new_partitions FROM region",
-        "SELECT 'orders' AS job, count(*) AS rows, "
-        "count_if(AMOUNT IS NOT NULL AND TRY_CAST(AMOUNT AS DECIMAL(10,0)) IS NULL) AS overflow_rows, "
-        "count(DISTINCT (TAXYR, CUR)) AS new_partitions FROM orders_src "
+        f"SELECT 'region' AS job, '' AS partitions, count(*) AS rows, {zero} AS overflow_rows, "
+        f"{one} AS new_partitions FROM region",
+        f"SELECT 'orders', 'taxyr,cur', count(*), {_narrow_overflow_sql('AMOUNT')}, "
+        "count(DISTINCT (TAXYR, CUR)) FROM orders_src "
         f"WHERE TAXYR BETWEEN 1996 AND 2000 AND CUR IN {CUR_SQL}",
-        "SELECT 'lineitem' AS job, count(*) AS rows, "
-        "count_if((QUANTITY IS NOT NULL AND TRY_CAST(QUANTITY AS DECIMAL(10,0)) IS NULL) "
-        "OR (EXTENDEDPRICE IS NOT NULL AND TRY_CAST(EXTENDEDPRICE AS DECIMAL(10,0)) IS NULL)) AS overflow_rows, "
-        "count(DISTINCT TAXYR) AS new_partitions FROM lineitem_src WHERE TAXYR BETWEEN 1995 AND 1997",
-        f"SELECT 'events' AS job, count(*) AS rows, {n.format(v=0)} AS overflow_rows, "
-        "count(DISTINCT CUR) AS new_partitions FROM events_src WHERE CUR IN ('Y')",
-        f"SELECT 'nation' AS job, count(*) AS rows, {n.format(v=0)} AS overflow_rows, "
-        f"{n.format(v=1)} AS new_partitions FROM nation",
+        f"SELECT 'lineitem', 'taxyr', count(*), {_narrow_overflow_sql('QUANTITY', 'EXTENDEDPRICE')}, "
+        "count(DISTINCT TAXYR) FROM lineitem_src WHERE TAXYR BETWEEN 1995 AND 1997",
+        f"SELECT 'nation', '', count(*), {zero}, {one} FROM nation",
+        f"SELECT 'events', 'taxyr,cur', count(*), {zero}, count(DISTINCT (TAXYR, CUR)) FROM events_src "
+        f"WHERE TAXYR BETWEEN 2020 AND {YEAR_NOW} AND CUR IN {CUR_SQL}",
+        f"SELECT 'customer', 'cur', count(*), {_narrow_overflow_sql('ACCTBAL')}, count(DISTINCT CUR) "
+        f"FROM customer_src WHERE CUR IN {CUR_SQL}",
+        f"SELECT 'supplier', 'cur', count(*), {_narrow_overflow_sql('ACCTBAL')}, count(DISTINCT CUR) "
+        "FROM supplier_src WHERE CUR IN ('Y')",
     ]
-    return _with_sources(" UNION ALL ".join(parts), "orders_src", "lineitem_src", "events_src")
+    return _with_sources(" UNION ALL ".join(parts), *SOURCES)
 
 
 def _manifest_counts(spark, sf):

@@ -15,14 +15,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings a mirror session wants. They are defaults, applied only where the
-# caller has not set a value.
+# Settings a mirror session wants; ``build_session(conf=...)`` overrides them.
 MIRROR_SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Split a hot Hive partition over several writer tasks instead of one.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Jobs of a batch run from several threads; share executors fairly.
+    "spark.scheduler.mode": "FAIR",
     # Old dates (before 1900) must keep their calendar value.
     "spark.sql.parquet.int96RebaseModeInRead": "CORRECTED",
     "spark.sql.parquet.int96RebaseModeInWrite": "CORRECTED",

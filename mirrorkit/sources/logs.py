@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from mirrorkit.functions.columns import log_line_time_ms
 
 
-def parse_log_lines(lines: DataFrame, text_column: str = "value") -> DataFrame:
-    """``(line_no, ts_ms, message)`` from a frame of raw lines.
+def parse_log_lines(
+    lines: DataFrame, text_column: str = "value", *, line_numbers: bool = True, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(line_no, ts_ms, message, *keep)`` from a frame of raw lines (blank lines dropped).
 
     ``line_no`` follows scan order (files are read in order, each split in
     order), so sorting on ``(ts_ms, line_no)`` keeps equal times in file order.
@@ -22,14 +24,10 @@ def parse_log_lines(lines: DataFrame, text_column: str = "value") -> DataFrame:
     parts = F.split(F.col(text_column), " ", 2)
     ts_ms = log_line_time_ms(parts.getItem(0))
     message = F.when(ts_ms.isNotNull(), F.trim(parts.getItem(1))).otherwise(F.trim(F.col(text_column)))
-    return (
-        lines.where(F.length(F.trim(F.col(text_column))) > 0)
-        .select(
-            F.monotonically_increasing_id().alias("line_no"),
-            ts_ms.alias("ts_ms"),
-            message.alias("message"),
-        )
-    )
+    cols = [ts_ms.alias("ts_ms"), message.alias("message"), *keep]
+    if line_numbers:
+        cols.insert(0, F.monotonically_increasing_id().alias("line_no"))
+    return lines.where(F.length(F.trim(F.col(text_column))) > 0).select(*cols)
 
 
 def read_log_events(spark: SparkSession, path: str) -> DataFrame:

@@ -17,7 +17,8 @@ def shapes():
                   "PARID >= '00000000000700'", "PARID IS NULL"), OV),
         MirrorJob("lineitem", "lineitem_src", (1995, 1997), None, None, OV),
         MirrorJob("events", "events_src", None, ("Y",), None, OV),
-        MirrorJob("nation", "db.nation", None, None, None, OV),  # unknown source: fails
+        MirrorJob("nation", "db.nation", None, None, None, OV),  # prefix stripped to find the source
+        MirrorJob("nowhere", "db.nowhere", None, None, None, OV),  # unknown source: fails
     ]
 
 
@@ -25,7 +26,8 @@ def test_batch_shapes_and_failure_report(spark, tmp_dir):
     with pytest.raises(BatchFailed) as caught:
         run_batch(spark, shapes(), table_source(spark, SF_SMALL), tmp_dir, parallelism=4)
     summary = {r["job"]: r for r in caught.value.summary.collect()}
-    assert summary["nation"]["status"] == "failed" and "no source" in summary["nation"]["error"]
+    assert summary["nowhere"]["status"] == "failed" and "no source" in summary["nowhere"]["error"]
+    assert summary["nation"]["status"] == "ok" and summary["nation"]["rows"] == 25
     assert summary["region"]["rows"] == 5 and summary["region"]["partitions"] == ""
     assert summary["orders"]["partitions"] == "taxyr,cur"
     assert summary["lineitem"]["partitions"] == "taxyr"
