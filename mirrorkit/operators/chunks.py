@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mirrorkit.session import ensure_checkpoint_dir
+
 
 def sql_literal(value) -> str:
     """Render a bound as a SQL literal (strings quoted, quotes doubled)."""
@@ -63,6 +65,30 @@ def half_open_chunks(column: str, bounds: Sequence) -> list[str]:
     return chunks
 
 
+def _key_sample(df: DataFrame, columns: list[str], size: int, seed: int) -> DataFrame:
+    """A seeded sample of about ``size`` rows of ``columns`` (two passes, no shuffle)."""
+    keys = df.select(*columns)
+    total = keys.count()
+    fraction = 1.0 if total == 0 else min(1.0, size / total)
+    return keys.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
+def _range_lowers(sample: DataFrame, column: str, parts: int) -> list:
+    """Sorted lower bounds of ``parts`` row-balanced ranges of a (small) sample."""
+    if parts < 1:
+        return []
+    lowers = (
+        sample.select(F.col(column).alias("key"))
+        .where(F.col("key").isNotNull())
+        .repartitionByRange(parts, "key")
+        .withColumn("part", F.spark_partition_id())
+        .groupBy("part")
+        .agg(F.min("key").alias("lower"))
+        .collect()
+    )
+    return sorted(r["lower"] for r in lowers)
+
+
 def derive_chunk_bounds(
     df: DataFrame,
     column: str,
@@ -77,30 +103,80 @@ def derive_chunk_bounds(
     shuffled (range-partitioned); the table itself is read twice (a count and
     the sample) and never shuffled. The result has at most ``chunks`` rows
     ``(part, lower)``; the smallest lower bound is the open start.
-    A key that holds many rows stays inside one range, so hot keys give fewer,
-    not wrong, chunks.
     """
     if chunks < 1:
         raise ValueError("chunks must be >= 1")
-    keys = df.select(F.col(column).alias("key")).where(F.col("key").isNotNull())
-    total = keys.count()
-    fraction = 1.0 if total == 0 else min(1.0, chunks * sample_per_chunk / total)
-    sample = keys.sample(withReplacement=False, fraction=fraction, seed=seed)
+    sample = _key_sample(df.where(F.col(column).isNotNull()), [column], chunks * sample_per_chunk, seed)
     return (
-        sample.repartitionByRange(chunks, "key")
+        sample.select(F.col(column).alias("key"))
+        .repartitionByRange(chunks, "key")
         .withColumn("part", F.spark_partition_id())
         .groupBy("part")
         .agg(F.min("key").alias("lower"))
     )
 
 
-def derived_chunks(df: DataFrame, column: str, chunks: int, **kwargs) -> list[str]:
-    """Balanced half-open chunk predicates for ``column`` (at most ``chunks + 1``).
-
-    Collects at most ``chunks`` bound values, a number the caller chooses.
+def derived_chunks(
+    df: DataFrame,
+    column: str,
+    chunks: int,
+    *,
+    split_column: str | None = None,
+    sample_per_chunk: int = 1000,
+    seed: int = 7,
+) -> list[str]:
+    """Balanced half-open chunk predicates for ``column``; every row in exactly one.
+
+    Without ``split_column`` a key that holds many rows stays inside one range
+    (a range predicate cannot divide one key value). With it, every key whose
+    share of the sample exceeds one chunk (the null key included) gets its own
+    chunks, split by half-open ranges of ``split_column``, and the ordinary
+    ranges exclude those keys. Only bounded samples and at most a few bound
+    values per chunk reach the driver.
     """
-    lowers = sorted(r["lower"] for r in derive_chunk_bounds(df, column, chunks, **kwargs).collect())
-    return half_open_chunks(column, lowers[1:])
+    if chunks < 1:
+        raise ValueError("chunks must be >= 1")
+    if split_column is None:
+        lowers = sorted(r["lower"] for r in derive_chunk_bounds(
+            df, column, chunks, sample_per_chunk=sample_per_chunk, seed=seed).collect())
+        return half_open_chunks(column, lowers[1:])
+
+    # Materialised once in the checkpoint folder: the table is scanned twice in
+    # total (count, sample), however many bounds are computed from the sample.
+    ensure_checkpoint_dir(df.sparkSession)
+    sample = _key_sample(df, [column, split_column], chunks * sample_per_chunk, seed).checkpoint(eager=True)
+    sampled = sample.count()
+    per_chunk = max(1, sampled // chunks)
+    # Hot keys hold more sampled rows than one chunk should: at most `chunks` of them.
+    hot = {
+        r["k"]: r["n"]
+        for r in sample.groupBy(F.col(column).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > per_chunk).collect()
+    }
+    hot_values = sorted(k for k in hot if k is not None)
+    cold = sample.where(F.col(column).isNotNull())
+    if hot_values:
+        cold = cold.where(~F.col(column).isin(hot_values))
+    cold_rows = sampled - sum(hot.values())
+    lowers = _range_lowers(cold, column, max(1, min(chunks, -(-cold_rows // per_chunk))))
+
+    ranges = half_open_chunks(column, lowers[1:])[:-1]  # without its IS NULL chunk
+    if hot_values:
+        excluded = f"{column} NOT IN ({', '.join(sql_literal(v) for v in hot_values)})"
+        ranges = [f"{p} AND {excluded}" for p in ranges]
+
+    def split(key_predicate: str, key_rows, rows: int) -> list[str]:
+        inner = _range_lowers(sample.where(key_rows), split_column, max(1, -(-rows // per_chunk)))
+        return [f"{key_predicate} AND ({p})" for p in half_open_chunks(split_column, inner[1:])]
+
+    result = list(ranges)
+    for key in hot_values:
+        result += split(f"{column} = {sql_literal(key)}", F.col(column) == key, hot[key])
+    if None in hot:
+        result += split(f"{column} IS NULL", F.col(column).isNull(), hot[None])
+    else:
+        result.append(f"{column} IS NULL")
+    return result
 
 
 def chunk_ids(predicates: Sequence[str]) -> Column:

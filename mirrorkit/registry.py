@@ -224,6 +224,21 @@ def _chunk_coverage_derived(spark, sf):
     return ch.chunk_coverage(_orders(spark, sf), _derived_chunks(spark, sf))
 
 
+def _hot_key_chunks(spark, sf):
+    """Chunks on a key whose three values each hold a third of the rows
+    (``RETURNFLAG``), split further on ``PARID``."""
+    return ch.derived_chunks(source_frame(spark, sf, "lineitem_src"), "RETURNFLAG", DERIVED_CHUNK_COUNT,
+                             split_column="PARID")
+
+
+def _chunk_coverage_hot(spark, sf):
+    return ch.chunk_coverage(source_frame(spark, sf, "lineitem_src"), _hot_key_chunks(spark, sf))
+
+
+def _chunk_counts_hot(spark, sf):
+    return ch.chunk_counts(source_frame(spark, sf, "lineitem_src"), _hot_key_chunks(spark, sf))
+
+
 # ---------------------------------------------------------------------------
 # Mirrors: write, read back, replace, prune
 # ---------------------------------------------------------------------------
@@ -578,6 +593,11 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         _chunk_coverage_derived,
         _with_sources("SELECT 1 AS hits, count(*) AS n FROM orders_src", "orders_src"),
     ),
+    "chunk_coverage_hot": (
+        _chunk_coverage_hot,
+        _with_sources("SELECT 1 AS hits, count(*) AS n FROM lineitem_src", "lineitem_src"),
+    ),
+    "chunk_counts_hot": (_chunk_counts_hot, None),
     "mirror_roundtrip": (
         _mirror_roundtrip,
         _filtered_sql(f"TAXYR BETWEEN 1996 AND 2000 AND CUR IN {CUR_SQL}"),

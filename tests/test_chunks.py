@@ -64,3 +64,21 @@ def test_half_open_chunks_property(spark, values, bounds):
     preds = ch.half_open_chunks("parid", bounds)
     cov = rows_of(ch.chunk_coverage(df, preds), "hits", "n")
     assert cov == ([(1, len(values))] if values else [])
+
+
+def test_hot_key_is_split_exactly(spark):
+    # One key (and the null key) hold a third of the rows each.
+    rows = [("00000000000007", i % 50) for i in range(3000)]
+    rows += [(None, i % 40) for i in range(3000)]
+    rows += [(f"{i:014d}", i % 30) for i in range(3000)]
+    rows += [("00000000000007", None)] * 5
+    df = spark.createDataFrame(rows, "parid string, yr int")
+    plain = ch.derived_chunks(df, "parid", 6)
+    split = ch.derived_chunks(df, "parid", 6, split_column="yr", sample_per_chunk=500)
+    assert rows_of(ch.chunk_coverage(df, split), "hits", "n") == [(1, len(rows))]
+    biggest_plain = max(n for _, n in rows_of(ch.chunk_counts(df, plain), "chunk", "n"))
+    biggest_split = max(n for _, n in rows_of(ch.chunk_counts(df, split), "chunk", "n"))
+    assert biggest_plain >= 3000
+    assert biggest_split < 2 * len(rows) / 6
+    assert any("parid = '00000000000007' AND" in p for p in split)
+    assert any(p.startswith("parid IS NULL AND") for p in split)

@@ -105,3 +105,28 @@ def test_listing_manifest(spark, tmp_dir):
     assert man.where(F.col("taxyr").isNull()).count() == 1
     assert list_files(spark, f"{tmp_dir}/absent").count() == 0
     assert man.where(F.col("length") > 0).count() == 7
+
+
+def test_hot_partition_is_split_over_writer_tasks(spark, tmp_dir):
+    # One year holds most rows; with a small advisory size the exchange splits
+    # it over several writer tasks (several files), small years stay one file.
+    hot = spark.range(0, 200_000, 1, 16).select(
+        F.col("id"), F.when(F.col("id") % 10 == 0, F.lit(2001) + F.col("id") % 3).otherwise(2000).alias("taxyr"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1m")
+    try:
+        write_mirror(hot, f"{tmp_dir}/m", ["taxyr"])
+    finally:
+        spark.conf.set(key, old)
+    per_dir = {}
+    for f in parquet_files(f"{tmp_dir}/m"):
+        per_dir.setdefault(os.path.dirname(f), []).append(f)
+    # A small year gets more than one file only if it hashed to the hot year's
+    # shuffle partition and was split along with it.
+    counts = {d: len(v) for d, v in per_dir.items()}
+    assert counts["taxyr=2000"] > 1
+    assert min(counts[f"taxyr={y}"] for y in (2001, 2002, 2003)) == 1, counts
+    assert read_mirror(spark, f"{tmp_dir}/m", ["taxyr"]).count() == 200_000
