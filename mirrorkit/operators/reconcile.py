@@ -12,7 +12,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 PARTITION_KEY = "partition_dir"
 
@@ -54,8 +55,51 @@ def stale_files(after: DataFrame, before: DataFrame) -> DataFrame:
     )
 
 
+def orphan_partitions(
+    after: DataFrame,
+    before: DataFrame,
+    partitions: Sequence[str],
+    in_scope: Column | None = None,
+) -> DataFrame:
+    """Partitions inside the job's scope that the write did not produce.
+
+    A job writes every partition its filter still finds rows for, so a
+    partition in scope that received no files has lost all its source rows;
+    its old files stay in place (nothing replaces them). ``in_scope`` is the
+    job filter on the partition columns (values as text in a manifest).
+    """
+    touched = written_files(after, before).select(PARTITION_KEY).distinct()
+    candidates = partitions_of(after, partitions)
+    if in_scope is not None:
+        candidates = candidates.where(in_scope)
+    return candidates.join(touched, PARTITION_KEY, "left_anti")
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Bag union by column name (reports of several jobs)."""
     if not frames:
         raise ValueError("nothing to union")
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def report_counts(
+    after: DataFrame,
+    before: DataFrame,
+    partitions: Sequence[str] = (),
+    in_scope: Column | None = None,
+) -> dict[str, int]:
+    """Counts of new partitions, stale files and orphan partitions, in one action."""
+    reports = [
+        new_partitions(after, before, partitions).select(F.lit("new_partitions").alias("report")),
+        stale_files(after, before).select(F.lit("stale_files").alias("report")),
+    ]
+    if partitions:
+        reports.append(
+            orphan_partitions(after, before, partitions, in_scope).select(F.lit("orphan_partitions").alias("report"))
+        )
+    counts = {r["report"]: r["n"] for r in union_all(reports).groupBy("report").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {
+        "new_partitions": counts.get("new_partitions", 0),
+        "stale_files": counts.get("stale_files", 0),
+        "orphan_partitions": counts.get("orphan_partitions", 0) if partitions else None,
+    }

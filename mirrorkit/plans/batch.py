@@ -30,7 +30,7 @@ from mirrorkit.functions.fixed import PARALLEL_JOBS
 from mirrorkit.operators.chunks import chunked_scan
 from mirrorkit.operators.filters import apply_predicate
 from mirrorkit.operators.normalize import convert, prepare
-from mirrorkit.operators.reconcile import new_partitions, stale_files
+from mirrorkit.operators.reconcile import report_counts
 from mirrorkit.plans.job import MirrorJob, check_batch, mirror_name
 from mirrorkit.session import ensure_checkpoint_dir
 from mirrorkit.sinks.catalog import create_mirror_table, refresh_mirror_table
@@ -95,6 +95,9 @@ class JobResult:
     partitions: str = ""
     new_partitions: int | None = None
     stale_files: int | None = None
+    orphan_partitions: int | None = None
+    write_seconds: float | None = None
+    report_seconds: float | None = None
     seconds: float = 0.0
     error: str | None = None
 
@@ -109,6 +112,9 @@ SUMMARY_SCHEMA = StructType([
     StructField("partitions", StringType()),
     StructField("new_partitions", LongType()),
     StructField("stale_files", LongType()),
+    StructField("orphan_partitions", LongType()),
+    StructField("write_seconds", DoubleType()),
+    StructField("report_seconds", DoubleType()),
     StructField("seconds", DoubleType()),
     StructField("error", StringType()),
 ])
@@ -146,6 +152,7 @@ def run_job(
             F.coalesce(F.sum(OVERFLOW), F.lit(0)).cast("long").alias("overflow_rows"),
         ]
         schema = conversions(extracted).drop(OVERFLOW).schema
+        write_started = time.time()
         if staging_root:
             staged = f"{staging_root.rstrip('/')}/{job.mirror_name}"
             stage_extract(extracted, staged, parts, after_exchange=conversions, observation=observed,
@@ -158,15 +165,20 @@ def run_job(
         stats = observed.get
         result.rows = int(stats.get("rows", 0))
         result.overflow_rows = int(stats.get("overflow_rows", 0))
+        report_started = time.time()
+        result.write_seconds = round(report_started - write_started, 3)
 
         after = file_manifest(spark, dest, parts)
-        result.new_partitions = new_partitions(after, before, parts).count()
-        result.stale_files = stale_files(after, before).count()
+        counts = report_counts(after, before, parts, job.partition_scope)
+        result.new_partitions = counts["new_partitions"]
+        result.stale_files = counts["stale_files"]
+        result.orphan_partitions = counts["orphan_partitions"]
         if catalog_database:
             name = f"{catalog_database}.{job.mirror_name}"
             create_mirror_table(spark, name, dest, schema, parts)
             if result.new_partitions:
                 refresh_mirror_table(spark, name, bool(parts))
+        result.report_seconds = round(time.time() - report_started, 3)
     except Exception as err:  # reported per job; the batch decides to raise
         result.status = "failed"
         result.error = f"{type(err).__name__}: {err}\n{traceback.format_exc(limit=3)}"

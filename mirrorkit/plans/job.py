@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pathlib import Path
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from mirrorkit.functions.fixed import (
     DEFAULT_CUR,
@@ -25,7 +26,7 @@ from mirrorkit.functions.fixed import (
     YEAR_COLUMN,
 )
 from mirrorkit.functions.types import merge_overrides
-from mirrorkit.operators.filters import job_predicate
+from mirrorkit.operators.filters import conjunction, job_predicate
 
 log = logging.getLogger(__name__)
 
@@ -93,6 +94,16 @@ class MirrorJob:
     def predicate(self) -> Column | None:
         return job_predicate(self.years, self.cur)
 
+    @property
+    def partition_scope(self) -> Column | None:
+        """The job filter restated on manifest partition values (text columns)."""
+        active = []
+        if self.years is not None:
+            active.append(F.col(YEAR_COLUMN).cast("int").between(*self.years))
+        if self.cur is not None:
+            active.append(F.col(STATUS_COLUMN).isin(list(self.cur)))
+        return conjunction(active)
+
     @property
     def description(self) -> str:
         """``table, taxyr=[lo, hi], cur=[Y, N]`` (shown as the Spark job description)."""
@@ -214,6 +225,20 @@ def lint_job(job: MirrorJob, definition: TableDefinition) -> list[str]:
     return issues
 
 
+def lint_batch(jobs: Sequence[MirrorJob]) -> list[str]:
+    """Jobs whose schema prefix differs from the batch's most common one
+    (a job pointed at another environment by mistake)."""
+    prefixes = [j.table_name.split(".", 1)[0] for j in jobs if "." in j.table_name]
+    if not prefixes:
+        return []
+    common = max(sorted(set(prefixes)), key=prefixes.count)
+    return [
+        f"job {j.name!r} reads {j.table_name!r}, the batch reads schema {common!r}"
+        for j in jobs
+        if "." in j.table_name and j.table_name.split(".", 1)[0] != common
+    ]
+
+
 def check_batch(jobs: Sequence[MirrorJob]) -> None:
     """Reject two jobs that would write the same mirror folder."""
     seen: dict[str, str] = {}

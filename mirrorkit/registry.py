@@ -29,6 +29,7 @@ from mirrorkit.operators.filters import apply_predicate, job_predicate
 from mirrorkit.operators.normalize import lowercase_columns, normalize
 from mirrorkit.operators.reconcile import (
     new_partitions,
+    orphan_partitions,
     partitions_of,
     stale_files,
     touched_partitions,
@@ -365,6 +366,31 @@ def _stale_files(spark, sf):
     return stale_files(after, before).select("taxyr", "cur", "rel_path", "length")
 
 
+def _orphan_partitions(spark, sf):
+    """Re-run the full job after every row of one partition left the source."""
+    root = work_dir(spark, "orphans")
+    job = _orders_job("full", (1995, 2001))
+    run_job(spark, job, table_source(spark, sf), root)
+    dest = f"{root}/{job.mirror_name}"
+    before = file_manifest(spark, dest, job.partitions).checkpoint(eager=True)
+    vanished = TableSource({"orders_src": lambda: _orders(spark, sf).where(
+        ~((F.col("TAXYR") == 1998) & (F.col("CUR") == "Y")))})
+    result = run_job(spark, job, vanished, root)
+    if result.status != "ok":
+        raise RuntimeError(result.error)
+    after = file_manifest(spark, dest, job.partitions)
+    return _typed_partitions(orphan_partitions(after, before, job.partitions, job.partition_scope))
+
+
+def _orphan_partitions_sql() -> str:
+    scope = f"TAXYR BETWEEN 1995 AND 2001 AND CUR IN {CUR_SQL}"
+    return _with_sources(
+        f"SELECT DISTINCT TAXYR AS taxyr, CUR AS cur FROM orders_src WHERE {scope} EXCEPT "
+        f"SELECT DISTINCT TAXYR, CUR FROM orders_src WHERE {scope} AND NOT (TAXYR = 1998 AND CUR = 'Y')",
+        "orders_src",
+    )
+
+
 def _new_partitions_all(spark, sf):
     reports = []
     for table in ("orders_src", "lineitem_src"):
@@ -622,6 +648,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "stale_partitions": (_stale_partitions, _reconcile_sql("stale")),
     "stale_files": (_stale_files, None),
     "new_partitions_all": (_new_partitions_all, _new_partitions_all_sql()),
+    "orphan_partitions": (_orphan_partitions, _orphan_partitions_sql()),
     "manifest_counts": (_manifest_counts, None),
     "batch_summary": (_batch_summary, _batch_summary_sql()),
     "definition_check": (_definition_check, _definition_check_sql()),

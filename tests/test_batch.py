@@ -46,6 +46,7 @@ def test_rerun_reports_stale_files_and_catalog(spark, tmp_dir):
     jobs2 = [MirrorJob("orders", "orders_src", (1997, 1998), ("Y",), None, OV)]
     second = {r["job"]: r for r in run_batch(spark, jobs2, src, tmp_dir, catalog_database="default").collect()}
     assert second["orders"]["new_partitions"] == 1 and second["orders"]["stale_files"] == 1
+    assert second["orders"]["orphan_partitions"] == 0 and second["orders"]["write_seconds"] > 0
     visible = spark.table("default.orders_src").select("taxyr").distinct().count()
     assert visible == 3
     spark.sql("DROP TABLE default.orders_src")

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from mirrorkit.operators.filters import apply_predicate, job_predicate
 from mirrorkit.plans.job import (
-    MirrorJob, TableDefinition, check_batch, derive_job, job_from_spec, lint_job, load_batch_specs,
+    MirrorJob, TableDefinition, check_batch, derive_job, job_from_spec, lint_batch, lint_job, load_batch_specs,
     load_predicates, mirror_name,
 )
 
@@ -95,3 +95,16 @@ def test_predicate_file_and_batch_specs(tmp_dir):
     y.write_text("addn:\n  table_name: db.addn\n  min_year: 2023\n")
     assert load_batch_specs(str(y)) == {"addn": {"table_name": "db.addn", "min_year": 2023}}
     assert load_batch_specs('{"a": {"table_name": "t"}}') == {"a": {"table_name": "t"}}
+
+
+def test_batch_prefix_lint():
+    jobs = [MirrorJob("a", "prod.a"), MirrorJob("b", "prod.b"), MirrorJob("c", "test.c"), MirrorJob("d", "d")]
+    issues = lint_batch(jobs)
+    assert len(issues) == 1 and "'test.c'" in issues[0]
+
+
+def test_partition_scope_on_manifest_values(spark):
+    job = MirrorJob("j", "t", (1996, 1997), ("Y",))
+    df = spark.createDataFrame([("1996", "Y"), ("1998", "Y"), ("1997", "N")], "taxyr string, cur string")
+    assert [tuple(r) for r in df.where(job.partition_scope).collect()] == [("1996", "Y")]
+    assert MirrorJob("p", "t").partition_scope is None
