@@ -33,7 +33,7 @@ from mirrorkit.operators.normalize import convert, prepare
 from mirrorkit.operators.reconcile import report_counts
 from mirrorkit.plans.job import MirrorJob, check_batch, mirror_name
 from mirrorkit.session import ensure_checkpoint_dir
-from mirrorkit.sinks.catalog import create_mirror_table, refresh_mirror_table
+from mirrorkit.sinks.catalog import sync_mirror_table
 from mirrorkit.sinks.parquet import compact_staged, stage_extract, write_mirror
 from mirrorkit.sources.listing import file_manifest
 
@@ -96,6 +96,7 @@ class JobResult:
     new_partitions: int | None = None
     stale_files: int | None = None
     orphan_partitions: int | None = None
+    catalog: str | None = None
     write_seconds: float | None = None
     report_seconds: float | None = None
     seconds: float = 0.0
@@ -113,6 +114,7 @@ SUMMARY_SCHEMA = StructType([
     StructField("new_partitions", LongType()),
     StructField("stale_files", LongType()),
     StructField("orphan_partitions", LongType()),
+    StructField("catalog", StringType()),
     StructField("write_seconds", DoubleType()),
     StructField("report_seconds", DoubleType()),
     StructField("seconds", DoubleType()),
@@ -174,10 +176,10 @@ def run_job(
         result.stale_files = counts["stale_files"]
         result.orphan_partitions = counts["orphan_partitions"]
         if catalog_database:
-            name = f"{catalog_database}.{job.mirror_name}"
-            create_mirror_table(spark, name, dest, schema, parts)
-            if result.new_partitions:
-                refresh_mirror_table(spark, name, bool(parts))
+            result.catalog = sync_mirror_table(
+                spark, f"{catalog_database}.{job.mirror_name}", dest, schema, parts,
+                new_partitions=bool(result.new_partitions),
+            )
         result.report_seconds = round(time.time() - report_started, 3)
     except Exception as err:  # reported per job; the batch decides to raise
         result.status = "failed"
@@ -214,8 +216,8 @@ def run_batch(
     ensure_checkpoint_dir(spark)
 
     def run(job: MirrorJob) -> JobResult:
-        # One pool per job: under FAIR scheduling, concurrent jobs share the
-        # executors instead of queueing behind the largest one.
+        # One pool per job: with spark.scheduler.mode=FAIR, concurrent jobs
+        # share the executors instead of queueing behind the largest one.
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"mirror-{job.mirror_name}")
         return run_job(spark, job, source, dest_root,
                        staging_root=staging_root, catalog_database=catalog_database)

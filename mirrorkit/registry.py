@@ -569,7 +569,7 @@ def _lineitem_mirror(spark, sf, staged=False):
 def _lineitem_mirror_sql() -> str:
     return _with_sources(
         "SELECT TAXYR AS taxyr, CUR AS cur, count(*) AS n, "
-        "sum(TRY_CAST(QUANTITY AS DECIMAL(10,0))) AS quantity FROM lineitem_src "
+        "CAST(sum(TRY_CAST(QUANTITY AS DECIMAL(10,0))) AS DECIMAL(20,0)) AS quantity FROM lineitem_src "
         f"WHERE TAXYR BETWEEN 1800 AND {YEAR_NOW} AND CUR IN ('Y', 'N') GROUP BY TAXYR, CUR",
         "lineitem_src",
     )

@@ -22,8 +22,6 @@ MIRROR_SESSION_DEFAULTS = {
     # Split a hot Hive partition over several writer tasks instead of one.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Jobs of a batch run from several threads; share executors fairly.
-    "spark.scheduler.mode": "FAIR",
     # Old dates (before 1900) must keep their calendar value.
     "spark.sql.parquet.int96RebaseModeInRead": "CORRECTED",
     "spark.sql.parquet.int96RebaseModeInWrite": "CORRECTED",
@@ -61,9 +59,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
-        # Nothing configured: this is a local run or a test.
+    elif sc.master.startswith("local"):
+        # Nothing configured and one machine only: a local run or a test.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="mirror-checkpoint-"))
+    else:
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder shared by all executors "
+            "(mirror jobs keep manifests and staged files there)"
+        )
     return sc.getCheckpointDir()
 
 

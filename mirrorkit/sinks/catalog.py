@@ -1,8 +1,10 @@
 """Catalog registration of a mirror, so SQL users can query it by name.
 
-The table is external (``LOCATION`` is the mirror folder). New partitions are
-made visible with ``RECOVER PARTITIONS``, and cached file listings are dropped
-with ``REFRESH TABLE``; both only when the write produced new partitions.
+The table is external (``LOCATION`` is the mirror folder), so dropping and
+re-creating its definition never touches data. ``sync_mirror_table`` creates
+the table, re-creates it when the mirror's column types changed, and makes
+new partitions visible (``RECOVER PARTITIONS``) and cached listings fresh
+(``REFRESH TABLE``).
 """
 
 from __future__ import annotations
@@ -17,14 +19,17 @@ def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _ordered_fields(schema: StructType, partitions: Sequence[str]):
+    data = [f for f in schema.fields if f.name not in partitions]
+    parts = sorted((f for f in schema.fields if f.name in partitions), key=lambda f: list(partitions).index(f.name))
+    return data + parts
+
+
 def create_mirror_table(
     spark: SparkSession, name: str, path: str, schema: StructType, partitions: Sequence[str] = ()
 ) -> None:
     """``CREATE TABLE IF NOT EXISTS ... USING parquet PARTITIONED BY ... LOCATION``."""
-    data = [f for f in schema.fields if f.name not in partitions]
-    parts = [f for f in schema.fields if f.name in partitions]
-    ordered = data + sorted(parts, key=lambda f: list(partitions).index(f.name))
-    columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in ordered)
+    columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in _ordered_fields(schema, partitions))
     partitioned = f" PARTITIONED BY ({', '.join(_quote(p) for p in partitions)})" if partitions else ""
     location = path.replace("'", "\\'")
     spark.sql(
@@ -37,3 +42,35 @@ def refresh_mirror_table(spark: SparkSession, name: str, partitioned: bool) -> N
     if partitioned:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     spark.sql(f"REFRESH TABLE {name}")
+
+
+def sync_mirror_table(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    schema: StructType,
+    partitions: Sequence[str] = (),
+    *,
+    new_partitions: bool = True,
+) -> str:
+    """Bring the catalog entry in line with the mirror; return what was done.
+
+    ``"created"``, ``"replaced"`` (column names or types changed),
+    ``"refreshed"`` (new partitions) or ``"unchanged"``.
+    """
+    wanted = [(f.name, f.dataType.simpleString()) for f in _ordered_fields(schema, partitions)]
+    if spark.catalog.tableExists(name):
+        current = [(f.name, f.dataType.simpleString()) for f in spark.table(name).schema.fields]
+        if current != wanted:
+            spark.sql(f"DROP TABLE {name}")  # external: the files stay
+            action = "replaced"
+        elif new_partitions:
+            refresh_mirror_table(spark, name, bool(partitions))
+            return "refreshed"
+        else:
+            return "unchanged"
+    else:
+        action = "created"
+    create_mirror_table(spark, name, path, schema, partitions)
+    refresh_mirror_table(spark, name, bool(partitions))
+    return action

@@ -42,11 +42,21 @@ def test_rerun_reports_stale_files_and_catalog(spark, tmp_dir):
     src = table_source(spark, SF_SMALL)
     first = {r["job"]: r for r in run_batch(spark, jobs, src, tmp_dir, catalog_database="default").collect()}
     assert first["orders"]["new_partitions"] == 2 and first["orders"]["stale_files"] == 0
+    assert first["orders"]["catalog"] == "created"
     assert spark.table("default.orders_src").count() == first["orders"]["rows"]
     jobs2 = [MirrorJob("orders", "orders_src", (1997, 1998), ("Y",), None, OV)]
     second = {r["job"]: r for r in run_batch(spark, jobs2, src, tmp_dir, catalog_database="default").collect()}
     assert second["orders"]["new_partitions"] == 1 and second["orders"]["stale_files"] == 1
     assert second["orders"]["orphan_partitions"] == 0 and second["orders"]["write_seconds"] > 0
+    assert second["orders"]["catalog"] == "refreshed"
     visible = spark.table("default.orders_src").select("taxyr").distinct().count()
     assert visible == 3
+    # A type change in the mirror re-creates the (external) table definition.
+    from mirrorkit.sinks.catalog import sync_mirror_table
+    t = spark.table("default.orders_src")
+    changed = t.withColumn("amount", t["amount"].cast("decimal(18,2)")).schema
+    assert sync_mirror_table(spark, "default.orders_src", f"{tmp_dir}/orders_src", changed,
+                             ("taxyr", "cur")) == "replaced"
+    assert dict((f.name, f.dataType.simpleString()) for f in spark.table("default.orders_src").schema.fields)[
+        "amount"] == "decimal(18,2)"
     spark.sql("DROP TABLE default.orders_src")

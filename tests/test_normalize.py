@@ -93,3 +93,14 @@ def test_nested_types_pass_through(spark):
 def test_apply_overrides_ignores_absent(spark):
     df = spark.createDataFrame([(1,)], "a int")
     assert apply_overrides(df, {"zzz": "STRING"}).schema == df.schema
+
+
+def test_definition_findings():
+    from mirrorkit.operators.checks import definition_findings
+    from mirrorkit.plans.job import TableDefinition
+    row = {"min_year": 1990, "null_cur_rows": None, "null_key_rows": 3, "unexpected_cur_rows": None}
+    found = definition_findings(row, TableDefinition(min_year=1999, has_cur=True, has_parid=True))
+    assert any("1990" in f for f in found) and any("status column" in f for f in found)
+    row = {"min_year": 2000, "null_cur_rows": 0, "null_key_rows": None, "unexpected_cur_rows": 4}
+    found = definition_findings(row, TableDefinition(min_year=1999, has_cur=False, has_parid=True))
+    assert len(found) == 3
