@@ -250,6 +250,16 @@ def check_batch(jobs: Sequence[MirrorJob]) -> None:
         seen[job.mirror_name] = job.name
 
 
+def jobs_from_specs(specs: Mapping[str, Mapping], **resolve) -> list[MirrorJob]:
+    """Resolve a whole batch (``{job name: spec}``, as loaded from YAML/JSON)
+    with ``job_from_spec``; reject two jobs writing one mirror folder."""
+    jobs = [job_from_spec(name, spec, **resolve) for name, spec in specs.items()]
+    check_batch(jobs)
+    for issue in lint_batch(jobs):
+        log.warning(issue)
+    return jobs
+
+
 def load_batch_specs(text_or_path: str) -> dict[str, dict]:
     """Job specs from a JSON string, a JSON file or a YAML file."""
     candidate = Path(text_or_path)

@@ -36,7 +36,7 @@ from mirrorkit.operators.reconcile import (
     union_all,
 )
 from mirrorkit.plans.batch import TableSource, run_batch, run_job
-from mirrorkit.plans.job import MirrorJob, job_from_spec
+from mirrorkit.plans.job import MirrorJob, job_from_spec, jobs_from_specs
 from mirrorkit.session import work_dir
 from mirrorkit.sources.files import read_mirror
 from mirrorkit.sources.listing import file_manifest
@@ -454,7 +454,7 @@ def _batch_jobs(spark, sf):
         f"{t}_chunks": ch.derived_chunks(source_frame(spark, sf, f"{t}_src"), "PARID", DERIVED_CHUNK_COUNT)
         for t in ("orders", "lineitem", "customer")
     }
-    return [job_from_spec(name, spec, predicate_sets=chunk_sets) for name, spec in SAMPLE_BATCH.items()]
+    return jobs_from_specs(SAMPLE_BATCH, predicate_sets=chunk_sets)
 
 
 def _batch_summary(spark, sf):

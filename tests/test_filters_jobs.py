@@ -108,3 +108,12 @@ def test_partition_scope_on_manifest_values(spark):
     df = spark.createDataFrame([("1996", "Y"), ("1998", "Y"), ("1997", "N")], "taxyr string, cur string")
     assert [tuple(r) for r in df.where(job.partition_scope).collect()] == [("1996", "Y")]
     assert MirrorJob("p", "t").partition_scope is None
+
+
+def test_jobs_from_specs_rejects_same_mirror():
+    from mirrorkit.plans.job import jobs_from_specs
+    specs = {"a": {"table_name": "x.t", "predicates_path": None}, "b": {"table_name": "y.t", "predicates_path": None}}
+    with pytest.raises(ValueError):
+        jobs_from_specs(specs)
+    jobs = jobs_from_specs({"a": {"table_name": "x.t", "predicates_path": None}}, current_year=2020)
+    assert jobs[0].years == (1800, 2020)

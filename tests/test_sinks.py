@@ -130,3 +130,13 @@ def test_hot_partition_is_split_over_writer_tasks(spark, tmp_dir):
     assert counts["taxyr=2000"] > 1
     assert min(counts[f"taxyr={y}"] for y in (2001, 2002, 2003)) == 1, counts
     assert read_mirror(spark, f"{tmp_dir}/m", ["taxyr"]).count() == 200_000
+
+
+def test_manifest_parses_escaped_partition_values(spark, tmp_dir):
+    values = ["a b", "x/y", "50%", "p+q", "k=v"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, cur string")
+    write_mirror(df, f"{tmp_dir}/m", ["cur"])
+    man = file_manifest(spark, f"{tmp_dir}/m", ["cur"])
+    assert sorted(r["cur"] for r in man.collect()) == sorted(values)
+    back = read_mirror(spark, f"{tmp_dir}/m", ["cur"])
+    assert sorted(r["cur"] for r in back.collect()) == sorted(values)
