@@ -97,6 +97,7 @@ class JobResult:
     stale_files: int | None = None
     orphan_partitions: int | None = None
     catalog: str | None = None
+    attempts: int = 1
     write_seconds: float | None = None
     report_seconds: float | None = None
     seconds: float = 0.0
@@ -115,6 +116,7 @@ SUMMARY_SCHEMA = StructType([
     StructField("stale_files", LongType()),
     StructField("orphan_partitions", LongType()),
     StructField("catalog", StringType()),
+    StructField("attempts", LongType()),
     StructField("write_seconds", DoubleType()),
     StructField("report_seconds", DoubleType()),
     StructField("seconds", DoubleType()),
@@ -130,8 +132,31 @@ def run_job(
     *,
     staging_root: str | None = None,
     catalog_database: str | None = None,
+    retries: int = 0,
+) -> JobResult:
+    """Mirror one table into ``dest_root/<mirror name>``; never raises.
+
+    A failed job is run again up to ``retries`` times: the write replaces
+    exactly the partitions it produces, so a repeated run is idempotent.
+    (Lost executors are handled inside one run by Spark's task retries.)
+    """
+    result = _run_job_once(spark, job, source, dest_root, staging_root, catalog_database)
+    attempts = 1
+    while result.status != "ok" and attempts <= retries:
+        attempts += 1
+        result = _run_job_once(spark, job, source, dest_root, staging_root, catalog_database)
+    result.attempts = attempts
+    return result
+
+
+def _run_job_once(
+    spark: SparkSession,
+    job: MirrorJob,
+    source: Callable[[MirrorJob], DataFrame],
+    dest_root: str,
+    staging_root: str | None,
+    catalog_database: str | None,
 ) -> JobResult:
-    """Mirror one table into ``dest_root/<mirror name>``; never raises."""
     started = time.time()
     result = JobResult(job.name, job.table_name, job.description, "ok",
                        partitions=",".join(job.partitions))
@@ -205,6 +230,7 @@ def run_batch(
     staging_root: str | None = None,
     parallelism: int = PARALLEL_JOBS,
     catalog_database: str | None = None,
+    retries: int = 0,
     raise_on_failure: bool = True,
 ) -> DataFrame:
     """Run the jobs, ``parallelism`` at a time; return one summary row per job.
@@ -219,8 +245,8 @@ def run_batch(
         # One pool per job: with spark.scheduler.mode=FAIR, concurrent jobs
         # share the executors instead of queueing behind the largest one.
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"mirror-{job.mirror_name}")
-        return run_job(spark, job, source, dest_root,
-                       staging_root=staging_root, catalog_database=catalog_database)
+        return run_job(spark, job, source, dest_root, staging_root=staging_root,
+                       catalog_database=catalog_database, retries=retries)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(run, jobs))

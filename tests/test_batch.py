@@ -60,3 +60,20 @@ def test_rerun_reports_stale_files_and_catalog(spark, tmp_dir):
     assert dict((f.name, f.dataType.simpleString()) for f in spark.table("default.orders_src").schema.fields)[
         "amount"] == "decimal(18,2)"
     spark.sql("DROP TABLE default.orders_src")
+
+
+def test_failed_job_is_retried(spark, tmp_dir):
+    from mirrorkit.plans.batch import TableSource, run_job
+    calls = []
+
+    def flaky():
+        calls.append(1)
+        if len(calls) == 1:
+            raise ConnectionError("source went away")
+        return spark.read.parquet(f"{SF_SMALL}/region.parquet")
+
+    job = MirrorJob("region", "region", None, None, None, OV)
+    result = run_job(spark, job, TableSource({"region": flaky}), tmp_dir, retries=2)
+    assert result.status == "ok" and result.attempts == 2 and result.rows == 5
+    failed = run_job(spark, job, TableSource({"region": lambda: 1 / 0}), tmp_dir, retries=1)
+    assert failed.status == "failed" and failed.attempts == 2
