@@ -40,20 +40,23 @@ def read_mirror(
     *,
     schema: StructType | None = None,
     partition_types: Mapping[str, str] | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """Read a Hive-partitioned mirror with partition discovery.
 
     With ``schema`` (the written frame's schema) the read needs no inference
     and an empty or absent mirror reads as an empty frame. Without it, the
-    data schema is taken from the files and partition columns get their
-    declared types. Filters on partition columns become ``PartitionFilters``.
+    data schema is taken from the files (``merge_schema`` reads every
+    footer, for mirrors whose partitions were written with different column
+    sets) and partition columns get their declared types. Filters on
+    partition columns become ``PartitionFilters``.
     """
     if schema is not None:
         full = mirror_schema(schema, partitions, partition_types)
         if not _has_files(spark, path):
             return spark.createDataFrame([], full)
         return spark.read.schema(full).option("basePath", path).parquet(path)
-    inferred = spark.read.parquet(path).schema
+    inferred = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path).schema
     full = mirror_schema(
         StructType([f for f in inferred.fields if f.name not in partitions]),
         partitions,

@@ -140,3 +140,12 @@ def test_manifest_parses_escaped_partition_values(spark, tmp_dir):
     assert sorted(r["cur"] for r in man.collect()) == sorted(values)
     back = read_mirror(spark, f"{tmp_dir}/m", ["cur"])
     assert sorted(r["cur"] for r in back.collect()) == sorted(values)
+
+
+def test_read_mirror_merges_partition_schemas(spark, tmp_dir):
+    dest = f"{tmp_dir}/m"
+    write_mirror(spark.createDataFrame([(1, 2000)], "a int, taxyr int"), dest, ["taxyr"])
+    write_mirror(spark.createDataFrame([(2, "x", 2001)], "a int, b string, taxyr int"), dest, ["taxyr"])
+    merged = read_mirror(spark, dest, ["taxyr"], merge_schema=True)
+    assert set(merged.columns) == {"a", "b", "taxyr"}
+    assert rows_of(merged, "a", "b", "taxyr") == [(1, None, 2000), (2, "x", 2001)]
