@@ -3,8 +3,14 @@
 All inputs are file manifests (one row per file, see
 ``sources.listing.file_manifest``). Comparisons are anti/semi joins on the
 relative path or on the partition folder text, which also matches the null
-partition exactly; Spark plans them as hash or sort-merge joins (adaptive
-execution turns a small side into a broadcast at run time).
+partition exactly.
+
+File-level joins (one row per file on both sides) are left to Spark's
+shuffle joins. The set of touched partition folders is broadcast: it has one
+row per folder the write produced, and a mirror job only produces folders
+inside its scope, at most (years in range) x (status values) + nulls, a
+bound fixed by the job parameters, not by the data. So a hot partition with
+a great many files is never gathered into one reduce task.
 """
 
 from __future__ import annotations
@@ -50,7 +56,7 @@ def stale_files(after: DataFrame, before: DataFrame) -> DataFrame:
     """
     touched = written_files(after, before).select(PARTITION_KEY).distinct()
     return (
-        before.join(touched, PARTITION_KEY, "left_semi")
+        before.join(F.broadcast(touched), PARTITION_KEY, "left_semi")
         .join(after.select("rel_path"), "rel_path", "left_anti")
     )
 
@@ -72,7 +78,7 @@ def orphan_partitions(
     candidates = partitions_of(after, partitions)
     if in_scope is not None:
         candidates = candidates.where(in_scope)
-    return candidates.join(touched, PARTITION_KEY, "left_anti")
+    return candidates.join(F.broadcast(touched), PARTITION_KEY, "left_anti")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
