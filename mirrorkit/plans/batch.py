@@ -35,7 +35,7 @@ from mirrorkit.plans.job import MirrorJob, check_batch, mirror_name
 from mirrorkit.session import ensure_checkpoint_dir
 from mirrorkit.sinks.catalog import sync_mirror_table
 from mirrorkit.sinks.parquet import compact_staged, stage_extract, write_mirror
-from mirrorkit.sources.listing import file_manifest
+from mirrorkit.sources.listing import delete_path, file_manifest
 
 OVERFLOW = "__narrow_overflow"
 
@@ -185,6 +185,8 @@ def _run_job_once(
             stage_extract(extracted, staged, parts, after_exchange=conversions, observation=observed,
                           metrics=metrics, drop_after_observe=[OVERFLOW])
             compact_staged(spark, staged, dest, schema, parts)
+            # The staged copy is as large as the extract; drop it once compacted.
+            delete_path(spark, staged)
         else:
             # Conversions run in the writer tasks, after the compacting exchange.
             write_mirror(extracted, dest, parts, after_exchange=conversions, observation=observed,

@@ -27,6 +27,8 @@ MIRROR_SESSION_DEFAULTS = {
     "spark.sql.parquet.int96RebaseModeInWrite": "CORRECTED",
     "spark.sql.parquet.datetimeRebaseModeInRead": "CORRECTED",
     "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
+    # Checkpointed manifests and samples are removed once no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -46,6 +46,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return True
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` on the file system that serves it."""
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hadoop_path, True))
+
+
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
     """``(path, rel_path, partition_dir, length, modified)`` for files under ``root``.
 

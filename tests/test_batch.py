@@ -77,3 +77,14 @@ def test_failed_job_is_retried(spark, tmp_dir):
     assert result.status == "ok" and result.attempts == 2 and result.rows == 5
     failed = run_job(spark, job, TableSource({"region": lambda: 1 / 0}), tmp_dir, retries=1)
     assert failed.status == "failed" and failed.attempts == 2
+
+
+def test_staged_run_drops_its_staging_copy(spark, tmp_dir):
+    from pathlib import Path
+    from mirrorkit.plans.batch import run_job
+    job = MirrorJob("orders", "orders_src", (1996, 1997), ("Y", "N"), None, OV)
+    staging = f"{tmp_dir}/staging"
+    result = run_job(spark, job, table_source(spark, SF_SMALL), f"{tmp_dir}/dest", staging_root=staging)
+    assert result.status == "ok", result.error
+    assert not Path(staging, "orders_src").exists()
+    assert read_mirror(spark, f"{tmp_dir}/dest/orders_src", job.partitions).count() == result.rows
