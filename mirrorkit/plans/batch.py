@@ -26,7 +26,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from mirrorkit.functions.fixed import PARALLEL_JOBS
+from mirrorkit.functions.fixed import PARALLEL_JOBS, YEAR_COLUMN
 from mirrorkit.operators.chunks import chunked_scan
 from mirrorkit.operators.filters import apply_predicate
 from mirrorkit.operators.normalize import convert, prepare
@@ -92,6 +92,8 @@ class JobResult:
     status: str
     rows: int | None = None
     overflow_rows: int | None = None
+    min_year: int | None = None
+    max_year: int | None = None
     partitions: str = ""
     new_partitions: int | None = None
     stale_files: int | None = None
@@ -111,6 +113,8 @@ SUMMARY_SCHEMA = StructType([
     StructField("status", StringType()),
     StructField("rows", LongType()),
     StructField("overflow_rows", LongType()),
+    StructField("min_year", LongType()),
+    StructField("max_year", LongType()),
     StructField("partitions", StringType()),
     StructField("new_partitions", LongType()),
     StructField("stale_files", LongType()),
@@ -178,6 +182,9 @@ def _run_job_once(
             F.count(F.lit(1)).alias("rows"),
             F.coalesce(F.sum(OVERFLOW), F.lit(0)).cast("long").alias("overflow_rows"),
         ]
+        if YEAR_COLUMN in extracted.columns:
+            metrics += [F.min(YEAR_COLUMN).cast("long").alias("min_year"),
+                        F.max(YEAR_COLUMN).cast("long").alias("max_year")]
         schema = conversions(extracted).drop(OVERFLOW).schema
         write_started = time.time()
         if staging_root:
@@ -194,6 +201,8 @@ def _run_job_once(
         stats = observed.get
         result.rows = int(stats.get("rows", 0))
         result.overflow_rows = int(stats.get("overflow_rows", 0))
+        result.min_year = stats.get("min_year")
+        result.max_year = stats.get("max_year")
         report_started = time.time()
         result.write_seconds = round(report_started - write_started, 3)
 

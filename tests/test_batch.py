@@ -35,6 +35,8 @@ def test_batch_shapes_and_failure_report(spark, tmp_dir):
     assert summary["orders"]["overflow_rows"] > 0
     orders = read_mirror(spark, f"{tmp_dir}/orders_src", ("taxyr", "cur"))
     assert orders.count() == summary["orders"]["rows"]
+    assert (summary["orders"]["min_year"], summary["orders"]["max_year"]) == (1996, 2000)
+    assert summary["region"]["min_year"] is None
 
 
 def test_rerun_reports_stale_files_and_catalog(spark, tmp_dir):
@@ -88,3 +90,17 @@ def test_staged_run_drops_its_staging_copy(spark, tmp_dir):
     assert result.status == "ok", result.error
     assert not Path(staging, "orders_src").exists()
     assert read_mirror(spark, f"{tmp_dir}/dest/orders_src", job.partitions).count() == result.rows
+
+
+def test_publish_to_scheme_qualified_uri(spark, tmp_dir):
+    from mirrorkit.plans.batch import run_job
+    from mirrorkit.sources.listing import file_manifest
+    root = "file://" + tmp_dir
+    job = MirrorJob("orders", "orders_src", (1996, 1997), ("Y",), None, OV)
+    result = run_job(spark, job, table_source(spark, SF_SMALL), root)
+    assert result.status == "ok", result.error
+    assert result.new_partitions == 2
+    man = file_manifest(spark, f"{root}/orders_src", job.partitions)
+    assert sorted(r["partition_dir"] for r in man.collect()) == ["taxyr=1996/cur=Y", "taxyr=1997/cur=Y"]
+    again = run_job(spark, job, table_source(spark, SF_SMALL), root)
+    assert again.stale_files == 2 and again.new_partitions == 0
