@@ -189,9 +189,11 @@ def _run_job_once(
         write_started = time.time()
         if staging_root:
             staged = f"{staging_root.rstrip('/')}/{job.mirror_name}"
-            stage_extract(extracted, staged, parts, after_exchange=conversions, observation=observed,
-                          metrics=metrics, drop_after_observe=[OVERFLOW])
-            compact_staged(spark, staged, dest, schema, parts)
+            # Pass 1 lands the extract as is (no exchange); pass 2 compacts it
+            # and, like the one-pass write, converts after its exchange.
+            stage_extract(extracted, staged, parts)
+            compact_staged(spark, staged, dest, extracted.schema, parts, after_exchange=conversions,
+                           observation=observed, metrics=metrics, drop_after_observe=[OVERFLOW])
             # The staged copy is as large as the extract; drop it once compacted.
             delete_path(spark, staged)
         else:
