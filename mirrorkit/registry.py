@@ -306,11 +306,21 @@ def _mirror_partition_counts(spark, sf):
 
 
 def _compacted_file_counts(spark, sf):
+    """Files per Hive partition after compaction: one each, at this scale
+    (every partition is far below the split size and the row cap)."""
     job = _orders_job("files", (1995, 2001))
     root, _ = _mirror_orders(spark, sf, job)
     manifest = file_manifest(spark, f"{root}/{job.mirror_name}", job.partitions)
-    return manifest.groupBy("taxyr", "cur").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
+    return manifest.groupBy(F.col("taxyr").cast("int").alias("taxyr"), "cur").agg(
+        F.count(F.lit(1)).alias("files")
+    )
+
+
+def _compacted_file_counts_sql() -> str:
+    return _with_sources(
+        "SELECT TAXYR AS taxyr, CUR AS cur, CAST(1 AS BIGINT) AS files FROM orders_src "
+        f"WHERE TAXYR BETWEEN 1995 AND 2001 AND CUR IN {CUR_SQL} GROUP BY TAXYR, CUR",
+        "orders_src",
     )
 
 
@@ -496,6 +506,23 @@ def _manifest_counts(spark, sf):
     return files.groupBy(table).agg(F.count(F.lit(1)).alias("files"))
 
 
+def _manifest_counts_sql() -> str:
+    """Files per mirrored table of the sample batch: one per Hive partition."""
+    one = "CAST(1 AS BIGINT)"
+    parts = [
+        f"SELECT 'region' AS table_name, {one} AS files",
+        "SELECT 'orders_src', count(DISTINCT (TAXYR, CUR)) FROM orders_src "
+        f"WHERE TAXYR BETWEEN 1996 AND 2000 AND CUR IN {CUR_SQL}",
+        "SELECT 'lineitem_src', count(DISTINCT TAXYR) FROM lineitem_src WHERE TAXYR BETWEEN 1995 AND 1997",
+        f"SELECT 'nation', {one}",
+        "SELECT 'events_src', count(DISTINCT (TAXYR, CUR)) FROM events_src "
+        f"WHERE TAXYR BETWEEN 2020 AND {YEAR_NOW} AND CUR IN {CUR_SQL}",
+        f"SELECT 'customer_src', count(DISTINCT CUR) FROM customer_src WHERE CUR IN {CUR_SQL}",
+        "SELECT 'supplier_src', count(DISTINCT CUR) FROM supplier_src WHERE CUR IN ('Y')",
+    ]
+    return _with_sources(" UNION ALL ".join(parts), *SOURCES)
+
+
 def _definition_check(spark, sf):
     return union_all([
         definition_profile(source_frame(spark, sf, "orders_src"), "orders_src"),
@@ -642,14 +669,14 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
             "orders_src",
         ),
     ),
-    "compacted_file_counts": (_compacted_file_counts, None),
+    "compacted_file_counts": (_compacted_file_counts, _compacted_file_counts_sql()),
     "touched_partitions": (_touched_partitions, _reconcile_sql("touched")),
     "new_partitions": (_new_partitions, _reconcile_sql("new")),
     "stale_partitions": (_stale_partitions, _reconcile_sql("stale")),
     "stale_files": (_stale_files, None),
     "new_partitions_all": (_new_partitions_all, _new_partitions_all_sql()),
     "orphan_partitions": (_orphan_partitions, _orphan_partitions_sql()),
-    "manifest_counts": (_manifest_counts, None),
+    "manifest_counts": (_manifest_counts, _manifest_counts_sql()),
     "batch_summary": (_batch_summary, _batch_summary_sql()),
     "definition_check": (_definition_check, _definition_check_sql()),
     "log_events": (_log_events, _log_events_sql()),
