@@ -260,8 +260,20 @@ def jobs_from_specs(specs: Mapping[str, Mapping], **resolve) -> list[MirrorJob]:
     return jobs
 
 
+def table_definitions_from_config(config: Mapping) -> dict[str, TableDefinition]:
+    """Definitions from a config mapping, either ``{"tables": {...}}`` or the
+    inner ``{table: {min_year, has_cur, has_parid, schema_overrides}}``."""
+    tables = config.get("tables", config) if isinstance(config, Mapping) else {}
+    return {name: TableDefinition.from_spec(spec or {}) for name, spec in tables.items()}
+
+
+def global_overrides_from_config(config: Mapping) -> dict[str, str]:
+    """The ``global_schema_overrides`` mapping of a settings file (lowercased)."""
+    return merge_overrides(config.get("global_schema_overrides") or {})
+
+
 def load_batch_specs(text_or_path: str) -> dict[str, dict]:
-    """Job specs from a JSON string, a JSON file or a YAML file."""
+    """Job specs (or any config mapping) from a JSON string, a JSON file or a YAML file."""
     candidate = Path(text_or_path)
     if len(text_or_path) < 4096 and candidate.suffix in {".yaml", ".yml", ".json"} and candidate.exists():
         text = candidate.read_text()

@@ -117,3 +117,25 @@ def test_jobs_from_specs_rejects_same_mirror():
         jobs_from_specs(specs)
     jobs = jobs_from_specs({"a": {"table_name": "x.t", "predicates_path": None}}, current_year=2020)
     assert jobs[0].years == (1800, 2020)
+
+
+def test_config_files_drive_jobs(tmp_dir):
+    from pathlib import Path
+    from mirrorkit.plans.job import global_overrides_from_config, table_definitions_from_config
+    defs_file = Path(tmp_dir) / "tables.yaml"
+    defs_file.write_text(
+        "define:\n  first: &first 2001\n"
+        "tables:\n"
+        "  parcels:\n    min_year: *first\n    has_cur: true\n    has_parid: true\n"
+        "    schema_overrides:\n      XCOORD: DECIMAL(15,8)\n"
+        "  codes:\n    min_year: null\n    has_cur: false\n    has_parid: false\n"
+    )
+    settings_file = Path(tmp_dir) / "settings.yaml"
+    settings_file.write_text("global_schema_overrides:\n  taxyr: INTEGER\n")
+    defs = table_definitions_from_config(load_batch_specs(str(defs_file)))
+    assert defs["parcels"].min_year == 2001 and defs["codes"].has_cur is False
+    overrides = global_overrides_from_config(load_batch_specs(str(settings_file)))
+    job = job_from_spec("p", {"table_name": "src.parcels", "predicates_path": None},
+                        table_definitions=defs, global_overrides=overrides)
+    assert job.overrides == {"taxyr": "INTEGER", "xcoord": "DECIMAL(15,8)"}
+    assert lint_job(job, defs["parcels"])  # default min year 1800 is before 2001
