@@ -88,24 +88,52 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def partition_status(after: DataFrame, before: DataFrame, partitions: Sequence[str] = ()) -> DataFrame:
+    """One row per partition folder seen before or after a write.
+
+    ``existed_before``, ``exists_after``, ``touched`` (received new files)
+    and ``removed_files``, from a single full outer join of the two
+    manifests on the relative path.
+    """
+    keep = [c for c in ("table_name", *partitions) if c in after.columns]
+    a = after.select("rel_path", PARTITION_KEY, *keep, F.lit(True).alias("in_after"))
+    b = before.select(
+        "rel_path", F.col(PARTITION_KEY).alias("b_dir"), *[F.col(c).alias(f"b_{c}") for c in keep],
+        F.lit(True).alias("in_before"),
+    )
+    in_after = F.coalesce(F.col("in_after"), F.lit(False))
+    in_before = F.coalesce(F.col("in_before"), F.lit(False))
+    joined = a.join(b, "rel_path", "full_outer").select(
+        F.coalesce(F.col(PARTITION_KEY), F.col("b_dir")).alias(PARTITION_KEY),
+        *[F.coalesce(F.col(c), F.col(f"b_{c}")).alias(c) for c in keep],
+        in_after.alias("in_after"),
+        in_before.alias("in_before"),
+    )
+    return joined.groupBy(PARTITION_KEY, *keep).agg(
+        F.max("in_before").alias("existed_before"),
+        F.max("in_after").alias("exists_after"),
+        F.max(F.col("in_after") & ~F.col("in_before")).alias("touched"),
+        F.count_if(F.col("in_before") & ~F.col("in_after")).alias("removed_files"),
+    )
+
+
 def report_counts(
     after: DataFrame,
     before: DataFrame,
     partitions: Sequence[str] = (),
     in_scope: Column | None = None,
-) -> dict[str, int]:
-    """Counts of new partitions, stale files and orphan partitions, in one action."""
-    reports = [
-        new_partitions(after, before, partitions).select(F.lit("new_partitions").alias("report")),
-        stale_files(after, before).select(F.lit("stale_files").alias("report")),
-    ]
-    if partitions:
-        reports.append(
-            orphan_partitions(after, before, partitions, in_scope).select(F.lit("orphan_partitions").alias("report"))
-        )
-    counts = {r["report"]: r["n"] for r in union_all(reports).groupBy("report").agg(F.count(F.lit(1)).alias("n")).collect()}
+) -> dict[str, int | None]:
+    """Counts of new partitions, stale files and orphan partitions, in one action
+    (one join of the manifests, one aggregate per partition, one global aggregate)."""
+    status = partition_status(after, before, partitions)
+    scope = F.lit(True) if in_scope is None else F.coalesce(in_scope, F.lit(False))
+    row = status.agg(
+        F.count_if(F.col("exists_after") & ~F.col("existed_before")).alias("new_partitions"),
+        F.coalesce(F.sum(F.when(F.col("touched"), F.col("removed_files"))), F.lit(0)).alias("stale_files"),
+        F.count_if(F.col("exists_after") & ~F.col("touched") & scope).alias("orphan_partitions"),
+    ).collect()[0]
     return {
-        "new_partitions": counts.get("new_partitions", 0),
-        "stale_files": counts.get("stale_files", 0),
-        "orphan_partitions": counts.get("orphan_partitions", 0) if partitions else None,
+        "new_partitions": int(row["new_partitions"]),
+        "stale_files": int(row["stale_files"]),
+        "orphan_partitions": int(row["orphan_partitions"]) if partitions else None,
     }
