@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from mirrorkit.operators.filters import apply_predicate, job_predicate
 from mirrorkit.plans.job import (

@@ -4,9 +4,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType, DecimalType, FloatType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
-)
+from pyspark.sql.types import DecimalType, StructField, StructType, TimestampNTZType, TimestampType
 
 from mirrorkit.functions.types import merge_overrides, overrides_ddl
 from mirrorkit.operators.normalize import apply_overrides, lowercase_columns, normalize

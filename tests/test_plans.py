@@ -6,7 +6,7 @@ import io
 from pyspark.sql import functions as F
 
 from mirrorkit.functions.fixed import GLOBAL_SCHEMA_OVERRIDES
-from mirrorkit.plans.batch import TableSource, extract_plan, mirror_frame
+from mirrorkit.plans.batch import TableSource, extract_plan
 from mirrorkit.plans.job import MirrorJob
 from mirrorkit.registry import source_frame
 from mirrorkit.sinks.parquet import compacted, write_mirror

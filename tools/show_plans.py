@@ -17,7 +17,6 @@ from pyspark.sql import functions as F  # noqa: E402
 from mirrorkit.functions.fixed import GLOBAL_SCHEMA_OVERRIDES  # noqa: E402
 from mirrorkit.operators import chunks as ch  # noqa: E402
 from mirrorkit.operators.normalize import convert  # noqa: E402
-from mirrorkit.operators.reconcile import report_counts  # noqa: E402, F401
 from mirrorkit.plans.batch import TableSource, extract_plan  # noqa: E402
 from mirrorkit.plans.job import MirrorJob  # noqa: E402
 from mirrorkit.registry import INCLUSIVE_CHUNKS, source_frame  # noqa: E402
