@@ -169,8 +169,10 @@ def _run_job_once(
         spark.sparkContext.setJobDescription(job.description)
         dest = f"{dest_root.rstrip('/')}/{job.mirror_name}"
         parts = list(job.partitions)
+        # Only folders inside the job's scope can be created, replaced or
+        # orphaned by this write, so only those are listed (before and after).
         # Materialised now: the listing must show the state before the write.
-        before = file_manifest(spark, dest, parts).checkpoint(eager=True)
+        before = file_manifest(spark, dest, parts, within=job.scope_glob).checkpoint(eager=True)
 
         extracted = extract_plan(job, source)
 
@@ -208,7 +210,7 @@ def _run_job_once(
         report_started = time.time()
         result.write_seconds = round(report_started - write_started, 3)
 
-        after = file_manifest(spark, dest, parts)
+        after = file_manifest(spark, dest, parts, within=job.scope_glob)
         counts = report_counts(after, before, parts, job.partition_scope)
         result.new_partitions = counts["new_partitions"]
         result.stale_files = counts["stale_files"]

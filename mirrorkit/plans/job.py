@@ -104,6 +104,21 @@ class MirrorJob:
             active.append(F.col(STATUS_COLUMN).isin(list(self.cur)))
         return conjunction(active)
 
+    @property
+    def scope_glob(self) -> str | None:
+        """Path glob of the partition folders this job can write, e.g.
+        ``taxyr={2023,2024}/cur={D,N,Y}``; ``None`` when the whole table is in
+        scope (or a status value is not a plain folder name)."""
+        levels = []
+        if self.years is not None:
+            years = range(self.years[0], self.years[1] + 1)
+            levels.append(f"{YEAR_COLUMN}={{{','.join(str(y) for y in years)}}}")
+        if self.cur is not None:
+            if not all(v.isalnum() for v in self.cur):
+                return None
+            levels.append(f"{STATUS_COLUMN}={{{','.join(sorted(self.cur))}}}")
+        return "/".join(levels) or None
+
     @property
     def description(self) -> str:
         """``table, taxyr=[lo, hi], cur=[Y, N]`` (shown as the Spark job description)."""

@@ -54,20 +54,25 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hadoop_path, True))
 
 
-def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
+def list_files(
+    spark: SparkSession, root: str, glob: str = "*.parquet", within: str | None = None
+) -> DataFrame:
     """``(path, rel_path, partition_dir, length, modified)`` for files under ``root``.
 
     ``rel_path`` is relative to ``root``; ``partition_dir`` is its folder part
-    (empty for an unpartitioned table). An absent root lists as empty.
+    (empty for an unpartitioned table). ``within`` limits the listing to the
+    folders matching a path glob below ``root`` (e.g. ``taxyr={2023,2024}``).
+    An absent root, or no matching folder, lists as empty.
     """
     if not path_exists(spark, root):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
+    target = f"{root.rstrip('/')}/{within}" if within else root
     try:
         files = (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", glob)
             .option("recursiveFileLookup", "true")
-            .load(root)
+            .load(target)
             .select("path", "length", F.col("modificationTime").alias("modified"))
         )
     except Exception as err:
@@ -93,10 +98,14 @@ def partition_value(rel_path: Column, name: str) -> Column:
 
 
 def file_manifest(
-    spark: SparkSession, root: str, partitions: Sequence[str] = (), table: str | None = None
+    spark: SparkSession,
+    root: str,
+    partitions: Sequence[str] = (),
+    table: str | None = None,
+    within: str | None = None,
 ) -> DataFrame:
-    """``list_files`` plus one text column per partition key (and ``table``)."""
-    files = list_files(spark, root)
+    """``list_files`` plus one text column per partition key (and ``table_name``)."""
+    files = list_files(spark, root, within=within)
     cols = [F.col(c) for c in files.columns]
     if table is not None:
         cols.insert(0, F.lit(table).alias("table_name"))

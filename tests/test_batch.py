@@ -104,3 +104,20 @@ def test_publish_to_scheme_qualified_uri(spark, tmp_dir):
     assert sorted(r["partition_dir"] for r in man.collect()) == ["taxyr=1996/cur=Y", "taxyr=1997/cur=Y"]
     again = run_job(spark, job, table_source(spark, SF_SMALL), root)
     assert again.stale_files == 2 and again.new_partitions == 0
+
+
+def test_listing_is_limited_to_the_job_scope(spark, tmp_dir):
+    from mirrorkit.plans.batch import run_job
+    from mirrorkit.sources.listing import file_manifest
+    src = table_source(spark, SF_SMALL)
+    wide = MirrorJob("orders", "orders_src", (1995, 2000), ("Y", "N"), None, OV)
+    assert run_job(spark, wide, src, tmp_dir).status == "ok"
+    narrow = MirrorJob("orders", "orders_src", (1997, 1998), ("N",), None, OV)
+    assert narrow.scope_glob == "taxyr={1997,1998}/cur={N}"
+    listed = file_manifest(spark, f"{tmp_dir}/orders_src", narrow.partitions, within=narrow.scope_glob)
+    assert sorted(r["partition_dir"] for r in listed.collect()) == ["taxyr=1997/cur=N", "taxyr=1998/cur=N"]
+    result = run_job(spark, narrow, src, tmp_dir)
+    assert (result.new_partitions, result.stale_files, result.orphan_partitions) == (0, 2, 0)
+    outside = MirrorJob("orders", "orders_src", (2010, 2011), ("N",), None, OV)
+    assert file_manifest(spark, f"{tmp_dir}/orders_src", outside.partitions, within=outside.scope_glob).count() == 0
+    assert MirrorJob("x", "t", None, ("A-B",)).scope_glob is None and MirrorJob("x", "t").scope_glob is None
