@@ -21,6 +21,9 @@ MIRROR_SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Split a hot Hive partition over several writer tasks instead of one.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Shuffle bytes above which a Hive partition is split: the target size of
+    # compacted files (coalescing still favours parallelism, its default).
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     # Old dates (before 1900) must keep their calendar value.
     "spark.sql.parquet.int96RebaseModeInRead": "CORRECTED",
