@@ -17,6 +17,11 @@ from mirrorkit.functions.fixed import (
 )
 
 
+def source_column(name: str) -> Column:
+    """A column by its exact name, even when the name holds dots or backticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def timestamp_text(column: Column) -> Column:
     """Timestamp as ``yyyy-MM-dd HH:mm:ss.SSS``; sub-millisecond digits are cut, null stays null."""
     return F.date_format(column, TIMESTAMP_TEXT_FORMAT)

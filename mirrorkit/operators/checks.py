@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mirrorkit.functions.columns import source_column
 from mirrorkit.functions.fixed import DEFAULT_CUR, KEY_COLUMN, STATUS_COLUMN, YEAR_COLUMN
 
 
@@ -29,7 +30,7 @@ def definition_profile(
     names = {c.lower(): c for c in df.columns}
 
     def col(name):
-        return F.col(names[name]) if name in names else None
+        return source_column(names[name]) if name in names else None
 
     year, key, cur = col(YEAR_COLUMN), col(KEY_COLUMN), col(STATUS_COLUMN)
     aggs = [

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from mirrorkit.functions.columns import (
     load_stamp,
+    source_column,
     narrow_decimal,
     narrowing_overflowed,
     timestamp_text,
@@ -42,7 +43,7 @@ def apply_overrides(df: DataFrame, overrides: Mapping[str, str] | None) -> DataF
     """
     wanted = merge_overrides(overrides)
     casts = {
-        name: F.col(name).cast(wanted[name.lower()])
+        name: source_column(name).cast(wanted[name.lower()])
         for name in df.columns
         if name.lower() in wanted
     }
@@ -85,13 +86,13 @@ def convert(
     overflowed when narrowed, so a writer can count them without a second pass.
     """
     stamps, numbers = conversion_targets(df, overrides)
-    converted: dict[str, Column] = {name: timestamp_text(F.col(name)) for name in stamps}
-    converted.update({name: narrow_decimal(F.col(name)) for name in numbers})
+    converted: dict[str, Column] = {name: timestamp_text(source_column(name)) for name in stamps}
+    converted.update({name: narrow_decimal(source_column(name)) for name in numbers})
     if overflow_column:
         # Computed from the same input row as the narrowing (one projection).
         total = F.lit(0)
         for name in numbers:
-            total = total + F.when(narrowing_overflowed(F.col(name)), 1).otherwise(0)
+            total = total + F.when(narrowing_overflowed(source_column(name)), 1).otherwise(0)
         converted[overflow_column] = total
     if stamp:
         converted[LOADED_AT_COLUMN] = load_stamp()

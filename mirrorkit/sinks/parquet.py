@@ -17,6 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
+from mirrorkit.functions.columns import source_column
 from mirrorkit.functions.fixed import (
     FINAL_COMPRESSION,
     MAX_ROWS_PER_FILE,
@@ -90,4 +91,4 @@ def compact_staged(
 ) -> None:
     """Second pass: read staged files with an explicit schema, write compacted files."""
     staged = read_mirror(spark, staged_path, partitions, schema=schema)
-    write_mirror(staged.select(*schema.fieldNames()), dest, partitions, **kwargs)
+    write_mirror(staged.select(*[source_column(n) for n in schema.fieldNames()]), dest, partitions, **kwargs)

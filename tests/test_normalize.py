@@ -102,3 +102,13 @@ def test_definition_findings():
     row = {"min_year": 2000, "null_cur_rows": 0, "null_key_rows": None, "unexpected_cur_rows": 4}
     found = definition_findings(row, TableDefinition(min_year=1999, has_cur=False, has_parid=True))
     assert len(found) == 3
+
+
+def test_names_with_dots_and_spaces(spark):
+    schema = StructType([StructField("A.B", TimestampNTZType()), StructField("C D", DecimalType(38, 10))])
+    df = spark.createDataFrame([(dt.datetime(2020, 1, 1), Decimal("2.5"))], schema)
+    out = normalize(df, {"zz": "STRING"}, stamp=False, overflow_column="o")
+    row = out.collect()[0]
+    assert out.columns == ["a.b", "c d", "o"]
+    assert row["a.b"] == "2020-01-01 00:00:00.000" and row["c d"] == Decimal(3)
+    assert normalize(df, {"A.B": "STRING"}, stamp=False).collect()[0]["a.b"] == "2020-01-01 00:00:00"

@@ -149,3 +149,10 @@ def test_read_mirror_merges_partition_schemas(spark, tmp_dir):
     merged = read_mirror(spark, dest, ["taxyr"], merge_schema=True)
     assert set(merged.columns) == {"a", "b", "taxyr"}
     assert rows_of(merged, "a", "b", "taxyr") == [(1, None, 2000), (2, "x", 2001)]
+
+
+def test_two_pass_with_dotted_column_names(spark, tmp_dir):
+    df = spark.createDataFrame([(1, 2000), (2, 2001)], "`a.b` int, taxyr int")
+    stage_extract(df, f"{tmp_dir}/s", ["taxyr"])
+    compact_staged(spark, f"{tmp_dir}/s", f"{tmp_dir}/f", df.schema, ["taxyr"])
+    assert rows_of(read_mirror(spark, f"{tmp_dir}/f", ["taxyr"]), "a.b", "taxyr") == [(1, 2000), (2, 2001)]
