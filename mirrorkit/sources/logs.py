@@ -31,6 +31,18 @@ def parse_log_lines(
 
 
 def read_log_events(spark: SparkSession, path: str) -> DataFrame:
-    """Events of the log file(s) at ``path``, sorted by time (ties in file order)."""
-    events = parse_log_lines(spark.read.text(path))
-    return events.orderBy(F.col("ts_ms").asc_nulls_last(), F.col("line_no"))
+    """Events of the log file(s) at ``path``, sorted by time.
+
+    Equal times keep file order: file, then split offset, then position in
+    the split (Spark packs splits by size, so scan order alone is not file
+    order when there are several files).
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+    )
+    events = parse_log_lines(lines, keep=("source_file", "block_start"))
+    return events.orderBy(
+        F.col("ts_ms").asc_nulls_last(), "source_file", "block_start", "line_no"
+    ).drop("block_start")

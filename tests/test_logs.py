@@ -19,3 +19,12 @@ def test_log_lines_to_sorted_events(spark, tmp_dir):
         (1767323045678, "INFO a.b: second at same time"),
         (None, "Traceback x"),
     ]
+
+
+def test_ties_keep_file_order_across_files(spark, tmp_dir):
+    logs = Path(tmp_dir) / "logs"
+    logs.mkdir()
+    (logs / "a.log").write_text("2026-01-02_03:04:05.000 INFO x: a1\n")
+    (logs / "b.log").write_text("".join(f"2026-01-02_03:04:05.000 INFO x: b{i}\n" for i in range(50)))
+    got = [r["message"] for r in read_log_events(spark, str(logs)).collect()]
+    assert got == ["INFO x: a1"] + [f"INFO x: b{i}" for i in range(50)]
