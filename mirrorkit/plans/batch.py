@@ -35,7 +35,7 @@ from mirrorkit.plans.job import MirrorJob, check_batch, mirror_name
 from mirrorkit.session import ensure_checkpoint_dir
 from mirrorkit.sinks.catalog import sync_mirror_table
 from mirrorkit.sinks.parquet import compact_staged, stage_extract, write_mirror
-from mirrorkit.sources.listing import delete_path, file_manifest
+from mirrorkit.sources.listing import delete_path, file_manifest, path_exists
 
 OVERFLOW = "__narrow_overflow"
 
@@ -172,7 +172,9 @@ def _run_job_once(
         # Only folders inside the job's scope can be created, replaced or
         # orphaned by this write, so only those are listed (before and after).
         # Materialised now: the listing must show the state before the write.
-        before = file_manifest(spark, dest, parts, within=job.scope_glob).checkpoint(eager=True)
+        before = file_manifest(spark, dest, parts, within=job.scope_glob)
+        if path_exists(spark, dest):  # a first write has nothing to preserve
+            before = before.checkpoint(eager=True)
 
         extracted = extract_plan(job, source)
 
