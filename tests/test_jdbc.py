@@ -102,3 +102,10 @@ def test_jdbc_job_end_to_end(spark, derby, tmp_dir):
     assert back.count() == 4
     old = back.where(F.col("taxyr") == 2019).collect()[0]
     assert old["when_ts"] == "1899-12-31 23:59:59.000"
+
+
+def test_overrides_for_absent_columns_are_ignored(spark, derby):
+    overrides = {"nosuch": "STRING", "taxyr": "INTEGER"}
+    df = read_jdbc(spark, derby, "SRC.PARCEL", properties=props(), overrides=overrides)
+    assert df.count() == 7
+    assert {f.name.lower(): f.dataType.simpleString() for f in df.schema.fields}["taxyr"] == "int"
