@@ -69,36 +69,58 @@ def prepare(df: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFr
     return apply_overrides(lowercase_columns(df), overrides)
 
 
-def convert(
+def narrow_numbers(
     df: DataFrame,
     overrides: Mapping[str, str] | None = None,
     *,
-    stamp: bool = True,
     overflow_column: str | None = None,
 ) -> DataFrame:
-    """Default type rules and the load stamp on a prepared frame.
-
-    * timestamps (both flavours) become ``yyyy-MM-dd HH:mm:ss.SSS`` text;
-    * DECIMAL(38,10) becomes DECIMAL(10,0), with null on overflow;
-    * a column with any override keeps its declared type instead.
+    """The shrinking type rule: DECIMAL(38,10) to DECIMAL(10,0), null on overflow.
 
     ``overflow_column`` adds an int column holding, per row, how many values
-    overflowed when narrowed, so a writer can count them without a second pass.
+    overflowed, so a writer can count them without a second pass.
     """
-    stamps, numbers = conversion_targets(df, overrides)
-    converted: dict[str, Column] = {name: timestamp_text(source_column(name)) for name in stamps}
-    converted.update({name: narrow_decimal(source_column(name)) for name in numbers})
+    _, numbers = conversion_targets(df, overrides)
+    converted: dict[str, Column] = {name: narrow_decimal(source_column(name)) for name in numbers}
     if overflow_column:
         # Computed from the same input row as the narrowing (one projection).
         total = F.lit(0)
         for name in numbers:
             total = total + F.when(narrowing_overflowed(source_column(name)), 1).otherwise(0)
         converted[overflow_column] = total
+    return df.withColumns(converted) if converted else df
+
+
+def render_text(df: DataFrame, overrides: Mapping[str, str] | None = None, *, stamp: bool = True) -> DataFrame:
+    """The widening rules: timestamps (both flavours) to ``yyyy-MM-dd HH:mm:ss.SSS``
+    text, plus the ``loaded_at`` stamp."""
+    stamps, _ = conversion_targets(df, overrides)
+    converted: dict[str, Column] = {name: timestamp_text(source_column(name)) for name in stamps}
     if stamp:
         converted[LOADED_AT_COLUMN] = load_stamp()
     return df.withColumns(converted) if converted else df
 
 
+def convert(
+    df: DataFrame,
+    overrides: Mapping[str, str] | None = None,
+    *,
+    stamp: bool = True,
+    overflow_column: str | None = None,
+) -> DataFrame:
+    """Default type rules and the load stamp on a prepared frame.
+
+    * timestamps (both flavours) become ``yyyy-MM-dd HH:mm:ss.SSS`` text;
+    * DECIMAL(38,10) becomes DECIMAL(10,0), with null on overflow;
+    * a column with any override keeps its declared type instead.
+
+    A writer applies the two halves on either side of its exchange:
+    ``narrow_numbers`` before (rows shrink), ``render_text`` after (rows grow).
+    """
+    narrowed = narrow_numbers(df, overrides, overflow_column=overflow_column)
+    return render_text(narrowed, overrides, stamp=stamp)
+
+
 def normalize(
     df: DataFrame,
     overrides: Mapping[str, str] | None = None,

@@ -29,7 +29,7 @@ from pyspark.sql.types import (
 from mirrorkit.functions.fixed import PARALLEL_JOBS, YEAR_COLUMN
 from mirrorkit.operators.chunks import chunked_scan
 from mirrorkit.operators.filters import apply_predicate
-from mirrorkit.operators.normalize import convert, prepare
+from mirrorkit.operators.normalize import convert, narrow_numbers, prepare, render_text
 from mirrorkit.operators.reconcile import report_counts
 from mirrorkit.plans.job import MirrorJob, check_batch, mirror_name
 from mirrorkit.session import ensure_checkpoint_dir
@@ -178,8 +178,11 @@ def _run_job_once(
 
         extracted = extract_plan(job, source)
 
-        def conversions(df: DataFrame) -> DataFrame:
-            return convert(df, job.overrides, overflow_column=OVERFLOW)
+        def shrink(df: DataFrame) -> DataFrame:
+            return narrow_numbers(df, job.overrides, overflow_column=OVERFLOW)
+
+        def widen(df: DataFrame) -> DataFrame:
+            return render_text(df, job.overrides)
 
         observed = Observation(f"mirror-{job.name}")
         metrics = [
@@ -189,21 +192,23 @@ def _run_job_once(
         if YEAR_COLUMN in extracted.columns:
             metrics += [F.min(YEAR_COLUMN).cast("long").alias("min_year"),
                         F.max(YEAR_COLUMN).cast("long").alias("max_year")]
-        schema = conversions(extracted).drop(OVERFLOW).schema
+        schema = widen(shrink(extracted)).drop(OVERFLOW).schema
         write_started = time.time()
         if staging_root:
             staged = f"{staging_root.rstrip('/')}/{job.mirror_name}"
             # Pass 1 lands the extract as is (no exchange); pass 2 compacts it
-            # and, like the one-pass write, converts after its exchange.
+            # and converts around its exchange, like the one-pass write.
             stage_extract(extracted, staged, parts)
-            compact_staged(spark, staged, dest, extracted.schema, parts, after_exchange=conversions,
-                           observation=observed, metrics=metrics, drop_after_observe=[OVERFLOW])
+            compact_staged(spark, staged, dest, extracted.schema, parts, before_exchange=shrink,
+                           after_exchange=widen, observation=observed, metrics=metrics,
+                           drop_after_observe=[OVERFLOW])
             # The staged copy is as large as the extract; drop it once compacted.
             delete_path(spark, staged)
         else:
-            # Conversions run in the writer tasks, after the compacting exchange.
-            write_mirror(extracted, dest, parts, after_exchange=conversions, observation=observed,
-                         metrics=metrics, drop_after_observe=[OVERFLOW])
+            # Numbers are narrowed before the compacting exchange, text is
+            # rendered after it, in the writer tasks.
+            write_mirror(extracted, dest, parts, before_exchange=shrink, after_exchange=widen,
+                         observation=observed, metrics=metrics, drop_after_observe=[OVERFLOW])
         stats = observed.get
         result.rows = int(stats.get("rows", 0))
         result.overflow_rows = int(stats.get("overflow_rows", 0))

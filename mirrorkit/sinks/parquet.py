@@ -40,6 +40,7 @@ def write_mirror(
     max_rows_per_file: int = MAX_ROWS_PER_FILE,
     compact: bool = True,
     replace_touched_only: bool = True,
+    before_exchange: Callable[[DataFrame], DataFrame] | None = None,
     after_exchange: Callable[[DataFrame], DataFrame] | None = None,
     observation: Observation | None = None,
     metrics: Sequence[Column] = (),
@@ -47,13 +48,15 @@ def write_mirror(
 ) -> None:
     """Write ``df`` as Hive-partitioned Parquet at ``path`` (one action).
 
-    ``after_exchange`` is a row-wise projection run by the writer tasks (the
-    mirror's type conversions): constant or widened columns then never travel
-    through the shuffle. ``observation``/``metrics`` are computed by the
+    ``before_exchange`` and ``after_exchange`` are row-wise projections on
+    either side of the exchange: conversions that shrink rows go before it,
+    those that widen rows (text renderings, constants) after it, so each
+    column crosses the shuffle in its smallest form. ``observation``/``metrics`` are computed by the
     writer tasks too, so a retried map task cannot count twice and no extra
     pass is needed. Columns in ``drop_after_observe`` feed the metrics only.
     """
-    out = compacted(df, partitions) if compact else df
+    out = before_exchange(df) if before_exchange is not None else df
+    out = compacted(out, partitions) if compact else out
     if after_exchange is not None:
         out = after_exchange(out)
     if observation is not None and metrics:

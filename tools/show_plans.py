@@ -16,7 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from mirrorkit.functions.fixed import GLOBAL_SCHEMA_OVERRIDES  # noqa: E402
 from mirrorkit.operators import chunks as ch  # noqa: E402
-from mirrorkit.operators.normalize import convert  # noqa: E402
+from mirrorkit.operators.normalize import narrow_numbers, render_text  # noqa: E402
 from mirrorkit.plans.batch import TableSource, extract_plan  # noqa: E402
 from mirrorkit.plans.job import MirrorJob  # noqa: E402
 from mirrorkit.registry import INCLUSIVE_CHUNKS, source_frame  # noqa: E402
@@ -39,10 +39,12 @@ def main():
     source_frame(spark, sf, "lineitem_src").write.parquet(src)
     job = MirrorJob("lineitem", "lineitem_src", (1996, 1998), ("Y",), None, tuple(GLOBAL_SCHEMA_OVERRIDES.items()))
     extracted = extract_plan(job, TableSource({"lineitem_src": lambda: spark.read.parquet(src)}))
-    show("mirror write: scan -> filter -> exchange -> conversions", convert(compacted(extracted, job.partitions),
-                                                                           job.overrides))
+    narrowed = narrow_numbers(extracted, job.overrides)
+    show("mirror write: scan -> filter -> narrow -> exchange -> render text",
+         render_text(compacted(narrowed, job.partitions), job.overrides))
     dest = work_dir(spark, "plans-mirror")
-    write_mirror(extracted, dest, job.partitions, after_exchange=lambda d: convert(d, job.overrides))
+    write_mirror(extracted, dest, job.partitions, before_exchange=lambda d: narrow_numbers(d, job.overrides),
+                 after_exchange=lambda d: render_text(d, job.overrides))
     show("pruned mirror read", read_mirror(spark, dest, job.partitions).where(F.col("taxyr") == 1997))
     show("chunk coverage", ch.chunk_coverage(source_frame(spark, sf, "orders_src"), INCLUSIVE_CHUNKS))
 
