@@ -24,6 +24,10 @@ MIRROR_SESSION_DEFAULTS = {
     # Shuffle bytes above which a Hive partition is split: the target size of
     # compacted files (coalescing still favours parallelism, its default).
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Many initial reducers, merged back by adaptive coalescing: a small Hive
+    # partition rarely shares a reducer with a hot one, so it is rarely split
+    # along with it. A floor; size it to about extract size / 256 MB at scale.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1024",
     "spark.sql.session.timeZone": "UTC",
     # Old dates (before 1900) must keep their calendar value.
     "spark.sql.parquet.int96RebaseModeInRead": "CORRECTED",
