@@ -101,12 +101,16 @@ def derive_chunk_bounds(
 
     Only a seeded sample of about ``chunks * sample_per_chunk`` keys is
     shuffled (range-partitioned); the table itself is read twice (a count and
-    the sample) and never shuffled. The result has at most ``chunks`` rows
-    ``(part, lower)``; the smallest lower bound is the open start.
+    the sample, which is checkpointed so the range sketch and the shuffle do
+    not read the table again) and never shuffled. The result has at most
+    ``chunks`` rows ``(part, lower)``; the smallest lower bound is the open start.
     """
     if chunks < 1:
         raise ValueError("chunks must be >= 1")
-    sample = _key_sample(df.where(F.col(column).isNotNull()), [column], chunks * sample_per_chunk, seed)
+    ensure_checkpoint_dir(df.sparkSession)
+    sample = _key_sample(
+        df.where(F.col(column).isNotNull()), [column], chunks * sample_per_chunk, seed
+    ).checkpoint(eager=True)
     return (
         sample.select(F.col(column).alias("key"))
         .repartitionByRange(chunks, "key")
