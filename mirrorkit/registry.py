@@ -30,6 +30,7 @@ from mirrorkit.operators.normalize import lowercase_columns, normalize
 from mirrorkit.operators.reconcile import (
     new_partitions,
     orphan_partitions,
+    partition_status,
     partitions_of,
     stale_files,
     touched_partitions,
@@ -401,6 +402,29 @@ def _orphan_partitions_sql() -> str:
     )
 
 
+def _partition_status(spark, sf):
+    before, after, parts = _publish(spark, sf, "orders_src")
+    return partition_status(after, before, parts).select(
+        F.col("taxyr").cast("int").alias("taxyr"), "cur",
+        "existed_before", "exists_after", "touched", "removed_files",
+    )
+
+
+def _partition_status_sql() -> str:
+    t = "orders_src"
+    run = _distinct_parts_sql(t, RUN_YEARS[t], CUR_BY_SOURCE[t])
+    pub = _distinct_parts_sql(t, PUBLISHED_YEARS[t], CUR_BY_SOURCE[t])
+    # One file per partition at this scale: a touched partition that existed
+    # before loses exactly one file.
+    return _with_sources(
+        "SELECT coalesce(p.taxyr, r.taxyr) AS taxyr, coalesce(p.cur, r.cur) AS cur, "
+        "p.taxyr IS NOT NULL AS existed_before, TRUE AS exists_after, r.taxyr IS NOT NULL AS touched, "
+        "CAST(CASE WHEN p.taxyr IS NOT NULL AND r.taxyr IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS removed_files "
+        f"FROM ({pub}) p FULL OUTER JOIN ({run}) r ON p.taxyr = r.taxyr AND p.cur = r.cur",
+        t,
+    )
+
+
 def _new_partitions_all(spark, sf):
     reports = []
     for table in ("orders_src", "lineitem_src"):
@@ -676,6 +700,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "stale_files": (_stale_files, None),
     "new_partitions_all": (_new_partitions_all, _new_partitions_all_sql()),
     "orphan_partitions": (_orphan_partitions, _orphan_partitions_sql()),
+    "partition_status": (_partition_status, _partition_status_sql()),
     "manifest_counts": (_manifest_counts, _manifest_counts_sql()),
     "batch_summary": (_batch_summary, _batch_summary_sql()),
     "definition_check": (_definition_check, _definition_check_sql()),
