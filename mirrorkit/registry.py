@@ -183,6 +183,26 @@ def _schema_override(spark, sf):
     return normalize(_orders(spark, sf), overrides, stamp=False)
 
 
+def _normalize_source(name):
+    def run(spark, sf):
+        return normalize(source_frame(spark, sf, name), GLOBAL_SCHEMA_OVERRIDES, stamp=False)
+    return run
+
+
+NORMALIZED_SQL = {
+    "lineitem_src": (
+        "SELECT PARID AS parid, LINENO AS lineno, TAXYR AS taxyr, CUR AS cur, "
+        + SQL_NARROW.format(c="QUANTITY") + " AS quantity, "
+        + SQL_NARROW.format(c="EXTENDEDPRICE") + " AS extendedprice, DISCOUNT AS discount, "
+        "RETURNFLAG AS returnflag, " + SQL_TS_TEXT.format(c="SHIPDATE") + " AS shipdate FROM lineitem_src"
+    ),
+    "customer_src": (
+        "SELECT PARID AS parid, NAME AS name, CUR AS cur, "
+        + SQL_NARROW.format(c="ACCTBAL") + " AS acctbal FROM customer_src"
+    ),
+}
+
+
 # ---------------------------------------------------------------------------
 # Chunks
 # ---------------------------------------------------------------------------
@@ -661,6 +681,10 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         ),
     ),
     "normalize": (_normalized_orders, _filtered_sql(None)),
+    "normalize_lineitem": (_normalize_source("lineitem_src"),
+                           _with_sources(NORMALIZED_SQL["lineitem_src"], "lineitem_src")),
+    "normalize_customer": (_normalize_source("customer_src"),
+                           _with_sources(NORMALIZED_SQL["customer_src"], "customer_src")),
     "chunked_scan": (_chunked_scan, _chunked_scan_sql()),
     "chunk_coverage": (lambda s, sf: ch.chunk_coverage(_orders(s, sf), INCLUSIVE_CHUNKS),
                        _coverage_sql(INCLUSIVE_CHUNKS)),
