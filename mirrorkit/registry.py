@@ -42,6 +42,7 @@ from mirrorkit.session import work_dir
 from mirrorkit.sources.files import read_mirror
 from mirrorkit.sources.listing import file_manifest
 from mirrorkit.sources.logs import read_log_events
+from mirrorkit.streaming.logs import ship_log_events
 
 # ---------------------------------------------------------------------------
 # Source views (same SQL text for Spark and DuckDB)
@@ -592,9 +593,9 @@ def _definition_check_sql() -> str:
     return _with_sources(body, "orders_src", "lineitem_src")
 
 
-def _log_events(spark, sf):
+def _write_event_log(spark, sf) -> str:
     """Job-log text rendered from ``events`` (an error event also leaves a
-    traceback line without a time), written as text, then read back as events."""
+    traceback line without a time), written as text files; returns the folder."""
     events = spark.read.parquet(f"{sf}/events.parquet")
     level = F.when(F.col("event_type") == "error", F.lit("ERROR")).otherwise(F.lit("INFO"))
     message = F.concat(
@@ -606,7 +607,19 @@ def _log_events(spark, sf):
     lines = F.when(F.col("event_type") == "error", F.array(line, trace)).otherwise(F.array(line))
     path = work_dir(spark, "logs")
     events.select(F.explode(lines).alias("value")).write.mode("overwrite").text(path)
-    return read_log_events(spark, path).select("ts_ms", "message")
+    return path
+
+
+def _log_events(spark, sf):
+    return read_log_events(spark, _write_event_log(spark, sf)).select("ts_ms", "message")
+
+
+def _log_events_stream(spark, sf):
+    """The same log folder shipped by the streaming shipper into a Parquet sink."""
+    logs = _write_event_log(spark, sf)
+    sink = work_dir(spark, "log-sink")
+    ship_log_events(spark, logs, sink, checkpoint_dir=work_dir(spark, "log-sink-checkpoint"))
+    return spark.read.parquet(sink).select("ts_ms", "message")
 
 
 def _log_events_sql() -> str:
@@ -729,6 +742,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "batch_summary": (_batch_summary, _batch_summary_sql()),
     "definition_check": (_definition_check, _definition_check_sql()),
     "log_events": (_log_events, _log_events_sql()),
+    "log_events_stream": (_log_events_stream, _log_events_sql()),
     "lineitem_mirror": (_lineitem_mirror, _lineitem_mirror_sql()),
     "lineitem_staged_mirror": (lambda s, sf: _lineitem_mirror(s, sf, staged=True), _lineitem_mirror_sql()),
 }
