@@ -25,6 +25,22 @@ def _ordered_fields(schema: StructType, partitions: Sequence[str]):
     return data + parts
 
 
+def _location(spark: SparkSession, name: str) -> str | None:
+    """The storage location of a catalog table, as the catalog records it."""
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect():
+        if row["col_name"] == "Location":
+            return row["data_type"].rstrip("/")
+    return None
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """``path`` fully qualified by its file system (how the catalog stores it)."""
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return str(fs.makeQualified(hadoop_path).toString()).rstrip("/")
+
+
 def create_mirror_table(
     spark: SparkSession, name: str, path: str, schema: StructType, partitions: Sequence[str] = ()
 ) -> None:
@@ -55,13 +71,13 @@ def sync_mirror_table(
 ) -> str:
     """Bring the catalog entry in line with the mirror; return what was done.
 
-    ``"created"``, ``"replaced"`` (column names or types changed),
+    ``"created"``, ``"replaced"`` (column names, types or location changed),
     ``"refreshed"`` (new partitions) or ``"unchanged"``.
     """
     wanted = [(f.name, f.dataType.simpleString()) for f in _ordered_fields(schema, partitions)]
     if spark.catalog.tableExists(name):
         current = [(f.name, f.dataType.simpleString()) for f in spark.table(name).schema.fields]
-        if current != wanted:
+        if current != wanted or _location(spark, name) != _qualified(spark, path):
             spark.sql(f"DROP TABLE {name}")  # external: the files stay
             action = "replaced"
         elif new_partitions:

@@ -131,3 +131,17 @@ def test_chunk_semantics_can_be_switched_off(spark):
     faithful = extract_plan(job, TableSource(src)).count()
     plain = extract_plan(job, TableSource(src, chunk_semantics=False)).count()
     assert plain == 1500 and faithful > plain  # keys 700-799 come twice
+
+
+def test_catalog_follows_a_moved_mirror(spark, tmp_dir):
+    from mirrorkit.plans.batch import run_job
+    job = MirrorJob("orders", "orders_src", (1996, 1996), ("Y",), None, OV)
+    src = table_source(spark, SF_SMALL)
+    first = run_job(spark, job, src, f"{tmp_dir}/a", catalog_database="default")
+    assert first.catalog == "created"
+    moved = MirrorJob("orders", "orders_src", (1997, 1997), ("Y",), None, OV)
+    second = run_job(spark, moved, src, f"{tmp_dir}/b", catalog_database="default")
+    assert second.catalog == "replaced"
+    years = {r["taxyr"] for r in spark.table("default.orders_src").select("taxyr").distinct().collect()}
+    assert years == {1997}
+    spark.sql("DROP TABLE default.orders_src")
