@@ -327,6 +327,18 @@ def _mirror_partition_counts(spark, sf):
     return mirror.groupBy("taxyr", "cur").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _catalog_mirror(spark, sf):
+    """Mirror, register in the session catalog, then query the table by name."""
+    job = _orders_job("catalog", (1996, 1998))
+    root = work_dir(spark, "catalog")
+    result = run_job(spark, job, table_source(spark, sf), root, catalog_database="default")
+    if result.status != "ok":
+        raise RuntimeError(result.error)
+    return spark.table(f"default.{job.mirror_name}").groupBy("taxyr", "cur").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 def _compacted_file_counts(spark, sf):
     """Files per Hive partition after compaction: one each, at this scale
     (every partition is far below the split size and the row cap)."""
@@ -731,6 +743,14 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         ),
     ),
     "compacted_file_counts": (_compacted_file_counts, _compacted_file_counts_sql()),
+    "catalog_mirror": (
+        _catalog_mirror,
+        _with_sources(
+            "SELECT TAXYR AS taxyr, CUR AS cur, count(*) AS n FROM orders_src "
+            f"WHERE TAXYR BETWEEN 1996 AND 1998 AND CUR IN {CUR_SQL} GROUP BY TAXYR, CUR",
+            "orders_src",
+        ),
+    ),
     "touched_partitions": (_touched_partitions, _reconcile_sql("touched")),
     "new_partitions": (_new_partitions, _reconcile_sql("new")),
     "stale_partitions": (_stale_partitions, _reconcile_sql("stale")),
