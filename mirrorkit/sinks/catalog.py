@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
+from mirrorkit.sources.listing import qualified_path
+
 
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -33,14 +35,6 @@ def _location(spark: SparkSession, name: str) -> str | None:
     return None
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
-    """``path`` fully qualified by its file system (how the catalog stores it)."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return str(fs.makeQualified(hadoop_path).toString()).rstrip("/")
-
-
 def create_mirror_table(
     spark: SparkSession, name: str, path: str, schema: StructType, partitions: Sequence[str] = ()
 ) -> None:
@@ -77,7 +71,7 @@ def sync_mirror_table(
     wanted = [(f.name, f.dataType.simpleString()) for f in _ordered_fields(schema, partitions)]
     if spark.catalog.tableExists(name):
         current = [(f.name, f.dataType.simpleString()) for f in spark.table(name).schema.fields]
-        if current != wanted or _location(spark, name) != _qualified(spark, path):
+        if current != wanted or _location(spark, name) != qualified_path(spark, path):
             spark.sql(f"DROP TABLE {name}")  # external: the files stay
             action = "replaced"
         elif new_partitions:

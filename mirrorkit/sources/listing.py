@@ -35,25 +35,33 @@ def path_part(uri: str) -> str:
     return re.sub(_SCHEME, "", uri).rstrip("/")
 
 
+def hadoop_file_system(spark: SparkSession, path: str):
+    """``(file system, path)`` of the Hadoop file system that serves ``path``."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, asked of the file system that serves it."""
     try:
-        jvm = spark.sparkContext._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(hadoop_path))
+        fs, hadoop_path = hadoop_file_system(spark, path)
     except AttributeError:  # no JVM gateway (remote session): let the reader decide
         return True
+    return bool(fs.exists(hadoop_path))
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` on the file system that serves it."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = hadoop_file_system(spark, path)
     return bool(fs.delete(hadoop_path, True))
 
 
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """``path`` fully qualified by its file system (scheme and authority added)."""
+    fs, hadoop_path = hadoop_file_system(spark, path)
+    return str(fs.makeQualified(hadoop_path).toString()).rstrip("/")
+
+
 def list_files(
     spark: SparkSession, root: str, glob: str = "*.parquet", within: str | None = None
 ) -> DataFrame:
