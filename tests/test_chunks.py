@@ -81,3 +81,11 @@ def test_hot_key_is_split_exactly(spark):
     assert biggest_split < 2 * len(rows) / 6
     assert any("parid = '00000000000007' AND" in p for p in split)
     assert any(p.startswith("parid IS NULL AND") for p in split)
+
+
+def test_derived_chunks_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "parid string, yr int")
+    for preds in (ch.derived_chunks(empty, "parid", 4), ch.derived_chunks(empty, "parid", 4, split_column="yr")):
+        assert preds[-1] == "parid IS NULL"
+        later = spark.createDataFrame([("x", 1), (None, 2)], "parid string, yr int")
+        assert rows_of(ch.chunk_coverage(later, preds), "hits", "n") == [(1, 2)]
