@@ -47,7 +47,20 @@ SCRIPT = textwrap.dedent('''
     back = read_mirror(spark, out, ["taxyr"])
     stats = back.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("d")).collect()[0]
     files = file_manifest(spark, out, ["taxyr"]).count()
-    print(json.dumps({"observed": obs.get["rows"], "rows": stats["n"], "distinct": stats["d"], "files": files}))
+
+    # Unpartitioned: compaction is a round-robin rebalance, retried the same way.
+    flat = tempfile.mkdtemp(prefix="mirror-ft-flat-")
+    obs2 = Observation("ft-flat")
+    write_mirror(
+        src.drop("taxyr"), flat, [],
+        after_exchange=lambda d: d.withColumn("id", fail_first_attempt("writer", 0)(F.col("id"))),
+        observation=obs2, metrics=[F.count(F.lit(1)).alias("rows")],
+    )
+    flat_stats = spark.read.parquet(flat).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("d")).collect()[0]
+    print(json.dumps({"observed": obs.get["rows"], "rows": stats["n"], "distinct": stats["d"], "files": files,
+                      "flat_observed": obs2.get["rows"], "flat_rows": flat_stats["n"],
+                      "flat_distinct": flat_stats["d"]}))
 ''')
 
 
@@ -58,4 +71,5 @@ def test_mirror_write_survives_task_failures(tmp_dir):
     proc = subprocess.run([sys.executable, str(script), repo], capture_output=True, text=True, timeout=600)
     assert proc.returncode == 0, proc.stderr[-3000:]
     result = json.loads(proc.stdout.strip().splitlines()[-1])
-    assert result == {"observed": 40000, "rows": 40000, "distinct": 40000, "files": 5}
+    assert result == {"observed": 40000, "rows": 40000, "distinct": 40000, "files": 5,
+                      "flat_observed": 40000, "flat_rows": 40000, "flat_distinct": 40000}
