@@ -531,7 +531,7 @@ def _batch_summary(spark, sf):
 
 def _narrow_overflow_sql(*cols: str) -> str:
     tests = [f"({c} IS NOT NULL AND TRY_CAST({c} AS DECIMAL(10,0)) IS NULL)" for c in cols]
-    return f"count_if({' OR '.join(tests)})"
+    return f"CAST(count_if({' OR '.join(tests)}) AS BIGINT)"
 
 
 def _batch_summary_sql() -> str:
@@ -595,10 +595,10 @@ def _definition_check_sql() -> str:
             f"SELECT '{t}' AS table_name, count(*) AS rows, "
             f"{'min(TAXYR)' if has_year else null_i} AS min_year, "
             f"{'max(TAXYR)' if has_year else null_i} AS max_year, "
-            f"{'count_if(TAXYR IS NULL)' if has_year else null_l} AS null_year_rows, "
-            f"{'count_if(PARID IS NULL)' if has_key else null_l} AS null_key_rows, "
-            f"{'count_if(CUR IS NULL)' if has_cur else null_l} AS null_cur_rows, "
-            f"{'count_if(CUR NOT IN ' + CUR_SQL + ')' if has_cur else null_l} AS unexpected_cur_rows "
+            f"{'CAST(count_if(TAXYR IS NULL) AS BIGINT)' if has_year else null_l} AS null_year_rows, "
+            f"{'CAST(count_if(PARID IS NULL) AS BIGINT)' if has_key else null_l} AS null_key_rows, "
+            f"{'CAST(count_if(CUR IS NULL) AS BIGINT)' if has_cur else null_l} AS null_cur_rows, "
+            f"{'CAST(count_if(CUR NOT IN ' + CUR_SQL + ') AS BIGINT)' if has_cur else null_l} AS unexpected_cur_rows "
             f"FROM {t}"
         )
     body = " UNION ALL ".join([prof("orders_src"), prof("lineitem_src"), prof("region", False, False, False)])
