@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
-from tools.oracle_check import TABLES, digest
+from tools.oracle_check import TABLES, digest, spark_type_as_duckdb
 
 ORACLES = entry.oracle_sql()
 
@@ -35,5 +35,7 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    spark_types = {f.name: spark_type_as_duckdb(f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == {d[0]: str(d[1]) for d in res.description}
     assert len(rows) == len(orows)
     assert digest(df.columns, rows) == digest(ocols, orows)
