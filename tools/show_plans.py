@@ -23,6 +23,8 @@ from mirrorkit.registry import INCLUSIVE_CHUNKS, source_frame  # noqa: E402
 from mirrorkit.session import build_session, work_dir  # noqa: E402
 from mirrorkit.sinks.parquet import compacted, write_mirror  # noqa: E402
 from mirrorkit.sources.files import read_mirror  # noqa: E402
+from mirrorkit.sources.listing import file_manifest  # noqa: E402
+from mirrorkit.operators.reconcile import partition_status  # noqa: E402
 
 
 def show(title, df):
@@ -46,6 +48,12 @@ def main():
     write_mirror(extracted, dest, job.partitions, before_exchange=lambda d: narrow_numbers(d, job.overrides),
                  after_exchange=lambda d: render_text(d, job.overrides))
     show("pruned mirror read", read_mirror(spark, dest, job.partitions).where(F.col("taxyr") == 1997))
+    before = file_manifest(spark, dest, job.partitions, within=job.scope_glob).checkpoint(eager=True)
+    write_mirror(extracted, dest, job.partitions, before_exchange=lambda d: narrow_numbers(d, job.overrides),
+                 after_exchange=lambda d: render_text(d, job.overrides))
+    after = file_manifest(spark, dest, job.partitions, within=job.scope_glob)
+    show("reconcile report: one full outer join of the manifests, one aggregate per folder",
+         partition_status(after, before, job.partitions))
     show("chunk coverage", ch.chunk_coverage(source_frame(spark, sf, "orders_src"), INCLUSIVE_CHUNKS))
 
 
