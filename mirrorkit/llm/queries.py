@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorkit.llm import packing, sharding, warc
+from mirrorkit.llm import lpf_dedup, packing, sharding, warc
 from mirrorkit.llm.common import table
 
 
@@ -37,6 +37,10 @@ FROM p LEFT JOIN f ON p.d = f.d AND p.n >= 100 AND f.first IS NOT NULL
 """
 
 
+def op3_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lpf_dedup.dedup_passages(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -52,6 +56,7 @@ def op8_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_warc_chain": op2_warc_chain,
+    "op3_lpf_dedup": op3_lpf_dedup,
     "op8_hypergeometric_shards": op8_hypergeometric_shards,
 }
 

@@ -123,19 +123,19 @@ def _candidates(spark: SparkSession, path: str) -> DataFrame:
 
     rows = rows.select(
         "file", "block", "row", "size", "head_len", "value",
-        field(r"(?m)^Content-Length: (\d{1,18})\r$").cast("bigint").alias("content"),
-        field(r"(?m)^WARC-Type: (\w+)\r$").alias("record_type"),
-        field(r"(?m)^WARC-Record-ID: <urn:page:(-?\d+|null)>\r$").alias("page"),
-        field(r"(?m)^WARC-Refers-To: <urn:page:(-?\d+)>\r$").cast("bigint").alias("refers_to"),
-        field(r"(?m)^WARC-Payload-Digest: sha256:([0-9a-f]{64})\r$").alias("named_digest"),
-        field(r"(?m)^WARC-Payload-Length: (\d{1,18})\r$").cast("bigint").alias("named_length"),
+        field(r"(?:^|\r\n)Content-Length: (\d{1,18})\r\n").cast("bigint").alias("content"),
+        field(r"(?:^|\r\n)WARC-Type: (\w+)\r\n").alias("record_type"),
+        field(r"(?:^|\r\n)WARC-Record-ID: <urn:page:(-?\d+|null)>\r\n").alias("page"),
+        field(r"(?:^|\r\n)WARC-Refers-To: <urn:page:(-?\d+)>\r\n").cast("bigint").alias("refers_to"),
+        field(r"(?:^|\r\n)WARC-Payload-Digest: sha256:([0-9a-f]{64})\r\n").alias("named_digest"),
+        field(r"(?:^|\r\n)WARC-Payload-Length: (\d{1,18})\r\n").cast("bigint").alias("named_length"),
     )
     # The whole record is this row if block and separator end where the next magic stands.
     alone = F.coalesce(F.col("size") == F.col("head_len") + F.col("content") + 4, F.lit(False))
     block = F.expr("substring(CAST(value AS BINARY), int(head_len) + 1, int(content))")
     return rows.withColumn("alone", alone).withColumn(
         "block_digest", F.when(F.col("alone"), F.sha2(block, 256))).withColumn(
-        "value", F.when(~F.col("alone"), F.col("value").cast("binary"))).drop("block_size")
+        "value", F.when(~F.col("alone"), F.col("value").cast("binary")))
 
 
 def _with_offsets(rows: DataFrame) -> DataFrame:
