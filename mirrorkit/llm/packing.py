@@ -21,7 +21,9 @@ columns other than the id and text column are ignored; a null id stays null.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,60 +70,64 @@ def max_tail(capacity: int = CAPACITY) -> int:
     return sum(j - 1 for j in {capacity // n for n in range(1, capacity + 1)} | set(range(1, 34)))
 
 
-class WordTokenizer:
-    """Ids as little-endian 32-bit bytes, with a bounded cache of words.
+class WordTokenizer(dict):
+    """Ids of a text as little-endian 32-bit bytes; a dictionary from word to ids.
 
     The vocabulary never spans a blank, so a text's ids are those of its words
-    one after another. Words are split only at blanks that are white space for
-    every library involved; punctuation at a word's end is split off where a
-    letter or digit stands before it, which the vocabulary's rule does too.
+    one after another. Words are split at ASCII white space, which is white
+    space for the vocabulary's rule too. A word of letters alone is one unit
+    of that rule and goes to the model as it is, in lower case; marks at a
+    word's end are a unit of their own; any other word takes the full way. At
+    ``MAX_WORDS`` words the dictionary starts anew.
     """
 
-    MAX_WORDS = 400_000
-    MAX_CHARS = 40
+    MAX_WORDS = 1_000_000
+    MAX_BYTES = 48
+    MARKS = b".,;:!?"
 
     def __init__(self, path: str):
+        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def learn(self, missing: set[str]) -> None:
-        stems: dict[str, tuple[str, str]] = {}
-        todo = set()
-        for w in missing:
-            stem = w.rstrip(".,;:!?")
-            if stem and len(stem) < len(w) and stem[-1].isascii() and stem[-1].isalnum():
-                stems[w] = (stem, w[len(stem):])
-                todo.update(x for x in stems[w] if x not in self.cache)
+        self.model = self.tokenizer.model
+        # The byte-level alphabet: printable Latin-1 stands for itself, the rest for 256 and up.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        self.alphabet = {b: 256 + n for n, b in enumerate(others)}
+
+    def __missing__(self, word: bytes) -> bytes:
+        units = self._letters(word)
+        if units is not None:
+            ids = array("I", [t.id for t in self.model.tokenize(units)]).tobytes()
+        else:
+            stem = word.rstrip(self.MARKS)
+            if stem and len(stem) < len(word) and self._letters(stem) is not None:
+                ids = self[stem] + self[word[len(stem):]]
             else:
-                todo.add(w)
-        todo_list = list(todo)
-        self.cache.update(zip(todo_list, self._encode(todo_list)))
-        for w, (stem, mark) in stems.items():
-            self.cache[w] = self.cache[stem] + self.cache[mark]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        need = set().union(*split) if split else set()
-        long_words = {w for w in need if len(w) > self.MAX_CHARS}
-        missing = need - long_words - self.cache.keys()
-        if len(self.cache) + len(missing) > self.MAX_WORDS:
-            self.cache.clear()
-            missing = need - long_words
-        if missing:
-            self.learn(missing)
-        ids = self.cache
-        if long_words:
-            ordered = list(long_words)
-            ids = {**self.cache, **dict(zip(ordered, self._encode(ordered)))} if len(need) > 5000 else {
-                **{w: self.cache[w] for w in need - long_words}, **dict(zip(ordered, self._encode(ordered)))}
-        return [b"".join(map(ids.__getitem__, words)) for words in split]
+                found = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+                ids = array("I", found).tobytes()
+        if len(word) <= self.MAX_BYTES:
+            if len(self) >= self.MAX_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def _letters(self, word: bytes) -> str | None:
+        """A word of Latin letters as the model's units; None for any other."""
+        if len(word) > self.MAX_BYTES:
+            return None
+        if word.isalpha():  # ASCII letters
+            return word.lower().decode("ascii")
+        text = word.decode("utf-8", "replace")
+        if not text.isalpha() or max(text) > "\u024f" or "\u0130" in text:
+            return None
+        return text.lower().encode().decode("latin-1").translate(self.alphabet)
+
+    def encode(self, text: bytes) -> bytes:
+        ids = b"".join(map(self.__getitem__, text.split()))
+        return ids if sys.byteorder == "little" else np.frombuffer(ids, "=u4").astype("<u4").tobytes()
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -152,9 +158,8 @@ def _fill(batches: Iterator[pa.RecordBatch], path: str, capacity: int, schema: p
         for at in range(0, batch.num_rows, 256):
             piece = batch.slice(at, 256)
             doc_ids = piece.column(0).to_pylist()
-            texts = [t or "" for t in piece.column(1).to_pylist()]
-            for doc_id, raw in zip(doc_ids, tok.encode(texts)):
-                raw += end
+            for doc_id, text in zip(doc_ids, piece.column(1).to_pylist()):
+                raw = tok.encode(text or b"") + end
                 total = len(raw) // 4
                 for start, length, cls in cut(total, capacity):
                     ids = raw[4 * start : 4 * (start + length)]
@@ -188,7 +193,7 @@ def piece_table(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     def run(batches):
         return _fill(batches, tokenizer_path, capacity, schema)
 
-    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return written(slim.mapInArrow(run, PIECE_SCHEMA), "pieces")
 
 
