@@ -19,8 +19,13 @@ Naming every position would shuffle many times the text. So:
    Runs with their gram and the name of their whole text are written to a
    table; grams that occur once are dropped at once.
 2. A run whose whole text occurs again elsewhere repeats with all its windows.
-3. Grams with runs of different texts (edges of copies, edits) get all windows
-   of one run of each text named, and the windows decided one by one.
+3. Grams with runs of different texts (edges of copies, edits) get the text of
+   one run of each kind, about 300 bytes. Rows are dealt by gram and sorted;
+   a task takes whole grams until they fill a buffer, puts all suffixes of the
+   buffer in order and reads off the longest previous factors.
+4. A gram with more than ``MAX_GROUP`` kinds of run (a passage in very many
+   different surroundings) is too large for one buffer: its windows are named
+   one by one and dealt by name instead, with the same outcome.
 
 Removed bytes are the union of the decided windows. ``keep="none"`` removes
 every occurrence, ``keep="first"`` all but the first in order of (id, offset).
@@ -48,6 +53,8 @@ LENGTH = 200
 GRAM = 48
 #: Rows up to which a side is broadcast (at most 100 bytes each); beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Kinds of run of a gram that one task takes together (at most 352 bytes each).
+MAX_GROUP = 4096
 _SEGMENT = 1 << 19  # window starts handled at once; positions fit in _POS_BITS
 _POS_BITS = 20
 _M64 = (1 << 64) - 1
@@ -176,43 +183,103 @@ def _emit_runs(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Ite
                     pa.array(grams.view(np.int64)), pa.array(names.view(np.int64))], schema=schema)
 
 
-def _emit_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Names of all windows of the listed runs of each text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("start", pa.int64()),
-                        ("n1", pa.int64()), ("n2", pa.int64())])
+def _emit_open_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The text of each listed run."""
     for batch in batches:
-        todo: list[tuple[int, int, bytes]] = []
-        size = 0
-
-        def out():
-            ends = np.cumsum([len(t[2]) for t in todo])
-            data = np.frombuffer(b"".join(t[2] for t in todo), dtype=np.uint8)
-            n1 = _FIRST.names_of_length(_FIRST.sums(data), length)
-            n2 = _SECOND.names_of_length(_SECOND.sums(data), length)
-            lengths = np.diff(ends, prepend=0)
-            which = np.repeat(np.arange(len(todo)), lengths)[: len(n1)]
-            pos = np.arange(len(n1))
-            ok = pos + length <= ends[which]
-            which, pos = which[ok], pos[ok]
-            row = np.array([t[0] for t in todo])[which]
-            start = np.array([t[1] for t in todo])[which] + pos - (ends - lengths)[which]
-            return pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(pa.array(row)), batch.column("key").take(pa.array(row)),
-                pa.array(start.astype(np.int64)), pa.array(n1[ok].view(np.int64)), pa.array(n2[ok].view(np.int64))],
-                schema=schema)
-
         texts = batch.column("text")
+        rows, runs_, pieces = [], [], []
         for row, runs in enumerate(batch.column("runs").to_pylist()):
             text = texts[row].as_py()
             for run in runs:
-                piece = text[run["start"] : run["start"] + run["windows"] + length - 1]
-                todo.append((row, run["start"], piece))
-                size += len(piece)
-                if size > _SEGMENT:
-                    yield out()
-                    todo, size = [], 0
-        if todo:
-            yield out()
+                rows.append(row)
+                runs_.append(run)
+                pieces.append(text[run["start"] : run["start"] + run["windows"] + length - 1])
+            if len(rows) > 4000 or (rows and row == batch.num_rows - 1):
+                at = pa.array(rows, type=pa.int64())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([r["gram"] for r in runs_], type=pa.int64()),
+                    pa.array([r["hot"] for r in runs_], type=pa.bool_()),
+                    batch.column("doc_id").take(at), batch.column("key").take(at),
+                    pa.array([r["start"] for r in runs_], type=pa.int64()), pa.array(pieces, type=pa.binary())],
+                    names=["gram", "hot", "doc_id", "key", "start", "text"])
+                rows, runs_, pieces = [], [], []
+
+
+def _window_names(pieces: list[bytes], length: int):
+    """(piece, place in the piece, name, second name) of every window of the pieces."""
+    data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+    sizes = np.array([len(x) for x in pieces])
+    ends = np.cumsum(sizes)
+    n1 = _FIRST.names_of_length(_FIRST.sums(data), length)
+    n2 = _SECOND.names_of_length(_SECOND.sums(data), length)
+    which = np.repeat(np.arange(len(pieces)), sizes)[: len(n1)]
+    at = np.arange(len(n1))
+    ok = np.flatnonzero(at + length <= ends[which])
+    which = which[ok]
+    return which, ok - (ends - sizes)[which], n1[ok], n2[ok]
+
+
+def repeated_suffixes(n1: np.ndarray, n2: np.ndarray, keep: str) -> np.ndarray:
+    """Which suffixes, given in order of position, have a previous factor of full length.
+
+    ``keep="none"``: a previous or a later one. In suffix order equal names
+    stand together by position, so the previous smaller position is the
+    neighbour before, the next one with a larger position the one behind.
+    """
+    order = np.lexsort((np.arange(len(n1)), n2, n1))
+    a, b = n1[order], n2[order]
+    same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+    previous = np.append(False, same)
+    found = previous | np.append(same, False) if keep == "none" else previous
+    out = np.empty(len(n1), dtype=bool)
+    out[order] = found
+    return out
+
+
+def _decide(batches: Iterator[pa.RecordBatch], keep: str, length: int) -> Iterator[pa.RecordBatch]:
+    """Stretches of repeated windows; rows come sorted by gram and position."""
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("start", pa.int64()), ("windows", pa.int64())])
+
+    def out(rows):
+        which, place, n1, n2 = _window_names([r[4] for r in rows], length)
+        hit = np.flatnonzero(repeated_suffixes(n1, n2, keep))
+        if not len(hit):
+            return None
+        new = np.append(True, (hit[1:] != hit[:-1] + 1) | (which[hit[1:]] != which[hit[:-1]]))
+        first = np.flatnonzero(new)
+        windows = np.diff(np.append(first, len(hit)))
+        row = which[hit[first]]
+        return pa.RecordBatch.from_arrays([
+            pa.array([rows[r][1] for r in row], type=pa.int64()), pa.array([rows[r][2] for r in row], type=pa.binary()),
+            pa.array([rows[r][3] + int(p) for r, p in zip(row, place[hit[first]])], type=pa.int64()),
+            pa.array(windows, type=pa.int64())], schema=schema)
+
+    rows, size = [], 0
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("gram", "doc_id", "key", "start", "text")]
+        for row in zip(*columns):
+            if size > _SEGMENT and row[0] != rows[-1][0]:
+                if (found := out(rows)) is not None:
+                    yield found
+                rows, size = [], 0
+            rows.append(row)
+            size += len(row[4])
+    if rows and (found := out(rows)) is not None:
+        yield found
+
+
+def _emit_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Names of all windows of runs."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2000):
+            piece = batch.slice(at, 2000)
+            which, place, n1, n2 = _window_names(piece.column("text").to_pylist(), length)
+            row = pa.array(which)
+            start = np.asarray(piece.column("start").to_numpy(zero_copy_only=False))[which] + place
+            yield pa.RecordBatch.from_arrays([
+                piece.column("doc_id").take(row), piece.column("key").take(row), pa.array(start),
+                pa.array(n1.view(np.int64)), pa.array(n2.view(np.int64))],
+                names=["doc_id", "key", "start", "n1", "n2"])
 
 
 def remove_ranges(text: bytes, ranges: list, length: int = LENGTH) -> tuple[bytes, int]:
@@ -273,16 +340,23 @@ def repeated_windows(docs: DataFrame, keep: str = "none", length: int = LENGTH,
         again = again.filter(~place.eqNullSafe(F.col("source")))
     again = again.select("doc_id", "key", "start", "windows")
 
-    # Grams with runs of several texts: one run of each text, window by window.
-    several = texts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    open_runs = texts.join(several, "gram", "left_semi").select("first.*")
+    # Grams with runs of several kinds: the text of one run of each kind.
+    several = texts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        "gram", (F.col("n") > MAX_GROUP).alias("hot"))
+    open_runs = texts.join(several, "gram").select("first.*", "gram", "hot")
     lists = written(open_runs.groupBy("doc_id", "key").agg(
-        F.collect_list(F.struct("start", "windows")).alias("runs")), "lpf-open")
+        F.collect_list(F.struct("start", "windows", "gram", "hot")).alias("runs")), "lpf-open")
     lists = _small(lists.withColumnsRenamed({"doc_id": "o_id", "key": "o_key"}), 8 * lists.count())
     opened = docs.join(lists, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("key") == F.col("o_key")))
-    windows = written(opened.select("doc_id", "key", "text", "runs").mapInArrow(
-        lambda it: _emit_windows(it, length),
-        "doc_id bigint, key binary, start bigint, n1 bigint, n2 bigint"), "lpf-windows")
+    pieces = written(opened.select("doc_id", "key", "text", "runs").mapInArrow(
+        lambda it: _emit_open_runs(it, length),
+        "gram bigint, hot boolean, doc_id bigint, key binary, start bigint, text binary"), "lpf-pieces")
+    stretch = "doc_id bigint, key binary, start bigint, windows bigint"
+    decided = pieces.filter("NOT hot").drop("hot").repartition("gram").sortWithinPartitions(
+        "gram", "doc_id", "key", "start").mapInArrow(lambda it: _decide(it, keep, length), stretch)
+
+    windows = pieces.filter("hot").select("doc_id", "key", "start", "text").mapInArrow(
+        lambda it: _emit_windows(it, length), "doc_id bigint, key binary, start bigint, n1 bigint, n2 bigint")
     names = windows.groupBy("n1", "n2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("source")).filter("n > 1")
     single = windows.join(names, ["n1", "n2"])
     if keep == "first":
@@ -292,7 +366,7 @@ def repeated_windows(docs: DataFrame, keep: str = "none", length: int = LENGTH,
     # Stretches that touch become one (the windows of a text, at most).
     order = Window.partitionBy("doc_id", "key").orderBy("start", "windows")
     seen = F.max(F.col("start") + F.col("windows")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    joined = again.unionByName(single).withColumn("new", F.coalesce((F.col("start") > seen).cast("int"), F.lit(1)))
+    joined = again.unionByName(decided).unionByName(single).withColumn("new", F.coalesce((F.col("start") > seen).cast("int"), F.lit(1)))
     joined = joined.withColumn("stretch", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     return joined.groupBy("doc_id", "key", "stretch").agg(
         F.min("start").alias("start"), (F.max(F.col("start") + F.col("windows")) - F.min("start")).alias("windows")
