@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorkit.llm import lpf_dedup, packing, sharding, warc
-from mirrorkit.llm.common import table
+from mirrorkit.llm import lpf_dedup, packing, sharding, toxicity, warc
+from mirrorkit.llm.common import crc32_mod, table
 
 
 def tokenizer_path() -> str:
@@ -41,6 +41,15 @@ def op3_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lpf_dedup.dedup_passages(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op4_toxicity_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc32_mod("doc_id", 4) == 2, F.lit(False))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -57,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_warc_chain": op2_warc_chain,
     "op3_lpf_dedup": op3_lpf_dedup,
+    "op4_toxicity_field": op4_toxicity_field,
     "op8_hypergeometric_shards": op8_hypergeometric_shards,
 }
 
