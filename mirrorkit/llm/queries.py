@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorkit.llm import lpf_dedup, packing, sharding, toxicity, warc
+from mirrorkit.llm import lang_id, lpf_dedup, packing, sharding, toxicity, warc
 from mirrorkit.llm.common import crc32_mod, table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("word_bpe_49k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +50,13 @@ def op4_toxicity_field(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op6_segmentation_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc32_mod("doc_id", 5) == 0, F.lit(False))
+    model = lang_id.fit(docs, tokenizer_path("piece_bpe_32k.model"), ~held_out)
+    return lang_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -67,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_chain": op2_warc_chain,
     "op3_lpf_dedup": op3_lpf_dedup,
     "op4_toxicity_field": op4_toxicity_field,
+    "op6_segmentation_langid": op6_segmentation_langid,
     "op8_hypergeometric_shards": op8_hypergeometric_shards,
 }
 

@@ -13,8 +13,10 @@ the largest one's log-odds and the expected number of toxic tokens, turned
 into a probability by a logistic fit on the same rows.
 
 Fitting takes a bounded sample of the labelled rows (``MAX_LABELLED`` per
-class, by a hash of the id) and holds at most ``MAX_FEATURES`` features;
-scoring covers every text as a whole. Between tokens with observations the
+class, by a hash of the id) and holds at most ``MAX_FEATURES`` features. Two
+thirds of the sample choose the features, the rest fits the field and the
+scores, so features that stood out by chance get the weight they deserve.
+A feature counts by the lower bound of its log-odds. Scoring covers every text as a whole. Between tokens with observations the
 chain is carried by powers of the neutral step, so a document costs one
 dictionary look-up per token and a few 2x2 products per feature token.
 
@@ -40,8 +42,10 @@ from pyspark.sql import functions as F
 MAX_LABELLED = 15_000
 MAX_FEATURES = 100_000
 MIN_DOCS = 4
-#: Log-odds from which a feature is of strength class 1, 2, ...
-STRENGTHS = (1.0, 2.0, 3.0, 4.5)
+#: Lower bounds of log-odds from which a feature is of strength class 1, 2, ...
+STRENGTHS = (0.7, 1.4, 2.2, 3.2, 4.5)
+#: Standard errors between log-odds and their lower bound.
+ERRORS = 1.3
 CHUNK = 64
 MAX_CHUNKS = 20_000
 THRESHOLD = 0.3
@@ -220,7 +224,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col:
     ppm = {c: (n, min(1_000_000, 1_000_000 * max_labelled // n)) for c, n in counts.items()}
     place = F.pmod(F.xxhash64("l_id", F.lit(4)), F.lit(1_000_000))
     share = F.when(F.col("toxic") == 1, ppm.get(1, (0, 0))[1]).otherwise(ppm.get(0, (0, 0))[1])
-    return known.filter(place < share).limit(3 * max_labelled), ppm
+    part = (F.pmod(F.xxhash64("l_id", F.lit(9)), F.lit(3)) < 2).alias("chooses")
+    return known.filter(place < share).select("l_id", "toxic", part).limit(3 * max_labelled), ppm
 
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,20 +299,23 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
     if set(ppm) != {0, 1}:
         return model
     texts = docs.select(F.col(id_col).cast("bigint").alias("l_id"), F.col(text_col).cast("binary").alias("text")).join(
-        F.broadcast(sample), "l_id").select("text", "toxic").persist()
+        F.broadcast(sample), "l_id").select("text", "toxic", "chooses").persist()
     try:
-        n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-        if set(n) != {0, 1}:
+        sizes = texts.groupBy("chooses", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
+        n = {r["toxic"]: r["n"] for r in sizes if r["chooses"]}
+        fitting = {r["toxic"]: r["n"] for r in sizes if not r["chooses"]}
+        if set(n) != {0, 1} or set(fitting) != {0, 1}:
             return model
-        counts = texts.mapInArrow(_feature_counts, "feature string, toxic int, n bigint").groupBy("feature").agg(
+        counts = texts.filter("chooses").mapInArrow(_feature_counts, "feature string, toxic int, n bigint").groupBy("feature").agg(
             F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"),
             F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"))
         odds = F.log((F.col("bad") + 0.5) / (n[1] + 1)) - F.log((F.col("good") + 0.5) / (n[0] + 1))
+        odds = odds - ERRORS * F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
         strong = counts.filter(F.col("bad") >= MIN_DOCS).withColumn("odds", odds).filter(F.col("odds") >= STRENGTHS[0])
         strong = strong.orderBy(F.desc("odds"), "feature").limit(MAX_FEATURES)  # the size of the model
         model.lexicon = {r["feature"]: sum(r["odds"] >= s for s in STRENGTHS) for r in strong.collect()}
         lexicon = model.lexicon
-        rows = texts.mapInArrow(lambda it: _training_rows(it, lexicon),
+        rows = texts.filter("NOT chooses").mapInArrow(lambda it: _training_rows(it, lexicon),
                                 "toxic int, at array<bigint>, classes array<int>, tokens bigint").collect()
     finally:
         texts.unpersist()
@@ -323,7 +331,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
         truth.append(row["toxic"])
     truth = np.array(truth, dtype=float)
     # Weights restore the share of the classes before sampling.
-    weight = np.where(truth == 1, ppm[1][0] / n[1], ppm[0][0] / n[0])
+    weight = np.where(truth == 1, ppm[1][0] / fitting[1], ppm[0][0] / fitting[0])
     model.doc = fit_logistic(np.array(evidence), truth, weight / weight.mean())
     return model
 
