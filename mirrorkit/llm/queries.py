@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorkit.llm import lang_id, lpf_dedup, packing, sharding, toxicity, warc
+from mirrorkit.llm import jaccard_join, lang_id, lpf_dedup, packing, sharding, toxicity, warc
 from mirrorkit.llm.common import crc32_mod, table
 
 
@@ -69,6 +69,10 @@ def op8_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_heavy_light_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_warc_chain": op2_warc_chain,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity_field": op4_toxicity_field,
     "op6_segmentation_langid": op6_segmentation_langid,
     "op8_hypergeometric_shards": op8_hypergeometric_shards,
+    "op9_heavy_light_jaccard": op9_heavy_light_jaccard,
 }
 
 ORACLES: dict[str, str] = {
