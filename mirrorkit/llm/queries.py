@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorkit.llm import jaccard_join, lang_id, lpf_dedup, packing, sharding, toxicity, warc
+from mirrorkit.llm import jaccard_join, kmeans_tree, lang_id, lpf_dedup, packing, sharding, toxicity, warc
 from mirrorkit.llm.common import crc32_mod, table
 
 
@@ -50,6 +50,10 @@ def op4_toxicity_field(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 def op6_segmentation_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc32_mod("doc_id", 5) == 0, F.lit(False))
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_chain": op2_warc_chain,
     "op3_lpf_dedup": op3_lpf_dedup,
     "op4_toxicity_field": op4_toxicity_field,
+    "op5_kmeans_tree": op5_kmeans_tree,
     "op6_segmentation_langid": op6_segmentation_langid,
     "op8_hypergeometric_shards": op8_hypergeometric_shards,
     "op9_heavy_light_jaccard": op9_heavy_light_jaccard,
