@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorkit.llm import jaccard_join, kmeans_tree, lang_id, lpf_dedup, packing, sharding, toxicity, warc
+from mirrorkit.llm import hnsw_dedup, jaccard_join, kmeans_tree, lang_id, lpf_dedup, packing, sharding, toxicity, warc
 from mirrorkit.llm.common import crc32_mod, table
 
 
@@ -77,6 +77,10 @@ def op9_heavy_light_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op10_hnsw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_warc_chain": op2_warc_chain,
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_segmentation_langid": op6_segmentation_langid,
     "op8_hypergeometric_shards": op8_hypergeometric_shards,
     "op9_heavy_light_jaccard": op9_heavy_light_jaccard,
+    "op10_hnsw_dedup": op10_hnsw_dedup,
 }
 
 ORACLES: dict[str, str] = {

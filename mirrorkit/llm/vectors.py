@@ -16,10 +16,15 @@ def usable(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding")
     over mixed dimensions has no meaning and fails in the first task that
     meets it.
     """
-    vec = F.col(vector_col).cast("array<double>")
+    return df.select(F.col(id_col).cast("bigint").alias("vec_id"),
+                     F.col(vector_col).cast("array<double>").alias("vec")).filter(takes_part())
+
+
+def takes_part():
+    """Condition over ``vec_id`` and ``vec``; never null."""
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return df.select(F.col(id_col).cast("bigint").alias("vec_id"), vec.alias("vec")).filter(
-        F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0))
+    return F.coalesce(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0),
+                      F.lit(False))
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -27,8 +32,3 @@ def matrix(column: pa.Array) -> np.ndarray:
     n = len(column)
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return np.ascontiguousarray(flat.reshape(n, -1) if n else flat.reshape(0, 0), dtype=np.float64)
-
-
-def lists(m: np.ndarray) -> pa.Array:
-    """A matrix of doubles as a list column."""
-    return pa.ListArray.from_arrays(np.arange(0, m.size + 1, max(1, m.shape[1]), dtype=np.int32), pa.array(m.ravel()))
