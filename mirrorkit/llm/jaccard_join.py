@@ -258,7 +258,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(_verify, "a bigint, b bigint")
 
 
-def _only(rows: DataFrame, wanted: DataFrame, column: str = "doc_id") -> DataFrame:
+def only(rows: DataFrame, wanted: DataFrame, column: str = "doc_id") -> DataFrame:
     """Rows with a value of ``column`` in ``wanted``, broadcast if that is small."""
     small = wanted.count() <= BROADCAST_IDS
     return rows.join(F.broadcast(wanted) if small else wanted, column, "left_semi")
@@ -290,7 +290,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     boundary = choose_boundary(sizes)
 
     small_ids = classes.filter(F.col("n") <= boundary).select(F.col("rep").alias("doc_id")).distinct()
-    subsets = written(_only(text, small_ids).mapInArrow(
+    subsets = written(only(text, small_ids).mapInArrow(
         lambda it: _subsets(it, boundary), "doc_id bigint, n bigint, m bigint, s1 bigint, s2 bigint").distinct(),
         "jaccard-subsets")
     # All sets of a bucket share m shingles: any two whose sizes allow it link.
@@ -305,10 +305,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # A linked partner of a set beyond the boundary has at least this size.
     least = -(-PERCENT * (boundary + 1) // 100)
     large = classes.filter(F.col("n") >= least).select("row")
-    tokens = _only(rows.filter(F.col("n") >= least), large, "row").select(
+    tokens = only(rows.filter(F.col("n") >= least), large, "row").select(
         "doc_id", "n", "light", F.posexplode("prefix").alias("pos", "token"))
     twice = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token"), "jaccard-lists")
-    posts = written(_only(tokens, twice, "token"), "jaccard-posts")
+    posts = written(only(tokens, twice, "token"), "jaccard-posts")
     centres = posts.groupBy("token").agg(F.min(F.struct(
         (F.col("light") / F.col("n")).alias("share"), "doc_id", "n")).alias("centre")).select(
         "token", F.col("centre.doc_id").alias("centre"), F.col("centre.n").alias("centre_n"))
@@ -316,7 +316,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     star = written(posts.join(centres, "token").filter("doc_id <> centre").filter(_in_size(F.col("n"), F.col("centre_n"))).select(
         F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct(), "jaccard-pairs")
     ids = written(posts.select("doc_id").distinct(), "jaccard-ids")
-    sets = written(_only(text, ids).mapInArrow(_sets, "doc_id bigint, tokens binary").dropDuplicates(), "jaccard-verify")
+    sets = written(only(text, ids).mapInArrow(_sets, "doc_id bigint, tokens binary").dropDuplicates(), "jaccard-verify")
     links = written(_linked(star, sets).unionByName(small_links), "jaccard-links")
 
     merged = written(components(links), "jaccard-merged")

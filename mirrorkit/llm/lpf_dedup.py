@@ -282,11 +282,18 @@ def _emit_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
                 names=["doc_id", "key", "start", "n1", "n2"])
 
 
-def remove_ranges(text: bytes, ranges: list, length: int = LENGTH) -> tuple[bytes, int]:
-    """(kept bytes, removed maximal runs) for ranges (start, windows) of removed windows."""
+def remove_ranges(text: bytes, ranges: list, length: int = LENGTH, characters: bool = False) -> tuple[bytes, int]:
+    """(kept bytes, removed maximal runs) for ranges (start, windows) of removed windows.
+
+    With ``characters``, a UTF-8 character at the edge of a run goes with it.
+    """
     kept, at, spans, end = [], 0, 0, -1
     for start, windows in sorted(ranges):
         stop = start + windows + length - 1
+        while characters and start > at and text[start] & 0xC0 == 0x80:
+            start -= 1
+        while characters and stop < len(text) and text[stop] & 0xC0 == 0x80:
+            stop += 1
         if start > end:
             spans += 1
             kept.append(text[at:start])
@@ -295,19 +302,19 @@ def remove_ranges(text: bytes, ranges: list, length: int = LENGTH) -> tuple[byte
     return b"".join(kept), spans
 
 
-def _apply(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
-                        ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
+def _apply(batches: Iterator[pa.RecordBatch], length: int, characters: bool) -> Iterator[pa.RecordBatch]:
+    types = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
+             ("kept_sha256", pa.string()), ("kept", pa.binary())]
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             piece = batch.slice(at, 512)
             rows = []
-            for doc_id, text, ranges in zip(*(piece.column(c).to_pylist() for c in ("doc_id", "text", "ranges"))):
-                text = text or b""
-                kept, spans = remove_ranges(text, [(r["start"], r["windows"]) for r in ranges or ()], length)
-                rows.append((doc_id, len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
+            for text, ranges in zip(piece.column("text").to_pylist(), piece.column("ranges").to_pylist()):
+                kept, spans = remove_ranges(text, [(r["start"], r["windows"]) for r in ranges or ()], length, characters)
+                rows.append((len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                [piece.column("row"), *(pa.array(c, type=t) for c, (_, t) in zip(zip(*rows), types))],
+                names=["row", *(n for n, _ in types)])
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -374,14 +381,20 @@ def repeated_windows(docs: DataFrame, keep: str = "none", length: int = LENGTH,
 
 
 def dedup_passages(docs: DataFrame, keep: str = "none", length: int = LENGTH,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes)."""
+                   id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
+                   characters: bool = False) -> DataFrame:
+    """row (struct of the ``carry`` columns, by default all), n_bytes, n_removed, n_spans, kept_sha256, kept (bytes).
+
+    ``characters`` widens each cut to whole UTF-8 characters.
+    """
     body = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.unhex(F.md5(body)).alias("key"), body.alias("text"))
-    ranges = written(repeated_windows(slim, keep, length).groupBy("doc_id", "key").agg(
+    wide = docs.select(F.struct(*(carry or docs.columns)).alias("row"), F.col(id_col).cast("bigint").alias("doc_id"),
+                       F.unhex(F.md5(body)).alias("key"), body.alias("text"))
+    ranges = written(repeated_windows(wide.drop("row"), keep, length).groupBy("doc_id", "key").agg(
         F.collect_list(F.struct("start", "windows")).alias("ranges")), "lpf-ranges")
     ranges = _small(ranges.withColumnsRenamed({"doc_id": "r_id", "key": "r_key"}), 2 * ranges.count())
-    joined = slim.join(ranges, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")), "left")
-    return joined.select("doc_id", "text", "ranges").mapInArrow(
-        lambda it: _apply(it, length),
-        "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    joined = wide.join(ranges, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")), "left")
+    row = wide.schema["row"].dataType.simpleString()
+    return joined.select("row", "text", "ranges").mapInArrow(
+        lambda it: _apply(it, length, characters),
+        f"row {row}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")

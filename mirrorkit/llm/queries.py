@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorkit.llm import hnsw_dedup, jaccard_join, kmeans_tree, lang_id, lpf_dedup, packing, sharding, toxicity, warc
+from mirrorkit.llm import hnsw_dedup, jaccard_join, kmeans_tree, lang_id, lpf_dedup, mixing, packing, sharding, toxicity, warc
 from mirrorkit.llm.common import crc32_mod, table
 
 
@@ -38,14 +38,15 @@ FROM p LEFT JOIN f ON p.d = f.d AND p.n >= 100 AND f.first IS NOT NULL
 
 
 def op3_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lpf_dedup.dedup_passages(table(spark, sf_dir, "documents")).drop("kept")
+    return lpf_dedup.dedup_passages(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op4_toxicity_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc32_mod("doc_id", 4) == 2, F.lit(False))
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
-    return toxicity.score(docs, model).select(
+    return toxicity.score(docs, model, carry=["doc_id"]).select("row.doc_id", "score").select(
         "doc_id", held_out.alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
@@ -61,6 +62,11 @@ def op6_segmentation_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "row.source", "epoch", "tokens", "block", "turn")
+
+
 def op8_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity_field": op4_toxicity_field,
     "op5_kmeans_tree": op5_kmeans_tree,
     "op6_segmentation_langid": op6_segmentation_langid,
+    "op7_temperature_mixing": op7_temperature_mixing,
     "op8_hypergeometric_shards": op8_hypergeometric_shards,
     "op9_heavy_light_jaccard": op9_heavy_light_jaccard,
     "op10_hnsw_dedup": op10_hnsw_dedup,

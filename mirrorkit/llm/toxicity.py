@@ -339,8 +339,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
 def _score(batches: Iterator[pa.RecordBatch], model: ChainField) -> Iterator[pa.RecordBatch]:
     obs = Observations(model.lexicon)
     none = model.score([])
-    schema = pa.schema([("score", pa.float64()), ("spans", pa.list_(pa.struct([
-        ("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())])))])
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
     for batch in batches:
         scores, spans = [], []
         for text in batch.column("text"):
@@ -355,15 +354,17 @@ def _score(batches: Iterator[pa.RecordBatch], model: ChainField) -> Iterator[pa.
             bad = {i: q for i, q in zip(at, p) if q >= 0.5}
             spans.append([{"start": m.start(), "end": m.end(), "p": bad[i]}
                           for i, m in enumerate(_TOKEN.finditer(raw)) if i in bad] if bad else [])
-        others = [batch.column(c) for c in batch.schema.names if c != "text"]
         yield pa.RecordBatch.from_arrays(
-            [*others, pa.array(scores, type=pa.float64()), pa.array(spans, type=schema.field("spans").type)],
-            schema=pa.schema([f for f in batch.schema if f.name != "text"] + list(schema)))
+            [batch.column("row"), pa.array(scores, type=pa.float64()), pa.array(spans, type=span)],
+            names=["row", "score", "spans"])
 
 
-def score(docs: DataFrame, model: ChainField, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score, spans (byte offsets in UTF-8 and marginals of tokens of at least 0.5)."""
-    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+def score(docs: DataFrame, model: ChainField, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """row (struct of the ``carry`` columns, by default all), score, spans.
+
+    Spans are byte offsets in UTF-8 of tokens with a marginal of at least 0.5.
+    """
+    slim = docs.select(F.struct(*(carry or docs.columns)).alias("row"), F.col(text_col).cast("binary").alias("text"))
+    row = slim.schema["row"].dataType.simpleString()
     return slim.mapInArrow(
-        lambda it: _score(it, model),
-        "doc_id bigint, score double, spans array<struct<start: bigint, end: bigint, p: double>>")
+        lambda it: _score(it, model), f"row {row}, score double, spans array<struct<start: bigint, end: bigint, p: double>>")
