@@ -24,7 +24,9 @@ among its edited copies) and linked pairs are merged into components. Lists
 that then lie in one component are done; in the others, members outside the
 list's largest component are compared with all members of other components.
 No link between different components can be missed, and pairs inside a
-component need not be known.
+component need not be known. Before the sets of a pair are brought together, a
+sketch of ``SKETCH`` counts per set bounds the intersection from above and
+drops the pairs that cannot link.
 
 Defined results: text null or without words: empty set, n_shingles 0, linked
 with nothing; fewer than ``k`` words: the whole sequence as one shingle; rows
@@ -56,7 +58,11 @@ HEAVY, LOCAL = 48, 4
 MAX_HEAVY = 1_000_000
 #: Ids (8 bytes) up to which they are broadcast; beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
+#: Bytes from which a text's shingles are named in parts.
+LONG_TEXT = 1 << 22
 BOUNDARIES = (0, 4, 9, 14)
+#: Counts per sketch: shingles by the upper bits of their names.
+SKETCH = 128
 _M64 = (1 << 64) - 1
 _RNG = np.random.default_rng(5)
 _BYTES = _RNG.integers(1, _M64, 256, dtype=np.uint64)
@@ -81,8 +87,25 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _stretches(text: bytes, k: int) -> list[bytes]:
+    """A long text in parts that share k - 1 words, so that together they have all its shingles."""
+    words = text.split()
+    step = 200_000
+    return [b" ".join(words[at : at + step + k - 1]) for at in range(0, max(1, len(words) - k + 1), step)]
+
+
 def shingle_sets(texts: list[bytes], k: int = WORDS) -> list[np.ndarray]:
     """Distinct shingle names (sorted unsigned 64-bit) of each text."""
+    long_ = [i for i, t in enumerate(texts) if len(t) > LONG_TEXT]
+    if long_:
+        out = shingle_sets([b"" if len(t) > LONG_TEXT else t for t in texts], k)
+        for i in long_:
+            out[i] = np.unique(np.concatenate([_shingles([part], k)[0] for part in _stretches(texts[i], k)]))
+        return out
+    return _shingles(texts, k)
+
+
+def _shingles(texts: list[bytes], k: int) -> list[np.ndarray]:
     data = np.frombuffer(b"\n".join(texts).lower() + b"\n", dtype=np.uint8)
     sizes = np.array([len(t) + 1 for t in texts])
     ends = np.cumsum(sizes)
@@ -170,12 +193,12 @@ def _local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 seen.add(f)
                 pending.append(s)
                 size += len(s)
-        if size > 4_000_000:
+        if size > 1_000_000:
             kept = merge(kept, pending)
-            pending, size = [], 0
-            if len(kept[0]) > 6_000_000:  # bounds memory; single ones go first
-                often = kept[1] > 1
-                kept = kept[0][often], kept[1][often]
+            pending, size, least = [], 0, 1
+            while len(kept[0]) > 2_000_000:  # bounds memory; the rarest go first
+                often = kept[1] > least
+                kept, least = (kept[0][often], kept[1][often]), least + 1
     if pending:
         kept = merge(kept, pending)
     often = kept[1] >= LOCAL
@@ -185,9 +208,11 @@ def _local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _prefixes(batches: Iterator[pa.RecordBatch], heavy: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Size, fingerprint, number of light shingles and prefix of each set."""
     for piece, texts in _text_batches(batches):
-        n, f1, f2, light, prefix = [], [], [], [], []
+        n, f1, f2, light, prefix, sketch = [], [], [], [], [], []
         for s in shingle_sets(texts):
             n.append(len(s))
+            counts = np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=SKETCH)
+            sketch.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
             a, b = _fingerprint(s)
             f1.append(a)
             f2.append(b)
@@ -201,8 +226,9 @@ def _prefixes(batches: Iterator[pa.RecordBatch], heavy: np.ndarray) -> Iterator[
             prefix.append(s[: prefix_length(len(s))].view(np.int64) if len(s) else s.view(np.int64))
         yield pa.RecordBatch.from_arrays([
             piece.column("doc_id"), pa.array(n, type=pa.int64()), pa.array(f1, type=pa.int64()),
-            pa.array(f2, type=pa.int64()), pa.array(light, type=pa.int64()), pa.array(prefix, type=pa.list_(pa.int64()))],
-            names=["doc_id", "n", "f1", "f2", "light", "prefix"])
+            pa.array(f2, type=pa.int64()), pa.array(light, type=pa.int64()), pa.array(prefix, type=pa.list_(pa.int64())),
+            pa.array(sketch, type=pa.binary())],
+            names=["doc_id", "n", "f1", "f2", "light", "prefix", "sketch"])
 
 
 def _subsets(batches: Iterator[pa.RecordBatch], boundary: int) -> Iterator[pa.RecordBatch]:
@@ -230,6 +256,19 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "tokens"])
 
 
+def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches allow the least intersection; a full count stands for any."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, SKETCH).astype(np.int64)
+                for c in ("x", "y"))
+        n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "m"))
+        most = np.minimum(np.where(x == 255, 1 << 40, x), np.where(y == 255, 1 << 40, y)).sum(axis=1)
+        at = pa.array(np.flatnonzero((100 + PERCENT) * most >= PERCENT * (n + m)))
+        yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], names=["a", "b"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -251,11 +290,22 @@ def choose_boundary(sizes: dict[int, int], rows_per_token: float = 4.0) -> int:
     return min(BOUNDARIES, key=cost)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link."""
-    with_a = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x")), "a")
-    both = with_a.join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_verify, "a bigint, b bigint")
+def _joined(pairs: DataFrame, values: DataFrame, mine: dict[str, str], others: dict[str, str]) -> DataFrame:
+    """Pairs (a, b) with columns of ``values`` (by doc_id) of both, under new names."""
+    left = values.select(F.col("doc_id").alias("a"), *[F.col(c).alias(n) for c, n in mine.items()])
+    right = values.select(F.col("doc_id").alias("b"), *[F.col(c).alias(n) for c, n in others.items()])
+    return pairs.join(left, "a").join(right, "b")
+
+
+def linked(pairs: DataFrame, text: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets link. Sets are made again, for ids of promising pairs only."""
+    promising = written(_joined(pairs, sketches, {"n": "n", "sketch": "x"}, {"n": "m", "sketch": "y"}).select(
+        "a", "b", "n", "m", "x", "y").mapInArrow(_may_link, "a bigint, b bigint").distinct(), "jaccard-promising")
+    ids = written(promising.select(F.col("a").alias("doc_id")).unionByName(
+        promising.select(F.col("b").alias("doc_id"))).distinct(), "jaccard-ids")
+    sets = written(only(text, ids).mapInArrow(_sets, "doc_id bigint, tokens binary"), "jaccard-verify")
+    return _joined(promising, sets, {"tokens": "x"}, {"tokens": "y"}).select("a", "b", "x", "y").mapInArrow(
+        _verify, "a bigint, b bigint").distinct()
 
 
 def only(rows: DataFrame, wanted: DataFrame, column: str = "doc_id") -> DataFrame:
@@ -264,10 +314,6 @@ def only(rows: DataFrame, wanted: DataFrame, column: str = "doc_id") -> DataFram
     return rows.join(F.broadcast(wanted) if small else wanted, column, "left_semi")
 
 
-def _in_size(left, right):
-    return (100 * F.least(left, right) >= PERCENT * F.greatest(left, right))
-
-
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (least id reachable by links)."""
     text = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
@@ -277,7 +323,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = text.sparkSession.sparkContext.broadcast(heavy_set)
     rows = written(text.mapInArrow(
         lambda it: _prefixes(it, shared.value),
-        "doc_id bigint, n bigint, f1 bigint, f2 bigint, light bigint, prefix array<bigint>").withColumn(
+        "doc_id bigint, n bigint, f1 bigint, f2 bigint, light bigint, prefix array<bigint>, sketch binary").withColumn(
         "row", F.monotonically_increasing_id()), "jaccard-sets")
 
     # One row stands for all with its set.
@@ -310,14 +356,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     twice = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token"), "jaccard-lists")
     posts = written(only(tokens, twice, "token"), "jaccard-posts")
     centres = posts.groupBy("token").agg(F.min(F.struct(
-        (F.col("light") / F.col("n")).alias("share"), "doc_id", "n")).alias("centre")).select(
-        "token", F.col("centre.doc_id").alias("centre"), F.col("centre.n").alias("centre_n"))
+        (F.col("light") / F.col("n")).alias("share"), "doc_id", "n", "pos")).alias("centre")).select(
+        "token", F.col("centre.doc_id").alias("centre"), F.col("centre.n").alias("n_b"), F.col("centre.pos").alias("pos_b"))
 
-    star = written(posts.join(centres, "token").filter("doc_id <> centre").filter(_in_size(F.col("n"), F.col("centre_n"))).select(
+    # No token before the first shared one is in both sets; a linked pair passes by that token.
+    overlap = F.least(F.col("n") - F.col("pos"), F.col("n_b") - F.col("pos_b"))
+    possible = (100 * F.least("n", "n_b") >= PERCENT * F.greatest("n", "n_b")) & (
+        (100 + PERCENT) * overlap >= PERCENT * (F.col("n") + F.col("n_b")))
+    star = written(posts.join(centres, "token").filter("doc_id <> centre").filter(possible).select(
         F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct(), "jaccard-pairs")
-    ids = written(posts.select("doc_id").distinct(), "jaccard-ids")
-    sets = written(only(text, ids).mapInArrow(_sets, "doc_id bigint, tokens binary").dropDuplicates(), "jaccard-verify")
-    links = written(_linked(star, sets).unionByName(small_links), "jaccard-links")
+    sketches = only(rows, large, "row").select("doc_id", "n", "sketch")
+    links = written(linked(star, text, sketches).unionByName(small_links), "jaccard-links")
 
     merged = written(components(links), "jaccard-merged")
     known = posts.join(merged, F.col("doc_id") == F.col("vertex"), "left").select(
@@ -327,13 +376,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.max_by("part", F.struct("c", "part")).alias("most"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("token", "most")
     known = written(known.join(mixed, "token"), "jaccard-open")
     other = known.select("token", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"), F.col("part").alias("part_b"))
-    overlap = F.least(F.col("n") - F.col("pos"), F.col("n_b") - F.col("pos_b"))
     rest = known.filter("part <> most").withColumnRenamed("doc_id", "a").join(other, "token").filter(
-        F.col("part") != F.col("part_b")).filter((F.col("part_b") == F.col("most")) | (F.col("a") < F.col("b"))).filter(
-        _in_size(F.col("n"), F.col("n_b")) & ((100 + PERCENT) * overlap >= PERCENT * (F.col("n") + F.col("n_b"))))
+        F.col("part") != F.col("part_b")).filter((F.col("part_b") == F.col("most")) | (F.col("a") < F.col("b"))).filter(possible)
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _linked(written(rest.join(tried, ["a", "b"], "left_anti"), "jaccard-rest"), sets)
+    more = linked(written(rest.join(tried, ["a", "b"], "left_anti"), "jaccard-rest"), text, sketches)
     # Links found so far are known by their components.
     final = components(written(merged.select(F.col("vertex").alias("a"), F.col("component").alias("b")).unionByName(more),
                                "jaccard-links"))
