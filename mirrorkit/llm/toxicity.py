@@ -47,7 +47,7 @@ STRENGTHS = (0.7, 1.4, 2.2, 3.2, 4.5)
 #: Standard errors between log-odds and their lower bound.
 ERRORS = 1.3
 CHUNK = 64
-MAX_CHUNKS = 20_000
+MAX_CHUNKS = 6_000
 THRESHOLD = 0.3
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -176,7 +176,7 @@ def chain_expectations(x: np.ndarray, length: np.ndarray, emit: np.ndarray, move
     return scale.sum(axis=1), p1, pairs
 
 
-def fit_chain(x: np.ndarray, y: np.ndarray, length: np.ndarray, rounds: int = 120, ridge: float = 1.0):
+def fit_chain(x: np.ndarray, y: np.ndarray, length: np.ndarray, rounds: int = 60, ridge: float = 1.0):
     """Weights that maximise the conditional log-likelihood of token states ``y``, by Adam."""
     emit = np.array([-6.0] + [0.0] * len(STRENGTHS))
     move = np.zeros((2, 2))
@@ -197,7 +197,7 @@ def fit_chain(x: np.ndarray, y: np.ndarray, length: np.ndarray, rounds: int = 12
         for w, g, a, b in ((emit, grads[0], m[0], v[0]), (move, grads[1], m[1], v[1])):
             a += 0.1 * (g - a)
             b += 0.01 * (g * g - b)
-            w += 0.15 * (a / (1 - 0.9**i)) / (np.sqrt(b / (1 - 0.99**i)) + 1e-8)
+            w += 0.25 * (a / (1 - 0.9**i)) / (np.sqrt(b / (1 - 0.99**i)) + 1e-8)
     return emit, move
 
 
