@@ -17,8 +17,9 @@ is kept only if the chain that starts at the file's first byte reaches it:
   with the run at offset 0, until no new run is reached;
 * of a reached run the candidates from the entry point on are records.
 
-Text between two records that holds rejected candidates is part of the first
-record's block and is put together again in order.
+A record whose block holds rejected candidates is cut from its file by offset:
+the files that have such records (and only those) are read a second time, whole
+in one task each, which ``RECORDS_PER_FILE`` keeps to a bounded size.
 
 Defined results: null html is an empty payload; a null or unprintable url is
 written percent-encoded; null page ids are written as ``null`` and read back
@@ -38,6 +39,7 @@ MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MIN_REVISIT = 100
+RECORDS_PER_FILE = 20_000
 
 
 def _revisits(pages: DataFrame, min_revisit: int) -> DataFrame:
@@ -57,7 +59,7 @@ def _revisits(pages: DataFrame, min_revisit: int) -> DataFrame:
 
 def write_warc(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT,
                id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-               records_per_file: int = 0) -> None:
+               records_per_file: int = RECORDS_PER_FILE) -> None:
     """Write one record per row of ``pages`` into WARC files under ``path``."""
     slim = pages.select(
         F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),
@@ -90,10 +92,8 @@ def write_warc(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT,
         F.lit("\r\n"),
     )
     record = F.concat(header, F.when(again, F.lit("")).otherwise(F.col("payload")))
-    writer = joined.select(record.alias("value")).write.option("lineSep", END)
-    if records_per_file:
-        writer = writer.option("maxRecordsPerFile", records_per_file)
-    writer.text(path)
+    joined.select(record.alias("value")).write.option("lineSep", END).option(
+        "maxRecordsPerFile", records_per_file).text(path)
 
 
 def _candidates(spark: SparkSession, path: str) -> DataFrame:
@@ -101,8 +101,7 @@ def _candidates(spark: SparkSession, path: str) -> DataFrame:
 
     A row is the text from one magic line to the next. Row order inside a
     split is the reader's; offsets are running sums over the splits of a file.
-    The digest of a whole block is taken here, so a block travels on only if
-    its row isn't the whole record.
+    The digest of a whole block is taken here, so no text travels on.
     """
     raw = spark.read.option("lineSep", MAGIC).text(path).select(
         "value",
@@ -134,8 +133,7 @@ def _candidates(spark: SparkSession, path: str) -> DataFrame:
     alone = F.coalesce(F.col("size") == F.col("head_len") + F.col("content") + 4, F.lit(False))
     block = F.expr("substring(CAST(value AS BINARY), int(head_len) + 1, int(content))")
     return rows.withColumn("alone", alone).withColumn(
-        "block_digest", F.when(F.col("alone"), F.sha2(block, 256))).withColumn(
-        "value", F.when(~F.col("alone"), F.col("value").cast("binary")))
+        "block_digest", F.when(F.col("alone"), F.sha2(block, 256))).drop("value")
 
 
 def _with_offsets(rows: DataFrame) -> DataFrame:
@@ -206,21 +204,22 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     fields = ("file", "at", "page", "record_type", "refers_to", "named_digest", "named_length", "content", "block_digest")
     easy = placed.filter("alone").join(true_at.filter("alone").drop("alone"), ["file", "at"], "left_semi").select(*fields)
 
-    # Blocks with a magic line inside: all rows up to the record's end, in order.
+    # Blocks with a magic line inside: cut from their files.
     torn = placed.join(true_at.filter("NOT alone").drop("alone"), ["file", "at"], "left_semi").select(
-        *[c for c in fields if c != "block_digest"], "next", "head_len")
-    parts = placed.select(F.col("file").alias("p_file"), F.col("at").alias("p_at"), "value", "size", "block", "row")
-    needed = torn.select("file", F.col("at").alias("t_at"), "next").join(
-        parts, (F.col("file") == F.col("p_file")) & (F.col("p_at") >= F.col("t_at")) & (F.col("p_at") < F.col("next")))
-    blocks = needed.groupBy("file", F.col("t_at").alias("at")).agg(
-        F.sort_array(F.collect_list(F.struct("p_at", "value", "block", "row"))).alias("parts"))
-    joined = F.expr(
-        f"aggregate(parts, cast('' as binary), (acc, p) -> concat(acc, p.value, cast('{MAGIC}' as binary)))")
-    mended = torn.join(blocks, ["file", "at"]).withColumn("raw", joined).withColumn(
-        "block_digest", F.sha2(F.expr("substring(raw, int(head_len) + 1, int(content))"), 256)).select(*fields)
+        *[c for c in fields if c != "block_digest"], (F.col("at") + len(MAGIC) + F.col("head_len")).alias("block_at"))
+    torn = written(torn, "warc-torn")
+    files = [r["file"] for r in torn.select("file").distinct().collect()]  # names only
+    mended = None
+    if files:
+        cuts = torn.groupBy("file").agg(F.collect_list(F.struct("at", "block_at", "content")).alias("cuts"))
+        whole_files = spark.read.format("binaryFile").load(files).select(F.col("_metadata.file_path").alias("file"), "content")
+        digests = whole_files.withColumnRenamed("content", "bytes").join(cuts, "file").select("file", F.explode(F.expr(
+            "transform(cuts, c -> named_struct('at', c.at, 'd', sha2(substring(bytes, int(c.block_at) + 1, int(c.content)), 256)))"
+        )).alias("cut")).select("file", "cut.at", F.col("cut.d").alias("block_digest"))
+        mended = torn.drop("block_at").join(digests, ["file", "at"]).select(*fields)
 
     again = F.col("record_type") == "revisit"
-    return easy.unionByName(mended).select(
+    return (easy.unionByName(mended) if mended is not None else easy).select(
         F.when(F.col("page") != "null", F.col("page")).cast("bigint").alias("page_id"),
         F.when(again, F.col("named_length")).otherwise(F.col("content")).alias("payload_bytes"),
         F.when(again, F.col("named_digest")).otherwise(F.col("block_digest")).alias("payload_digest"),
