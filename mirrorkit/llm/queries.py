@@ -76,7 +76,7 @@ def op8_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.lit("rows").alias("law"))
     return sharding.shuffle_to_shards(slim, 16).select(
-        "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+        "row.*", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op9_heavy_light_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

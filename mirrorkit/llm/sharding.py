@@ -21,7 +21,7 @@ All steps are DataFrame operations and SQL expressions.
 
 Defined results: every row, repeated or with nulls, takes exactly one slot;
 shard sizes differ by at most one; an empty table gives no rows. Input columns
-are carried as they are; the operator's own must not clash, which it checks.
+are carried in a struct, so none can clash.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from mirrorkit.llm.common import written
 
 BLOCK_ROWS = 100_000
-OWN = ("shard", "slot")
 _TASK_SHIFT = 33  # monotonically_increasing_id: task in the upper bits, row number below
 
 
@@ -107,31 +106,27 @@ def communication_matrix(spark: SparkSession, sizes: DataFrame, n_shards: int, s
 
 
 def shuffle_to_shards(rows: DataFrame, n_shards: int, seed: int = 0, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``rows`` with ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0 in each shard)."""
+    """row (struct of the input columns), shard (0 to n_shards - 1), slot (gapless from 0 in each shard)."""
     spark = rows.sparkSession
-    taken = {c.lower() for c in rows.columns} & {*OWN, "_u", "_v", "_at"}
-    if taken:
-        raise ValueError(f"columns of the input clash with the operator's own: {sorted(taken)}")
-    local = rows.withColumns({"_u": F.rand(seed), "_v": F.rand(seed + 1)}).sortWithinPartitions("_u")
-    local = written(local.withColumn("_at", F.monotonically_increasing_id()).drop("_u"), "shard-rows")
-
-    sizes = written(local.groupBy(F.shiftright("_at", _TASK_SHIFT).alias("part")).agg(F.count(F.lit(1)).alias("n")),
-                    "shard-sizes")
+    local = rows.select(F.struct("*").alias("row"), F.rand(seed).alias("u"), F.rand(seed + 1).alias("v"))
+    local = local.sortWithinPartitions("u").withColumn("at", F.monotonically_increasing_id()).drop("u")
+    local = written(local, "shard-rows")
+
+    part = F.shiftright("at", _TASK_SHIFT)
+    sizes = written(local.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")), "shard-sizes")
     matrix = written(communication_matrix(spark, sizes, n_shards, seed), "shard-matrix")
     bounds = matrix.select(
-        F.col("part").alias("_part"),
-        F.expr("transform(counts, (c, k) -> aggregate(slice(counts, 1, k + 1), 0L, (x, y) -> x + y))").alias("_bounds"))
-    number = F.expr(f"_at & {(1 << _TASK_SHIFT) - 1}L")
-    sent = local.join(bounds, F.shiftright("_at", _TASK_SHIFT) == F.col("_part")).withColumn("_n", number).withColumn(
-        "shard", F.expr("size(filter(_bounds, b -> b <= _n))")).drop("_part", "_bounds", "_n")
+        "part", F.expr("transform(counts, (c, k) -> aggregate(slice(counts, 1, k + 1), 0L, (x, y) -> x + y))").alias("bounds"))
+    number = F.col("at").bitwiseAND(F.lit((1 << _TASK_SHIFT) - 1))
+    sent = local.withColumn("part", part).withColumn("number", number).join(bounds, "part").withColumn(
+        "shard", F.expr("size(filter(bounds, b -> b <= number))")).select("row", "v", "at", "shard")
 
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     blocks = max(1, -(-total // (n_shards * block_rows)))
-    sent = sent.withColumn("_block", F.least(F.floor(F.col("_v") * blocks), F.lit(blocks - 1)).cast("int"))
-    before = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    first = sent.groupBy("shard", "_block").agg(F.count(F.lit(1)).alias("_rows")).select(
-        "shard", "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first"))
-    order = Window.partitionBy("shard", "_block").orderBy("_v", "_at")
+    sent = sent.withColumn("block", F.least(F.floor(F.col("v") * blocks), F.lit(blocks - 1)).cast("int"))
+    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    first = sent.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("rows")).select(
+        "shard", "block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"))
+    order = Window.partitionBy("shard", "block").orderBy("v", "at")
     return sent.withColumn("slot", F.row_number().over(order).cast("bigint") - 1).join(
-        first, ["shard", "_block"]).withColumn("slot", F.col("slot") + F.col("_first")).select(
-        *rows.columns, "shard", "slot")
+        first, ["shard", "block"]).select("row", "shard", (F.col("slot") + F.col("first")).alias("slot"))
