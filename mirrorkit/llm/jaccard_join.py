@@ -53,7 +53,7 @@ WORDS = 5
 #: Link if 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: A shingle counts as heavy from this many documents on, seen in tasks where it is in LOCAL or more.
-HEAVY, LOCAL = 48, 4
+HEAVY, LOCAL = 8, 2
 #: Heavy shingles that are put last: at most so many (8 bytes each are broadcast).
 MAX_HEAVY = 1_000_000
 #: Ids (8 bytes) up to which they are broadcast; beyond it the join shuffles.
