@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from mirrorkit.functions.fixed import (
+    LOG_SECONDS_FORMAT,
     LOG_TIMESTAMP_FORMAT,
+    LOG_TIMESTAMP_PATTERN,
     NARROWED_DECIMAL,
     TIMESTAMP_TEXT_FORMAT,
 )
@@ -43,9 +45,18 @@ def load_stamp() -> Column:
     return F.date_format(F.current_timestamp(), TIMESTAMP_TEXT_FORMAT)
 
 
-def log_line_time_ms(text: Column) -> Column:
-    """Epoch milliseconds of a log timestamp, null when the text is not one."""
-    return F.unix_millis(F.try_to_timestamp(text, F.lit(LOG_TIMESTAMP_FORMAT)))
+def log_line_time_ms(text: Column, zone: str | None = None) -> Column:
+    """Epoch milliseconds of a log timestamp, null when the text is not one.
+
+    One to six fraction digits are accepted (cut to milliseconds). The time is
+    a wall clock in ``zone``; without one, in the session's time zone.
+    """
+    found = F.regexp_extract(text, LOG_TIMESTAMP_PATTERN, 0)
+    parts = F.split(found, r"\.", 2)  # seconds and fraction apart: the fraction's length varies
+    place = F.current_timezone() if zone is None else F.lit(zone)
+    instant = F.try_to_timestamp(F.concat(parts.getItem(0), F.lit(" "), place), F.lit(LOG_SECONDS_FORMAT))
+    millis = F.rpad(F.substring(parts.getItem(1), 1, 3), 3, "0").cast("bigint")
+    return F.when(found != "", F.unix_millis(instant) + millis)
 
 
 def log_line_text(ts: Column, level: Column, logger: Column, message: Column) -> Column:

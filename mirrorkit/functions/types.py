@@ -44,5 +44,5 @@ def merge_overrides(*layers: Mapping[str, str] | None) -> dict[str, str]:
 
 
 def overrides_ddl(overrides: Mapping[str, str]) -> str:
-    """``{"a": "INT", "b": "STRING"}`` -> ``"a INT, b STRING"`` (JDBC customSchema)."""
-    return ", ".join(f"{name} {type_text}" for name, type_text in overrides.items())
+    """``{"a": "INT", "b": "STRING"}`` -> ``"`a` INT, `b` STRING"`` (JDBC customSchema)."""
+    return ", ".join(f"`{name.replace('`', '``')}` {type_text}" for name, type_text in overrides.items())

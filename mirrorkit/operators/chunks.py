@@ -3,30 +3,94 @@
 A chunk is a boolean SQL expression; a chunked scan runs one query per chunk
 and concatenates the results (``UNION ALL``). So a row matching no chunk is
 lost and a row matching two is duplicated. This module builds chunk lists,
-derives balanced half-open ones from data, and measures coverage and balance.
-All measurements are one scan with a map-side partial aggregate.
+derives balanced half-open ones from exact key counts, and measures coverage
+and balance. All measurements are one scan with a map-side partial aggregate.
+
+Lists built here are ``ChunkList``: they know whether every row is in exactly
+one chunk (then a chunked scan in Spark needs no test at all) and how to find
+a row's chunk by binary search instead of testing every predicate.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as _dt
+import re
+from collections.abc import Callable, Iterable, Sequence
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mirrorkit.session import ensure_checkpoint_dir
 
 
-def sql_literal(value) -> str:
-    """Render a bound as a SQL literal (strings quoted, quotes doubled)."""
+class ChunkList(tuple):
+    """Chunk predicates with what is known about them.
+
+    ``covering``: every row, whatever its key, satisfies exactly one.
+    ``locate``: builds the id column of the one chunk a row satisfies (null
+    for none); only for lists in which no two chunks overlap.
+    """
+
+    covering: bool
+    locate: Callable[[], Column] | None
+
+    def __new__(cls, predicates: Iterable[str], covering: bool = False,
+                locate: Callable[[], Column] | None = None) -> "ChunkList":
+        made = super().__new__(cls, predicates)
+        made.covering = covering
+        made.locate = locate
+        return made
+
+
+def sql_literal(value, dialect: str = "spark") -> str:
+    """Render a bound as a SQL literal of its type.
+
+    Quotes are doubled. Backslashes are doubled for ``dialect="spark"`` only:
+    Spark reads them as escapes, most databases (``"ansi"``) do not.
+    """
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
     if isinstance(value, str):
-        return "'" + value.replace("'", "''") + "'"
-    return str(value)
+        text = value.replace("\\", "\\\\") if dialect == "spark" else value
+        return "'" + text.replace("'", "''") + "'"
+    if isinstance(value, _dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, _dt.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, (bytes, bytearray)):
+        return f"X'{bytes(value).hex()}'"
+    if isinstance(value, float):
+        return f"CAST('{value!r}' AS DOUBLE)"
+    if isinstance(value, (int, Decimal)):
+        return str(value)
+    raise ValueError(f"no SQL literal for {type(value).__name__}")
+
+
+def sql_name(column: str, dialect: str = "spark") -> str:
+    """A column name as SQL text; quoted unless it is a plain identifier."""
+    if re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", column):
+        return column
+    mark = "`" if dialect == "spark" else '"'
+    return mark + column.replace(mark, mark * 2) + mark
+
+
+def _named(column: str) -> Column:
+    return F.col(sql_name(column))
+
+
+def _search(key: Column, bounds: Sequence, low: int, high: int) -> Column:
+    """Number of ``bounds[low:high]`` at or below ``key``, plus ``low``: a binary decision tree."""
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(key < F.lit(bounds[middle]), _search(key, bounds, low, middle)).otherwise(
+        _search(key, bounds, middle + 1, high))
 
 
 def inclusive_range_chunks(
     column: str, width: int, count: int, *, digits: int = 14, start: int = 0
-) -> list[str]:
+) -> ChunkList:
     """Hand-kept style list: ``count`` inclusive BETWEEN ranges of zero-padded
     numeric text keys, then "outside all ranges", then ``IS NULL``.
 
@@ -35,89 +99,100 @@ def inclusive_range_chunks(
     """
     if width <= 0 or count <= 0:
         raise ValueError("width and count must be positive")
+    name = sql_name(column)
 
     def key(n: int) -> str:
-        return sql_literal(f"{n:0{digits}d}")
+        return f"{n:0{digits}d}"
 
-    chunks = []
-    for i in range(count):
-        lo = start + i * width
-        chunks.append(f"{column} BETWEEN {key(lo)} AND {key(lo + width - 1)}")
-    chunks.append(f"{column} NOT BETWEEN {key(start)} AND {key(start + count * width - 1)}")
-    chunks.append(f"{column} IS NULL")
-    return chunks
+    lows = [key(start + i * width) for i in range(count)]
+    highs = [key(start + (i + 1) * width - 1) for i in range(count)]
+    chunks = [f"{name} BETWEEN {sql_literal(lo)} AND {sql_literal(hi)}" for lo, hi in zip(lows, highs)]
+    chunks.append(f"{name} NOT BETWEEN {sql_literal(lows[0])} AND {sql_literal(highs[-1])}")
+    chunks.append(f"{name} IS NULL")
 
+    def locate() -> Column:
+        value = _named(column)
+        at = _search(value, lows, 0, count) - 1
+        inside = F.when(value <= F.element_at(F.array(*[F.lit(h) for h in highs]), at + 1), at)
+        return F.when(value.isNull(), F.lit(count + 1)).when(
+            (value < lows[0]) | (value > highs[-1]), F.lit(count)).otherwise(inside)
 
-def half_open_chunks(column: str, bounds: Sequence) -> list[str]:
+    ordered = lows == sorted(lows) and highs == sorted(highs)  # as text: not beyond ``digits`` digits
+    return ChunkList(chunks, locate=locate if ordered else None)
+
+
+def half_open_chunks(column: str, bounds: Sequence, dialect: str = "spark") -> ChunkList:
     """Chunks from sorted distinct bounds ``b1 < ... < bn``.
 
     ``column < b1``, ``b1 <= column < b2``, ..., ``column >= bn``, ``IS NULL``:
     open at both ends, so every row, whatever its key, is in exactly one chunk.
     """
+    name = sql_name(column, dialect)
     ordered = sorted(set(bounds))
-    if not ordered:
-        return [f"{column} IS NOT NULL", f"{column} IS NULL"]
-    lits = [sql_literal(b) for b in ordered]
-    chunks = [f"{column} < {lits[0]}"]
-    chunks += [f"{column} >= {lo} AND {column} < {hi}" for lo, hi in zip(lits, lits[1:])]
-    chunks.append(f"{column} >= {lits[-1]}")
-    chunks.append(f"{column} IS NULL")
-    return chunks
-
-
-def _key_sample(df: DataFrame, columns: list[str], size: int, seed: int) -> DataFrame:
-    """A seeded sample of about ``size`` rows of ``columns`` (two passes, no shuffle)."""
-    keys = df.select(*columns)
-    total = keys.count()
-    fraction = 1.0 if total == 0 else min(1.0, size / total)
-    return keys.sample(withReplacement=False, fraction=fraction, seed=seed)
-
-
-def _range_lowers(sample: DataFrame, column: str, parts: int) -> list:
-    """Sorted lower bounds of ``parts`` row-balanced ranges of a (small) sample."""
-    if parts < 1:
-        return []
-    lowers = (
-        sample.select(F.col(column).alias("key"))
-        .where(F.col("key").isNotNull())
-        .repartitionByRange(parts, "key")
-        .withColumn("part", F.spark_partition_id())
-        .groupBy("part")
-        .agg(F.min("key").alias("lower"))
-        .collect()
-    )
-    return sorted(r["lower"] for r in lowers)
+    lits = [sql_literal(b, dialect) for b in ordered]
+    if ordered:
+        chunks = [f"{name} < {lits[0]}"]
+        chunks += [f"{name} >= {lo} AND {name} < {hi}" for lo, hi in zip(lits, lits[1:])]
+        chunks.append(f"{name} >= {lits[-1]}")
+    else:
+        chunks = [f"{name} IS NOT NULL"]
+    chunks.append(f"{name} IS NULL")
 
+    def locate() -> Column:
+        return F.when(_named(column).isNull(), F.lit(len(ordered) + 1)).otherwise(
+            _search(_named(column), ordered, 0, len(ordered)))
 
-def derive_chunk_bounds(
-    df: DataFrame,
-    column: str,
-    chunks: int,
-    *,
-    sample_per_chunk: int = 1000,
-    seed: int = 7,
-) -> DataFrame:
-    """Lower bounds of ``chunks`` row-balanced ranges of ``column``.
+    return ChunkList(chunks, covering=True, locate=locate)
 
-    Only a seeded sample of about ``chunks * sample_per_chunk`` keys is
-    shuffled (range-partitioned); the table itself is read twice (a count and
-    the sample, which is checkpointed so the range sketch and the shuffle do
-    not read the table again) and never shuffled. The result has at most
-    ``chunks`` rows ``(part, lower)``; the smallest lower bound is the open start.
+
+def _cumulative(counts: DataFrame, group: list[str], key: str) -> DataFrame:
+    """Adds ``before``: rows of the group with a smaller key.
+
+    ``counts`` has a row per (group, key) with ``n``. Keys are dealt to tasks
+    by range; running sums inside a range get the sum of the ranges before it,
+    so no task sees all keys and the result does not depend on the dealing.
+    """
+    ranged = counts.repartitionByRange(*group, key).withColumn("range", F.spark_partition_id()).checkpoint(eager=True)
+    earlier = Window.partitionBy(*group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*group, "range").agg(F.sum("n").alias("range_n")).withColumn(
+        "first", F.coalesce(F.sum("range_n").over(earlier), F.lit(0))).drop("range_n")
+    # A group may be null (the null key is split like any other).
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*group, "range"]]
+    condition = same[0]
+    for c in same[1:]:
+        condition = condition & c
+    joined = ranged.alias("r").join(sums.alias("s"), condition).select("r.*", "s.first")
+    inside = Window.partitionBy(*group, "range").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    return joined.withColumn("before", F.col("first") + F.coalesce(F.sum("n").over(inside), F.lit(0))).drop("first", "range")
+
+
+def _key_counts(df: DataFrame, column: str) -> DataFrame:
+    """``(key, n)`` over all rows, null key included: one scan, combined before the shuffle."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.groupBy(_named(column).alias("key")).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+
+
+def derive_chunk_bounds(df: DataFrame, column: str, chunks: int, *, exclude: Sequence = ()) -> DataFrame:
+    """Exact lower bounds of ``chunks`` row-balanced ranges of ``column``.
+
+    ``(part, lower)``: a key belongs to part ``floor(rows before it * chunks /
+    rows)``, counting rows with a non-null key (and not in ``exclude``);
+    ``lower`` is the least key of the part. The table is read once. The
+    smallest lower bound is the open start.
     """
     if chunks < 1:
         raise ValueError("chunks must be >= 1")
-    ensure_checkpoint_dir(df.sparkSession)
-    sample = _key_sample(
-        df.where(F.col(column).isNotNull()), [column], chunks * sample_per_chunk, seed
-    ).checkpoint(eager=True)
-    return (
-        sample.select(F.col(column).alias("key"))
-        .repartitionByRange(chunks, "key")
-        .withColumn("part", F.spark_partition_id())
-        .groupBy("part")
-        .agg(F.min("key").alias("lower"))
-    )
+    return _bounds(_key_counts(df, column), chunks, exclude)
+
+
+def _bounds(counts: DataFrame, chunks: int, exclude: Sequence = ()) -> DataFrame:
+    cold = counts.where(F.col("key").isNotNull())
+    if exclude:
+        cold = cold.where(~F.col("key").isin(list(exclude)))
+    total = cold.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    placed = _cumulative(cold.withColumn("all", F.lit(1)), ["all"], "key")
+    part = F.floor(F.col("before") * F.lit(chunks) / F.lit(max(1, total))).cast("int")
+    return placed.groupBy(part.alias("part")).agg(F.min("key").alias("lower"))
 
 
 def derived_chunks(
@@ -126,77 +201,89 @@ def derived_chunks(
     chunks: int,
     *,
     split_column: str | None = None,
-    sample_per_chunk: int = 1000,
-    seed: int = 7,
-) -> list[str]:
+    dialect: str = "spark",
+) -> ChunkList:
     """Balanced half-open chunk predicates for ``column``; every row in exactly one.
 
     Without ``split_column`` a key that holds many rows stays inside one range
-    (a range predicate cannot divide one key value). With it, every key whose
-    share of the sample exceeds one chunk (the null key included) gets its own
-    chunks, split by half-open ranges of ``split_column``, and the ordinary
-    ranges exclude those keys. Only bounded samples and at most a few bound
-    values per chunk reach the driver.
+    (a range predicate cannot divide one key value). With it, every key with
+    more rows than one chunk should have (the null key included) gets its own
+    chunks, split by half-open ranges of ``split_column``, and the range a hot
+    key lies in excludes it. All counts are exact. At most ``chunks`` keys can
+    be hot, and only bounds reach the driver: a few per chunk.
     """
     if chunks < 1:
         raise ValueError("chunks must be >= 1")
+    counts = _key_counts(df, column)
     if split_column is None:
-        lowers = sorted(r["lower"] for r in derive_chunk_bounds(
-            df, column, chunks, sample_per_chunk=sample_per_chunk, seed=seed).collect())
-        return half_open_chunks(column, lowers[1:])
+        lowers = sorted(r["lower"] for r in _bounds(counts, chunks).collect())
+        return half_open_chunks(column, lowers[1:], dialect)
 
-    # Materialised once in the checkpoint folder: the table is scanned twice in
-    # total (count, sample), however many bounds are computed from the sample.
-    ensure_checkpoint_dir(df.sparkSession)
-    sample = _key_sample(df, [column, split_column], chunks * sample_per_chunk, seed).checkpoint(eager=True)
-    sampled = sample.count()
-    per_chunk = max(1, sampled // chunks)
-    # Hot keys hold more sampled rows than one chunk should: at most `chunks` of them.
-    hot = {
-        r["k"]: r["n"]
-        for r in sample.groupBy(F.col(column).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > per_chunk).collect()
-    }
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    per_chunk = max(1, total // chunks)
+    hot = {r["key"]: r["n"] for r in counts.where(F.col("n") > per_chunk).collect()}
     hot_values = sorted(k for k in hot if k is not None)
-    cold = sample.where(F.col(column).isNotNull())
-    if hot_values:
-        cold = cold.where(~F.col(column).isin(hot_values))
-    cold_rows = sampled - sum(hot.values())
-    lowers = _range_lowers(cold, column, max(1, min(chunks, -(-cold_rows // per_chunk))))
-
-    ranges = half_open_chunks(column, lowers[1:])[:-1]  # without its IS NULL chunk
-    if hot_values:
-        excluded = f"{column} NOT IN ({', '.join(sql_literal(v) for v in hot_values)})"
-        ranges = [f"{p} AND {excluded}" for p in ranges]
-
-    def split(key_predicate: str, key_rows, rows: int) -> list[str]:
-        inner = _range_lowers(sample.where(key_rows), split_column, max(1, -(-rows // per_chunk)))
-        return [f"{key_predicate} AND ({p})" for p in half_open_chunks(split_column, inner[1:])]
+    cold_rows = total - sum(hot.values())
+    lowers = sorted(r["lower"] for r in _bounds(
+        counts, max(1, min(chunks, -(-cold_rows // per_chunk))), hot_values).collect())
+
+    name = sql_name(column, dialect)
+    bounds = lowers[1:]
+    ranges = list(half_open_chunks(column, bounds, dialect)[:-1])  # without its IS NULL chunk
+    for value in hot_values:
+        at = sum(b <= value for b in bounds)
+        ranges[at] += f" AND {name} <> {sql_literal(value, dialect)}"
+
+    # One aggregate over the rows of all hot keys, whatever their number.
+    inner: dict = {}
+    if hot:
+        is_hot = _named(column).isin(hot_values) if hot_values else F.lit(False)
+        if None in hot:
+            is_hot = F.coalesce(is_hot, F.lit(False)) | _named(column).isNull()
+        parts = {k: -(-n // per_chunk) for k, n in hot.items()}
+        sizes = F.broadcast(df.sparkSession.createDataFrame(
+            [(k, n, parts[k]) for k, n in hot.items()], counts.select("key", "n").schema.add("parts", "long")
+        ).withColumnsRenamed({"key": "h_key", "n": "h_n"}))  # at most ``chunks`` rows
+        pairs = df.where(is_hot).groupBy(_named(column).alias("key"), _named(split_column).alias("split")).agg(
+            F.count(F.lit(1)).alias("n")).where(F.col("split").isNotNull())
+        placed = _cumulative(pairs, ["key"], "split").join(sizes, F.col("key").eqNullSafe(F.col("h_key")))
+        part = F.floor(F.col("before") * F.col("parts") / F.col("h_n"))
+        for r in placed.groupBy("key", part.alias("part")).agg(F.min("split").alias("lower")).collect():
+            inner.setdefault(r["key"], []).append(r["lower"])
+
+    def split(key_predicate: str, key) -> list[str]:
+        return [f"{key_predicate} AND ({p})"
+                for p in half_open_chunks(split_column, sorted(inner.get(key, []))[1:], dialect)]
 
     result = list(ranges)
     for key in hot_values:
-        result += split(f"{column} = {sql_literal(key)}", F.col(column) == key, hot[key])
+        result += split(f"{name} = {sql_literal(key, dialect)}", key)
     if None in hot:
-        result += split(f"{column} IS NULL", F.col(column).isNull(), hot[None])
+        result += split(f"{name} IS NULL", None)
     else:
-        result.append(f"{column} IS NULL")
-    return result
+        result.append(f"{name} IS NULL")
+    return ChunkList(result, covering=True)
 
 
 def chunk_ids(predicates: Sequence[str]) -> Column:
     """Array of the ids of every chunk the row satisfies (empty when none)."""
     if not predicates:
         raise ValueError("no chunk predicates")
-    matches = F.array(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(predicates)])
-    return F.filter(matches, lambda x: x.isNotNull())
+    locate = getattr(predicates, "locate", None)
+    if locate is not None:
+        return F.array_compact(F.array(locate()))
+    return F.array_compact(F.array(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(predicates)]))
 
 
 def chunk_hits(predicates: Sequence[str]) -> Column:
-    """Number of chunks the row satisfies (int); 1 for every row of a sound list."""
-    total = F.lit(0)
-    for p in predicates:
-        total = total + F.when(F.expr(p), 1).otherwise(0)
-    return total
+    """Number of chunks the row satisfies (int); 1 for every row of a sound list.
+
+    Every predicate is tested as it stands, also those of a ``ChunkList``:
+    this is the check of a list. The sum is flat, so long lists are no deep
+    expression.
+    """
+    tests = F.array(*[F.coalesce(F.expr(p).cast("int"), F.lit(0)) for p in predicates])
+    return F.aggregate(tests, F.lit(0), lambda total, hit: total + hit) if predicates else F.lit(0)
 
 
 def chunked_scan(
@@ -206,13 +293,18 @@ def chunked_scan(
 
     Equal to ``UNION ALL`` of ``df.where(p)`` over the chunks: a row appears
     once per chunk it satisfies. ``chunk_column`` keeps the chunk id.
-    ``None`` predicates mean an unchunked scan.
+    ``None`` predicates mean an unchunked scan, and so does a list in which
+    every row is known to be in exactly one chunk.
     """
-    if predicates is None:
+    if predicates is None or (getattr(predicates, "covering", False) and chunk_column is None):
         return df
     name = chunk_column or "__chunk"
-    exploded = df.withColumn(name, F.explode(chunk_ids(predicates)))
-    return exploded if chunk_column else exploded.drop(name)
+    locate = getattr(predicates, "locate", None)
+    if locate is not None:  # at most one chunk per row
+        found = df.withColumn(name, locate()).where(F.col(name).isNotNull())
+    else:
+        found = df.withColumn(name, F.explode(chunk_ids(predicates)))
+    return found if chunk_column else found.drop(name)
 
 
 def chunk_coverage(df: DataFrame, predicates: Sequence[str]) -> DataFrame:

@@ -3,14 +3,10 @@
 All inputs are file manifests (one row per file, see
 ``sources.listing.file_manifest``). Comparisons are anti/semi joins on the
 relative path or on the partition folder text, which also matches the null
-partition exactly.
-
-File-level joins (one row per file on both sides) are left to Spark's
-shuffle joins. The set of touched partition folders is broadcast: it has one
-row per folder the write produced, and a mirror job only produces folders
-inside its scope, at most (years in range) x (status values) + nulls, a
-bound fixed by the job parameters, not by the data. So a hot partition with
-a great many files is never gathered into one reduce task.
+partition exactly, and on the table name where manifests of several tables
+are united. Which join Spark uses is left to it: manifests and folder lists
+are small, but nothing here proves it. A partition with a great many files
+is split by adaptive execution.
 """
 
 from __future__ import annotations
@@ -24,6 +20,11 @@ from pyspark.sql import functions as F
 PARTITION_KEY = "partition_dir"
 
 
+def _keys(manifest: DataFrame, column: str) -> list[str]:
+    """The column with the table name, where the manifest covers several tables."""
+    return ["table_name", column] if "table_name" in manifest.columns else [column]
+
+
 def partitions_of(manifest: DataFrame, partitions: Sequence[str] = ()) -> DataFrame:
     """Distinct partition folders (with their parsed key values) of a manifest."""
     extra = [c for c in ("table_name", *partitions) if c in manifest.columns]
@@ -32,7 +33,8 @@ def partitions_of(manifest: DataFrame, partitions: Sequence[str] = ()) -> DataFr
 
 def written_files(after: DataFrame, before: DataFrame) -> DataFrame:
     """Files present after a write that were not there before."""
-    return after.join(before.select("rel_path"), "rel_path", "left_anti")
+    keys = _keys(after, "rel_path")
+    return after.join(before.select(*keys), keys, "left_anti")
 
 
 def touched_partitions(after: DataFrame, before: DataFrame, partitions: Sequence[str] = ()) -> DataFrame:
@@ -42,7 +44,7 @@ def touched_partitions(after: DataFrame, before: DataFrame, partitions: Sequence
 
 def new_partitions(after: DataFrame, before: DataFrame, partitions: Sequence[str] = ()) -> DataFrame:
     """Partitions that did not exist before; these need a catalog refresh."""
-    keys = ["table_name", PARTITION_KEY] if "table_name" in after.columns else [PARTITION_KEY]
+    keys = _keys(after, PARTITION_KEY)
     return partitions_of(after, partitions).join(
         before.select(*keys).distinct(), keys, "left_anti"
     )
@@ -54,11 +56,10 @@ def stale_files(after: DataFrame, before: DataFrame) -> DataFrame:
     Limited to touched partitions: a partition the write did not produce
     keeps its files, even when its source rows are gone.
     """
-    touched = written_files(after, before).select(PARTITION_KEY).distinct()
-    return (
-        before.join(F.broadcast(touched), PARTITION_KEY, "left_semi")
-        .join(after.select("rel_path"), "rel_path", "left_anti")
-    )
+    keys = _keys(after, PARTITION_KEY)
+    files = _keys(after, "rel_path")
+    touched = written_files(after, before).select(*keys).distinct()
+    return before.join(touched, keys, "left_semi").join(after.select(*files), files, "left_anti")
 
 
 def orphan_partitions(
@@ -74,11 +75,12 @@ def orphan_partitions(
     its old files stay in place (nothing replaces them). ``in_scope`` is the
     job filter on the partition columns (values as text in a manifest).
     """
-    touched = written_files(after, before).select(PARTITION_KEY).distinct()
+    keys = _keys(after, PARTITION_KEY)
+    touched = written_files(after, before).select(*keys).distinct()
     candidates = partitions_of(after, partitions)
     if in_scope is not None:
         candidates = candidates.where(in_scope)
-    return candidates.join(F.broadcast(touched), PARTITION_KEY, "left_anti")
+    return candidates.join(touched, keys, "left_anti")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -98,12 +100,15 @@ def partition_status(after: DataFrame, before: DataFrame, partitions: Sequence[s
     keep = [c for c in ("table_name", *partitions) if c in after.columns]
     a = after.select("rel_path", PARTITION_KEY, *keep, F.lit(True).alias("in_after"))
     b = before.select(
-        "rel_path", F.col(PARTITION_KEY).alias("b_dir"), *[F.col(c).alias(f"b_{c}") for c in keep],
+        F.col("rel_path").alias("b_path"), F.col(PARTITION_KEY).alias("b_dir"), *[F.col(c).alias(f"b_{c}") for c in keep],
         F.lit(True).alias("in_before"),
     )
     in_after = F.coalesce(F.col("in_after"), F.lit(False))
     in_before = F.coalesce(F.col("in_before"), F.lit(False))
-    joined = a.join(b, "rel_path", "full_outer").select(
+    same = F.col("rel_path") == F.col("b_path")
+    if "table_name" in keep:
+        same = same & (F.col("table_name") == F.col("b_table_name"))
+    joined = a.join(b, same, "full_outer").select(
         F.coalesce(F.col(PARTITION_KEY), F.col("b_dir")).alias(PARTITION_KEY),
         *[F.coalesce(F.col(c), F.col(f"b_{c}")).alias(c) for c in keep],
         in_after.alias("in_after"),

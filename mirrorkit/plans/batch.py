@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import time
 import traceback
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
@@ -198,10 +199,12 @@ def _run_job_once(
         schema = widen(shrink(extracted)).drop(OVERFLOW).schema
         write_started = time.time()
         if staging_root:
-            staged = f"{staging_root.rstrip('/')}/{job.mirror_name}"
-            # Pass 1 lands the extract as is (no exchange); pass 2 compacts it
-            # and converts around its exchange, like the one-pass write.
-            stage_extract(extracted, staged, parts)
+            # A folder per run: batches with one staging root don't meet.
+            staged = f"{staging_root.rstrip('/')}/{job.mirror_name}-{uuid.uuid4().hex[:12]}"
+            # Pass 1 lands the extract as is, one file per task (no exchange,
+            # no partition folders); pass 2 compacts it and converts around
+            # its exchange, like the one-pass write.
+            stage_extract(extracted, staged)
             compact_staged(spark, staged, dest, extracted.schema, parts, before_exchange=shrink,
                            after_exchange=widen, observation=observed, metrics=metrics,
                            drop_after_observe=[OVERFLOW])
@@ -228,7 +231,6 @@ def _run_job_once(
         if catalog_database:
             result.catalog = sync_mirror_table(
                 spark, f"{catalog_database}.{job.mirror_name}", dest, schema, parts,
-                new_partitions=bool(result.new_partitions),
             )
         result.report_seconds = round(time.time() - report_started, 3)
     except Exception as err:  # reported per job; the batch decides to raise

@@ -80,15 +80,19 @@ class MirrorJob:
     def mirror_name(self) -> str:
         return mirror_name(self.table_name)
 
+    @property
+    def restrictions(self) -> tuple["Restriction", ...]:
+        """The active filters, in partition order: year, then status."""
+        found = (
+            Restriction(YEAR_COLUMN, tuple(range(self.years[0], self.years[1] + 1)), self.years) if self.years else None,
+            Restriction(STATUS_COLUMN, self.cur, self.cur) if self.cur is not None else None,
+        )
+        return tuple(r for r in found if r is not None)
+
     @property
     def partitions(self) -> tuple[str, ...]:
-        """Hive partition columns: year, then status, each only when active."""
-        parts = []
-        if self.years is not None:
-            parts.append(YEAR_COLUMN)
-        if self.cur is not None:
-            parts.append(STATUS_COLUMN)
-        return tuple(parts)
+        """Hive partition columns: those with an active filter."""
+        return tuple(r.column for r in self.restrictions)
 
     @property
     def predicate(self) -> Column | None:
@@ -97,37 +101,38 @@ class MirrorJob:
     @property
     def partition_scope(self) -> Column | None:
         """The job filter restated on manifest partition values (text columns)."""
-        active = []
-        if self.years is not None:
-            active.append(F.col(YEAR_COLUMN).cast("int").between(*self.years))
-        if self.cur is not None:
-            active.append(F.col(STATUS_COLUMN).isin(list(self.cur)))
-        return conjunction(active)
+        return conjunction([F.col(r.column).isin([str(v) for v in r.values]) for r in self.restrictions])
 
     @property
     def scope_glob(self) -> str | None:
         """Path glob of the partition folders this job can write, e.g.
         ``taxyr={2023,2024}/cur={D,N,Y}``; ``None`` when the whole table is in
         scope (or a status value is not a plain folder name)."""
-        levels = []
-        if self.years is not None:
-            years = range(self.years[0], self.years[1] + 1)
-            levels.append(f"{YEAR_COLUMN}={{{','.join(str(y) for y in years)}}}")
-        if self.cur is not None:
-            if not all(v.isalnum() for v in self.cur):
-                return None
-            levels.append(f"{STATUS_COLUMN}={{{','.join(sorted(self.cur))}}}")
-        return "/".join(levels) or None
+        return "/".join(g for g in (r.glob() for r in self.restrictions)) if self.restrictions and all(
+            r.plain() for r in self.restrictions) else None
 
     @property
     def description(self) -> str:
         """``table, taxyr=[lo, hi], cur=[Y, N]`` (shown as the Spark job description)."""
-        desc = [self.table_name]
-        if self.years is not None:
-            desc.append(f"{YEAR_COLUMN}=[{self.years[0]}, {self.years[1]}]")
-        if self.cur is not None:
-            desc.append(f"{STATUS_COLUMN}=[{', '.join(self.cur)}]")
-        return ", ".join(desc)
+        return ", ".join((self.table_name, *(r.label() for r in self.restrictions)))
+
+
+@dataclass(frozen=True)
+class Restriction:
+    """An active filter on a partition column: all its values, and how it is shown."""
+
+    column: str
+    values: tuple
+    shown: tuple
+
+    def plain(self) -> bool:
+        return all(str(v).isalnum() for v in self.values)
+
+    def glob(self) -> str:
+        return f"{self.column}={{{','.join(sorted(str(v) for v in self.values))}}}"
+
+    def label(self) -> str:
+        return f"{self.column}=[{', '.join(str(v) for v in self.shown)}]"
 
 
 def _as_year(value, what: str) -> int | None:
@@ -152,6 +157,11 @@ def load_predicates(path: str | Path) -> tuple[str, ...]:
     return tuple(lines)
 
 
+def _as_chunks(predicates: Sequence[str]) -> tuple[str, ...]:
+    """Keeps what a derived list knows about itself."""
+    return predicates if isinstance(predicates, tuple) else tuple(predicates)
+
+
 def job_from_spec(
     name: str,
     spec: Mapping,
@@ -191,11 +201,17 @@ def job_from_spec(
             raise ValueError(f"job {name!r}: cur is empty; use null to disable it")
         cur = tuple(cur)
 
+    sets = predicate_sets or {}
     path = spec.get("predicates_path", DEFAULT_PREDICATES)
     predicates = None
-    if path is not None:
-        sets = predicate_sets or {}
-        predicates = tuple(sets[path]) if path in sets else tuple(predicates_loader(path))
+    if path in sets:
+        predicates = _as_chunks(sets[path])
+    elif "predicates_path" not in spec:
+        # No list ships with the library: keys differ from database to database.
+        log.warning("job %s: no %r chunk list is given, so the table is scanned unchunked; "
+                    "derive one with operators.chunks.derived_chunks", name, DEFAULT_PREDICATES)
+    elif path is not None:
+        predicates = _as_chunks(predicates_loader(path))
 
     definition = (table_definitions or {}).get(mirror_name(table))
     overrides = merge_overrides(global_overrides, definition.schema_overrides if definition else None)
@@ -219,7 +235,7 @@ def derive_job(
     return MirrorJob(
         name, table_name, years,
         DEFAULT_CUR if definition.has_cur else None,
-        tuple(default_predicates) if definition.has_parid and default_predicates else None,
+        _as_chunks(default_predicates) if definition.has_parid and default_predicates else None,
         tuple(overrides.items()),
     )
 
@@ -289,14 +305,14 @@ def global_overrides_from_config(config: Mapping) -> dict[str, str]:
 
 def load_batch_specs(text_or_path: str) -> dict[str, dict]:
     """Job specs (or any config mapping) from a JSON string, a JSON file or a YAML file."""
-    candidate = Path(text_or_path)
-    if len(text_or_path) < 4096 and candidate.suffix in {".yaml", ".yml", ".json"} and candidate.exists():
-        text = candidate.read_text()
-        if candidate.suffix == ".json":
-            return json.loads(text)
-        try:
-            import yaml
-        except ImportError as err:  # pragma: no cover - optional dependency
-            raise RuntimeError("YAML job files need PyYAML") from err
-        return yaml.safe_load(text)
-    return json.loads(text_or_path)
+    suffix = next((x for x in (".yaml", ".yml", ".json") if text_or_path.lower().endswith(x)), None)
+    if suffix is None:
+        return json.loads(text_or_path)
+    text = Path(text_or_path).read_text()  # a missing file says so
+    if suffix == ".json":
+        return json.loads(text)
+    try:
+        import yaml
+    except ImportError as err:  # pragma: no cover - optional dependency
+        raise RuntimeError("YAML job files need PyYAML") from err
+    return yaml.safe_load(text)

@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mirrorkit.functions.columns import log_line_text
@@ -39,6 +39,7 @@ from mirrorkit.operators.reconcile import (
 from mirrorkit.plans.batch import TableSource, run_batch, run_job
 from mirrorkit.plans.job import MirrorJob, job_from_spec, jobs_from_specs
 from mirrorkit.session import work_dir
+from mirrorkit.sinks.parquet import write_mirror
 from mirrorkit.sources.files import read_mirror
 from mirrorkit.sources.listing import file_manifest
 from mirrorkit.sources.logs import read_log_events
@@ -58,6 +59,8 @@ ORDERS_SOURCE_COLUMNS = (
     "CAST(CAST(o_totalprice AS DECIMAL(28,2)) * CASE WHEN o_orderkey % 113 = 0 THEN 1000000 ELSE 1 END "
     "AS DECIMAL(38,10)) AS AMOUNT",
     "o_orderdate AS WHEN_TS",
+    "o_custkey AS CUSTKEY",
+    "o_orderpriority AS ORDERPRIORITY",
 )
 
 LINEITEM_SOURCE_COLUMNS = (
@@ -70,6 +73,9 @@ LINEITEM_SOURCE_COLUMNS = (
     "CAST(l_discount AS DECIMAL(15,2)) AS DISCOUNT",
     "l_returnflag AS RETURNFLAG",
     "l_shipdate AS SHIPDATE",
+    "l_partkey AS PARTKEY",
+    "l_suppkey AS SUPPKEY",
+    "l_tax AS TAX",
 )
 
 EVENTS_SOURCE_COLUMNS = (
@@ -79,6 +85,7 @@ EVENTS_SOURCE_COLUMNS = (
     "CASE WHEN event_type IN ('purchase', 'signup') THEN 'Y' WHEN event_type = 'error' THEN 'D' "
     "ELSE 'N' END AS CUR",
     "event_type AS EVENT_TYPE",
+    "value AS VALUE",
     "props AS PROPS",
 )
 
@@ -88,6 +95,7 @@ CUSTOMER_SOURCE_COLUMNS = (
     "CASE WHEN c_mktsegment = 'BUILDING' THEN 'Y' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'D' "
     "ELSE 'N' END AS CUR",
     "CAST(CAST(c_acctbal AS DECIMAL(28,2)) AS DECIMAL(38,10)) AS ACCTBAL",
+    "c_nationkey AS NATIONKEY",
 )
 
 SUPPLIER_SOURCE_COLUMNS = (
@@ -95,6 +103,7 @@ SUPPLIER_SOURCE_COLUMNS = (
     "s_name AS NAME",
     "CASE WHEN s_acctbal < 0 THEN 'D' ELSE 'Y' END AS CUR",
     "CAST(CAST(s_acctbal AS DECIMAL(28,2)) AS DECIMAL(38,10)) AS ACCTBAL",
+    "s_nationkey AS NATIONKEY",
 )
 
 SOURCES = {
@@ -114,7 +123,7 @@ def source_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_source(spark: SparkSession, sf_dir: str) -> TableSource:
-    names = list(SOURCES) + ["region", "nation", "part"]
+    names = list(SOURCES) + ["region", "nation", "part", "documents", "embeddings"]
     return TableSource({n: (lambda n=n: source_frame(spark, sf_dir, n)) for n in names})
 
 
@@ -129,7 +138,7 @@ SQL_NARROW = "TRY_CAST({c} AS DECIMAL(10,0))"
 ORDERS_NORMALIZED = (
     "PARID AS parid, TAXYR AS taxyr, CUR AS cur, "
     + SQL_NARROW.format(c="AMOUNT") + " AS amount, "
-    + SQL_TS_TEXT.format(c="WHEN_TS") + " AS when_ts"
+    + SQL_TS_TEXT.format(c="WHEN_TS") + " AS when_ts, CUSTKEY AS custkey, ORDERPRIORITY AS orderpriority"
 )
 
 YEAR_NOW = _dt.date.today().year
@@ -195,11 +204,12 @@ NORMALIZED_SQL = {
         "SELECT PARID AS parid, LINENO AS lineno, TAXYR AS taxyr, CUR AS cur, "
         + SQL_NARROW.format(c="QUANTITY") + " AS quantity, "
         + SQL_NARROW.format(c="EXTENDEDPRICE") + " AS extendedprice, DISCOUNT AS discount, "
-        "RETURNFLAG AS returnflag, " + SQL_TS_TEXT.format(c="SHIPDATE") + " AS shipdate FROM lineitem_src"
+        "RETURNFLAG AS returnflag, " + SQL_TS_TEXT.format(c="SHIPDATE") + " AS shipdate, "
+        "PARTKEY AS partkey, SUPPKEY AS suppkey, TAX AS tax FROM lineitem_src"
     ),
     "customer_src": (
         "SELECT PARID AS parid, NAME AS name, CUR AS cur, "
-        + SQL_NARROW.format(c="ACCTBAL") + " AS acctbal FROM customer_src"
+        + SQL_NARROW.format(c="ACCTBAL") + " AS acctbal, NATIONKEY AS nationkey FROM customer_src"
     ),
 }
 
@@ -213,7 +223,8 @@ def _chunked_scan(spark, sf):
 
 
 def _chunked_scan_sql() -> str:
-    cols = "PARID AS parid, TAXYR AS taxyr, CUR AS cur, AMOUNT AS amount, WHEN_TS AS when_ts"
+    cols = ("PARID AS parid, TAXYR AS taxyr, CUR AS cur, AMOUNT AS amount, WHEN_TS AS when_ts, "
+            "CUSTKEY AS custkey, ORDERPRIORITY AS orderpriority")
     parts = [f"SELECT {i} AS chunk, {cols} FROM orders_src WHERE {p}" for i, p in enumerate(INCLUSIVE_CHUNKS)]
     return _with_sources(" UNION ALL ".join(parts), "orders_src")
 
@@ -238,9 +249,22 @@ def _derived_chunks(spark, sf):
 
 
 def _chunk_bounds(spark, sf):
-    predicates = _derived_chunks(spark, sf)
-    rows = [(i, p) for i, p in enumerate(predicates)]
-    return spark.createDataFrame(rows, "chunk int, predicate string")
+    return ch.derive_chunk_bounds(_orders(spark, sf), "PARID", DERIVED_CHUNK_COUNT)
+
+
+def _chunk_bounds_sql() -> str:
+    return _with_sources(
+        "SELECT CAST(before * 8 // total AS INTEGER) AS part, min(key) AS lower FROM ("
+        "SELECT key, sum(n) OVER (ORDER BY key) - n AS before, sum(n) OVER () AS total FROM ("
+        "SELECT PARID AS key, count(*) AS n FROM orders_src WHERE PARID IS NOT NULL GROUP BY PARID)) GROUP BY part",
+        "orders_src")
+
+
+def _coverage_of(column, chunks):
+    """Coverage of a list derived on ``column``: every row in exactly one chunk."""
+    def run(spark, sf):
+        return ch.chunk_coverage(_orders(spark, sf), ch.derived_chunks(_orders(spark, sf), column, chunks))
+    return run
 
 
 def _chunk_coverage_derived(spark, sf):
@@ -262,6 +286,24 @@ def _chunk_counts_hot(spark, sf):
     return ch.chunk_counts(source_frame(spark, sf, "lineitem_src"), _hot_key_chunks(spark, sf))
 
 
+def _chunk_counts_hot_sql() -> str:
+    """Each of the three keys is hot: its chunks are ranges of PARID at exact
+    cumulative counts, then its IS NULL chunk; chunk 0 (no hot key) is empty."""
+    return _with_sources(
+        ", total AS (SELECT count(*) // 8 AS per FROM lineitem_src), "
+        "k AS (SELECT RETURNFLAG AS f, count(*) AS n, (count(*) + per - 1) // per AS parts "
+        "FROM lineitem_src, total GROUP BY RETURNFLAG, per), "
+        "p AS (SELECT RETURNFLAG AS f, PARID, count(*) AS n FROM lineitem_src GROUP BY ALL), "
+        "c AS (SELECT p.f, p.n, (sum(p.n) OVER (PARTITION BY p.f ORDER BY PARID) - p.n) * parts // k.n AS part "
+        "FROM p JOIN k ON p.f = k.f), "
+        "d AS (SELECT f, part, sum(n) AS n, row_number() OVER (PARTITION BY f ORDER BY part) - 1 AS place "
+        "FROM c GROUP BY f, part), "
+        "w AS (SELECT f, 1 + coalesce(sum(count(*) + 1) OVER (ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING "
+        "AND 1 PRECEDING), 0) AS first FROM d GROUP BY f) "
+        "SELECT CAST(first + place AS INTEGER) AS chunk, CAST(n AS BIGINT) AS n FROM d JOIN w ON d.f = w.f",
+        "lineitem_src")
+
+
 # ---------------------------------------------------------------------------
 # Mirrors: write, read back, replace, prune
 # ---------------------------------------------------------------------------
@@ -339,6 +381,104 @@ def _catalog_mirror(spark, sf):
     )
 
 
+def _catalog_mirror_retry(spark, sf):
+    """A run whose catalog refresh never happened (1997), then a run that sees no new folder."""
+    root = work_dir(spark, "catalog-retry")
+    source = table_source(spark, sf)
+
+    def mirror(years, database):
+        job = MirrorJob("retry", "lineitem_src", years, ("Y", "N"), None, tuple(GLOBAL_SCHEMA_OVERRIDES.items()))
+        result = run_job(spark, job, source, root, catalog_database=database)
+        if result.status != "ok":
+            raise RuntimeError(result.error)
+        return job
+
+    mirror((1996, 1996), "default")
+    mirror((1997, 1997), None)
+    job = mirror((1997, 1997), "default")
+    return spark.table(f"default.{job.mirror_name}").groupBy("taxyr", "cur").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _default_predicates_mirror(spark, sf):
+    """The shortest spec: a table name and nothing else."""
+    job = job_from_spec("short", {"table_name": "orders_src"})
+    root, _ = _mirror_orders(spark, sf, job)
+    return read_mirror(spark, f"{root}/{job.mirror_name}", job.partitions).drop("loaded_at")
+
+
+def _pass_through(table):
+    """A table without year, status or chunks, mirrored whole and read back."""
+    def run(spark, sf):
+        job = job_from_spec(table, {"table_name": table, "min_year": None, "max_year": None, "cur": None,
+                                    "predicates_path": None})
+        root = work_dir(spark, "mirror")
+        result = run_job(spark, job, table_source(spark, sf), root)
+        if result.status != "ok":
+            raise RuntimeError(result.error)
+        return read_mirror(spark, f"{root}/{job.mirror_name}", ()).drop("loaded_at")
+    return run
+
+
+def _embeddings_mirror(spark, sf):
+    """Nested values survive: one row per component."""
+    return _pass_through("embeddings")(spark, sf).select(
+        "vec_id", "label", F.posexplode("embedding").alias("place", "component"))
+
+
+def _null_partition_roundtrip(spark, sf):
+    """Unfiltered rows, so null years and statuses become partitions."""
+    path = f"{work_dir(spark, 'mirror')}/nulls"
+    write_mirror(_normalized_orders(spark, sf), path, ("taxyr", "cur"))
+    return read_mirror(spark, path, ("taxyr", "cur"))
+
+
+ROW_CAP = 1000
+
+
+def _row_cap_files(spark, sf):
+    """Files of an unpartitioned mirror with a row cap, and the most rows in one."""
+    path = f"{work_dir(spark, 'mirror')}/capped"
+    write_mirror(_normalized_orders(spark, sf), path, max_rows_per_file=ROW_CAP)
+    rows = read_mirror(spark, path, ()).groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.agg(F.count(F.lit(1)).alias("files"), F.max("n").alias("most"), F.sum("n").alias("n"))
+
+
+def _unpartitioned_files(spark, sf):
+    """An unpartitioned table far below the file size is one file, whatever the cores."""
+    path = f"{work_dir(spark, 'mirror')}/whole"
+    write_mirror(normalize(source_frame(spark, sf, "lineitem_src"), stamp=False), path)
+    rows = read_mirror(spark, path, ()).groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("n"))
+
+
+def _old_dates(spark, sf):
+    """Dates three centuries back keep their calendar value through a mirror."""
+    path = f"{work_dir(spark, 'mirror')}/old"
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    old = orders.select(F.col("o_orderkey").alias("parid"), F.add_months("o_orderdate", -3600).alias("old_date"))
+    write_mirror(old, path)
+    return read_mirror(spark, path, ()).select("parid", F.date_format("old_date", "yyyy-MM-dd").alias("old_date"))
+
+
+def _override_precedence(spark, sf):
+    """Two layers name the amount column, in different case: the later one wins."""
+    overrides = merge_overrides(GLOBAL_SCHEMA_OVERRIDES, {"amount": "STRING"}, {"AMOUNT": "DECIMAL(18,2)"})
+    return normalize(_orders(spark, sf), overrides, stamp=False).select("parid", "amount")
+
+
+def _unpartitioned_replace(spark, sf):
+    """An unpartitioned mirror is replaced whole by the next run."""
+    root = work_dir(spark, "mirror")
+    job = job_from_spec("orders", {"table_name": "orders_src", "min_year": None, "max_year": None, "cur": None,
+                                   "predicates_path": None})
+    for source in (table_source(spark, sf),
+                   TableSource({"orders_src": lambda: _orders(spark, sf).where("TAXYR >= 1998")})):
+        result = run_job(spark, job, source, root)
+        if result.status != "ok":
+            raise RuntimeError(result.error)
+    return read_mirror(spark, f"{root}/{job.mirror_name}", ()).drop("loaded_at")
+
+
 def _compacted_file_counts(spark, sf):
     """Files per Hive partition after compaction: one each, at this scale
     (every partition is far below the split size and the row cap)."""
@@ -367,8 +507,8 @@ RUN_YEARS = {"orders_src": (1997, 2001), "lineitem_src": (1996, 2001)}
 CUR_BY_SOURCE = {"orders_src": DEFAULT_CUR, "lineitem_src": ("Y", "N")}
 
 
-def _publish(spark, sf, table):
-    root = work_dir(spark, "publish")
+def _publish(spark, sf, table, spelling="{root}"):
+    root = spelling.format(root=work_dir(spark, "publish"))
     source = table_source(spark, sf)
     overrides = tuple(GLOBAL_SCHEMA_OVERRIDES.items())
     cur = CUR_BY_SOURCE[table]
@@ -406,8 +546,22 @@ def _stale_partitions(spark, sf):
 
 
 def _stale_files(spark, sf):
+    """Removed files per replaced partition: one each at this scale."""
     before, after, parts = _publish(spark, sf, "orders_src")
-    return stale_files(after, before).select("taxyr", "cur", "rel_path", "length")
+    return stale_files(after, before).groupBy(F.col("taxyr").cast("int").alias("taxyr"), "cur").agg(
+        F.count(F.lit(1)).alias("files"))
+
+
+def _stale_files_sql() -> str:
+    t = "orders_src"
+    run, pub = (_distinct_parts_sql(t, y[t], CUR_BY_SOURCE[t]) for y in (RUN_YEARS, PUBLISHED_YEARS))
+    return _with_sources(f"SELECT taxyr, cur, CAST(1 AS BIGINT) AS files FROM ({run} INTERSECT {pub}) x", t)
+
+
+def _new_partitions_spelled(spark, sf):
+    """The same report when the destination is spelled with doubled and dotted segments."""
+    before, after, parts = _publish(spark, sf, "orders_src", "{root}//one/../two/")
+    return _typed_partitions(new_partitions(after, before, parts))
 
 
 def _orphan_partitions(spark, sf):
@@ -626,6 +780,25 @@ def _log_events(spark, sf):
     return read_log_events(spark, _write_event_log(spark, sf)).select("ts_ms", "message")
 
 
+def _log_event_order(spark, sf):
+    """Position of each event in the sorted log (equal times keep file order)."""
+    events = read_log_events(spark, _write_event_log(spark, sf)).select(
+        F.monotonically_increasing_id().alias("at"), "ts_ms", "message")
+    # The sorted rows are numbered in their order; this report alone gathers them.
+    return events.select((F.row_number().over(Window.orderBy("at")) - 1).cast("bigint").alias("position"), "ts_ms", "message")
+
+
+def _log_event_order_sql() -> str:
+    return (
+        "SELECT row_number() OVER (ORDER BY ts_ms NULLS LAST, event_id) - 1 AS position, ts_ms, message FROM ("
+        "SELECT event_id, epoch_us(ts) // 1000 AS ts_ms, "
+        "trim((CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END) || ' mirrorkit.events: user ' "
+        "|| CAST(user_id AS VARCHAR) || ' ' || event_type || ' ' || coalesce(props, '')) AS message FROM events "
+        "UNION ALL SELECT event_id, NULL, 'Traceback (most recent call last): event ' || CAST(event_id AS VARCHAR) "
+        "FROM events WHERE event_type = 'error') t"
+    )
+
+
 def _log_events_stream(spark, sf):
     """The same log folder shipped by the streaming shipper into a Parquet sink."""
     logs = _write_event_log(spark, sf)
@@ -656,19 +829,13 @@ def _lineitem_mirror(spark, sf, staged=False):
     result = run_job(spark, job, table_source(spark, sf), root, staging_root=staging_root)
     if result.status != "ok":
         raise RuntimeError(result.error)
-    mirror = read_mirror(spark, f"{root}/{job.mirror_name}", job.partitions)
-    return mirror.groupBy("taxyr", "cur").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity")
-    )
+    return read_mirror(spark, f"{root}/{job.mirror_name}", job.partitions).drop("loaded_at")
 
 
 def _lineitem_mirror_sql() -> str:
     return _with_sources(
-        "SELECT TAXYR AS taxyr, CUR AS cur, count(*) AS n, "
-        "CAST(sum(TRY_CAST(QUANTITY AS DECIMAL(10,0))) AS DECIMAL(20,0)) AS quantity FROM lineitem_src "
-        f"WHERE TAXYR BETWEEN 1800 AND {YEAR_NOW} AND CUR IN ('Y', 'N') GROUP BY TAXYR, CUR",
-        "lineitem_src",
-    )
+        NORMALIZED_SQL["lineitem_src"] + f" WHERE TAXYR BETWEEN 1800 AND {YEAR_NOW} AND CUR IN ('Y', 'N')",
+        "lineitem_src")
 
 
 # ---------------------------------------------------------------------------
@@ -701,7 +868,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         _schema_override,
         _with_sources(
             "SELECT PARID AS parid, CAST(TAXYR AS INTEGER) AS taxyr, CUR AS cur, "
-            "CAST(AMOUNT AS DECIMAL(18,2)) AS amount, CAST(WHEN_TS AS VARCHAR) AS when_ts FROM orders_src",
+            "CAST(AMOUNT AS DECIMAL(18,2)) AS amount, CAST(WHEN_TS AS VARCHAR) AS when_ts, "
+            "CUSTKEY AS custkey, ORDERPRIORITY AS orderpriority FROM orders_src",
             "orders_src",
         ),
     ),
@@ -714,7 +882,11 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "chunk_coverage": (lambda s, sf: ch.chunk_coverage(_orders(s, sf), INCLUSIVE_CHUNKS),
                        _coverage_sql(INCLUSIVE_CHUNKS)),
     "chunk_counts": (lambda s, sf: ch.chunk_counts(_orders(s, sf), INCLUSIVE_CHUNKS), _chunk_counts_sql()),
-    "chunk_bounds": (_chunk_bounds, None),
+    "chunk_bounds": (_chunk_bounds, _chunk_bounds_sql()),
+    "chunk_coverage_many": (_coverage_of("PARID", 2000),
+                            _with_sources("SELECT 1 AS hits, count(*) AS n FROM orders_src", "orders_src")),
+    "chunk_coverage_time": (_coverage_of("WHEN_TS", 12),
+                            _with_sources("SELECT 1 AS hits, count(*) AS n FROM orders_src", "orders_src")),
     "chunk_coverage_derived": (
         _chunk_coverage_derived,
         _with_sources("SELECT 1 AS hits, count(*) AS n FROM orders_src", "orders_src"),
@@ -723,7 +895,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         _chunk_coverage_hot,
         _with_sources("SELECT 1 AS hits, count(*) AS n FROM lineitem_src", "lineitem_src"),
     ),
-    "chunk_counts_hot": (_chunk_counts_hot, None),
+    "chunk_counts_hot": (_chunk_counts_hot, _chunk_counts_hot_sql()),
     "mirror_roundtrip": (
         _mirror_roundtrip,
         _filtered_sql(f"TAXYR BETWEEN 1996 AND 2000 AND CUR IN {CUR_SQL}"),
@@ -751,10 +923,38 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
             "orders_src",
         ),
     ),
+    "catalog_mirror_retry": (
+        _catalog_mirror_retry,
+        _with_sources(
+            "SELECT TAXYR AS taxyr, CUR AS cur, count(*) AS n FROM lineitem_src "
+            "WHERE TAXYR BETWEEN 1996 AND 1997 AND CUR IN ('Y', 'N') GROUP BY TAXYR, CUR", "lineitem_src"),
+    ),
+    "default_predicates_mirror": (
+        _default_predicates_mirror, _filtered_sql(f"TAXYR BETWEEN 1800 AND {YEAR_NOW} AND CUR IN {CUR_SQL}")),
+    "documents_mirror": (_pass_through("documents"), "SELECT * FROM documents"),
+    "embeddings_mirror": (
+        _embeddings_mirror,
+        "SELECT vec_id, label, CAST(place - 1 AS INTEGER) AS place, embedding[place] AS component FROM ("
+        "SELECT vec_id, label, embedding, unnest(generate_series(1, len(embedding))) AS place FROM embeddings) t"),
+    "null_partition_roundtrip": (_null_partition_roundtrip, _filtered_sql(None)),
+    "row_cap_files": (
+        _row_cap_files,
+        f"SELECT (count(*) + {ROW_CAP} - 1) // {ROW_CAP} AS files, least(count(*), {ROW_CAP}) AS most, count(*) AS n "
+        "FROM orders"),
+    "unpartitioned_files": (_unpartitioned_files, "SELECT CAST(1 AS BIGINT) AS files, count(*) AS n FROM lineitem"),
+    "old_dates": (
+        _old_dates,
+        "SELECT o_orderkey AS parid, strftime(CAST(o_orderdate AS DATE) - INTERVAL 300 YEAR, '%Y-%m-%d') AS old_date "
+        "FROM orders"),
+    "override_precedence": (
+        _override_precedence,
+        _with_sources("SELECT PARID AS parid, CAST(AMOUNT AS DECIMAL(18,2)) AS amount FROM orders_src", "orders_src")),
+    "unpartitioned_replace": (_unpartitioned_replace, _filtered_sql("TAXYR >= 1998")),
     "touched_partitions": (_touched_partitions, _reconcile_sql("touched")),
     "new_partitions": (_new_partitions, _reconcile_sql("new")),
     "stale_partitions": (_stale_partitions, _reconcile_sql("stale")),
-    "stale_files": (_stale_files, None),
+    "stale_files": (_stale_files, _stale_files_sql()),
+    "new_partitions_spelled": (_new_partitions_spelled, _reconcile_sql("new")),
     "new_partitions_all": (_new_partitions_all, _new_partitions_all_sql()),
     "orphan_partitions": (_orphan_partitions, _orphan_partitions_sql()),
     "partition_status": (_partition_status, _partition_status_sql()),
@@ -762,6 +962,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "batch_summary": (_batch_summary, _batch_summary_sql()),
     "definition_check": (_definition_check, _definition_check_sql()),
     "log_events": (_log_events, _log_events_sql()),
+    "log_event_order": (_log_event_order, _log_event_order_sql()),
     "log_events_stream": (_log_events_stream, _log_events_sql()),
     "lineitem_mirror": (_lineitem_mirror, _lineitem_mirror_sql()),
     "lineitem_staged_mirror": (lambda s, sf: _lineitem_mirror(s, sf, staged=True), _lineitem_mirror_sql()),

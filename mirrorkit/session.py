@@ -10,6 +10,7 @@ its own.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,13 +23,20 @@ MIRROR_SESSION_DEFAULTS = {
     # Split a hot Hive partition over several writer tasks instead of one.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Shuffle bytes above which a Hive partition is split: the target size of
-    # compacted files (coalescing still favours parallelism, its default).
+    # compacted files.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # Many initial reducers, merged back by adaptive coalescing: a small Hive
     # partition rarely shares a reducer with a hot one, so it is rarely split
     # along with it. A floor; size it to about extract size / 256 MB at scale.
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1024",
+    # Merge small writer tasks up to that size rather than keep one per core.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # Concurrent jobs of a batch share the executors.
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.session.timeZone": "UTC",
+    # JDBC drivers and log clocks count in the JVM's zone: keep all in one.
+    "spark.driver.extraJavaOptions": "-Duser.timezone=UTC",
+    "spark.executor.extraJavaOptions": "-Duser.timezone=UTC",
     # Old dates (before 1900) must keep their calendar value.
     "spark.sql.parquet.int96RebaseModeInRead": "CORRECTED",
     "spark.sql.parquet.int96RebaseModeInWrite": "CORRECTED",
@@ -68,7 +76,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif re.match(r"local(\[|$)", sc.master):
         # Nothing configured and one machine only: a local run or a test.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="mirror-checkpoint-"))
     else:

@@ -2,9 +2,9 @@
 
 The table is external (``LOCATION`` is the mirror folder), so dropping and
 re-creating its definition never touches data. ``sync_mirror_table`` creates
-the table, re-creates it when the mirror's column types changed, and makes
-new partitions visible (``RECOVER PARTITIONS``) and cached listings fresh
-(``REFRESH TABLE``).
+the table, re-creates it when the mirror's column types changed, adds the
+partition folders the catalog lacks (``ADD PARTITION``) and makes cached
+listings fresh (``REFRESH TABLE``).
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from mirrorkit.sources.listing import qualified_path
+from mirrorkit.sources.listing import file_manifest, qualified_path
 
 
 def _quote(name: str) -> str:
@@ -47,11 +48,27 @@ def create_mirror_table(
     )
 
 
-def refresh_mirror_table(spark: SparkSession, name: str, partitioned: bool) -> None:
-    """Make partitions written since the last refresh queryable."""
-    if partitioned:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+def _partition_spec(row, partitions: Sequence[str]) -> str:
+    def value(v) -> str:
+        return "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return "(" + ", ".join(f"{_quote(p)} = {value(row[p])}" for p in partitions) + ")"
+
+
+def missing_partitions(spark: SparkSession, name: str, path: str, partitions: Sequence[str]) -> list:
+    """Partition folders of the mirror that the catalog does not know, whoever wrote them."""
+    folders = file_manifest(spark, path, partitions).select("partition_dir", *partitions).distinct()
+    known = spark.sql(f"SHOW PARTITIONS {name}").select(F.col("partition").alias("partition_dir"))
+    return folders.join(known, "partition_dir", "left_anti").orderBy("partition_dir").collect()
+
+
+def refresh_mirror_table(spark: SparkSession, name: str, path: str, partitions: Sequence[str]) -> int:
+    """Add the partitions the catalog lacks and drop cached listings; return how many were added."""
+    missing = missing_partitions(spark, name, path, partitions) if partitions else []
+    for at in range(0, len(missing), 100):
+        specs = " ".join(f"PARTITION {_partition_spec(r, partitions)}" for r in missing[at : at + 100])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
     spark.sql(f"REFRESH TABLE {name}")
+    return len(missing)
 
 
 def sync_mirror_table(
@@ -60,13 +77,12 @@ def sync_mirror_table(
     path: str,
     schema: StructType,
     partitions: Sequence[str] = (),
-    *,
-    new_partitions: bool = True,
 ) -> str:
     """Bring the catalog entry in line with the mirror; return what was done.
 
     ``"created"``, ``"replaced"`` (column names, types or location changed),
-    ``"refreshed"`` (new partitions) or ``"unchanged"``.
+    ``"refreshed"`` (partitions added) or ``"unchanged"``. What is missing is
+    asked of the catalog, so a refresh that failed is made good by the next.
     """
     wanted = [(f.name, f.dataType.simpleString()) for f in _ordered_fields(schema, partitions)]
     if spark.catalog.tableExists(name):
@@ -74,13 +90,10 @@ def sync_mirror_table(
         if current != wanted or _location(spark, name) != qualified_path(spark, path):
             spark.sql(f"DROP TABLE {name}")  # external: the files stay
             action = "replaced"
-        elif new_partitions:
-            refresh_mirror_table(spark, name, bool(partitions))
-            return "refreshed"
         else:
-            return "unchanged"
+            return "refreshed" if refresh_mirror_table(spark, name, path, partitions) else "unchanged"
     else:
         action = "created"
     create_mirror_table(spark, name, path, schema, partitions)
-    refresh_mirror_table(spark, name, bool(partitions))
+    refresh_mirror_table(spark, name, path, partitions)
     return action

@@ -26,8 +26,19 @@ from mirrorkit.functions.fixed import (
 from mirrorkit.sources.files import read_mirror
 
 
+_PARALLELISM_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+
+
 def compacted(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """The frame behind one exchange that groups each Hive partition together."""
+    """The frame behind one exchange that groups each Hive partition together.
+
+    Without partition columns, tasks are merged up to the advisory size. Spark
+    would otherwise keep one task (and so one small file) per core; that
+    preference is switched off for the session unless it is set already.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_PARALLELISM_FIRST, None) is None:
+        conf.set(_PARALLELISM_FIRST, "false")
     return df.hint("rebalance", *partitions)
 
 
@@ -75,11 +86,12 @@ def write_mirror(
     writer.parquet(path)
 
 
-def stage_extract(df: DataFrame, path: str, partitions: Sequence[str] = (), **kwargs) -> None:
-    """First pass of a two-pass mirror: each task writes its own snappy files
-    (no exchange), replacing the whole staging folder."""
+def stage_extract(df: DataFrame, path: str, **kwargs) -> None:
+    """First pass of a two-pass mirror: each task writes one snappy file (more
+    beyond the row cap), without exchange or partition folders, replacing the
+    whole staging folder."""
     write_mirror(
-        df, path, partitions,
+        df, path, (),
         compression=STAGED_COMPRESSION, compact=False, replace_touched_only=False, **kwargs,
     )
 
@@ -93,5 +105,5 @@ def compact_staged(
     **kwargs,
 ) -> None:
     """Second pass: read staged files with an explicit schema, write compacted files."""
-    staged = read_mirror(spark, staged_path, partitions, schema=schema)
+    staged = read_mirror(spark, staged_path, (), schema=schema)
     write_mirror(staged.select(*[source_column(n) for n in schema.fieldNames()]), dest, partitions, **kwargs)

@@ -32,6 +32,23 @@ def jdbc_properties(
     return props
 
 
+def check_time_zone(spark: SparkSession) -> None:
+    """Fail where timestamps would be shifted.
+
+    A database's wall-clock timestamp becomes an instant in the zone of the
+    JVM that reads it, and text again in the session's zone. ``build_session``
+    starts driver and executors in the session's zone; a session made
+    otherwise must do the same (``-Duser.timezone``).
+    """
+    session = spark.conf.get("spark.sql.session.timeZone")
+    zones = spark.sparkContext._jvm.java.util.TimeZone
+    host = zones.getDefault()
+    if not host.hasSameRules(zones.getTimeZone(session)):
+        raise RuntimeError(
+            f"the JVM's time zone {host.getID()} differs from the session's {session}: timestamps read over JDBC "
+            "would be shifted; start driver and executors with -Duser.timezone set to the session's zone")
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -48,6 +65,7 @@ def read_jdbc(
     lose them; check a list with ``operators.chunks.chunk_coverage`` first.
     Without predicates the scan is one partition.
     """
+    check_time_zone(spark)
     props = jdbc_properties(properties, overrides, fetch_size)
     if predicates is not None:
         if any(not p.strip() for p in predicates):

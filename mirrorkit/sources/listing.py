@@ -2,16 +2,18 @@
 
 The ``binaryFile`` source lists files in parallel (many folders are listed
 by a Spark job) and, with only ``path``, ``length`` and ``modificationTime``
-selected, never opens a file. The manifest is therefore cheap even for a
-table of hundreds of thousands of files, and it works the same on a local
-folder and on an object-store URI.
+selected, never opens a file. It works the same on a local folder and on an
+object-store URI. Spark holds the list of files (names and sizes, not their
+content) on the driver, as it does for every file scan.
 """
 
 from __future__ import annotations
 
+import posixpath
 import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -62,6 +64,14 @@ def qualified_path(spark: SparkSession, path: str) -> str:
     return str(fs.makeQualified(hadoop_path).toString()).rstrip("/")
 
 
+def canonical_path(spark: SparkSession, path: str) -> str:
+    """``qualified_path`` with ``.`` and ``..`` segments resolved and doubled slashes gone."""
+    qualified = qualified_path(spark, path)
+    scheme = re.match(_SCHEME, qualified)
+    head = scheme.group(0) if scheme else ""
+    return head + "/" + posixpath.normpath(qualified[len(head):] or "/").lstrip("/")
+
+
 def list_files(
     spark: SparkSession, root: str, glob: str = "*.parquet", within: str | None = None
 ) -> DataFrame:
@@ -72,9 +82,13 @@ def list_files(
     folders matching a path glob below ``root`` (e.g. ``taxyr={2023,2024}``).
     An absent root, or no matching folder, lists as empty.
     """
+    empty = spark.createDataFrame([], MANIFEST_SCHEMA)
     if not path_exists(spark, root):
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    target = f"{root.rstrip('/')}/{within}" if within else root
+        return empty
+    # One spelling of the root, as the listing reports it: absolute, with
+    # scheme, without doubled or dotted segments.
+    root = canonical_path(spark, root)
+    target = f"{root}/{within}" if within else root
     try:
         files = (
             spark.read.format("binaryFile")
@@ -83,15 +97,18 @@ def list_files(
             .load(target)
             .select("path", "length", F.col("modificationTime").alias("modified"))
         )
-    except Exception as err:
-        if "PATH_NOT_FOUND" in str(err) or "does not exist" in str(err):
-            return spark.createDataFrame([], MANIFEST_SCHEMA)
-        raise
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":  # e.g. no such container: an error, not an empty folder
+            raise
+        return empty
     prefix = path_part(root) + "/"
     local = F.regexp_replace(F.col("path"), _SCHEME, "")
-    rel = F.when(local.startswith(prefix), F.substring(local, len(prefix) + 1, 1 << 30))
+    outside = F.raise_error(F.concat(F.lit(f"listed file is not under {root}: "), F.col("path"))).cast("string")
+    rel = F.when(local.startswith(prefix), F.expr("substring(local, prefix_length + 1)")).otherwise(outside)
     return (
-        files.withColumn("rel_path", rel)
+        files.withColumn("local", local)
+        .withColumn("prefix_length", F.lit(len(prefix)))
+        .withColumn("rel_path", rel)
         .withColumn("partition_dir", F.regexp_extract(F.col("rel_path"), r"^(.*)/[^/]*$", 1))
         .select(*MANIFEST_SCHEMA.fieldNames())
     )

@@ -3,18 +3,26 @@
 A log line is ``<yyyy-MM-dd_HH:mm:ss.SSS> <rest>``: the first space splits
 the time from the message. Lines whose first word is not a time (a traceback,
 a wrapped message) are kept with a null time instead of failing the run.
+White space of any kind at the ends of a message is dropped, and lines of
+nothing else. Times are wall clock; ``zone`` names the clock's time zone
+(default: the session's).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mirrorkit.functions.columns import log_line_time_ms
 
 
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def parse_log_lines(
-    lines: DataFrame, text_column: str = "value", *, line_numbers: bool = True, keep: tuple[str, ...] = ()
+    lines: DataFrame, text_column: str = "value", *, line_numbers: bool = True, keep: tuple[str, ...] = (),
+    zone: str | None = None,
 ) -> DataFrame:
     """``(line_no, ts_ms, message, *keep)`` from a frame of raw lines (blank lines dropped).
 
@@ -22,15 +30,16 @@ def parse_log_lines(
     order), so sorting on ``(ts_ms, line_no)`` keeps equal times in file order.
     """
     parts = F.split(F.col(text_column), " ", 2)
-    ts_ms = log_line_time_ms(parts.getItem(0))
-    message = F.when(ts_ms.isNotNull(), F.trim(parts.getItem(1))).otherwise(F.trim(F.col(text_column)))
+    ts_ms = log_line_time_ms(parts.getItem(0), zone)
+    message = F.when(ts_ms.isNotNull(), _stripped(F.coalesce(parts.getItem(1), F.lit("")))).otherwise(
+        _stripped(F.col(text_column)))
     cols = [ts_ms.alias("ts_ms"), message.alias("message"), *keep]
     if line_numbers:
         cols.insert(0, F.monotonically_increasing_id().alias("line_no"))
-    return lines.where(F.length(F.trim(F.col(text_column))) > 0).select(*cols)
+    return lines.where(F.col(text_column).rlike(r"\S")).select(*cols)
 
 
-def read_log_events(spark: SparkSession, path: str) -> DataFrame:
+def read_log_events(spark: SparkSession, path: str, zone: str | None = None) -> DataFrame:
     """Events of the log file(s) at ``path``, sorted by time.
 
     Equal times keep file order: file, then split offset, then position in
@@ -42,7 +51,7 @@ def read_log_events(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block_start"),
     )
-    events = parse_log_lines(lines, keep=("source_file", "block_start"))
+    events = parse_log_lines(lines, keep=("source_file", "block_start"), zone=zone)
     return events.orderBy(
         F.col("ts_ms").asc_nulls_last(), "source_file", "block_start", "line_no"
     ).drop("block_start")

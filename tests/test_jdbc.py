@@ -67,7 +67,7 @@ def test_full_and_chunked_scan(spark, derby):
 
 def test_custom_schema_and_fetch_size(spark, derby):
     p = jdbc_properties(props(), GLOBAL_SCHEMA_OVERRIDES)
-    assert p["fetchsize"] == "10000" and p["customSchema"] == "deactivat STRING, taxyr INTEGER"
+    assert p["fetchsize"] == "10000" and p["customSchema"] == "`deactivat` STRING, `taxyr` INTEGER"
     df = read_jdbc(spark, derby, "SRC.PARCEL", properties=props(), overrides=GLOBAL_SCHEMA_OVERRIDES)
     types = {f.name.lower(): f.dataType.simpleString() for f in df.schema.fields}
     assert types["taxyr"] == "int" and types["deactivat"] == "string"

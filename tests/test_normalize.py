@@ -63,7 +63,7 @@ def test_overrides_exempt_columns_case_insensitive_and_missing_ignored(spark):
 def test_override_precedence_table_beats_global():
     merged = merge_overrides({"deactivat": "STRING", "taxyr": "INTEGER"}, {"TAXYR": "STRING"})
     assert merged == {"deactivat": "STRING", "taxyr": "STRING"}
-    assert overrides_ddl(merged) == "deactivat STRING, taxyr STRING"
+    assert overrides_ddl(merged) == "`deactivat` STRING, `taxyr` STRING"
 
 
 def test_timestamp_override_to_string_keeps_cast_text(spark):
