@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mirrorkit.session import work_dir
+from mirrorkit.sources.listing import delete_path
+
+#: Folders of the tables written in this process, oldest first.
+_MADE: list[str] = []
 
 
 def written(df: DataFrame, purpose: str, codec: str = "zstd") -> DataFrame:
@@ -16,10 +20,25 @@ def written(df: DataFrame, purpose: str, codec: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = work_dir(spark, purpose)
+    _MADE.append(path)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tables_made() -> int:
+    return len(_MADE)
+
+
+def made_since(mark: int) -> list[str]:
+    return _MADE[mark:]
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediate tables whose readers are done."""
+    for path in paths:
+        delete_path(spark, path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
