@@ -353,8 +353,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     large = classes.filter(F.col("n") >= least).select("row")
     tokens = only(rows.filter(F.col("n") >= least), large, "row").select(
         "doc_id", "n", "light", F.posexplode("prefix").alias("pos", "token"))
-    twice = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token"), "jaccard-lists")
-    posts = written(only(tokens, twice, "token"), "jaccard-posts")
+    lists = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "jaccard-lists")
+    few = lists.count() <= BROADCAST_IDS
+    posts = written(tokens.join(F.broadcast(lists) if few else lists, "token"), "jaccard-posts")
     centres = posts.groupBy("token").agg(F.min(F.struct(
         (F.col("light") / F.col("n")).alias("share"), "doc_id", "n", "pos")).alias("centre")).select(
         "token", F.col("centre.doc_id").alias("centre"), F.col("centre.n").alias("n_b"), F.col("centre.pos").alias("pos_b"))
@@ -369,7 +370,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = written(linked(star, text, sketches).unionByName(small_links), "jaccard-links")
 
     merged = written(components(links), "jaccard-merged")
-    known = posts.join(merged, F.col("doc_id") == F.col("vertex"), "left").select(
+    # A list of two is done: its only pair has been compared.
+    known = posts.filter("c > 2").join(merged, F.col("doc_id") == F.col("vertex"), "left").select(
         "token", "doc_id", "n", "pos", F.coalesce("component", "doc_id").alias("part"))
     per_part = known.groupBy("token", "part").agg(F.count(F.lit(1)).alias("c"))
     mixed = per_part.groupBy("token").agg(
