@@ -234,7 +234,7 @@ def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector
         return df.sparkSession.createDataFrame([], out)
     ppm = min(1_000_000, 1_000_000 * MAX_SAMPLE // total)
     sample = vecs.filter(F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(1_000_000)) < ppm).limit(2 * MAX_SAMPLE).select("vec")
-    tree = fit_tree(np.array([r["vec"] for r in sample.toLocalIterator()], dtype=float).reshape(-1, len(vecs.first()["vec"])), total)
+    tree = fit_tree(np.stack(sample.toPandas()["vec"].to_numpy()), total)
     indexed = written(vecs.mapInArrow(lambda it: _index(it, tree), "vec_id bigint, vec array<double>, leaf bigint"), "ann-index")
 
     asks = indexed.filter(is_query).select("vec_id", "vec")
