@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,24 @@ def written(df: DataFrame, purpose: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_OWNER: str | None = None
+_CACHES: dict = {}
+
+
+def worker_caches(owner: str) -> dict:
+    """What an operator keeps in a Python worker between tasks.
+
+    Workers outlive tasks and serve one operator after another; what the
+    former operator kept is dropped when the next one starts.
+    """
+    global _OWNER
+    if owner != _OWNER:
+        _CACHES.clear()
+        gc.collect()
+        _OWNER = owner
+    return _CACHES
+
+
 def tables_made() -> int:
     return len(_MADE)
 

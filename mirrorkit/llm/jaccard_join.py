@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mirrorkit.llm.common import written
+from mirrorkit.llm.common import worker_caches, written
 from mirrorkit.llm.components import components
 
 WORDS = 5
@@ -68,17 +68,18 @@ _RNG = np.random.default_rng(5)
 _BYTES = _RNG.integers(1, _M64, 256, dtype=np.uint64)
 _BASE = int(_RNG.integers(1 << 40, 1 << 62)) | 5
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
-def _powers(n: int) -> list[np.ndarray]:
-    if len(_POWERS[0]) < n:
-        n = 1 << (n - 1).bit_length()
-        for i, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(n, base, dtype=np.uint64)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    caches = worker_caches("jaccard")
+    if len(caches.get("powers", ((),))[0]) < n:
+        made = []
+        for base in (_BASE, _INVERSE):
+            steps = np.full(n + n // 8, base, dtype=np.uint64)
             steps[0] = 1
-            _POWERS[i] = np.cumprod(steps, dtype=np.uint64)
-    return _POWERS
+            made.append(np.cumprod(steps, dtype=np.uint64))
+        caches["powers"] = tuple(made)
+    return caches["powers"]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mirrorkit.llm.common import written
+from mirrorkit.llm.common import worker_caches, written
 
 LENGTH = 200
 GRAM = 48
@@ -63,37 +63,41 @@ _M64 = (1 << 64) - 1
 class Rolling:
     """Polynomial names of substrings modulo 2**64, from one running sum.
 
-    Bytes are mapped to random odd-free 64-bit values first; the base is odd,
-    so its powers have inverses.
+    Bytes are mapped to random 64-bit values first; the base is odd, so its
+    powers have inverses.
     """
 
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
+        self.seed = seed
         self.values = rng.integers(1, _M64, 256, dtype=np.uint64)
         self.base = int(rng.integers(1 << 40, 1 << 62)) | 5
-        self.powers = np.ones(1, dtype=np.uint64)
-        self.inverses = np.ones(1, dtype=np.uint64)
-
-    def _upto(self, n: int) -> None:
-        if len(self.powers) < n:
-            n = 1 << (n - 1).bit_length()
-            for name, base in (("powers", self.base), ("inverses", pow(self.base, -1, 1 << 64))):
-                steps = np.full(n, base, dtype=np.uint64)
+
+    def _powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        caches = worker_caches("lpf")
+        if self.seed not in caches or len(caches[self.seed][0]) < n:
+            made = []
+            for base in (self.base, pow(self.base, -1, 1 << 64)):
+                steps = np.full(n + n // 8, base, dtype=np.uint64)
                 steps[0] = 1
-                setattr(self, name, np.cumprod(steps, dtype=np.uint64))
+                made.append(np.cumprod(steps, dtype=np.uint64))
+            caches[self.seed] = tuple(made)
+        return caches[self.seed]
 
     def sums(self, data: np.ndarray) -> np.ndarray:
-        self._upto(len(data) + 1)
+        powers, _ = self._powers(len(data) + 1)
         out = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(self.values[data] * self.powers[: len(data)], out=out[1:])
+        np.cumsum(self.values[data] * powers[: len(data)], out=out[1:])
         return out
 
     def names(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((sums[end] - sums[start]) * self.inverses[start])
+        _, inverses = self._powers(len(sums))
+        return mix((sums[end] - sums[start]) * inverses[start])
 
     def names_of_length(self, sums: np.ndarray, length: int) -> np.ndarray:
+        _, inverses = self._powers(len(sums))
         n = len(sums) - length
-        return mix((sums[length:] - sums[:n]) * self.inverses[:n])
+        return mix((sums[length:] - sums[:n]) * inverses[:n])
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mirrorkit.llm.common import written
+from mirrorkit.llm.common import worker_caches, written
 
 CAPACITY = 2048
 SLACK = 64
@@ -130,14 +130,12 @@ class WordTokenizer(dict):
         return ids if sys.byteorder == "little" else np.frombuffer(ids, "=u4").astype("<u4").tobytes()
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
-
-
 def tokenizer(path: str) -> WordTokenizer:
     """One tokenizer (and word cache) per Python worker."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
-    return _TOKENIZERS[path]
+    caches = worker_caches("packing")
+    if path not in caches:
+        caches[path] = WordTokenizer(path)
+    return caches[path]
 
 
 def _fill(batches: Iterator[pa.RecordBatch], path: str, capacity: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:

@@ -39,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mirrorkit.llm.common import worker_caches
+
 MAX_LABELLED = 15_000
 MAX_FEATURES = 100_000
 MIN_DOCS = 4
@@ -229,6 +231,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col:
 
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_caches("toxicity")
     counts: tuple[Counter, Counter] = (Counter(), Counter())
     schema = pa.schema([("feature", pa.string()), ("toxic", pa.int32()), ("n", pa.int64())])
     cache: dict[bytes, set[str]] = {}
@@ -242,12 +245,12 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             found = set()
             for token in set((text or b"").split()):
                 if token not in cache:
-                    if len(cache) > 200_000:
+                    if len(cache) > 40_000:
                         cache.clear()
                     cache[token] = features(token)
                 found |= cache[token]
             counts[toxic].update(found)
-        if len(counts[0]) + len(counts[1]) > 400_000:
+        if len(counts[0]) + len(counts[1]) > 250_000:
             yield out()
             counts = (Counter(), Counter())
     if counts[0] or counts[1]:
@@ -337,6 +340,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: ChainField) -> Iterator[pa.RecordBatch]:
+    worker_caches("toxicity")
     obs = Observations(model.lexicon)
     none = model.score([])
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
