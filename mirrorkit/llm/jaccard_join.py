@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mirrorkit.llm.common import worker_caches, written
+from mirrorkit.llm.common import map_batches, worker_caches, written
 from mirrorkit.llm.components import components
 
 WORDS = 5
@@ -141,15 +141,14 @@ def _shingles(texts: list[bytes], k: int) -> list[np.ndarray]:
 def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of about a megabyte of text."""
     for batch in batches:
-        texts = [t or b"" for t in batch.column("text").to_pylist()]
-        start, size = 0, 0
-        for i, t in enumerate(texts):
-            size += len(t)
-            if size > 1 << 20:
-                yield batch.slice(start, i + 1 - start), texts[start : i + 1]
-                start, size = i + 1, 0
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        column = batch.column("text")
+        texts, start, size = [], 0, 0
+        for i in range(batch.num_rows):
+            texts.append(column[i].as_py() or b"")
+            size += len(texts[-1])
+            if size > 1 << 20 or i == batch.num_rows - 1:
+                yield batch.slice(start, i + 1 - start), texts
+                texts, start, size = [], i + 1, 0
 
 
 def _fingerprint(s: np.ndarray) -> tuple[int, int]:
@@ -194,10 +193,10 @@ def _local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 seen.add(f)
                 pending.append(s)
                 size += len(s)
-        if size > 1_000_000:
+        if size > 600_000:
             kept = merge(kept, pending)
             pending, size, least = [], 0, 1
-            while len(kept[0]) > 2_000_000:  # bounds memory; the rarest go first
+            while len(kept[0]) > 1_200_000:  # bounds memory; the rarest go first
                 often = kept[1] > least
                 kept, least = (kept[0][often], kept[1][often]), least + 1
     if pending:
@@ -304,7 +303,7 @@ def linked(pairs: DataFrame, text: DataFrame, sketches: DataFrame) -> DataFrame:
         "a", "b", "n", "m", "x", "y").mapInArrow(_may_link, "a bigint, b bigint").distinct(), "jaccard-promising")
     ids = written(promising.select(F.col("a").alias("doc_id")).unionByName(
         promising.select(F.col("b").alias("doc_id"))).distinct(), "jaccard-ids")
-    sets = written(only(text, ids).mapInArrow(_sets, "doc_id bigint, tokens binary"), "jaccard-verify")
+    sets = written(map_batches(only(text, ids), _sets, "doc_id bigint, tokens binary"), "jaccard-verify")
     return _joined(promising, sets, {"tokens": "x"}, {"tokens": "y"}).select("a", "b", "x", "y").mapInArrow(
         _verify, "a bigint, b bigint").distinct()
 
@@ -318,12 +317,12 @@ def only(rows: DataFrame, wanted: DataFrame, column: str = "doc_id") -> DataFram
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (least id reachable by links)."""
     text = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    heavy = text.mapInArrow(_local_counts, "token bigint, n bigint").groupBy("token").agg(
+    heavy = map_batches(text, _local_counts, "token bigint, n bigint").groupBy("token").agg(
         F.sum("n").alias("n")).filter(F.col("n") >= HEAVY).orderBy(F.desc("n"), "token").limit(MAX_HEAVY).select("token")
     heavy_set = np.sort(heavy.toPandas()["token"].to_numpy(dtype=np.int64).view(np.uint64))
     shared = text.sparkSession.sparkContext.broadcast(heavy_set)
-    rows = written(text.mapInArrow(
-        lambda it: _prefixes(it, shared.value),
+    rows = written(map_batches(
+        text, lambda it: _prefixes(it, shared.value),
         "doc_id bigint, n bigint, f1 bigint, f2 bigint, light bigint, prefix array<bigint>, sketch binary").withColumn(
         "row", F.monotonically_increasing_id()), "jaccard-sets")
 
@@ -337,8 +336,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     boundary = choose_boundary(sizes)
 
     small_ids = classes.filter(F.col("n") <= boundary).select(F.col("rep").alias("doc_id")).distinct()
-    subsets = written(only(text, small_ids).mapInArrow(
-        lambda it: _subsets(it, boundary), "doc_id bigint, n bigint, m bigint, s1 bigint, s2 bigint").distinct(),
+    subsets = written(map_batches(
+        only(text, small_ids), lambda it: _subsets(it, boundary), "doc_id bigint, n bigint, m bigint, s1 bigint, s2 bigint").distinct(),
         "jaccard-subsets")
     # All sets of a bucket share m shingles: any two whose sizes allow it link.
     # The least size links with whatever can link at all in the bucket; sets of

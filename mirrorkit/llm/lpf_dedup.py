@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mirrorkit.llm.common import worker_caches, written
+from mirrorkit.llm.common import map_batches, worker_caches, written
 
 LENGTH = 200
 GRAM = 48
@@ -173,8 +173,8 @@ def _emit_runs(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Ite
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("start", pa.int64()),
                         ("windows", pa.int64()), ("gram", pa.int64()), ("name", pa.int64())])
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            piece = batch.slice(at, 512)
+        for at in range(0, batch.num_rows, 256):
+            piece = batch.slice(at, 256)
             texts = [t or b"" for t in piece.column("text").to_pylist()]
             for parts, data, ends in _segments(texts, length):
                 start, windows, grams, names = runs_of(data, ends, length, gram)
@@ -333,8 +333,8 @@ def repeated_windows(docs: DataFrame, keep: str = "none", length: int = LENGTH,
     """
     if keep not in ("none", "first"):
         raise ValueError("keep must be 'none' or 'first'")
-    runs = written(docs.mapInArrow(
-        lambda it: _emit_runs(it, length, gram),
+    runs = written(map_batches(
+        docs, lambda it: _emit_runs(it, length, gram),
         "doc_id bigint, key binary, start bigint, windows bigint, gram bigint, name bigint"), "lpf-runs")
 
     twice = written(runs.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"), "lpf-grams")
@@ -359,12 +359,12 @@ def repeated_windows(docs: DataFrame, keep: str = "none", length: int = LENGTH,
         F.collect_list(F.struct("start", "windows", "gram", "hot")).alias("runs")), "lpf-open")
     lists = _small(lists.withColumnsRenamed({"doc_id": "o_id", "key": "o_key"}), 8 * lists.count())
     opened = docs.join(lists, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("key") == F.col("o_key")))
-    pieces = written(opened.select("doc_id", "key", "text", "runs").mapInArrow(
-        lambda it: _emit_open_runs(it, length),
+    pieces = written(map_batches(
+        opened.select("doc_id", "key", "text", "runs"), lambda it: _emit_open_runs(it, length),
         "gram bigint, hot boolean, doc_id bigint, key binary, start bigint, text binary"), "lpf-pieces")
     stretch = "doc_id bigint, key binary, start bigint, windows bigint"
-    decided = pieces.filter("NOT hot").drop("hot").repartition("gram").sortWithinPartitions(
-        "gram", "doc_id", "key", "start").mapInArrow(lambda it: _decide(it, keep, length), stretch)
+    dealt = pieces.filter("NOT hot").drop("hot").repartition("gram").sortWithinPartitions("gram", "doc_id", "key", "start")
+    decided = map_batches(dealt, lambda it: _decide(it, keep, length), stretch)
 
     windows = pieces.filter("hot").select("doc_id", "key", "start", "text").mapInArrow(
         lambda it: _emit_windows(it, length), "doc_id bigint, key binary, start bigint, n1 bigint, n2 bigint")
@@ -399,6 +399,6 @@ def dedup_passages(docs: DataFrame, keep: str = "none", length: int = LENGTH,
     ranges = _small(ranges.withColumnsRenamed({"doc_id": "r_id", "key": "r_key"}), 2 * ranges.count())
     joined = wide.join(ranges, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")), "left")
     row = wide.schema["row"].dataType.simpleString()
-    return joined.select("row", "text", "ranges").mapInArrow(
-        lambda it: _apply(it, length, characters),
+    return map_batches(
+        joined.select("row", "text", "ranges"), lambda it: _apply(it, length, characters),
         f"row {row}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")

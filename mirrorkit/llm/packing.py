@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mirrorkit.llm.common import worker_caches, written
+from mirrorkit.llm.common import map_batches, worker_caches, written
 
 CAPACITY = 2048
 SLACK = 64
@@ -192,7 +192,7 @@ def piece_table(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         return _fill(batches, tokenizer_path, capacity, schema)
 
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return written(slim.mapInArrow(run, PIECE_SCHEMA), "pieces")
+    return written(map_batches(slim, run, PIECE_SCHEMA), "pieces")
 
 
 def _first_fit(capacity: int):

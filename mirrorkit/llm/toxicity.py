@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mirrorkit.llm.common import worker_caches
+from mirrorkit.llm.common import map_batches, worker_caches
 
 MAX_LABELLED = 15_000
 MAX_FEATURES = 100_000
@@ -70,7 +70,7 @@ def features(token: bytes) -> set[str]:
 class Observations(dict):
     """Strength class by token, filled as tokens appear; starts anew when large."""
 
-    MAX_TOKENS = 500_000
+    MAX_TOKENS = 300_000
 
     def __init__(self, lexicon: dict[str, int]):
         super().__init__()
@@ -309,7 +309,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
         fitting = {r["toxic"]: r["n"] for r in sizes if not r["chooses"]}
         if set(n) != {0, 1} or set(fitting) != {0, 1}:
             return model
-        counts = texts.filter("chooses").mapInArrow(_feature_counts, "feature string, toxic int, n bigint").groupBy("feature").agg(
+        counts = map_batches(
+            texts.filter("chooses"), _feature_counts, "feature string, toxic int, n bigint").groupBy("feature").agg(
             F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"),
             F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"))
         odds = F.log((F.col("bad") + 0.5) / (n[1] + 1)) - F.log((F.col("good") + 0.5) / (n[0] + 1))
@@ -318,7 +319,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
         strong = strong.orderBy(F.desc("odds"), "feature").limit(MAX_FEATURES)  # the size of the model
         model.lexicon = {r["feature"]: sum(r["odds"] >= s for s in STRENGTHS) for r in strong.collect()}
         lexicon = model.lexicon
-        rows = texts.filter("NOT chooses").mapInArrow(lambda it: _training_rows(it, lexicon),
+        rows = map_batches(texts.filter("NOT chooses"), lambda it: _training_rows(it, lexicon),
                                 "toxic int, at array<bigint>, classes array<int>, tokens bigint").collect()
     finally:
         texts.unpersist()
@@ -370,5 +371,5 @@ def score(docs: DataFrame, model: ChainField, text_col: str = "text", carry: lis
     """
     slim = docs.select(F.struct(*(carry or docs.columns)).alias("row"), F.col(text_col).cast("binary").alias("text"))
     row = slim.schema["row"].dataType.simpleString()
-    return slim.mapInArrow(
-        lambda it: _score(it, model), f"row {row}, score double, spans array<struct<start: bigint, end: bigint, p: double>>")
+    return map_batches(
+        slim, lambda it: _score(it, model), f"row {row}, score double, spans array<struct<start: bigint, end: bigint, p: double>>")
