@@ -16,6 +16,8 @@ Fitting takes a bounded sample of the labelled rows (``MAX_LABELLED`` per
 class, by a hash of the id) and holds at most ``MAX_FEATURES`` features. Two
 thirds of the sample choose the features, the rest fits the field and the
 scores, so features that stood out by chance get the weight they deserve.
+The field is fitted on all tokens of these texts, in stretches of ``CHUNK``;
+equal stretches are counted and gone through once.
 A feature counts by the lower bound of its log-odds. Scoring covers every text as a whole. Between tokens with observations the
 chain is carried by powers of the neutral step, so a document costs one
 dictionary look-up per token and a few 2x2 products per feature token.
@@ -49,7 +51,8 @@ STRENGTHS = (0.7, 1.4, 2.2, 3.2, 4.5)
 #: Standard errors between log-odds and their lower bound.
 ERRORS = 1.3
 CHUNK = 64
-MAX_CHUNKS = 6_000
+#: Stretches that forward-backward takes at once; bounds its memory, not the data.
+BATCH = 4_096
 THRESHOLD = 0.3
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -140,9 +143,14 @@ def observed(obs: Observations, text: bytes) -> tuple[list[int], list[int], list
     return at.tolist(), [classes[i] for i in at], [*gaps.tolist(), len(classes) - 1 - int(at[-1])]
 
 
-def chain_expectations(x: np.ndarray, length: np.ndarray, emit: np.ndarray, move: np.ndarray):
-    """Forward-backward over many chunks at once: (log Z, P(state 1) per token, expected transitions)."""
+def chain_expectations(x: np.ndarray, length: np.ndarray, emit: np.ndarray, move: np.ndarray,
+                       count: np.ndarray | None = None):
+    """Forward-backward over many chunks at once: (log Z, P(state 1) per token, expected transitions).
+
+    Transitions of chunk i are taken ``count[i]`` times.
+    """
     n, width = x.shape
+    count = np.ones(n) if count is None else count
     e = np.stack([np.zeros(len(emit)), emit], axis=1)[x]  # n, width, 2
     live = np.arange(width)[None, :] < length[:, None]
     trans = np.exp(move)
@@ -172,28 +180,48 @@ def chain_expectations(x: np.ndarray, length: np.ndarray, emit: np.ndarray, move
         right = np.exp(e[:, t]) * beta
         joint = prev[:, :, None] * trans[None] * right[:, None, :]
         joint = joint / joint.sum(axis=(1, 2), keepdims=True)
-        pairs += (joint * alive[:, None, None]).sum(axis=0)
+        pairs += (joint * (alive * count)[:, None, None]).sum(axis=0)
         back = right @ trans.T
         beta = np.where(alive[:, None], back / back.sum(axis=1, keepdims=True), beta)
     return scale.sum(axis=1), p1, pairs
 
 
-def fit_chain(x: np.ndarray, y: np.ndarray, length: np.ndarray, rounds: int = 60, ridge: float = 1.0):
-    """Weights that maximise the conditional log-likelihood of token states ``y``, by Adam."""
+def fit_chain(x: np.ndarray, y: np.ndarray, length: np.ndarray, count: np.ndarray | None = None,
+              rounds: int = 60, ridge: float = 1.0):
+    """Weights that maximise the conditional log-likelihood of token states ``y``, by Adam.
+
+    Chunk i stands for ``count[i]`` equal ones.
+    """
+    count = np.ones(len(x)) if count is None else count.astype(float)
+    order = np.argsort(length, kind="stable")
+    x, y, length, count = x[order], y[order], length[order], count[order]
+    parts = []
+    for at in range(0, len(x), BATCH):
+        piece = slice(at, at + BATCH)
+        width = int(length[piece].max())
+        part_live = np.arange(width)[None, :] < length[piece][:, None]
+        parts.append((x[piece, :width], y[piece, :width], length[piece], count[piece], part_live))
     emit = np.array([-6.0] + [0.0] * len(STRENGTHS))
     move = np.zeros((2, 2))
-    live = np.arange(x.shape[1])[None, :] < length[:, None]
-    want_emit = np.bincount(x[live], weights=y[live].astype(float), minlength=len(emit))
-    before = np.concatenate([np.zeros((len(y), 1), dtype=y.dtype), y[:, :-1]], axis=1)
-    want_move = np.bincount((before * 2 + y)[live], minlength=4).reshape(2, 2).astype(float)
-    total = max(1, int(live.sum()))
+    # Per observation: tokens, and those in state 1; per transition: how often.
+    tokens, want_emit, want_move = np.zeros_like(emit), np.zeros_like(emit), np.zeros((2, 2))
+    for px, py, _, pc, live in parts:
+        of = np.broadcast_to(pc[:, None], px.shape)[live]
+        tokens += np.bincount(px[live], weights=of, minlength=len(emit))
+        want_emit += np.bincount(px[live], weights=of * py[live], minlength=len(emit))
+        before = np.concatenate([np.zeros((len(py), 1), dtype=py.dtype), py[:, :-1]], axis=1)
+        want_move += np.bincount((before * 2 + py)[live], weights=of, minlength=4).reshape(2, 2)
+    seen = np.maximum(1, tokens)
+    total = max(1, tokens.sum())
     m = [np.zeros_like(emit), np.zeros_like(move)]
     v = [np.zeros_like(emit), np.zeros_like(move)]
     for i in range(1, rounds + 1):
-        _, p1, pairs = chain_expectations(x, length, emit, move)
-        got_emit = np.bincount(x[live], weights=p1[live], minlength=len(emit))
+        got_emit, pairs = np.zeros_like(emit), np.zeros((2, 2))
+        for px, _, pl, pc, live in parts:
+            _, p1, part_pairs = chain_expectations(px, pl, emit, move, pc)
+            got_emit += np.bincount(px[live], weights=(p1 * pc[:, None])[live], minlength=len(emit))
+            pairs += part_pairs
         # Scaled by observation, so that rare classes are fitted as fast as the neutral one.
-        seen = np.maximum(1, np.bincount(x[live], minlength=len(emit)))
         grads = [(want_emit - got_emit - ridge * emit) / seen, (want_move - pairs - ridge * move) / total * 10]
         grads[1][0, 0] = 0.0  # the reference transition
         for w, g, a, b in ((emit, grads[0], m[0], v[0]), (move, grads[1], m[1], v[1])):
@@ -271,27 +299,33 @@ def _training_rows(batches: Iterator[pa.RecordBatch], lexicon: dict[str, int]) -
                 [pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def _chunks(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stretches of ``CHUNK`` tokens of the training texts: all with an observation, and as many without."""
-    x, y, length = [], [], []
-    plain = 0
+def _chunks(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All stretches of ``CHUNK`` tokens of the training texts: (observations, states, lengths, counts) of the different ones.
+
+    They come in order of their content, whatever the order of ``rows``.
+    """
+    found: Counter = Counter()
     for row in rows:
+        toxic, tokens = row["toxic"], row["tokens"]
         at = np.array(row["at"], dtype=int)
         classes = np.array(row["classes"], dtype=np.uint8)
-        for start in range(0, row["tokens"], CHUNK):
-            inside = (at >= start) & (at < start + CHUNK)
-            if not inside.any():
-                plain += 1
-                if plain > len(x) + 100:
-                    continue
+        chunk, first = np.unique(at // CHUNK, return_index=True)
+        ends = np.append(first[1:], len(at))
+        for start, a, b in zip((chunk * CHUNK).tolist(), first, ends):
             line = np.zeros(CHUNK, dtype=np.uint8)
-            line[at[inside] - start] = classes[inside]
-            x.append(line)
-            y.append((line > 0) & (row["toxic"] == 1))
-            length.append(min(CHUNK, row["tokens"] - start))
-            if len(x) >= MAX_CHUNKS:
-                return np.array(x), np.array(y).astype(np.uint8), np.array(length)
-    return np.array(x), np.array(y).astype(np.uint8), np.array(length)
+            line[at[a:b] - start] = classes[a:b]
+            found[min(CHUNK, tokens - start), toxic, line.tobytes()] += 1
+        # Without an observation nothing tells a toxic text's stretch from a clean one's.
+        full, rest = divmod(tokens, CHUNK)
+        plain = full - int((chunk < full).sum())
+        if plain:
+            found[CHUNK, 0, bytes(CHUNK)] += plain
+        if rest and full not in chunk:
+            found[rest, 0, bytes(CHUNK)] += 1
+    keys = sorted(found)
+    x = np.frombuffer(b"".join(k[2] for k in keys), dtype=np.uint8).reshape(-1, CHUNK)
+    y = ((x > 0) & (np.array([k[1] for k in keys], dtype=int)[:, None] == 1)).astype(np.uint8)
+    return x, y, np.array([k[0] for k in keys], dtype=int), np.array([found[k] for k in keys])
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text",
@@ -323,9 +357,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
                                 "toxic int, at array<bigint>, classes array<int>, tokens bigint").collect()
     finally:
         texts.unpersist()
-    x, y, length = _chunks(rows)
+    x, y, length, count = _chunks(rows)
     if len(x):
-        model.emit, model.move = fit_chain(x, y, length)
+        model.emit, model.move = fit_chain(x, y, length, count)
     model.fitted = True
     evidence, truth = [], []
     for row in rows:

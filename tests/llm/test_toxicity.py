@@ -71,3 +71,30 @@ def test_spans_are_byte_offsets(small_shuffles):
         assert (r.score >= 0.3) == (r.row.doc_id % 2 == 0)
         found = {r.row.text.encode()[s.start : s.end].decode() for s in r.spans}
         assert found == ({"méchant", "crétin!"} if r.row.doc_id % 2 == 0 else set())
+
+
+def test_long_clean_documents_first_leave_the_toxic_ones_in_the_fit(small_shuffles):
+    spark = small_shuffles
+    clean = spark.range(0, 300, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("mot "), 6400).alias("text"))
+    toxic = spark.range(300, 600, 1, 1).select(F.col("id").alias("doc_id"), F.lit("été méchant crétin! numéro").alias("text"))
+    docs = clean.unionByName(toxic)
+    labels = docs.select("doc_id", (F.col("doc_id") >= 300).cast("int").alias("toxic"))
+    model = toxicity.fit(docs, labels, F.lit(True))
+    for r in toxicity.score(toxic.limit(5), model).collect():
+        assert r.score >= 0.3 and {r.row.text.encode()[s.start : s.end].decode() for s in r.spans} >= {"méchant", "crétin!"}
+
+
+def test_chunks_hold_every_token_once_in_any_order():
+    rng = np.random.default_rng(2)
+    rows = []
+    for i, tokens in enumerate([0, 1, 64, 65, 128, 700, 20_000, 640]):
+        at = np.flatnonzero(rng.random(tokens) < (0.02 if i != 7 else 0)).tolist()
+        rows.append({"toxic": i % 2, "tokens": tokens, "at": at, "classes": rng.integers(1, 6, len(at)).tolist()})
+    x, y, length, count = toxicity._chunks(rows)
+    assert (length * count).sum() == sum(r["tokens"] for r in rows)
+    assert ((x > 0).sum(axis=1) * count).sum() == sum(len(r["at"]) for r in rows)
+    assert (y.sum(axis=1) * count).sum() == sum(len(r["at"]) for r in rows if r["toxic"])
+    assert all(np.array_equal(a, b) for a, b in zip((x, y, length, count), toxicity._chunks(rows[::-1])))
+    for a, b in zip(toxicity.fit_chain(x, y, length, count, rounds=5),
+                    toxicity.fit_chain(*(np.repeat(v, count, axis=0) for v in (x, y, length)), rounds=5)):
+        assert np.allclose(a, b)
