@@ -357,11 +357,14 @@ def repeated_windows(docs: DataFrame, keep: str = "none", length: int = LENGTH,
     open_runs = texts.join(several, "gram").select("first.*", "gram", "hot")
     lists = written(open_runs.groupBy("doc_id", "key").agg(
         F.collect_list(F.struct("start", "windows", "gram", "hot")).alias("runs")), "lpf-open")
+    listed = lists.agg(F.sum(F.size("runs"))).first()[0] or 0
     lists = _small(lists.withColumnsRenamed({"doc_id": "o_id", "key": "o_key"}), 8 * lists.count())
     opened = docs.join(lists, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("key") == F.col("o_key")))
     pieces = written(map_batches(
         opened.select("doc_id", "key", "text", "runs"), lambda it: _emit_open_runs(it, length),
         "gram bigint, hot boolean, doc_id bigint, key binary, start bigint, text binary"), "lpf-pieces")
+    if pieces.count() > listed:  # repeated rows: the same place, once for each
+        pieces = pieces.dropDuplicates(["gram", "doc_id", "key", "start"])
     stretch = "doc_id bigint, key binary, start bigint, windows bigint"
     dealt = pieces.filter("NOT hot").drop("hot").repartition("gram").sortWithinPartitions("gram", "doc_id", "key", "start")
     decided = map_batches(dealt, lambda it: _decide(it, keep, length), stretch)

@@ -67,6 +67,17 @@ def test_edge_documents(small_shuffles):
     assert lpf_dedup.dedup_passages(no_docs(small_shuffles)).count() == 0
 
 
+def test_repeated_rows_beside_an_edited_copy(small_shuffles, monkeypatch):
+    rng = random.Random(5)
+    base = " ".join("".join(rng.choice("abcde") for _ in range(5)) for _ in range(120))
+    docs = [(1, base), (1, base), (1, base), (2, base[:350] + "#" + base[351:]), (None, base[:500]), (None, base[:500])]
+    df = small_shuffles.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    for group in (lpf_dedup.MAX_GROUP, 1):
+        monkeypatch.setattr(lpf_dedup, "MAX_GROUP", group)
+        for keep in ("none", "first"):
+            assert got(lpf_dedup.dedup_passages(df, keep)) == brute(docs, 200, keep)
+
+
 def test_long_texts_are_cut_into_segments(monkeypatch):
     rng = random.Random(1)
     text = bytes(rng.choice(b"abc") for _ in range(5000))
