@@ -18,7 +18,7 @@ all blocks are the answer.
 
 Defined results: vectors that ``vectors.usable`` leaves out neither ask nor
 answer; a query's own id is never its answer; rows equal in id and vector
-answer once each; fewer candidates than ``k`` are all returned; ties go to the
+answer once each, but ask once in all; fewer candidates than ``k`` are all returned; ties go to the
 smaller id; without queries or rows the result is empty; other columns are
 ignored.
 """
@@ -237,7 +237,7 @@ def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector
     tree = fit_tree(np.stack(sample.toPandas()["vec"].to_numpy()), total)
     indexed = written(vecs.mapInArrow(lambda it: _index(it, tree), "vec_id bigint, vec array<double>, leaf bigint"), "ann-index")
 
-    asks = indexed.filter(is_query).select("vec_id", "vec")
+    asks = indexed.filter(is_query).select("vec_id", "vec").distinct()
     some = asks.orderBy(F.xxhash64("vec_id", F.lit(8)), "vec_id").limit(AUDIT).collect()  # calibration only
     if not some:
         return df.sparkSession.createDataFrame([], out)

@@ -45,6 +45,13 @@ def test_nearest_against_brute_force(small_shuffles):
     assert set(by) == set(range(0, 600, 20)) and hits >= 0.9 * total
 
 
+def test_a_repeated_query_row_asks_once(small_shuffles):
+    ids, x = sample()
+    ids, x = np.append(ids, [0, 0]), np.concatenate([x, x[:1], x[:1]])
+    got = kmeans_tree.nearest(table_of(small_shuffles, ids, x).repartition(3), F.col("vec_id") == 0, 10).collect()
+    assert sorted(r["rank"] for r in got) == list(range(1, 11)) and len({r.vec_id for r in got}) == 10
+
+
 def test_few_rows_and_no_rows(small_shuffles):
     spark = small_shuffles
     got = kmeans_tree.nearest(table_of(spark, [0, 1, 2], np.eye(8)[:3]), F.col("vec_id") % 100 == 0, 10).collect()
