@@ -266,7 +266,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: PieceModels) -> Iterator[
             total = scores.sums(words) + model.prior
             best = total.argmax(axis=1)
             post = 1 / np.exp(total - total[np.arange(len(total)), best][:, None]).sum(axis=1)
-            known = [bool(w) and (len(w) > 4 or any(c.isalpha() for x in w for c in x)) for w in words]
+            known = [any(c.isalpha() for x in w for c in x) for w in words]
             yield pa.RecordBatch.from_arrays([
                 piece.column("doc_id"),
                 pa.array([model.languages[b] if k else UND for b, k in zip(best, known)]),

@@ -60,3 +60,12 @@ def test_edge_documents(small_shuffles):
     none = lang_id.fit(docs, tokenizer_path("piece_bpe_32k.model"), F.lit(False))
     assert none is None and {r.lang_pred for r in lang_id.predict(docs, none).collect()} == {"und"}
     assert lang_id.predict(no_docs(small_shuffles), model).count() == 0
+
+
+def test_signs_without_letters_have_no_language(small_shuffles):
+    from mirrorkit.llm.queries import tokenizer_path
+
+    model = lang_id.fit(edge_docs(small_shuffles), tokenizer_path("piece_bpe_32k.model"), F.lit(True))
+    docs = small_shuffles.createDataFrame([(1, "① ② ③ ½"), (2, "① ② ③ ④ ⑤ ½ ²"), (3, "① ② ③ ④ ⑤ wort")], "doc_id bigint, text string")
+    got = {r.doc_id: (r.lang_pred == "und", r.score > 0) for r in lang_id.predict(docs, model).collect()}
+    assert got == {1: (True, False), 2: (True, False), 3: (False, True)}
