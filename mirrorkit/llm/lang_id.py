@@ -37,7 +37,7 @@ from mirrorkit.llm.common import written
 
 MAX_LABELLED = 1_500
 MAX_CHARS = 32
-MAX_PIECE = 10
+MAX_PIECE = 16  # the longest piece of letters of the vocabulary
 ROUNDS = 3
 START = "▁"  # the vocabulary's mark for a word's beginning
 FALLBACK = 1e-7  # probability of a letter that is no piece

@@ -69,3 +69,20 @@ def test_signs_without_letters_have_no_language(small_shuffles):
     docs = small_shuffles.createDataFrame([(1, "① ② ③ ½"), (2, "① ② ③ ④ ⑤ ½ ²"), (3, "① ② ③ ④ ⑤ wort")], "doc_id bigint, text string")
     got = {r.doc_id: (r.lang_pred == "und", r.score > 0) for r in lang_id.predict(docs, model).collect()}
     assert got == {1: (True, False), 2: (True, False), 3: (False, True)}
+
+
+def test_every_piece_of_letters_is_in_the_lattice():
+    import re
+
+    import sentencepiece
+
+    from mirrorkit.llm.queries import tokenizer_path
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    pieces = {model.id_to_piece(i) for i in range(model.get_piece_size()) if not model.is_byte(i) and not model.is_control(i)}
+    letters = {p for p in pieces if p == p.lower() and re.fullmatch(r"▁?[^\W\d_]+", p)}
+    known = lang_id.vocabulary(path)
+    assert letters and letters <= set(known)
+    lat = lang_id.lattice(["information"], known)
+    assert lat[0, 0, len("▁information") - 1] == known["▁information"]
