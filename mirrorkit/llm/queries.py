@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorkit.llm import hnsw_dedup, jaccard_join, kmeans_tree, lang_id, lpf_dedup, mixing, packing, sharding, toxicity, warc
+from mirrorkit.llm import hnsw_dedup, jaccard_join, kmeans_tree, lang_id, lpf_dedup, merkle, mixing, packing, sharding, toxicity, warc
 from mirrorkit.llm.common import crc32_mod, table
 
 
@@ -87,6 +87,65 @@ def op10_hnsw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def merkle_rows(docs: DataFrame, stride: int = merkle.STRIDE) -> DataFrame:
+    folded = merkle.folded(F.coalesce("changed", "leaf"), F.col("steps"))
+    return merkle.manifest(docs, stride).select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"),
+        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_merkle_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_rows(table(spark, sf_dir, "documents"))
+
+
+def _op13_sql(levels: int = 6, upper: int = 3) -> str:
+    """The trees level by level: ``levels`` inside languages, ``upper`` above them."""
+    def field(name):
+        return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen(CAST({name} AS VARCHAR)) || ':' || {name} END"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lowered = f"translate(text, '{merkle._UPPER}', '{merkle._LOWER}')"
+    crc = ("xor(list_reduce(list_transform(generate_series(1, length(s)), lambda i: CAST(ascii(s[i]) AS UBIGINT)), "
+           "lambda acc, b: list_reduce(CAST([1, 2, 3, 4, 5, 6, 7, 8] AS UBIGINT[]), "
+           "lambda c, i: xor(c >> 1, (c & 1) * 3988292384), xor(acc, b)), CAST(4294967295 AS UBIGINT)), "
+           "CAST(4294967295 AS UBIGINT))")
+    parts = [
+        f"d AS (SELECT doc_id, lang, {leaf('text')} AS leaf, {leaf(lowered)} AS low, CAST(doc_id AS VARCHAR) AS s FROM documents)",
+        f"k AS (SELECT doc_id, coalesce('=' || lang, '') AS g, leaf, CASE WHEN coalesce({crc} % 3 = 0, false) THEN low ELSE leaf END "
+        "AS changed, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d)",
+        "l0 AS (SELECT g, pos, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM k)"]
+
+    def up(name, groups):
+        return (f"SELECT {groups}pos // 8 AS pos, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE min(h) END AS h, "
+                f"(n + 7) // 8 AS n FROM {name} GROUP BY {groups}pos // 8, n")
+
+    parts += [f"l{i + 1} AS ({up(f'l{i}', 'g, ')})" for i in range(levels)]
+    parts.append(f"u0 AS (SELECT g, row_number() OVER (ORDER BY g) - 1 AS pos, h, count(*) OVER () AS n FROM l{levels})")
+    parts += [f"u{i + 1} AS ({up(f'u{i}', '')})" for i in range(upper)]
+    # Each document's way: its place, what it folds to so far, and the siblings met.
+    parts.append("w0 AS (SELECT row_number() OVER () AS id, doc_id, leaf, g, pos, changed AS acc, '' AS met FROM k)")
+
+    def step(i, name, same_group):
+        return (f"SELECT w.id, w.doc_id, w.leaf, w.g, w.pos // 8 AS pos, CASE WHEN max(n) > 1 THEN sha256(string_agg("
+                f"CASE WHEN x.pos = w.pos THEN acc ELSE h END, '' ORDER BY x.pos)) ELSE acc END AS acc, "
+                f"met || coalesce(string_agg(h, '' ORDER BY x.pos) FILTER (x.pos <> w.pos), '') AS met "
+                f"FROM w{i} w JOIN {name} x ON {same_group}x.pos // 8 = w.pos // 8 "
+                f"GROUP BY w.id, w.doc_id, w.leaf, w.g, w.pos, acc, met")
+
+    parts += [f"w{i + 1} AS ({step(i, f'l{i}', 'x.g = w.g AND ')})" for i in range(levels)]
+    parts.append(f"v0 AS (SELECT w.* EXCLUDE (pos), u0.pos, u0.h AS subroot FROM w{levels} w JOIN u0 ON w.g = u0.g)")
+    for i in range(upper):
+        body = step(i, f"u{i}", "").replace(f"FROM w{i} w", f"FROM v{i} w").replace("w.leaf, w.g,", "w.leaf, w.subroot, w.g,")
+        parts.append(f"v{i + 1} AS ({body})")
+    return (f"WITH {', '.join(parts)} SELECT doc_id, leaf, subroot, r.h AS root, sha256(met) AS proof_sha256, acc AS folded_root, "
+            f"acc = r.h AS verified FROM v{upper}, u{upper} r")
+
+
+OP13_SQL = _op13_sql()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_warc_chain": op2_warc_chain,
@@ -98,8 +157,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hypergeometric_shards": op8_hypergeometric_shards,
     "op9_heavy_light_jaccard": op9_heavy_light_jaccard,
     "op10_hnsw_dedup": op10_hnsw_dedup,
+    "op13_merkle_checkpoints": op13_merkle_checkpoints,
 }
 
 ORACLES: dict[str, str] = {
     "op2_warc_chain": OP2_SQL,
+    "op13_merkle_checkpoints": OP13_SQL,
 }
