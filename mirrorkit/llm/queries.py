@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorkit.llm import hnsw_dedup, jaccard_join, kmeans_tree, lang_id, lpf_dedup, merkle, mixing, packing, sharding, toxicity, warc
+from mirrorkit.llm import hnsw_dedup, jaccard_join, kmeans_tree, lang_id, lpf_dedup, merkle, mixing, packing, sharding, toxicity, url_rules, warc
 from mirrorkit.llm.common import crc32_mod, table
 
 
@@ -87,6 +87,60 @@ def op10_hnsw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op12_fpgrowth_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
+def _op12_sql() -> str:
+    """All token subsets of the labelled URLs are counted; FP-growth visits the frequent ones only."""
+    def plain(text):
+        return f"regexp_replace({text}, '[0-9]+', '0', 'g')"
+
+    longest_first = sorted(url_rules.LISTED, key=lambda r: -len(r[0] + r[1]))
+    fits = [(f"(host = '{h}' OR suffix(host, '.{h}')) AND prefix(path, '{p}')", h + p, v) for h, p, v in longest_first]
+    rule = "CASE " + " ".join(f"WHEN {f} THEN '{name}'" for f, name, _ in fits) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {f} THEN '{v}'" for f, _, v in fits) + " END"
+    found = {
+        "scheme": "lower(regexp_extract(url, '(?s)^(.*?)://', 1))",
+        "top": "p[n]",
+        "domain": "CASE WHEN n >= 2 THEN array_to_string(p[n-1:n], '.') END",
+        "site": "CASE WHEN n >= 3 THEN array_to_string(p[n-2:n], '.') END",
+        "sub": "CASE WHEN n >= 4 THEN array_to_string(p[1:n-3], '.') END",
+        "first": plain("s[1]"),
+        "second": plain("s[2]"),
+        "rest": f"CASE WHEN len(s) >= 3 THEN {plain('array_to_string(s[3:], chr(47))')} END",
+        "file": plain(r"nullif(regexp_extract(path, '(?s)\.([^./]*)\z', 1), '')"),
+        "keys": "nullif(array_to_string(list_sort(list_distinct(list_transform(list_filter(string_split(regexp_extract("
+                r"url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'), lambda x: x <> ''), "
+                "lambda x: regexp_extract(x, '(?s)^([^=]*)', 1)))), '&'), '')",
+        "mark": "CASE WHEN contains(url, '#') THEN '#' END",
+    }
+    tokens = ", ".join(f"'{name}=' || {found[name]}" for name in url_rules.ATTRIBUTES)
+    subsets = "list_sort(list_filter(tokens, lambda t, i: (m >> (i - 1)) & 1 = 1))"
+    return (
+        "WITH u AS (SELECT page_id, url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), "
+        f"'{url_rules._UPPER}', '{url_rules._LOWER}') AS host, "
+        "coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages), "
+        "q AS (SELECT *, string_split(host, '.') AS p, len(string_split(host, '.')) AS n, "
+        "list_filter(string_split(path, '/'), lambda x: x <> '') AS s FROM u), "
+        f"k AS (SELECT row_number() OVER () AS id, page_id, host, path, {rule} AS rule, {verdict} AS verdict, "
+        f"CASE WHEN contains(url, '://') THEN list_filter([{tokens}], lambda x: x IS NOT NULL) ELSE [] END AS tokens FROM q), "
+        "x AS (SELECT *, unnest(generate_series(1, (1 << len(tokens)) - 1)) AS m FROM k), "
+        f"y AS (SELECT id, verdict, {subsets} AS t FROM x), "
+        "c AS (SELECT t, verdict, count(*) AS n, sum(count(*)) OVER (PARTITION BY t) AS total FROM y "
+        "WHERE verdict IS NOT NULL GROUP BY t, verdict), "
+        f"r AS (SELECT t, verdict, n, n / total AS sure FROM c WHERE n >= (SELECT ceil({url_rules.MIN_SUPPORT} * count(*)) FROM k "
+        f"WHERE verdict IS NOT NULL) AND n / total >= {url_rules.MIN_CONFIDENCE}), "
+        "b AS (SELECT y.id, r.verdict, array_to_string(r.t, ' & ') AS mined, row_number() OVER (PARTITION BY y.id ORDER BY "
+        "sure DESC, n DESC, r.verdict = 'allow', len(r.t), array_to_string(r.t, ' & ')) AS place "
+        "FROM y JOIN r ON y.t = r.t WHERE y.verdict IS NULL) "
+        "SELECT page_id, host, path, rule, coalesce(k.verdict, b.verdict, 'allow') AS verdict, mined "
+        "FROM k LEFT JOIN b ON k.id = b.id AND b.place = 1")
+
+
+OP12_SQL = _op12_sql()
+
+
 def merkle_rows(docs: DataFrame, stride: int = merkle.STRIDE) -> DataFrame:
     folded = merkle.folded(F.coalesce("changed", "leaf"), F.col("steps"))
     return merkle.manifest(docs, stride).select(
@@ -157,10 +211,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hypergeometric_shards": op8_hypergeometric_shards,
     "op9_heavy_light_jaccard": op9_heavy_light_jaccard,
     "op10_hnsw_dedup": op10_hnsw_dedup,
+    "op12_fpgrowth_urls": op12_fpgrowth_urls,
     "op13_merkle_checkpoints": op13_merkle_checkpoints,
 }
 
 ORACLES: dict[str, str] = {
     "op2_warc_chain": OP2_SQL,
+    "op12_fpgrowth_urls": OP12_SQL,
     "op13_merkle_checkpoints": OP13_SQL,
 }
