@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorkit.llm import hnsw_dedup, jaccard_join, kmeans_tree, lang_id, lpf_dedup, merkle, mixing, packing, sharding, toxicity, url_rules, warc
+from mirrorkit.llm import gnat_negatives, hnsw_dedup, jaccard_join, kmeans_tree, lang_id, lpf_dedup, merkle, mixing, packing, sharding, toxicity, url_rules, warc
 from mirrorkit.llm.common import crc32_mod, table
 
 
@@ -87,6 +87,26 @@ def op10_hnsw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_gnat_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return gnat_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+OP11_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM (SELECT DISTINCT * FROM v WHERE vec_id % 100 = 0) a JOIN v b ON a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10
+"""
+
+
 def op12_fpgrowth_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"))
 
@@ -211,12 +231,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hypergeometric_shards": op8_hypergeometric_shards,
     "op9_heavy_light_jaccard": op9_heavy_light_jaccard,
     "op10_hnsw_dedup": op10_hnsw_dedup,
+    "op11_gnat_negatives": op11_gnat_negatives,
     "op12_fpgrowth_urls": op12_fpgrowth_urls,
     "op13_merkle_checkpoints": op13_merkle_checkpoints,
 }
 
 ORACLES: dict[str, str] = {
     "op2_warc_chain": OP2_SQL,
+    "op11_gnat_negatives": OP11_SQL,
     "op12_fpgrowth_urls": OP12_SQL,
     "op13_merkle_checkpoints": OP13_SQL,
 }
