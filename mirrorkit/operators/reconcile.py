@@ -83,6 +83,29 @@ def orphan_partitions(
     return candidates.join(touched, keys, "left_anti")
 
 
+#: Partition folders (a row each) up to which a report is broadcast.
+BROADCAST_PARTITIONS = 100_000
+
+
+def rows_in(mirror: DataFrame, report: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows of the mirror in the partitions that a report names (touched, new, orphan ...).
+
+    A join on the partition columns: Spark prunes the mirror's folders while
+    the query runs by the report's values (dynamic partition pruning), so no
+    other partition is opened. Null values are matched in a branch of their
+    own, which reads null partitions only.
+    """
+    types = {f.name: f.dataType for f in mirror.schema.fields}
+    named = report.where(F.col(PARTITION_KEY) != "").select(*[F.col(p).cast(types[p]).alias(p) for p in partitions]).distinct()
+    if named.count() <= BROADCAST_PARTITIONS:
+        named = F.broadcast(named)
+    found = mirror.join(named, list(partitions), "left_semi")
+    some_null = reduce(lambda a, b: a | b, [F.col(p).isNull() for p in partitions])
+    other = named.where(some_null).select(*[F.col(p).alias(f"__{p}") for p in partitions])
+    same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in partitions])
+    return found.unionByName(mirror.where(some_null).join(other, same, "left_semi").select(*found.columns))
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Bag union by column name (reports of several jobs)."""
     if not frames:

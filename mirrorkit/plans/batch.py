@@ -5,16 +5,20 @@ partitioned write at the destination, replacing only touched partitions.
 Row and overflow counts are observed by the writer tasks, so the summary
 costs no extra pass. Manifests of the destination before and after the
 write give the new partitions (catalog refresh) and the stale files removed.
-Several jobs run at once on the shared session, each from its own thread.
+Several jobs run at once on the shared session, each from its own thread, the
+largest first. A job past its deadline is cancelled by its Spark job tag; the
+others go on.
 """
 
 from __future__ import annotations
 
+import threading
 import time
 import traceback
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -31,11 +35,13 @@ from mirrorkit.functions.fixed import PARALLEL_JOBS, YEAR_COLUMN
 from mirrorkit.operators.chunks import chunked_scan
 from mirrorkit.operators.filters import apply_predicate
 from mirrorkit.operators.normalize import convert, narrow_numbers, prepare, render_text
-from mirrorkit.operators.reconcile import report_counts
+from mirrorkit.operators.reconcile import report_counts, touched_partitions
 from mirrorkit.plans.job import MirrorJob, check_batch, mirror_name
 from mirrorkit.session import ensure_checkpoint_dir
+from mirrorkit.sinks import manifest_log
 from mirrorkit.sinks.catalog import sync_mirror_table
 from mirrorkit.sinks.parquet import compact_staged, stage_extract, write_mirror
+from mirrorkit.sinks.versions import new_run, publish_run, run_folder, switch_catalog
 from mirrorkit.sources.listing import delete_path, file_manifest, path_exists
 
 OVERFLOW = "__narrow_overflow"
@@ -141,22 +147,92 @@ def run_job(
     staging_root: str | None = None,
     catalog_database: str | None = None,
     retries: int = 0,
+    versioned: bool = False,
+    deadline: float | None = None,
 ) -> JobResult:
     """Mirror one table into ``dest_root/<mirror name>``; never raises.
 
+    ``versioned``: write beside the old files and switch by the manifest log
+    and the catalog (``sinks.versions``) instead of replacing folders; reports
+    then come from the log and no folder of the mirror is listed.
+
+    ``deadline``: seconds after which the job (all attempts together) is
+    cancelled; its status is then ``"cancelled"``.
+
     A failed job is run again up to ``retries`` times: the write replaces
     exactly the partitions it produces, so a repeated run is idempotent.
     (Lost executors are handled inside one run by Spark's task retries.)
     """
-    result = _run_job_once(spark, job, source, dest_root, staging_root, catalog_database)
-    attempts = 1
-    while result.status != "ok" and attempts <= retries:
-        attempts += 1
-        result = _run_job_once(spark, job, source, dest_root, staging_root, catalog_database)
+    def once() -> JobResult:
+        return _run_job_once(spark, job, source, dest_root, staging_root, catalog_database, versioned)
+
+    with _deadline(spark, job, deadline) as expired:
+        result, attempts = once(), 1
+        while result.status != "ok" and attempts <= retries and not expired.is_set():
+            attempts += 1
+            result = once()
+    if result.status != "ok" and expired.is_set():
+        result.status = "cancelled"
+        result.error = f"cancelled after {deadline} s"
     result.attempts = attempts
     return result
 
 
+@contextmanager
+def _deadline(spark: SparkSession, job: MirrorJob, seconds: float | None):
+    """Cancels this thread's Spark jobs once ``seconds`` are over; the event says whether that happened.
+
+    Spark jobs are tagged, so no other thread's are touched. A job may start
+    further Spark jobs after one is cancelled (a retry of a step), so
+    cancelling goes on until the block is left.
+    """
+    expired, done = threading.Event(), threading.Event()
+    if seconds is None:
+        yield expired
+        return
+    sc = spark.sparkContext
+    tag = f"mirror-{job.mirror_name}-{uuid.uuid4().hex[:8]}"
+
+    def watch() -> None:
+        if done.wait(seconds):
+            return
+        expired.set()
+        while not done.is_set():
+            sc.cancelJobsWithTag(tag)
+            done.wait(0.5)
+
+    watcher = threading.Thread(target=watch, daemon=True)
+    sc.addJobTag(tag)
+    sc.setInterruptOnCancel(True)
+    watcher.start()
+    try:
+        yield expired
+    finally:
+        done.set()
+        watcher.join()
+        sc.removeJobTag(tag)
+        sc.setInterruptOnCancel(False)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a frame's size, from file sizes and plan statistics."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def largest_first(jobs: Sequence[MirrorJob], source: Callable[[MirrorJob], DataFrame]) -> list[MirrorJob]:
+    """Jobs by falling estimated extract size, so that the longest does not start last.
+
+    A source that cannot be read comes first: its job fails at once.
+    """
+    def size(job: MirrorJob) -> float:
+        try:
+            return estimated_bytes(extract_plan(job, source))
+        except Exception:  # reported when the job runs
+            return float("inf")
+
+    return sorted(jobs, key=lambda job: -size(job))
+
+
 def _run_job_once(
     spark: SparkSession,
     job: MirrorJob,
@@ -164,6 +240,7 @@ def _run_job_once(
     dest_root: str,
     staging_root: str | None,
     catalog_database: str | None,
+    versioned: bool,
 ) -> JobResult:
     started = time.time()
     result = JobResult(job.name, job.table_name, job.description, "ok",
@@ -176,9 +253,13 @@ def _run_job_once(
         # Only folders inside the job's scope can be created, replaced or
         # orphaned by this write, so only those are listed (before and after).
         # Materialised now: the listing must show the state before the write.
-        before = file_manifest(spark, dest, parts, within=job.scope_glob)
-        if path_exists(spark, dest):  # a first write has nothing to preserve
-            before = before.checkpoint(eager=True)
+        target, run = dest, new_run()
+        if versioned:
+            target = run_folder(dest, run)
+        else:
+            before = file_manifest(spark, dest, parts, within=job.scope_glob)
+            if path_exists(spark, dest):  # a first write has nothing to preserve
+                before = before.checkpoint(eager=True)
 
         extracted = extract_plan(job, source)
 
@@ -205,7 +286,7 @@ def _run_job_once(
             # no partition folders); pass 2 compacts it and converts around
             # its exchange, like the one-pass write.
             stage_extract(extracted, staged)
-            compact_staged(spark, staged, dest, extracted.schema, parts, before_exchange=shrink,
+            compact_staged(spark, staged, target, extracted.schema, parts, before_exchange=shrink,
                            after_exchange=widen, observation=observed, metrics=metrics,
                            drop_after_observe=[OVERFLOW])
             # The staged copy is as large as the extract; drop it once compacted.
@@ -213,7 +294,7 @@ def _run_job_once(
         else:
             # Numbers are narrowed before the compacting exchange, text is
             # rendered after it, in the writer tasks.
-            write_mirror(extracted, dest, parts, before_exchange=shrink, after_exchange=widen,
+            write_mirror(extracted, target, parts, before_exchange=shrink, after_exchange=widen,
                          observation=observed, metrics=metrics, drop_after_observe=[OVERFLOW])
         stats = observed.get
         result.rows = int(stats.get("rows", 0))
@@ -223,15 +304,22 @@ def _run_job_once(
         report_started = time.time()
         result.write_seconds = round(report_started - write_started, 3)
 
-        after = file_manifest(spark, dest, parts, within=job.scope_glob)
+        if versioned:
+            commit = publish_run(spark, dest, run, schema, parts)
+            before = manifest_log.manifest(spark, dest, parts, commit.number - 1)
+            after = manifest_log.manifest(spark, dest, parts, commit.number)
+        else:
+            after = file_manifest(spark, dest, parts, within=job.scope_glob)
         counts = report_counts(after, before, parts, job.partition_scope)
         result.new_partitions = counts["new_partitions"]
         result.stale_files = counts["stale_files"]
         result.orphan_partitions = counts["orphan_partitions"]
-        if catalog_database:
-            result.catalog = sync_mirror_table(
-                spark, f"{catalog_database}.{job.mirror_name}", dest, schema, parts,
-            )
+        table = f"{catalog_database}.{job.mirror_name}"
+        if catalog_database and versioned:
+            result.catalog = switch_catalog(spark, table, dest)
+        elif catalog_database:
+            touched = touched_partitions(after, before, parts).collect() if parts else None  # a row per partition written
+            result.catalog = sync_mirror_table(spark, table, dest, schema, parts, touched)
         result.report_seconds = round(time.time() - report_started, 3)
     except Exception as err:  # reported per job; the batch decides to raise
         result.status = "failed"
@@ -259,11 +347,14 @@ def run_batch(
     catalog_database: str | None = None,
     retries: int = 0,
     raise_on_failure: bool = True,
+    versioned: bool = False,
+    deadline: float | Mapping[str, float] | None = None,
 ) -> DataFrame:
-    """Run the jobs, ``parallelism`` at a time; return one summary row per job.
+    """Run the jobs, ``parallelism`` at a time, largest first; return one summary row per job.
 
     Failures do not stop the other jobs; they are reported in the summary and,
-    with ``raise_on_failure``, raised once all jobs have finished.
+    with ``raise_on_failure``, raised once all jobs have finished. ``deadline``
+    is in seconds from a job's start, for all jobs or by job name.
     """
     check_batch(jobs)
     ensure_checkpoint_dir(spark)
@@ -273,10 +364,12 @@ def run_batch(
         # share the executors instead of queueing behind the largest one.
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"mirror-{job.mirror_name}")
         return run_job(spark, job, source, dest_root, staging_root=staging_root,
-                       catalog_database=catalog_database, retries=retries)
+                       catalog_database=catalog_database, retries=retries, versioned=versioned,
+                       deadline=deadline.get(job.name) if isinstance(deadline, Mapping) else deadline)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(run, jobs))
+        running = {job.mirror_name: pool.submit(run, job) for job in largest_first(jobs, source)}
+        results = [running[job.mirror_name].result() for job in jobs]
     summary = spark.createDataFrame([tuple(asdict(r).values()) for r in results], SUMMARY_SCHEMA)
     failed = [r.job for r in results if r.status != "ok"]
     if failed and raise_on_failure:

@@ -15,9 +15,10 @@ the written result back.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mirrorkit.functions.columns import log_line_text
@@ -26,23 +27,27 @@ from mirrorkit.functions.types import merge_overrides
 from mirrorkit.operators import chunks as ch
 from mirrorkit.operators.checks import definition_profile
 from mirrorkit.operators.filters import apply_predicate, job_predicate
+from mirrorkit.operators.infer import lost_values, proposed_overrides, type_profile
 from mirrorkit.operators.normalize import lowercase_columns, normalize
 from mirrorkit.operators.reconcile import (
     new_partitions,
     orphan_partitions,
     partition_status,
     partitions_of,
+    rows_in,
     stale_files,
     touched_partitions,
     union_all,
 )
-from mirrorkit.plans.batch import TableSource, run_batch, run_job
+from mirrorkit.plans.batch import TableSource, mirror_frame, run_batch, run_job
 from mirrorkit.plans.job import MirrorJob, job_from_spec, jobs_from_specs
 from mirrorkit.session import work_dir
-from mirrorkit.sinks.parquet import write_mirror
-from mirrorkit.sources.files import read_mirror
-from mirrorkit.sources.listing import file_manifest
-from mirrorkit.sources.logs import read_log_events
+from mirrorkit.sinks import manifest_log
+from mirrorkit.sinks.parquet import compact_staged, stage_extract, write_mirror
+from mirrorkit.sinks.versions import read_versioned
+from mirrorkit.sources.files import read_keys, read_mirror
+from mirrorkit.sources.listing import file_manifest, qualified_path
+from mirrorkit.sources.logs import numbered_log_events, read_log_events
 from mirrorkit.streaming.logs import ship_log_events
 
 # ---------------------------------------------------------------------------
@@ -646,6 +651,295 @@ def _new_partitions_all_sql() -> str:
     return _with_sources(" UNION ALL ".join(parts), "orders_src", "lineitem_src")
 
 
+# ---------------------------------------------------------------------------
+# Versioned mirrors: written beside, switched by manifest log and catalog
+# ---------------------------------------------------------------------------
+
+def _database(spark: SparkSession, root: str) -> str:
+    """A catalog database of its own for one query's tables."""
+    name = "v_" + root.rstrip("/").rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root}/tables'")
+    return name
+
+
+def _versioned_runs(spark, sf, runs, catalog=True):
+    """Runs jobs (job, source) one after another into one versioned mirror: its folder and catalog name."""
+    root = work_dir(spark, "versions")
+    database = _database(spark, root) if catalog else None
+    for job, source in runs:
+        result = run_job(spark, job, source, root, catalog_database=database, versioned=True)
+        if result.status != "ok":
+            raise RuntimeError(result.error)
+    return f"{root}/{job.mirror_name}", f"{database}.{job.mirror_name}"
+
+
+def _replaced_versions(spark, sf, catalog):
+    """The runs of ``partition_replace``, published by switching."""
+    shrunk = TableSource({"orders_src": lambda: _orders(spark, sf).where(F.col("PARID").isNotNull())})
+    return _versioned_runs(spark, sf, [(_orders_job("full", (1995, 2001)), table_source(spark, sf)),
+                                       (_orders_job("one", (1998, 1998), ("Y",)), shrunk)], catalog)
+
+
+def _partition_replace_versioned(spark, sf):
+    return spark.table(_replaced_versions(spark, sf, True)[1]).drop("loaded_at")
+
+
+def _partition_replace_logged(spark, sf):
+    return read_versioned(spark, _replaced_versions(spark, sf, False)[0]).drop("loaded_at")
+
+
+def _mirror_as_of(spark, sf):
+    """The same mirror as it was after the first run."""
+    return read_versioned(spark, _replaced_versions(spark, sf, False)[0], as_of=1).drop("loaded_at")
+
+
+def _published_versions(spark, sf):
+    """Manifests before and after the second run, from the log alone."""
+    t, overrides = "orders_src", tuple(GLOBAL_SCHEMA_OVERRIDES.items())
+    jobs = [MirrorJob(name, t, years[t], CUR_BY_SOURCE[t], None, overrides)
+            for name, years in (("published", PUBLISHED_YEARS), ("run", RUN_YEARS))]
+    mirror, _ = _versioned_runs(spark, sf, [(job, table_source(spark, sf)) for job in jobs], catalog=False)
+    return [manifest_log.manifest(spark, mirror, jobs[1].partitions, number) for number in (1, 2)]
+
+
+def _new_partitions_versioned(spark, sf):
+    before, after = _published_versions(spark, sf)
+    return _typed_partitions(new_partitions(after, before, ("taxyr", "cur")))
+
+
+def _stale_files_versioned(spark, sf):
+    before, after = _published_versions(spark, sf)
+    return stale_files(after, before).groupBy(F.col("taxyr").cast("int").alias("taxyr"), "cur").agg(
+        F.count(F.lit(1)).alias("files"))
+
+
+def _logged_rows(spark, sf):
+    """Rows per partition as the log has them; no data is read."""
+    before, after = _published_versions(spark, sf)
+    return after.groupBy(F.col("taxyr").cast("int").alias("taxyr"), "cur").agg(F.sum("rows").alias("n"))
+
+
+def _logged_rows_sql() -> str:
+    t = "orders_src"
+    lo, hi = PUBLISHED_YEARS[t][0], RUN_YEARS[t][1]
+    return _with_sources(f"SELECT TAXYR AS taxyr, CUR AS cur, count(*) AS n FROM {t} WHERE TAXYR BETWEEN {lo} AND {hi} "
+                         f"AND CUR IN {CUR_SQL} GROUP BY TAXYR, CUR", t)
+
+
+def _evolution_runs(spark, sf):
+    """Amounts are numbers in the first run, and text in a second one over some of its partitions and new ones."""
+    text = tuple(merge_overrides(GLOBAL_SCHEMA_OVERRIDES, {"amount": "STRING"}).items())
+    wider = TableSource({"orders_src": lambda: _orders(spark, sf).withColumn("NOTE", F.col("ORDERPRIORITY"))})
+    return [(_orders_job("numbers", (1995, 1998)), table_source(spark, sf)),
+            (MirrorJob("text", "orders_src", (1998, 2000), DEFAULT_CUR, None, text), wider)]
+
+
+def _schema_evolution(spark, sf):
+    return spark.table(_versioned_runs(spark, sf, _evolution_runs(spark, sf))[1]).drop("loaded_at")
+
+
+def _schema_evolution_logged(spark, sf):
+    return read_versioned(spark, _versioned_runs(spark, sf, _evolution_runs(spark, sf), catalog=False)[0]).drop("loaded_at")
+
+
+def _schema_evolution_in_place(spark, sf):
+    """The same runs into a mirror that replaces its folders."""
+    root = work_dir(spark, "evolution")
+    database = _database(spark, root)
+    for job, source in _evolution_runs(spark, sf):
+        result = run_job(spark, job, source, root, catalog_database=database)
+        if result.status != "ok":
+            raise RuntimeError(result.error)
+    return spark.table(f"{database}.{job.mirror_name}").drop("loaded_at")
+
+
+def _schema_evolution_sql() -> str:
+    def part(years, amount, note):
+        columns = ORDERS_NORMALIZED.replace(SQL_NARROW.format(c="AMOUNT"), f"CAST({amount} AS VARCHAR)")
+        return f"SELECT {columns}, {note} AS note FROM orders_src WHERE TAXYR BETWEEN {years} AND CUR IN {CUR_SQL}"
+
+    old = part("1995 AND 1997", SQL_NARROW.format(c="AMOUNT"), "CAST(NULL AS VARCHAR)")
+    return _with_sources(f"{old} UNION ALL {part('1998 AND 2000', 'AMOUNT', 'ORDERPRIORITY')}", "orders_src")
+
+
+# ---------------------------------------------------------------------------
+# Reading a mirror: keys, partitions of a report
+# ---------------------------------------------------------------------------
+
+def _point_mirror(spark, sf):
+    """Line items prepared for reads of single keys."""
+    path = f"{work_dir(spark, 'mirror')}/points"
+    write_mirror(normalize(source_frame(spark, sf, "lineitem_src"), stamp=False), path, ("taxyr", "cur"), point_key="parid")
+    return read_mirror(spark, path, ("taxyr", "cur"))
+
+
+#: Keys that exist at every size, keys that don't, and more than the reader tests in one pass.
+POINT_KEYS = tuple(f"{n:014d}" for n in (0, 1, 2, 3, 5, 7, 32, 33, 34, 77, 400, 401, 4002, 99999999))
+
+
+def _mirror_point_read(spark, sf):
+    return read_keys(_point_mirror(spark, sf), "parid", POINT_KEYS)
+
+
+def _touched_rows(spark, sf):
+    """Rows of the partitions that the last run touched: the report is joined to the mirror."""
+    t, overrides = "orders_src", tuple(GLOBAL_SCHEMA_OVERRIDES.items())
+    jobs = [MirrorJob(name, t, years[t], CUR_BY_SOURCE[t], None, overrides)
+            for name, years in (("published", PUBLISHED_YEARS), ("run", RUN_YEARS))]
+    mirror, name = _versioned_runs(spark, sf, [(job, table_source(spark, sf)) for job in jobs])
+    last = manifest_log.commits(spark, mirror)[-1]
+    return rows_in(spark.table(name), manifest_log.touched_by(spark, mirror, last), last.partitions).drop("loaded_at")
+
+
+# ---------------------------------------------------------------------------
+# Derived overrides
+# ---------------------------------------------------------------------------
+
+def _derived_overrides(name):
+    return lambda spark, sf: type_profile(source_frame(spark, sf, name))
+
+
+def _derived_overrides_applied(name):
+    """Values that the proposed types lose: none."""
+    def run(spark, sf):
+        df = source_frame(spark, sf, name)
+        return lost_values(df, proposed_overrides(df))
+    return run
+
+
+def _profile_sql(name: str, columns: dict[str, str], lost: bool = False) -> str:
+    """``columns``: name to declared type, as Spark spells it."""
+    def whole(low, high):
+        return (f"CASE WHEN {low} >= -128 AND {high} < 128 THEN 'TINYINT' WHEN {low} >= -32768 AND {high} < 32768 THEN 'SMALLINT' "
+                f"WHEN {low} >= -2147483648 AND {high} < 2147483648 THEN 'INT' ELSE 'BIGINT' END")
+
+    def proposed(c, t):
+        if t in ("TINYINT", "SMALLINT", "INT", "BIGINT"):
+            return f"(SELECT {whole(f'min({c})', f'max({c})')} FROM {name})"
+        if t.startswith("DECIMAL"):
+            scale = int(t[8:-1].split(",")[1])
+            used = " + ".join(f"CASE WHEN round({c}, {k}) <> {c} THEN 1 ELSE 0 END" for k in range(scale)) or "0"
+            return (f"(SELECT 'DECIMAL(' || greatest(1, CASE WHEN size < 1 THEN 0 ELSE length(CAST(floor(size) AS DECIMAL(38,0))::VARCHAR) END + used) "
+                    f"|| ',' || used || ')' FROM (SELECT max(abs({c})) AS size, max({used}) AS used FROM {name}))")
+        if t in ("DOUBLE", "FLOAT"):
+            return (f"(SELECT CASE WHEN bool_and({c} = floor({c})) THEN {whole(f'min({c})', f'max({c})')} ELSE '{t}' END FROM {name})")
+        if t.startswith("TIMESTAMP"):
+            return f"(SELECT CASE WHEN bool_and(date_trunc('day', {c}) = {c}) THEN 'DATE' ELSE '{t}' END FROM {name})"
+        return (f"(SELECT CASE WHEN bool_and(coalesce(CAST(TRY_CAST({c} AS BIGINT) AS VARCHAR) = {c}, false)) THEN 'BIGINT' "
+                f"WHEN bool_and(coalesce(CAST(TRY_CAST({c} AS DATE) AS VARCHAR) = {c}, false)) THEN 'DATE' ELSE '{t}' END "
+                f"FROM {name} WHERE {c} IS NOT NULL)")
+
+    parts = [f"SELECT '{c.lower()}' AS \"column\", '{t}' AS declared, coalesce({proposed(c, t)}, '{t}') AS proposed, "
+             f"(SELECT CAST(count_if({c} IS NULL) AS BIGINT) FROM {name}) AS nulls" for c, t in columns.items()]
+    body = " UNION ALL ".join(parts)
+    if lost:
+        body = f'SELECT "column", CAST(0 AS BIGINT) AS lost FROM ({body}) t WHERE declared <> proposed'
+    return _with_sources(body, name)
+
+
+PROFILED = {
+    "orders_src": {"PARID": "STRING", "TAXYR": "INT", "CUR": "STRING", "AMOUNT": "DECIMAL(38,10)", "WHEN_TS": "TIMESTAMP_NTZ",
+                   "CUSTKEY": "BIGINT", "ORDERPRIORITY": "STRING"},
+    "lineitem_src": {"PARID": "STRING", "LINENO": "INT", "TAXYR": "INT", "CUR": "STRING", "QUANTITY": "DECIMAL(38,10)",
+                     "EXTENDEDPRICE": "DECIMAL(38,10)", "DISCOUNT": "DECIMAL(15,2)", "RETURNFLAG": "STRING", "SHIPDATE": "TIMESTAMP_NTZ",
+                     "PARTKEY": "BIGINT", "SUPPKEY": "BIGINT", "TAX": "DOUBLE"},
+}
+
+
+# ---------------------------------------------------------------------------
+# Small items: unchunked and filtered scans, remote roots, stamps, codecs, descriptions
+# ---------------------------------------------------------------------------
+
+def _unchunked_scan(spark, sf):
+    """No predicates: one scan, every row once."""
+    job = job_from_spec("whole", {"table_name": "orders_src", "min_year": None, "max_year": None, "cur": None, "predicates_path": None})
+    return mirror_frame(job, table_source(spark, sf), stamp=False)
+
+
+def _chunk_and_filter(spark, sf):
+    """Chunks and the job's filter together: rows in no chunk are lost, rows outside the filter too."""
+    return mirror_frame(_orders_job("both", (1996, 1998), ("Y", "D"), tuple(INCLUSIVE_CHUNKS)), table_source(spark, sf), stamp=False)
+
+
+def _published_by_uri(spark, sf):
+    """The destination is a URI with its scheme."""
+    job = _orders_job("uri", (1996, 1998))
+    root, _ = _mirror_orders(spark, sf, job, root=qualified_path(spark, work_dir(spark, "publish")))
+    return root, job
+
+
+def _published_mirror(spark, sf):
+    root, job = _published_by_uri(spark, sf)
+    return read_mirror(spark, f"{root}/{job.mirror_name}", job.partitions).drop("loaded_at")
+
+
+def _remote_listing(spark, sf):
+    root, job = _published_by_uri(spark, sf)
+    files = file_manifest(spark, f"{root}/{job.mirror_name}", job.partitions)
+    return files.groupBy(F.col("taxyr").cast("int").alias("taxyr"), "cur").agg(F.count(F.lit(1)).alias("files"))
+
+
+def _load_stamps(spark, sf):
+    """All rows of a run have one load stamp, in the mirror's text form."""
+    job = _orders_job("stamps", (1996, 1998))
+    root, _ = _mirror_orders(spark, sf, job)
+    stamp = F.col("loaded_at")
+    return read_mirror(spark, f"{root}/{job.mirror_name}", job.partitions).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(stamp).alias("stamps"),
+        F.bool_and(stamp.rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{3}$")).alias("well_formed"))
+
+
+def _file_codecs(spark, sf):
+    """Rows by codec, of staged files and of the files compacted from them."""
+    root = work_dir(spark, "codecs")
+    frame = normalize(source_frame(spark, sf, "lineitem_src"), stamp=False)
+    stage_extract(frame, f"{root}/staged")
+    compact_staged(spark, f"{root}/staged", f"{root}/final", frame.schema, ("taxyr", "cur"))
+    parts = []
+    for step in ("staged", "final"):
+        name = F.regexp_extract(F.input_file_name(), r"\.([a-z]+)\.parquet$", 1)
+        parts.append(spark.read.schema(frame.schema).parquet(f"{root}/{step}").select(F.lit(step).alias("step"), name.alias("codec")))
+    return union_all(parts).groupBy("step", "codec").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _batch_descriptions(spark, sf):
+    """Each job's description and rows, as the summary has them."""
+    summary = run_batch(spark, _batch_jobs(spark, sf), table_source(spark, sf), work_dir(spark, "batch"))
+    return summary.select("job", "description", "rows")
+
+
+def _batch_descriptions_sql() -> str:
+    years = {"orders": "[1996, 2000]", "lineitem": "[1995, 1997]", "events": f"[2020, {YEAR_NOW}]"}
+    status = {"orders": "[Y, N, D]", "events": "[Y, N, D]", "customer": "[Y, N, D]", "supplier": "[Y]"}
+    text = {job: SAMPLE_BATCH[job]["table_name"] + (f", taxyr={years[job]}" if job in years else "")
+            + (f", cur={status[job]}" if job in status else "") for job in SAMPLE_BATCH}
+    case = "CASE job " + " ".join(f"WHEN '{job}' THEN '{t}'" for job, t in text.items()) + " END"
+    return _batch_summary_sql().replace("SELECT 'region' AS job", f"SELECT job, {case} AS description, rows FROM (SELECT 'region' AS job", 1) + ") s"
+
+
+def _batch_deadline(spark, sf):
+    """A source that never ends is cancelled at its deadline; the other jobs' rows are there."""
+    def endless():
+        def rows(batches):
+            for batch in batches:
+                while True:
+                    time.sleep(0.05)
+                    yield batch
+        return source_frame(spark, sf, "region").mapInArrow(rows, source_frame(spark, sf, "region").schema)
+
+    source = table_source(spark, sf)
+    source.tables["endless"] = endless
+    whole = {"min_year": None, "max_year": None, "cur": None, "predicates_path": None}
+    jobs = [*_batch_jobs(spark, sf), job_from_spec("endless", {"table_name": "endless", **whole})]
+    summary = run_batch(spark, jobs, source, work_dir(spark, "batch"), deadline={"endless": 5.0}, raise_on_failure=False)
+    return summary.select("job", "status", "rows")
+
+
+def _batch_deadline_sql() -> str:
+    return _batch_summary_sql().replace("SELECT 'region' AS job", "SELECT job, 'ok' AS status, rows FROM (SELECT 'region' AS job", 1) + (
+        ") s UNION ALL SELECT 'endless', 'cancelled', CAST(NULL AS BIGINT)")
+
+
 # ---------------------------------------------------------------------------
 # Batches, definitions, logs
 # ---------------------------------------------------------------------------
@@ -782,10 +1076,7 @@ def _log_events(spark, sf):
 
 def _log_event_order(spark, sf):
     """Position of each event in the sorted log (equal times keep file order)."""
-    events = read_log_events(spark, _write_event_log(spark, sf)).select(
-        F.monotonically_increasing_id().alias("at"), "ts_ms", "message")
-    # The sorted rows are numbered in their order; this report alone gathers them.
-    return events.select((F.row_number().over(Window.orderBy("at")) - 1).cast("bigint").alias("position"), "ts_ms", "message")
+    return numbered_log_events(spark, _write_event_log(spark, sf)).select("position", "ts_ms", "message")
 
 
 def _log_event_order_sql() -> str:
@@ -958,6 +1249,35 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "new_partitions_all": (_new_partitions_all, _new_partitions_all_sql()),
     "orphan_partitions": (_orphan_partitions, _orphan_partitions_sql()),
     "partition_status": (_partition_status, _partition_status_sql()),
+    "partition_replace_versioned": (_partition_replace_versioned, _partition_replace_sql()),
+    "partition_replace_logged": (_partition_replace_logged, _partition_replace_sql()),
+    "mirror_as_of": (_mirror_as_of, _filtered_sql(f"TAXYR BETWEEN 1995 AND 2001 AND CUR IN {CUR_SQL}")),
+    "new_partitions_versioned": (_new_partitions_versioned, _reconcile_sql("new")),
+    "stale_files_versioned": (_stale_files_versioned, _stale_files_sql()),
+    "logged_rows": (_logged_rows, _logged_rows_sql()),
+    "schema_evolution": (_schema_evolution, _schema_evolution_sql()),
+    "schema_evolution_logged": (_schema_evolution_logged, _schema_evolution_sql()),
+    "schema_evolution_in_place": (_schema_evolution_in_place, _schema_evolution_sql()),
+    "mirror_point_read": (
+        _mirror_point_read,
+        _with_sources(NORMALIZED_SQL["lineitem_src"] + f" WHERE PARID IN ({', '.join(repr(k) for k in POINT_KEYS)})", "lineitem_src")),
+    "touched_rows": (_touched_rows, _filtered_sql(
+        f"TAXYR BETWEEN {RUN_YEARS['orders_src'][0]} AND {RUN_YEARS['orders_src'][1]} AND CUR IN {CUR_SQL}")),
+    **{f"derived_overrides_{t[:-4]}": (_derived_overrides(t), _profile_sql(t, columns)) for t, columns in PROFILED.items()},
+    **{f"derived_overrides_applied_{t[:-4]}": (_derived_overrides_applied(t), _profile_sql(t, columns, lost=True))
+       for t, columns in PROFILED.items()},
+    "unchunked_scan": (_unchunked_scan, _filtered_sql(None)),
+    "chunk_and_filter": (_chunk_and_filter, _filtered_sql(
+        f"TAXYR BETWEEN 1996 AND 1998 AND CUR IN ('Y', 'D') AND ({' OR '.join(f'({p})' for p in INCLUSIVE_CHUNKS)})")),
+    "published_mirror": (_published_mirror, _filtered_sql(f"TAXYR BETWEEN 1996 AND 1998 AND CUR IN {CUR_SQL}")),
+    "remote_listing": (_remote_listing, _compacted_file_counts_sql().replace("BETWEEN 1995 AND 2001", "BETWEEN 1996 AND 1998")),
+    "load_stamps": (_load_stamps, _with_sources(
+        "SELECT count(*) AS n, CAST(1 AS BIGINT) AS stamps, true AS well_formed FROM orders_src "
+        f"WHERE TAXYR BETWEEN 1996 AND 1998 AND CUR IN {CUR_SQL}", "orders_src")),
+    "file_codecs": (_file_codecs, "SELECT 'staged' AS step, 'snappy' AS codec, count(*) AS n FROM lineitem "
+                                  "UNION ALL SELECT 'final', 'zstd', count(*) FROM lineitem"),
+    "batch_descriptions": (_batch_descriptions, _batch_descriptions_sql()),
+    "batch_deadline": (_batch_deadline, _batch_deadline_sql()),
     "manifest_counts": (_manifest_counts, _manifest_counts_sql()),
     "batch_summary": (_batch_summary, _batch_summary_sql()),
     "definition_check": (_definition_check, _definition_check_sql()),

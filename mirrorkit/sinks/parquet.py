@@ -56,9 +56,17 @@ def write_mirror(
     observation: Observation | None = None,
     metrics: Sequence[Column] = (),
     drop_after_observe: Sequence[str] = (),
+    point_key: str | None = None,
+    distinct_keys_per_file: int = MAX_ROWS_PER_FILE,
 ) -> None:
     """Write ``df`` as Hive-partitioned Parquet at ``path`` (one action).
 
+    ``point_key`` prepares the mirror for reads of single keys: rows are dealt
+    to files by ranges of (partition, key) and sorted in them, so files, row
+    groups and pages hold narrow ranges of it, and each row group gets a Bloom
+    filter on it (about 1.2 bytes per key of ``distinct_keys_per_file``). See
+    ``sources.files.read_keys``.
+
     ``before_exchange`` and ``after_exchange`` are row-wise projections on
     either side of the exchange: conversions that shrink rows go before it,
     those that widen rows (text renderings, constants) after it, so each
@@ -67,7 +75,11 @@ def write_mirror(
     pass is needed. Columns in ``drop_after_observe`` feed the metrics only.
     """
     out = before_exchange(df) if before_exchange is not None else df
-    out = compacted(out, partitions) if compact else out
+    if compact and point_key is not None:
+        keys = [source_column(c) for c in (*partitions, point_key)]
+        out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    elif compact:
+        out = compacted(out, partitions)
     if after_exchange is not None:
         out = after_exchange(out)
     if observation is not None and metrics:
@@ -79,6 +91,9 @@ def write_mirror(
         .option("compression", compression)
         .option("maxRecordsPerFile", max_rows_per_file)
     )
+    if point_key is not None:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{point_key}", "true").option(
+            f"parquet.bloom.filter.expected.ndv#{point_key}", distinct_keys_per_file)
     if partitions:
         writer = writer.partitionBy(*partitions).option(
             "partitionOverwriteMode", "dynamic" if replace_touched_only else "static"

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructField, StructType
 
+from mirrorkit.functions.columns import source_column
 from mirrorkit.functions.fixed import STATUS_COLUMN, YEAR_COLUMN
 from mirrorkit.sources.listing import list_files
 
@@ -65,6 +67,26 @@ def read_mirror(
     return spark.read.schema(full).option("basePath", path).parquet(path)
 
 
+#: Keys per pass of ``read_keys``: the reader tests up to this many values against Bloom filters and page bounds.
+KEYS_PER_PASS = 10
+
+
+def read_keys(mirror: DataFrame, column: str, keys: Sequence) -> DataFrame:
+    """Rows of ``mirror`` with one of the given keys (null: rows without a key).
+
+    Sorted keys go in groups of ``KEYS_PER_PASS``, each an ``IN`` filter that
+    reaches the Parquet reader; row groups and pages that cannot hold a key are
+    skipped (best on mirrors written with ``point_key``). For very many keys,
+    join a frame of keys instead.
+    """
+    wanted = sorted({k for k in keys if k is not None})
+    passes = [wanted[at : at + KEYS_PER_PASS] for at in range(0, len(wanted), KEYS_PER_PASS)]
+    parts = [mirror.where(source_column(column).isin(some)) for some in passes]
+    if None in keys:
+        parts.append(mirror.where(source_column(column).isNull()))
+    return reduce(DataFrame.unionByName, parts) if parts else mirror.limit(0)
+
+
 def _has_files(spark: SparkSession, path: str) -> bool:
     """Whether a listing of ``path`` finds at least one data file."""
     return not list_files(spark, path).isEmpty()

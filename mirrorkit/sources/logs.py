@@ -14,10 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mirrorkit.functions.columns import log_line_time_ms
+from mirrorkit.operators.ordering import with_position
+
+_WHITE_SPACE = " \t\n\x0b\f\r"
 
 
 def _stripped(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(_WHITE_SPACE))
 
 
 def parse_log_lines(
@@ -36,7 +39,17 @@ def parse_log_lines(
     cols = [ts_ms.alias("ts_ms"), message.alias("message"), *keep]
     if line_numbers:
         cols.insert(0, F.monotonically_increasing_id().alias("line_no"))
-    return lines.where(F.col(text_column).rlike(r"\S")).select(*cols)
+    return lines.where(_stripped(F.col(text_column)) != "").select(*cols)
+
+
+def _events_and_order(spark: SparkSession, path: str, zone: str | None) -> tuple[DataFrame, list[Column]]:
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+    )
+    order = [F.col("ts_ms").asc_nulls_last(), F.col("source_file").asc(), F.col("block_start").asc(), F.col("line_no").asc()]
+    return parse_log_lines(lines, keep=("source_file", "block_start"), zone=zone), order
 
 
 def read_log_events(spark: SparkSession, path: str, zone: str | None = None) -> DataFrame:
@@ -46,12 +59,11 @@ def read_log_events(spark: SparkSession, path: str, zone: str | None = None) ->
     the split (Spark packs splits by size, so scan order alone is not file
     order when there are several files).
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-    )
-    events = parse_log_lines(lines, keep=("source_file", "block_start"), zone=zone)
-    return events.orderBy(
-        F.col("ts_ms").asc_nulls_last(), "source_file", "block_start", "line_no"
-    ).drop("block_start")
+    events, order = _events_and_order(spark, path, zone)
+    return events.orderBy(*order).drop("block_start")
+
+
+def numbered_log_events(spark: SparkSession, path: str, zone: str | None = None) -> DataFrame:
+    """The same events with their ``position`` in that order (from 0), as an unsorted frame."""
+    events, order = _events_and_order(spark, path, zone)
+    return with_position(events, order).drop("block_start")
