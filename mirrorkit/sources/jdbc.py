@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mirrorkit.functions.fixed import FETCH_SIZE
 from mirrorkit.functions.types import overrides_ddl
+from mirrorkit.operators.chunk_sql import chunks_from_source
+from mirrorkit.operators.chunks import ChunkList
 
 
 def jdbc_properties(
@@ -93,3 +95,11 @@ class JdbcSource:
             predicates=job.predicates, properties=self.properties,
             overrides=job.overrides, fetch_size=self.fetch_size,
         )
+
+    def derived_chunks(self, table: str, column: str, chunks: int, *, split_column: str | None = None) -> ChunkList:
+        """Balanced chunks of a table, counted by the database itself (no mirror needed yet)."""
+        def run_sql(sql: str) -> list:
+            # Rows come back in the query's order: one partition, a row per chunk.
+            return [tuple(r) for r in read_jdbc(self.spark, self.url, f"({sql}) bounds", properties=self.properties).collect()]
+
+        return chunks_from_source(run_sql, table, column, chunks, split_column=split_column)
