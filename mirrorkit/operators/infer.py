@@ -45,8 +45,8 @@ def _measures(c: Column, t: DataType) -> dict[str, Column]:
     if isinstance(t, _WHOLE_TYPES):
         return {"low": F.min(c).cast("bigint"), "high": F.max(c).cast("bigint")}
     if isinstance(t, DecimalType):
-        # Value equals itself rounded to k decimals from some k on.
-        used = sum((F.when(F.round(c, k) != c, 1).otherwise(0) for k in range(t.scale)), F.lit(0))
+        # A value equals itself rounded to k decimals from some k on; a rounded value that does not fit is another one.
+        used = sum((F.when(F.round(c, k).try_cast(t).eqNullSafe(c), 0).otherwise(1) for k in range(t.scale)), F.lit(0))
         return {"size": F.max(F.abs(c)), "used": F.max(F.when(c.isNotNull(), used))}
     if isinstance(t, (FloatType, DoubleType)):
         whole = F.coalesce((c == F.floor(c)) & (F.abs(c) < _EXACT) & ~((c == 0) & F.signum(c).cast("string").startswith("-")), F.lit(False))

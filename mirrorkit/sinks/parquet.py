@@ -26,6 +26,8 @@ from mirrorkit.functions.fixed import (
 from mirrorkit.sources.files import read_mirror
 
 
+#: Rows of a page in files for point reads: what a read of one key decodes.
+POINT_PAGE_ROWS = 2_000
 _PARALLELISM_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
 
@@ -63,9 +65,9 @@ def write_mirror(
 
     ``point_key`` prepares the mirror for reads of single keys: rows are dealt
     to files by ranges of (partition, key) and sorted in them, so files, row
-    groups and pages hold narrow ranges of it, and each row group gets a Bloom
-    filter on it (about 1.2 bytes per key of ``distinct_keys_per_file``). See
-    ``sources.files.read_keys``.
+    groups and pages (``POINT_PAGE_ROWS`` rows) hold narrow ranges of it, and
+    each row group gets a Bloom filter on it (about 1.2 bytes per key of
+    ``distinct_keys_per_file``). See ``sources.files.read_keys``.
 
     ``before_exchange`` and ``after_exchange`` are row-wise projections on
     either side of the exchange: conversions that shrink rows go before it,
@@ -93,7 +95,8 @@ def write_mirror(
     )
     if point_key is not None:
         writer = writer.option(f"parquet.bloom.filter.enabled#{point_key}", "true").option(
-            f"parquet.bloom.filter.expected.ndv#{point_key}", distinct_keys_per_file)
+            f"parquet.bloom.filter.expected.ndv#{point_key}", distinct_keys_per_file).option(
+            "parquet.page.row.count.limit", POINT_PAGE_ROWS)
     if partitions:
         writer = writer.partitionBy(*partitions).option(
             "partitionOverwriteMode", "dynamic" if replace_touched_only else "static"
