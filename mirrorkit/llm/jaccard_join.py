@@ -9,11 +9,13 @@ and classes meet by subset. Nothing needs to be checked, and a bucket of equal
 subsets is joined by a star, not by pairs.
 
 *Large sets*: inverted lists over the tokens a linked partner must share one
-of: the rarest ``n - ceil(0.8 n) + 1`` tokens in a common order. The order puts
-*heavy* shingles (those many documents of some task share: passages,
-boilerplate) last, so lists of frequent shingles are scanned only for sets
-that consist of little else. The order is a matter of cost alone: any order
-gives the same links.
+of: the rarest ``n - ceil(0.8 n) + 1`` tokens in a common order. The order is by
+counted frequency: shingles that repeat within ``CHUNK_TOKENS`` tokens of a task
+(passages, boilerplate) are summed over all tasks in ``COUNTERS`` counters by
+hash, and a shingle ranks by its counter, so lists of frequent shingles are
+scanned only for sets that consist of little else, the rarer ones first. The
+counters have one size whatever the table. The order is a matter of cost
+alone: any common order gives the same links.
 
 The boundary is the one with the least estimated rows, given how many sets
 there are of each small size.
@@ -52,10 +54,11 @@ from mirrorkit.llm.components import components
 WORDS = 5
 #: Link if 100 * intersection >= PERCENT * union.
 PERCENT = 80
-#: A shingle counts as heavy from this many documents on, seen in tasks where it is in LOCAL or more.
+#: Counters below HEAVY rank alike; within a chunk of a task, shingles of LOCAL sets or more are counted.
 HEAVY, LOCAL = 8, 2
-#: Heavy shingles that are put last: at most so many (8 bytes each are broadcast).
-MAX_HEAVY = 1_000_000
+CHUNK_TOKENS = 2_000_000
+#: Counters by the shingle's hash (4 bytes each are broadcast).
+COUNTERS = 1 << 22
 #: Ids (8 bytes) up to which they are broadcast; beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
 #: Bytes from which a text's shingles are named in parts.
@@ -171,21 +174,22 @@ def subset_sizes(n: int) -> range:
     return range(-(-PERCENT * n // 100), n + 1)
 
 
+def counter_of(names: np.ndarray) -> np.ndarray:
+    return (_mix(names ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(COUNTERS)).astype(np.int64)
+
+
 def _local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles in at least LOCAL different sets of this task, with their number."""
+    """(counter, n): sets that hold shingles of this counter, over shingles that repeat in a chunk of the task."""
     seen: set[tuple[int, int]] = set()
-    kept = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    totals: dict[int, int] = {}
     pending: list[np.ndarray] = []
     size = 0
 
-    def merge(kept, pending):
+    def count():
         names, counts = np.unique(np.concatenate(pending), return_counts=True)
-        names = np.concatenate([kept[0], names])
-        counts = np.concatenate([kept[1], counts])
-        order = np.argsort(names, kind="stable")
-        names, counts = names[order], counts[order]
-        first = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
-        return names[first], np.add.reduceat(counts, first)
+        often = counts >= LOCAL
+        for counter, n in zip(counter_of(names[often]).tolist(), counts[often].tolist()):
+            totals[counter] = totals.get(counter, 0) + n
 
     for piece, texts in _text_batches(batches):
         for s in shingle_sets(texts):
@@ -193,19 +197,16 @@ def _local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 seen.add(f)
                 pending.append(s)
                 size += len(s)
-        if size > 600_000:
-            kept = merge(kept, pending)
-            pending, size, least = [], 0, 1
-            while len(kept[0]) > 1_200_000:  # bounds memory; the rarest go first
-                often = kept[1] > least
-                kept, least = (kept[0][often], kept[1][often]), least + 1
+        if size > CHUNK_TOKENS:
+            count()
+            pending, size = [], 0
     if pending:
-        kept = merge(kept, pending)
-    often = kept[1] >= LOCAL
-    yield pa.RecordBatch.from_arrays([pa.array(kept[0][often].view(np.int64)), pa.array(kept[1][often])], names=["token", "n"])
+        count()
+    yield pa.RecordBatch.from_arrays([pa.array(list(totals), type=pa.int64()), pa.array(list(totals.values()), type=pa.int64())],
+                                     names=["counter", "n"])
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], heavy: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _prefixes(batches: Iterator[pa.RecordBatch], counters: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Size, fingerprint, number of light shingles and prefix of each set."""
     for piece, texts in _text_batches(batches):
         n, f1, f2, light, prefix, sketch = [], [], [], [], [], []
@@ -216,13 +217,9 @@ def _prefixes(batches: Iterator[pa.RecordBatch], heavy: np.ndarray) -> Iterator[
             a, b = _fingerprint(s)
             f1.append(a)
             f2.append(b)
-            if len(heavy) and len(s):
-                at = np.searchsorted(heavy, s)
-                is_heavy = heavy[np.minimum(at, len(heavy) - 1)] == s
-                light.append(int(len(s) - is_heavy.sum()))
-                s = np.concatenate([s[~is_heavy], s[is_heavy]])
-            else:
-                light.append(len(s))
+            rank = counters[counter_of(s)]
+            light.append(int((rank == 0).sum()))
+            s = s[np.argsort(rank, kind="stable")]  # ties by name
             prefix.append(s[: prefix_length(len(s))].view(np.int64) if len(s) else s.view(np.int64))
         yield pa.RecordBatch.from_arrays([
             piece.column("doc_id"), pa.array(n, type=pa.int64()), pa.array(f1, type=pa.int64()),
@@ -298,12 +295,16 @@ def _joined(pairs: DataFrame, values: DataFrame, mine: dict[str, str], others: d
 
 
 def linked(pairs: DataFrame, text: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link. Sets are made again, for ids of promising pairs only."""
+    """The pairs (a, b) whose sets link.
+
+    Sets are made again, for ids of promising pairs only, and go through one
+    exchange that both sides of the pairs read; they are not written.
+    """
     promising = written(_joined(pairs, sketches, {"n": "n", "sketch": "x"}, {"n": "m", "sketch": "y"}).select(
         "a", "b", "n", "m", "x", "y").mapInArrow(_may_link, "a bigint, b bigint").distinct(), "jaccard-promising")
     ids = written(promising.select(F.col("a").alias("doc_id")).unionByName(
         promising.select(F.col("b").alias("doc_id"))).distinct(), "jaccard-ids")
-    sets = written(map_batches(only(text, ids), _sets, "doc_id bigint, tokens binary"), "jaccard-verify")
+    sets = map_batches(only(text, ids), _sets, "doc_id bigint, tokens binary")
     return _joined(promising, sets, {"tokens": "x"}, {"tokens": "y"}).select("a", "b", "x", "y").mapInArrow(
         _verify, "a bigint, b bigint").distinct()
 
@@ -317,10 +318,11 @@ def only(rows: DataFrame, wanted: DataFrame, column: str = "doc_id") -> DataFram
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (least id reachable by links)."""
     text = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    heavy = map_batches(text, _local_counts, "token bigint, n bigint").groupBy("token").agg(
-        F.sum("n").alias("n")).filter(F.col("n") >= HEAVY).orderBy(F.desc("n"), "token").limit(MAX_HEAVY).select("token")
-    heavy_set = np.sort(heavy.toPandas()["token"].to_numpy(dtype=np.int64).view(np.uint64))
-    shared = text.sparkSession.sparkContext.broadcast(heavy_set)
+    often = map_batches(text, _local_counts, "counter bigint, n bigint").groupBy("counter").agg(
+        F.sum("n").alias("n")).filter(F.col("n") >= HEAVY).toArrow()  # at most COUNTERS rows
+    counters = np.zeros(COUNTERS, dtype=np.uint32)
+    counters[often.column("counter").to_numpy()] = np.minimum(often.column("n").to_numpy(), (1 << 32) - 1)
+    shared = text.sparkSession.sparkContext.broadcast(counters)
     rows = written(map_batches(
         text, lambda it: _prefixes(it, shared.value),
         "doc_id bigint, n bigint, f1 bigint, f2 bigint, light bigint, prefix array<bigint>, sketch binary").withColumn(
