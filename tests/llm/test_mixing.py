@@ -1,8 +1,13 @@
+import contextlib
+import io
 import math
 from collections import Counter
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from llm_edges import edge_docs, no_docs
+from pyspark.sql import functions as F
 
 from mirrorkit.llm import mixing
 
@@ -50,9 +55,66 @@ def test_budget_and_whole_epochs(small_shuffles):
             assert abs(half[s] - used[s] / 2) < 0.15 * used[s] + 10
 
 
+def by_hand(df, seed, repeats, budget, block_tokens):
+    """(id, source, epoch, block) by plain Python, from the operator's hashes alone."""
+    rows = df.select("doc_id", "source", "text", F.xxhash64("text").alias("text_hash"),
+                     *[mixing._hash01(seed, F.lit(e), F.col("doc_id"), F.xxhash64("text")).alias(f"u{e}") for e in range(6)]).collect()
+    tokens = {s: 0 for s in sorted({r.source for r in rows}, key=lambda s: (s is not None, s))}
+    for r in rows:
+        tokens[r.source] += len((r.text or "").split())
+    shares = mixing.shares([(s, sum(r.source == s for r in rows), t) for s, t in tokens.items()], repeats, None, budget)
+    blocks = max(1, math.ceil(sum(s.epochs * s.tokens for s in shares) / block_tokens))
+    out = []
+    for share in shares:
+        mine = [r for r in rows if r.source == share.source]
+        whole = int(share.epochs + 1e-9)
+        used = [(r, e) for e in range(whole) for r in mine]
+        left = max(0.0, (share.epochs - whole) * share.tokens)
+        for r in sorted(mine, key=lambda r: r[f"u{whole}"]):
+            if left <= 0:
+                break
+            used.append((r, whole))
+            left -= len((r.text or "").split())
+        for r, e in used:
+            place = (e + r[f"u{e}"]) / max(share.epochs, e + r[f"u{e}"] + 1e-9)
+            out.append((r.doc_id, r.source, e, min(int(place * blocks), blocks - 1)))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("repeats, budget", [(2.5, None), (2.0, 3000.0), (1.0, None)])
+def test_selection_against_plain_python(small_shuffles, repeats, budget):
+    df, _ = docs_of(small_shuffles)
+    df = df.withColumn("source", F.when(F.col("doc_id") % 50 != 3, F.col("source")))
+    got = mixing.mix(df, max_repeats=repeats, budget=budget, block_tokens=300, carry=["doc_id", "source"]).collect()
+    assert Counter((r.row.doc_id, r.row.source, r.epoch, r.block) for r in got) == by_hand(df, 7, repeats, budget, 300)
+
+
+def test_no_exchange_on_the_source(small_shuffles):
+    df, _ = docs_of(small_shuffles)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        mixing.mix(df, carry=["doc_id"]).explain(mode="formatted")
+        mixing.mixture(df).explain(mode="formatted")
+    assert "hashpartitioning(source" not in out.getvalue() and "hashpartitioning(m_source" not in out.getvalue()
+    assert out.getvalue().count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in out.getvalue()
+
+
+def test_files_in_name_order_are_the_mixture(small_shuffles, tmp_dir):
+    df, _ = docs_of(small_shuffles)
+    want = [r.row.doc_id for r in sorted(mixing.mix(df, block_tokens=200, carry=["doc_id"]).collect(), key=lambda r: (r.block, r.turn))]
+    mixed = mixing.mixture(df, block_tokens=200, partitions=5)
+    assert mixed.columns == df.columns
+    mixed.write.parquet(f"{tmp_dir}/m")
+    files = sorted(Path(f"{tmp_dir}/m").glob("part-*.parquet"))
+    assert len(files) == 5
+    assert [i for f in files for i in pq.read_table(f).column("doc_id").to_pylist()] == want
+
+
 def test_edge_documents(small_shuffles):
     df = edge_docs(small_shuffles)
     got = mixing.mix(df).collect()
     assert {(r.row.doc_id, r.row.text) for r in got} == {(r.doc_id, r.text) for r in df.collect()}
     assert sorted(df.columns) == sorted(got[0].row.asDict())
-    assert mixing.mix(no_docs(small_shuffles)).count() == 0
+    mixed = mixing.mixture(df).collect()
+    assert Counter((r.doc_id, r.text) for r in mixed) == Counter((r.row.doc_id, r.row.text) for r in got)
+    assert mixing.mix(no_docs(small_shuffles)).count() == mixing.mixture(no_docs(small_shuffles)).count() == 0
