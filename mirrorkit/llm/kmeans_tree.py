@@ -1,23 +1,27 @@
 """Nearest neighbours by a hierarchical k-means tree with best-bin-first search.
 
-Fit: a bounded sample (``MAX_SAMPLE`` rows, by a hash of the id) is split by
+Fit: a bounded sample (``MAX_SAMPLE`` rows, by a hash of the row number) is split by
 k-means into ``BRANCH`` parts, each part again, until a node stands for about
 ``LEAF_ROWS`` rows of the whole table. The tree has at most ``MAX_LEAVES``
-leaves, so it can be sent to every task. Every row is indexed: it goes down
-the tree to its leaf, and leaves larger than ``BLOCK_ROWS`` are dealt over
-several blocks, so a vector that very many rows hold is no task of its own.
+leaves, so it can be sent to every task; beyond ``MAX_LEAVES * LEAF_ROWS`` rows
+leaves grow with the table, which costs more distances per visit, not recall.
+Every row is indexed: it goes down the tree to its leaf, and leaves larger than
+``BLOCK_ROWS`` are dealt over several blocks by row number, so neither a
+vector nor an id that very many rows hold is a task of its own.
 
 Search: a query walks the tree with a priority queue of nodes by distance of
 their centres, taking leaves in that order (best bin first). How many leaves
 it takes is calibrated: for ``AUDIT`` of the queries the true neighbours are
 found by scanning all rows, and leaf visits widen until the share of true
 neighbours in visited leaves reaches ``TARGET`` (above the promised recall).
-Queries meet the blocks of their leaves; each block gives its best ``k`` by
+Queries are sent to the blocks of their leaves and stream past each block's
+rows in batches, so the index is not copied; each block gives its best ``k`` by
 exact distance in double precision on the original vectors; the best ``k`` of
 all blocks are the answer.
 
 Defined results: vectors that ``vectors.usable`` leaves out neither ask nor
-answer; a query's own id is never its answer; rows equal in id and vector
+answer; vectors of different lengths among the rest are an error, raised before
+the search; a query's own id is never its answer; rows equal in id and vector
 answer once each, but ask once in all; fewer candidates than ``k`` are all returned; ties go to the
 smaller id; without queries or rows the result is empty; other columns are
 ignored.
@@ -34,15 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mirrorkit.llm.common import written
-from mirrorkit.llm.vectors import matrix, usable
+from mirrorkit.llm.common import map_batches, written
+from mirrorkit.llm.vectors import matrix, one_length, usable
 
 MAX_SAMPLE = 20_000
 BRANCH = 8
 LEAF_ROWS = 400
 MAX_LEAVES = 8192
 BLOCK_ROWS = 2_000
-QUERY_BLOCK = 2_000
 AUDIT = 100
 TARGET = 0.96
 
@@ -150,8 +153,7 @@ def _index(batches: Iterator[pa.RecordBatch], tree: Tree) -> Iterator[pa.RecordB
     for batch in batches:
         x = matrix(batch.column("vec"))
         leaf = tree.assign(x) if len(x) else np.zeros(0, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vec"), pa.array(leaf)],
-                                         names=["vec_id", "vec", "leaf"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], names=[*batch.schema.names, "leaf"])
 
 
 def _top(x: np.ndarray, x_ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int):
@@ -192,34 +194,55 @@ def calibrate(tree: Tree, queries: dict[int, np.ndarray], truth: dict[int, list[
     return places[min(len(places) - 1, int(np.ceil(target * len(places))) - 1)]
 
 
-def _visits(batches: Iterator[pa.RecordBatch], tree: Tree, leaves: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x = matrix(batch.column("vec"))
-        rows, leaf = [], []
-        for i, q in enumerate(x):
-            for n, bin_ in enumerate(tree.best_bins(q)):
-                if n == leaves:
-                    break
-                rows.append(i)
-                leaf.append(bin_)
-        at = pa.array(rows, type=pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("vec_id").take(at), batch.column("vec").take(at), pa.array(leaf, type=pa.int64())],
-            names=["query_id", "query", "leaf"])
-
-
-def _answer(k: int):
-    def run(block, asked):
-        import pandas as pd
-
-        if not len(block) or not len(asked):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
-                {"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        x, q = np.stack(block["vec"].to_numpy()), np.stack(asked["query"].to_numpy())
-        x_ids, q_ids = block["vec_id"].to_numpy(), asked["query_id"].to_numpy()
-        who, row, d = _top(x, x_ids, q, q_ids, k)
-        return pd.DataFrame({"query_id": q_ids[who], "vec_id": x_ids[row], "score": d})
-    return run
+def _visits(batches: Iterator[pa.RecordBatch], tree: Tree, leaves: int, blocks: list[int]) -> Iterator[pa.RecordBatch]:
+    """Each query for each block of the leaves it takes."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, 512):
+            batch = whole.slice(start, 512)
+            places = []
+            for i, q in enumerate(matrix(batch.column("vec"))):
+                for n, leaf in enumerate(tree.best_bins(q)):
+                    if n == leaves:
+                        break
+                    places += [(i, leaf, block) for block in range(blocks[leaf])]
+            row, leaf, block = (pa.array(c, type=pa.int64()) for c in (zip(*places) if places else ([], [], [])))
+            yield pa.RecordBatch.from_arrays([leaf, block, batch.column("vec_id").take(row), batch.column("vec").take(row)],
+                                             names=["leaf", "block", "vec_id", "vec"])
+
+
+def _answers(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Blocks one after another: first a block's rows, then the queries that visit it."""
+    place, rows, block = None, [], None
+    for whole in batches:
+        leaf, part = (whole.column(c).to_numpy(zero_copy_only=False) for c in ("leaf", "block"))
+        asks = whole.column("asks").to_numpy(zero_copy_only=False)
+        change = np.flatnonzero((np.diff(leaf) != 0) | (np.diff(part) != 0) | (np.diff(asks.astype(int)) != 0)) + 1
+        for a, b in zip(np.append(0, change), np.append(change, whole.num_rows)):
+            if a == b:
+                continue
+            if (leaf[a], part[a]) != place:
+                place, rows, block = (leaf[a], part[a]), [], None
+            piece = whole.slice(a, b - a)
+            found = piece.column("vec_id").to_numpy(zero_copy_only=False), matrix(piece.column("vec"))
+            if not asks[a]:
+                rows.append(found)
+                continue
+            if not rows:
+                continue
+            if block is None:
+                block = tuple(np.concatenate(c) for c in zip(*rows))
+            who, row, d = _top(block[1], block[0], found[1], found[0], k)
+            yield pa.RecordBatch.from_arrays([pa.array(found[0][who]), pa.array(block[0][row]), pa.array(d)],
+                                             names=["query_id", "vec_id", "score"])
+
+
+def _sample(vecs: DataFrame, total: int) -> np.ndarray:
+    """About ``MAX_SAMPLE`` rows by a hash of the row number; some rows in any case."""
+    ppm = min(1_000_000, 1_000_000 * MAX_SAMPLE // total)
+    picked = vecs.filter(F.pmod(F.xxhash64("row", F.lit(2)), F.lit(1_000_000)) < ppm).limit(2 * MAX_SAMPLE).select("vec").toArrow()
+    if not picked.num_rows:
+        picked = vecs.limit(MAX_SAMPLE).select("vec").toArrow()
+    return np.concatenate([matrix(c) for c in picked.column("vec").chunks if len(c)])
 
 
 def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -227,15 +250,13 @@ def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector
 
     ``is_query`` is a condition over ``vec_id``.
     """
-    vecs = usable(df, id_col, vector_col)
-    total = vecs.count()
     out = "query_id bigint, rank int, vec_id bigint, score double"
+    vecs = written(usable(df, id_col, vector_col).withColumn("row", F.monotonically_increasing_id()), "ann-rows")
+    total = one_length(vecs)
     if not total:
         return df.sparkSession.createDataFrame([], out)
-    ppm = min(1_000_000, 1_000_000 * MAX_SAMPLE // total)
-    sample = vecs.filter(F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(1_000_000)) < ppm).limit(2 * MAX_SAMPLE).select("vec")
-    tree = fit_tree(np.stack(sample.toPandas()["vec"].to_numpy()), total)
-    indexed = written(vecs.mapInArrow(lambda it: _index(it, tree), "vec_id bigint, vec array<double>, leaf bigint"), "ann-index")
+    tree = fit_tree(_sample(vecs, total), total)
+    indexed = written(vecs.mapInArrow(lambda it: _index(it, tree), "vec_id bigint, vec array<double>, row bigint, leaf bigint"), "ann-index")
 
     asks = indexed.filter(is_query).select("vec_id", "vec").distinct()
     some = asks.orderBy(F.xxhash64("vec_id", F.lit(8)), "vec_id").limit(AUDIT).collect()  # calibration only
@@ -243,26 +264,24 @@ def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector
         return df.sparkSession.createDataFrame([], out)
     audit = {r["vec_id"]: np.array(r["vec"]) for r in some}
     ids, qs = np.array(list(audit)), np.stack(list(audit.values()))
-    found = indexed.mapInArrow(lambda it: _scan(it, qs, ids, k), "query_id bigint, vec_id bigint, leaf bigint, d double")
+    found = indexed.select("vec_id", "vec", "leaf").mapInArrow(lambda it: _scan(it, qs, ids, k), "query_id bigint, vec_id bigint, leaf bigint, d double")
     order = Window.partitionBy("query_id").orderBy("d", "vec_id")
     truth: dict[int, list[int]] = {}
     for r in found.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k).collect():  # k per audited query
         truth.setdefault(r["query_id"], []).append(r["leaf"])
     leaves = calibrate(tree, audit, truth)
 
-    # Leaves in blocks of bounded size, queries of a leaf in blocks too.
+    # Leaves in blocks of bounded size, by row number.
     sizes = indexed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-    sizes = F.broadcast(sizes)  # at most MAX_LEAVES x BRANCH rows
-    query_blocks = max(1, -(-asks.count() // QUERY_BLOCK))
-    blocks = indexed.join(sizes, "leaf").withColumn(
-        "block", F.pmod(F.xxhash64("vec_id", "vec", F.lit(5)), F.col("blocks")).cast("int")).drop("blocks")
-    blocks = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    visits = asks.mapInArrow(lambda it: _visits(it, tree, leaves), "query_id bigint, query array<double>, leaf bigint")
-    visits = visits.join(sizes, "leaf").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).drop("blocks")
-    visits = visits.withColumn("part", F.pmod(F.xxhash64("query_id", F.lit(7)), F.lit(query_blocks)).cast("int"))
-    place = ["leaf", "block", "part"]
-    best = blocks.groupBy(*place).cogroup(visits.groupBy(*place)).applyInPandas(
-        _answer(k), "query_id bigint, vec_id bigint, score double")
+    blocks = [0] * tree.leaves
+    for r in sizes.collect():  # at most MAX_LEAVES x BRANCH rows
+        blocks[r["leaf"]] = r["blocks"]
+    members = indexed.join(F.broadcast(sizes), "leaf").select(
+        "leaf", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("bigint").alias("block"), "vec_id", "vec", F.lit(False).alias("asks"))
+    visits = asks.mapInArrow(lambda it: _visits(it, tree, leaves, blocks),
+                             "leaf bigint, block bigint, vec_id bigint, vec array<double>").withColumn("asks", F.lit(True))
+    dealt = members.unionByName(visits).repartition("leaf", "block").sortWithinPartitions("leaf", "block", "asks")
+    best = map_batches(dealt, lambda it: _answers(it, k), "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

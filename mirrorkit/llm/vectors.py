@@ -12,14 +12,21 @@ def usable(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding")
     """(vec_id, vec: array<double>) of the rows that take part.
 
     Left out: null ids, null, empty and zero vectors, vectors with null or
-    non-finite components. Dimensions must agree among the rest; a search
-    over mixed dimensions has no meaning and fails in the first task that
-    meets it.
+    non-finite components. Lengths must agree among the rest, see
+    ``one_length``.
     """
     return df.select(F.col(id_col).cast("bigint").alias("vec_id"),
                      F.col(vector_col).cast("array<double>").alias("vec")).filter(takes_part())
 
 
+def one_length(vecs: DataFrame) -> int:
+    """Number of vectors; an error if they are of different lengths, which no distance compares."""
+    total, least, most = vecs.agg(F.count(F.lit(1)), F.min(F.size("vec")), F.max(F.size("vec"))).first()
+    if total and least != most:
+        raise ValueError(f"vectors of different lengths, from {least} to {most} components")
+    return total
+
+
 def takes_part():
     """Condition over ``vec_id`` and ``vec``; never null."""
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))

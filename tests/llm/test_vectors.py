@@ -1,4 +1,7 @@
+from pathlib import Path
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from mirrorkit.llm import hnsw_dedup, kmeans_tree
@@ -52,6 +55,45 @@ def test_a_repeated_query_row_asks_once(small_shuffles):
     assert sorted(r["rank"] for r in got) == list(range(1, 11)) and len({r.vec_id for r in got}) == 10
 
 
+def test_one_id_repeated_very_often(small_shuffles):
+    df = small_shuffles.range(30_100).select(
+        F.when(F.col("id") < 30_000, F.lit(100)).otherwise(F.col("id")).cast("bigint").alias("vec_id"),
+        F.array(F.when(F.col("id") < 30_000, F.lit(0.5)).otherwise(F.col("id") / 1e5), F.lit(1.0)).alias("embedding"))
+    got = kmeans_tree.nearest(df, F.col("vec_id") == 100, 10).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == [30_099 - n for n in range(10)] or [
+        r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == [30_000 + n for n in range(10)]
+    other = kmeans_tree.nearest(df, F.col("vec_id") == 30_000, 10).collect()
+    assert len(other) == 10 and {r.query_id for r in other} == {30_000}
+
+
+def test_vectors_of_different_lengths_are_an_error(small_shuffles):
+    df = small_shuffles.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 2.0, 3.0])], "vec_id bigint, embedding array<float>")
+    for search in (lambda: kmeans_tree.nearest(df, F.col("vec_id") == 0), lambda: hnsw_dedup.near_duplicates(df)):
+        with pytest.raises(ValueError, match="different lengths"):
+            search()
+
+
+@pytest.mark.parametrize("table", ["sf0.1/embeddings.parquet", "check_s/embeddings.parquet"])
+def test_recall_on_the_test_tables(spark, table):
+    path = Path("/root/testdata") / table
+    if not path.exists():
+        pytest.skip("no such table here")
+    df = spark.read.parquet(str(path))
+    rows = {r.vec_id: np.array(r.embedding, dtype=np.float64) for r in df.select("vec_id", "embedding").collect()
+            if r.embedding is not None and all(c is not None and np.isfinite(c) for c in r.embedding) and any(r.embedding)}
+    ids, x = np.array(list(rows)), np.stack(list(rows.values()))
+    found = {}
+    for r in kmeans_tree.nearest(df, F.col("vec_id") % 100 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = total = 0
+    for q in [i for i in ids if i % 100 == 0]:
+        d = np.sqrt(((x - rows[q]) ** 2).sum(axis=1))
+        true = [i for i in ids[np.lexsort((ids, d))][:11] if i != q][:10]
+        hits, total = hits + len(found[q] & set(true)), total + len(true)
+    print(f"recall {hits / total:.4f} of {total}")
+    assert hits >= 0.9 * total
+
+
 def test_few_rows_and_no_rows(small_shuffles):
     spark = small_shuffles
     got = kmeans_tree.nearest(table_of(spark, [0, 1, 2], np.eye(8)[:3]), F.col("vec_id") % 100 == 0, 10).collect()
