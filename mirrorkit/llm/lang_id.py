@@ -9,11 +9,14 @@ Piece probabilities are fitted by expectation maximisation on words counted in
 a bounded sample of the labelled texts (``MAX_LABELLED`` per language, by a
 hash of the id): tasks count words, then each round tasks run forward-backward
 over the distinct words and sum expected piece counts, which are at most
-vocabulary times languages. Scoring covers every text as a whole; a task keeps
-a dictionary of the words it has met.
+vocabulary times languages. Rounds end when the words' likelihood gains less
+than ``GAIN`` per letter. Scoring covers every text as a whole; a task keeps
+a dictionary of the short words it has met.
 
-Words are stretches of letters in lower case; stretches beyond ``MAX_CHARS``
-letters are cut there, so cost is linear in the text.
+Words are stretches of letters in lower case, of any length: in scripts without
+spaces a stretch is a sentence. The sums over stretches of more than
+``LONG_WORD`` letters are taken in logarithms and not kept; cost is linear in
+the text either way.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0; without any labelled text all are ``und``; null languages are not learned
@@ -36,9 +39,12 @@ from pyspark.sql import functions as F
 from mirrorkit.llm.common import written
 
 MAX_LABELLED = 1_500
-MAX_CHARS = 32
+LONG_WORD = 32
+#: Letters (times words) of long stretches that are summed at once.
+LONG_BATCH = 1 << 17
 MAX_PIECE = 16  # the longest piece of letters of the vocabulary
-ROUNDS = 3
+#: Gain in log-likelihood per letter at which fitting has converged, and rounds it may take.
+GAIN, ROUNDS = 0.002, 50
 START = "▁"  # the vocabulary's mark for a word's beginning
 FALLBACK = 1e-7  # probability of a letter that is no piece
 UND = "und"
@@ -47,10 +53,7 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    found = _LETTERS.findall(text.lower())
-    if len(text) > MAX_CHARS and any(len(w) > MAX_CHARS for w in found):
-        found = [w[i : i + MAX_CHARS] for w in found for i in range(0, len(w), MAX_CHARS)]
-    return found
+    return _LETTERS.findall(text.lower())
 
 
 _VOCABULARIES: dict[str, dict[str, int]] = {}
@@ -73,6 +76,7 @@ def lattice(words: list[str], pieces: dict[str, int]) -> np.ndarray:
     """Numbers of the pieces of words of one length: [word, begin, size - 1].
 
     ``len(pieces)`` marks no piece, ``len(pieces) + 1`` a letter that is none.
+    Shorter words among them must be filled up with spaces, which no piece has.
     """
     none = len(pieces)
     get = pieces.get
@@ -99,8 +103,59 @@ def forward(lat: np.ndarray, p: np.ndarray) -> np.ndarray:
     return alpha
 
 
+def log_sums(lat: np.ndarray, log_p: np.ndarray, back: bool = False) -> np.ndarray:
+    """Logarithms of the prefix sums of ``forward`` (or of suffix sums): [word, end, ...]."""
+    n = lat.shape[1]
+    out = np.full((len(lat), n + 1, *log_p.shape[1:]), -np.inf)
+    out[:, n if back else 0] = 0.0
+    for e in (range(n - 1, -1, -1) if back else range(1, n + 1)):
+        size = np.arange(min(MAX_PIECE, n - e if back else e))
+        begin = np.full_like(size, e) if back else e - 1 - size
+        ways = out[:, e + 1 + size if back else begin] + log_p[lat[:, begin, size]]
+        top = np.maximum(ways.max(axis=1), -1e300)  # not infinite, so that no way stays no way
+        with np.errstate(divide="ignore"):
+            out[:, e] = top + np.log(np.exp(ways - top[:, None]).sum(axis=1))
+    return out
+
+
+def long_log_words(words: list[str], pieces: dict[str, int], log_p: np.ndarray) -> np.ndarray:
+    """Log-probabilities of words of any lengths, a batch of neighbours in length at once."""
+    out = np.zeros((len(words), *log_p.shape[1:]))
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    at = 0
+    while at < len(order):
+        upto = at + 1
+        while upto < len(order) and (upto + 1 - at) * len(words[order[upto]]) <= LONG_BATCH:
+            upto += 1
+        part = order[at:upto]
+        width = len(words[part[-1]])
+        sums = log_sums(lattice([words[i].ljust(width) for i in part], pieces), log_p)
+        out[part] = sums[np.arange(len(part)), [len(words[i]) + 1 for i in part]]
+        at = upto
+    return out
+
+
+def long_expected_counts(word: str, pieces: dict[str, int], p: np.ndarray, weight: float) -> tuple[np.ndarray, float]:
+    """Expected piece counts and log-probability of one long word, for one language."""
+    lat = lattice([word], pieces)
+    with np.errstate(divide="ignore"):
+        log_p = np.log(p)
+    alpha, beta = log_sums(lat, log_p)[0], log_sums(lat, log_p, back=True)[0]
+    out = np.zeros(len(p))
+    n = lat.shape[1]
+    for s in range(min(MAX_PIECE, n)):
+        ids = lat[0, : n - s, s]
+        out += np.bincount(ids, weights=weight * np.exp(alpha[: n - s] + log_p[ids] + beta[s + 1 :] - alpha[n]), minlength=len(p))
+    return out, float(alpha[n])
+
+
 def expected_counts(lat: np.ndarray, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Expected number of uses of each piece over all segmentations, by word weight."""
+    return expectation(lat, p, weight)[0]
+
+
+def expectation(lat: np.ndarray, p: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Expected piece counts, and the words' log-likelihood."""
     n = lat.shape[1]
     alpha = forward(lat, p)
     beta = np.zeros((len(lat), n + 1))
@@ -114,7 +169,7 @@ def expected_counts(lat: np.ndarray, p: np.ndarray, weight: np.ndarray) -> np.nd
         for s in range(min(MAX_PIECE, n - j)):
             ids = lat[:, j, s]
             out += np.bincount(ids, weights=alpha[:, j] * p[ids] * beta[:, j + s + 1] * scale, minlength=len(p))
-    return out
+    return out, float(weight @ np.log(np.maximum(alpha[:, n], 1e-300)))
 
 
 def _by_length(words: list[str]) -> Iterator[tuple[list[int], list[str]]]:
@@ -139,7 +194,13 @@ class PieceModels:
     def log_words(self, words: list[str]) -> np.ndarray:
         pieces = vocabulary(self.path)
         out = np.zeros((len(words), len(self.languages)))
-        for at, part in _by_length(words):
+        long_ = [i for i, w in enumerate(words) if len(w) > LONG_WORD]
+        if long_:
+            with np.errstate(divide="ignore"):
+                out[long_] = long_log_words([words[i] for i in long_], pieces, np.log(self.p))
+        short = [i for i, w in enumerate(words) if len(w) <= LONG_WORD]
+        for at, part in _by_length([words[i] for i in short]):
+            at = [short[i] for i in at]
             out[at] = np.log(np.maximum(forward(lattice(part, pieces), self.p)[:, -1], 1e-300))
         return out
 
@@ -170,19 +231,30 @@ def _expect(batches: Iterator[pa.RecordBatch], model: PieceModels) -> Iterator[p
     pieces = vocabulary(model.path)
     number = {lang: i for i, lang in enumerate(model.languages)}
     total = np.zeros_like(model.p)
+    likely = np.zeros(len(model.languages))
     for batch in batches:
         words: dict[int, tuple[list[str], list[int]]] = {}
         for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n"))):
+            if len(word) > LONG_WORD:
+                counts, log = long_expected_counts(word, pieces, model.p[:, number[lang]], n)
+                total[:, number[lang]] += counts
+                likely[number[lang]] += n * log
+                continue
             got = words.setdefault(number[lang], ([], []))
             got[0].append(word)
             got[1].append(n)
         for i, (list_, counts) in words.items():
             weights = np.array(counts, dtype=float)
             for at, part in _by_length(list_):
-                total[:, i] += expected_counts(lattice(part, pieces), model.p[:, i], weights[at])
+                counts, log = expectation(lattice(part, pieces), model.p[:, i], weights[at])
+                total[:, i] += counts
+                likely[i] += log
     piece, lang = np.nonzero(total[: len(pieces)])
+    # Piece -1 stands for the log-likelihood.
     yield pa.RecordBatch.from_arrays([
-        pa.array(lang.astype(np.int32)), pa.array(piece.astype(np.int32)), pa.array(total[piece, lang])], schema=schema)
+        pa.array(np.append(lang, np.arange(len(likely))).astype(np.int32)),
+        pa.array(np.append(piece, np.full(len(likely), -1)).astype(np.int32)),
+        pa.array(np.append(total[piece, lang], likely))], schema=schema)
 
 
 def fit(docs: DataFrame, path: str, learn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -208,19 +280,27 @@ def fit(docs: DataFrame, path: str, learn, id_col: str = "doc_id", text_col: str
     prior = np.log(np.array([sizes[lang] / total for lang in languages]))
     model = PieceModels(path, languages, normalised(counts), prior)
     spread = words.repartition("word")
+    letters = words.agg(F.sum((F.length("word") + 1) * F.col("n"))).first()[0] or 0
+    before = -np.inf
     for _ in range(rounds):
         now = model
         got = spread.mapInArrow(lambda it: _expect(it, now), "lang int, piece int, n double").groupBy(
             "lang", "piece").agg(F.sum("n").alias("n")).collect()  # at most vocabulary x languages
-        counts = np.zeros_like(model.p)
+        counts, likely = np.zeros_like(model.p), 0.0
         for r in got:
-            counts[r["piece"], r["lang"]] = r["n"]
+            if r["piece"] < 0:
+                likely += r["n"]
+            else:
+                counts[r["piece"], r["lang"]] = r["n"]
         model = PieceModels(path, languages, normalised(counts), prior)
+        if likely - before <= GAIN * letters:
+            break
+        before = likely
     return model
 
 
 class WordScores:
-    """Log-probabilities by word, in one growing table; starts anew when large."""
+    """Log-probabilities by word, in one growing table; starts anew when large. Long words are not kept."""
 
     MAX_WORDS = 1_000_000
 
@@ -247,12 +327,17 @@ class WordScores:
 
     def sums(self, words: list[list[str]]) -> np.ndarray:
         """One row of sums per list."""
+        long_ = [(i, w) for i, list_ in enumerate(words) for w in list_ if len(w) > LONG_WORD]
+        if long_:
+            words = [[w for w in list_ if len(w) <= LONG_WORD] for list_ in words]
         self.learn(set().union(*words))
         out = np.zeros((len(words), self.table.shape[1]))
+        if long_:
+            np.add.at(out, [i for i, _ in long_], self.model.log_words([w for _, w in long_]))
         get = self.rows.__getitem__
         for i, list_ in enumerate(words):
             if list_:
-                out[i] = self.table[np.fromiter(map(get, list_), dtype=np.int64, count=len(list_))].sum(axis=0)
+                out[i] += self.table[np.fromiter(map(get, list_), dtype=np.int64, count=len(list_))].sum(axis=0)
         return out
 
 

@@ -37,6 +37,50 @@ def test_forward_sums_all_segmentations():
         assert np.isclose(counts[k], d, atol=1e-4)
 
 
+def test_long_stretches_are_summed_whole():
+    pieces = {"▁": 0, "▁a": 1, "a": 2, "b": 3, "ab": 4, "▁ab": 5, "ba": 6, "abab": 7}
+    p = np.stack([lang_id.normalised(np.random.default_rng(k).random(10)) for k in (1, 2)], axis=1)
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abz"), n)) for n in (1, 5, 33, 40, 64, 200, 3000)]
+    with np.errstate(divide="ignore"):
+        got = lang_id.long_log_words(words, pieces, np.log(p))
+    for word, row in zip(words, got):
+        for k in (0, 1):
+            ways, scale = [1.0], 0.0  # prefix sums by hand, rescaled
+            text = "▁" + word
+            for e in range(1, len(text) + 1):
+                total = 0.0
+                for b in range(max(0, e - lang_id.MAX_PIECE), e):
+                    q = p[pieces[text[b:e]], k] if text[b:e] in pieces else p[len(pieces) + 1, k] if e == b + 1 else 0.0
+                    total += ways[b] * q
+                ways.append(total)
+                ways, scale = [w / total for w in ways], scale + np.log(total)
+            assert np.isclose(row[k], scale, rtol=1e-9)
+    for word in words[:4]:
+        counts, log = lang_id.long_expected_counts(word, pieces, p[:, 0], 2.0)
+        want, likely = lang_id.expectation(lang_id.lattice([word], pieces), p[:, 0], np.array([2.0]))
+        assert np.allclose(counts, want) and np.isclose(2 * log, likely)
+    # A word that crosses the former cut scores as a whole.
+    model = lang_id.PieceModels("", ["x", "y"], p, np.zeros(2))
+    lang_id._VOCABULARIES[""] = pieces
+    scores = lang_id.WordScores(model)
+    assert np.allclose(scores.sums([[words[3], "ab"], [], ["ab"]])[0], got[3] + scores.sums([["ab"]])[0])
+    assert words[3] not in scores.rows and "ab" in scores.rows
+
+
+def test_sentences_without_spaces(small_shuffles):
+    from mirrorkit.llm.queries import tokenizer_path
+
+    rng = np.random.default_rng(5)
+    words = {"aa": ["information", "government", "people", "water"], "bb": ["wasser", "regierung", "leute", "straße"]}
+    docs = small_shuffles.createDataFrame(
+        [(i, "".join(rng.choice(words[lang], 30)), lang) for i in range(60) for lang in ("aa", "bb")], "doc_id bigint, text string, lang string")
+    model = lang_id.fit(docs, tokenizer_path("piece_bpe_32k.model"), F.col("doc_id") < 40)
+    rows = lang_id.predict(docs.filter("doc_id >= 40"), model).join(docs, "doc_id").collect()
+    got = lang_id.predict(docs.filter("doc_id >= 40 AND lang = 'bb'"), model).collect()
+    assert rows and {r.lang_pred for r in got} == {"bb"}
+
+
 def test_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     got = op6_segmentation_langid(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
