@@ -46,9 +46,9 @@ def op4_toxicity_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc32_mod("doc_id", 4) == 2, F.lit(False))
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
-    return toxicity.score(docs, model, carry=["doc_id"]).select("row.doc_id", "score").select(
+    return toxicity.score(docs, model, carry=["doc_id"]).select("row.doc_id", "score", "stretches").select(
         "doc_id", held_out.alias("held_out"), "score",
-        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.col("stretches").alias("spans"))
 
 
 def op5_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +63,7 @@ def op6_segmentation_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select(
+    return mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id", "source"]).select(
         "row.doc_id", "row.source", "epoch", "tokens", "block", "turn")
 
 

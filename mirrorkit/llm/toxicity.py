@@ -3,17 +3,18 @@
 Tokens are the stretches between ASCII white space; a token's observation is
 the strength class of its best feature (its words and their beginnings of 4, 5
 and 6 letters) by document log-odds in labelled rows, 0 for none. Labels are
-per document; *labelled tokens* are made from them: a token with a feature is
-toxic in a toxic document and clean in a clean one, any other is clean.
+per document; *labelled tokens* are made from them: in a toxic document the
+tokens with a feature, and up to ``BRIDGE`` neutral ones between two of them,
+are toxic, all others are clean.
 
 The field has two states with weights for observation and state and for state
-transitions, fitted by gradient ascent on the conditional log-likelihood with
-forward-backward. A document's score comes from the marginals of its tokens:
+transitions. They maximise the conditional log-likelihood: a quasi-Newton
+method goes on until the slopes (by forward-backward) vanish. A document's score comes from the marginals of its tokens:
 the largest one's log-odds and the expected number of toxic tokens, turned
 into a probability by a logistic fit on the same rows.
 
 Fitting takes a bounded sample of the labelled rows (``MAX_LABELLED`` per
-class, by a hash of the id) and holds at most ``MAX_FEATURES`` features. Two
+class, by a hash of the id), which bounds the features too. Two
 thirds of the sample choose the features, the rest fits the field and the
 scores, so features that stood out by chance get the weight they deserve.
 The field is fitted on all tokens of these texts, in stretches of ``CHUNK``;
@@ -44,13 +45,16 @@ from pyspark.sql import functions as F
 from mirrorkit.llm.common import map_batches, worker_caches
 
 MAX_LABELLED = 15_000
-MAX_FEATURES = 100_000
 MIN_DOCS = 4
 #: Lower bounds of log-odds from which a feature is of strength class 1, 2, ...
 STRENGTHS = (0.7, 1.4, 2.2, 3.2, 4.5)
 #: Standard errors between log-odds and their lower bound.
 ERRORS = 1.3
 CHUNK = 64
+#: Neutral tokens between two observed ones up to which a toxic text's stretch goes on.
+BRIDGE = 3
+#: Fitting ends when no weight's slope exceeds this share of the tokens it is about.
+SLOPE, ROUNDS = 1e-5, 300
 #: Stretches that forward-backward takes at once; bounds its memory, not the data.
 BATCH = 4_096
 THRESHOLD = 0.3
@@ -63,7 +67,7 @@ def features(token: bytes) -> set[str]:
     """Words of a token in lower case (marked ``=``) and their beginnings."""
     out = set()
     for word in _LETTERS.findall(token.decode("utf-8", "replace").lower()):
-        out.add("=" + word[:40])
+        out.add("=" + word)
         for n in (4, 5, 6):
             if len(word) >= n:
                 out.add(word[:n])
@@ -134,15 +138,21 @@ class ChainField:
 
 
 def observed(obs: Observations, text: bytes) -> tuple[list[int], list[int], list[int]]:
-    """(token numbers, classes, gaps) of the tokens of ``text`` that have a feature."""
+    """(token numbers, classes, gaps) of the tokens of ``text`` that have a feature, or bridge two that do."""
     classes = list(map(obs.__getitem__, text.split()))
     if not any(classes):
         return [], [], [len(classes)]
-    at = np.flatnonzero(classes)
+    at = bridged(np.flatnonzero(classes))
     gaps = np.diff(at, prepend=-1) - 1
     return at.tolist(), [classes[i] for i in at], [*gaps.tolist(), len(classes) - 1 - int(at[-1])]
 
 
+def bridged(at: np.ndarray) -> np.ndarray:
+    """Token numbers with those of gaps of at most ``BRIDGE`` tokens between them."""
+    short = np.flatnonzero((np.diff(at) > 1) & (np.diff(at) <= BRIDGE + 1))
+    return np.unique(np.concatenate([at, *[np.arange(at[i] + 1, at[i + 1]) for i in short]])) if len(short) else at
+
+
 def chain_expectations(x: np.ndarray, length: np.ndarray, emit: np.ndarray, move: np.ndarray,
                        count: np.ndarray | None = None):
     """Forward-backward over many chunks at once: (log Z, P(state 1) per token, expected transitions).
@@ -187,10 +197,11 @@ def chain_expectations(x: np.ndarray, length: np.ndarray, emit: np.ndarray, move
 
 
 def fit_chain(x: np.ndarray, y: np.ndarray, length: np.ndarray, count: np.ndarray | None = None,
-              rounds: int = 60, ridge: float = 1.0):
-    """Weights that maximise the conditional log-likelihood of token states ``y``, by Adam.
+              rounds: int = ROUNDS, ridge: float = 1.0):
+    """Weights that maximise the conditional log-likelihood of token states ``y``, by a quasi-Newton method.
 
-    Chunk i stands for ``count[i]`` equal ones.
+    Chunk i stands for ``count[i]`` equal ones. The likelihood is concave, so
+    there is one maximum; rounds end at it (``SLOPE``).
     """
     count = np.ones(len(x)) if count is None else count.astype(float)
     order = np.argsort(length, kind="stable")
@@ -201,34 +212,57 @@ def fit_chain(x: np.ndarray, y: np.ndarray, length: np.ndarray, count: np.ndarra
         width = int(length[piece].max())
         part_live = np.arange(width)[None, :] < length[piece][:, None]
         parts.append((x[piece, :width], y[piece, :width], length[piece], count[piece], part_live))
-    emit = np.array([-6.0] + [0.0] * len(STRENGTHS))
-    move = np.zeros((2, 2))
+    kinds = 1 + len(STRENGTHS)
     # Per observation: tokens, and those in state 1; per transition: how often.
-    tokens, want_emit, want_move = np.zeros_like(emit), np.zeros_like(emit), np.zeros((2, 2))
+    tokens, want_emit, want_move = np.zeros(kinds), np.zeros(kinds), np.zeros((2, 2))
     for px, py, _, pc, live in parts:
         of = np.broadcast_to(pc[:, None], px.shape)[live]
-        tokens += np.bincount(px[live], weights=of, minlength=len(emit))
-        want_emit += np.bincount(px[live], weights=of * py[live], minlength=len(emit))
+        tokens += np.bincount(px[live], weights=of, minlength=kinds)
+        want_emit += np.bincount(px[live], weights=of * py[live], minlength=kinds)
         before = np.concatenate([np.zeros((len(py), 1), dtype=py.dtype), py[:, :-1]], axis=1)
         want_move += np.bincount((before * 2 + py)[live], weights=of, minlength=4).reshape(2, 2)
-    seen = np.maximum(1, tokens)
-    total = max(1, tokens.sum())
-    m = [np.zeros_like(emit), np.zeros_like(move)]
-    v = [np.zeros_like(emit), np.zeros_like(move)]
-    for i in range(1, rounds + 1):
-        got_emit, pairs = np.zeros_like(emit), np.zeros((2, 2))
+
+    def split(w):
+        return w[:kinds], np.append(0.0, w[kinds:]).reshape(2, 2)  # the first transition is the reference
+
+    def loss(w):
+        """Negative log-likelihood with ridge, and its slopes."""
+        emit, move = split(w)
+        got_emit, pairs, likely = np.zeros(kinds), np.zeros((2, 2)), (want_emit * emit).sum() + (want_move * move).sum()
         for px, _, pl, pc, live in parts:
-            _, p1, part_pairs = chain_expectations(px, pl, emit, move, pc)
-            got_emit += np.bincount(px[live], weights=(p1 * pc[:, None])[live], minlength=len(emit))
+            z, p1, part_pairs = chain_expectations(px, pl, emit, move, pc)
+            got_emit += np.bincount(px[live], weights=(p1 * pc[:, None])[live], minlength=kinds)
             pairs += part_pairs
-        # Scaled by observation, so that rare classes are fitted as fast as the neutral one.
-        grads = [(want_emit - got_emit - ridge * emit) / seen, (want_move - pairs - ridge * move) / total * 10]
-        grads[1][0, 0] = 0.0  # the reference transition
-        for w, g, a, b in ((emit, grads[0], m[0], v[0]), (move, grads[1], m[1], v[1])):
-            a += 0.1 * (g - a)
-            b += 0.01 * (g * g - b)
-            w += 0.25 * (a / (1 - 0.9**i)) / (np.sqrt(b / (1 - 0.99**i)) + 1e-8)
-    return emit, move
+            likely -= (z * pc).sum()
+        slopes = np.concatenate([got_emit - want_emit, (pairs - want_move).ravel()[1:]])
+        return ridge / 2 * (w @ w) - likely, slopes + ridge * w
+
+    about = np.maximum(1.0, np.concatenate([tokens, np.full(3, tokens.sum())]))
+    w = np.concatenate([[-6.0], np.zeros(kinds - 1 + 3)])
+    value, slope = loss(w)
+    inverse = np.diag(1 / (0.05 * about + ridge))
+    for _ in range(rounds):
+        if (np.abs(slope) <= SLOPE * about).all():
+            break
+        step = -inverse @ slope
+        if step @ slope >= 0:  # rounding has spoilt the curvature
+            inverse = np.diag(1 / (0.05 * about + ridge))
+            step = -inverse @ slope
+        step *= min(1.0, 4.0 / np.abs(step).max())
+        for _ in range(40):
+            new_value, new_slope = loss(w + step)
+            if new_value <= value + 1e-4 * (step @ slope) or np.abs(step).max() < 1e-9:
+                break
+            step /= 2
+        change = new_slope - slope
+        if step @ change > 1e-12:
+            rho = 1 / (step @ change)
+            left = np.eye(len(w)) - rho * np.outer(step, change)
+            inverse = left @ inverse @ left.T + rho * np.outer(step, step)
+        if not new_value < value:
+            break
+        w, value, slope = w + step, new_value, new_slope
+    return split(w)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
@@ -313,7 +347,7 @@ def _chunks(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
         ends = np.append(first[1:], len(at))
         for start, a, b in zip((chunk * CHUNK).tolist(), first, ends):
             line = np.zeros(CHUNK, dtype=np.uint8)
-            line[at[a:b] - start] = classes[a:b]
+            line[at[a:b] - start] = classes[a:b] + 1  # 1: neutral, but between observed ones
             found[min(CHUNK, tokens - start), toxic, line.tobytes()] += 1
         # Without an observation nothing tells a toxic text's stretch from a clean one's.
         full, rest = divmod(tokens, CHUNK)
@@ -323,8 +357,9 @@ def _chunks(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
         if rest and full not in chunk:
             found[rest, 0, bytes(CHUNK)] += 1
     keys = sorted(found)
-    x = np.frombuffer(b"".join(k[2] for k in keys), dtype=np.uint8).reshape(-1, CHUNK)
-    y = ((x > 0) & (np.array([k[1] for k in keys], dtype=int)[:, None] == 1)).astype(np.uint8)
+    marked = np.frombuffer(b"".join(k[2] for k in keys), dtype=np.uint8).reshape(-1, CHUNK)
+    y = ((marked > 0) & (np.array([k[1] for k in keys], dtype=int)[:, None] == 1)).astype(np.uint8)
+    x = np.where(marked > 0, marked - 1, 0).astype(np.uint8)
     return x, y, np.array([k[0] for k in keys], dtype=int), np.array([found[k] for k in keys])
 
 
@@ -350,7 +385,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
         odds = F.log((F.col("bad") + 0.5) / (n[1] + 1)) - F.log((F.col("good") + 0.5) / (n[0] + 1))
         odds = odds - ERRORS * F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
         strong = counts.filter(F.col("bad") >= MIN_DOCS).withColumn("odds", odds).filter(F.col("odds") >= STRENGTHS[0])
-        strong = strong.orderBy(F.desc("odds"), "feature").limit(MAX_FEATURES)  # the size of the model
+        # Bounded by the sample: a strong feature is in MIN_DOCS of its toxic texts or more.
         model.lexicon = {r["feature"]: sum(r["odds"] >= s for s in STRENGTHS) for r in strong.collect()}
         lexicon = model.lexicon
         rows = map_batches(texts.filter("NOT chooses"), lambda it: _training_rows(it, lexicon),
@@ -380,30 +415,48 @@ def _score(batches: Iterator[pa.RecordBatch], model: ChainField) -> Iterator[pa.
     none = model.score([])
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
     for batch in batches:
-        scores, spans = [], []
+        scores, spans, stretches = [], [], []
         for text in batch.column("text"):
             raw = text.as_py() or b""
             at, classes, gaps = observed(obs, raw)
             if not at:
                 scores.append(none)
                 spans.append([])
+                stretches.append([])
                 continue
             p = model.marginals(classes, gaps)
             scores.append(model.score(p))
             bad = {i: q for i, q in zip(at, p) if q >= 0.5}
-            spans.append([{"start": m.start(), "end": m.end(), "p": bad[i]}
-                          for i, m in enumerate(_TOKEN.finditer(raw)) if i in bad] if bad else [])
+            found = [(i, m.start(), m.end(), bad[i]) for i, m in enumerate(_TOKEN.finditer(raw)) if i in bad] if bad else []
+            strong = {i for i, k in zip(at, classes) if k}
+            spans.append([{"start": a, "end": b, "p": q} for i, a, b, q in found if i in strong])
+            stretches.append(maximal(found))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), pa.array(scores, type=pa.float64()), pa.array(spans, type=span)],
-            names=["row", "score", "spans"])
+            [batch.column("row"), pa.array(scores, type=pa.float64()), pa.array(spans, type=span), pa.array(stretches, type=span)],
+            names=["row", "score", "spans", "stretches"])
+
+
+def maximal(tokens: list[tuple[int, int, int, float]]) -> list[dict]:
+    """Runs of neighbouring tokens (number, start, end, p) as one stretch each, with its largest p."""
+    out: list[dict] = []
+    last = None
+    for i, a, b, q in tokens:
+        if out and last == i - 1:
+            out[-1]["end"], out[-1]["p"] = b, max(out[-1]["p"], q)
+        else:
+            out.append({"start": a, "end": b, "p": q})
+        last = i
+    return out
 
 
 def score(docs: DataFrame, model: ChainField, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """row (struct of the ``carry`` columns, by default all), score, spans.
+    """row (struct of the ``carry`` columns, by default all), score, spans, stretches.
 
-    Spans are byte offsets in UTF-8 of tokens with a marginal of at least 0.5.
+    Spans are byte offsets in UTF-8 of lexicon tokens with a marginal of at
+    least 0.5; stretches are the maximal runs of tokens with such a marginal,
+    neutral ones between lexicon tokens included.
     """
     slim = docs.select(F.struct(*(carry or docs.columns)).alias("row"), F.col(text_col).cast("binary").alias("text"))
     row = slim.schema["row"].dataType.simpleString()
-    return map_batches(
-        slim, lambda it: _score(it, model), f"row {row}, score double, spans array<struct<start: bigint, end: bigint, p: double>>")
+    span = "array<struct<start: bigint, end: bigint, p: double>>"
+    return map_batches(slim, lambda it: _score(it, model), f"row {row}, score double, spans {span}, stretches {span}")
