@@ -1,16 +1,13 @@
-"""Repeated passages by longest-previous-factor arrays over a sparse suffix order.
+"""Repeated passages by longest-previous-factor arrays over suffix orders.
 
 A position's longest previous factor is the longest string starting there that
 also starts at an earlier position; in suffix order its source is the previous
-or next entry with a smaller position. With a threshold of ``length`` bytes
-only the first ``length`` bytes of a suffix matter, so the suffix order used
-here is that of the 128-bit names of those prefixes (equal prefixes stand
-together, which is all the threshold asks of the order); the neighbours with
-smaller and larger positions are found as the least position and the number of
-entries under a name. Those are sums and minima, which Spark combines before
-it shuffles: a passage in a third of all documents is one row per task.
+or next entry with a smaller position. A string of ``length`` bytes that starts
+at a position and earlier too is a factor of at least that length, so later
+copies are the positions whose factor reaches ``length``, and first copies
+those whose longest *following* factor (the same with positions reversed) does.
 
-Naming every position would shuffle many times the text. So:
+One suffix order of all documents would shuffle many times the text. So:
 
 1. Each window of ``length`` bytes has an *anchor*: its gram of ``GRAM`` bytes
    with the least hash. Neighbouring windows share anchors; a *run* is a
@@ -21,8 +18,11 @@ Naming every position would shuffle many times the text. So:
 2. A run whose whole text occurs again elsewhere repeats with all its windows.
 3. Grams with runs of different texts (edges of copies, edits) get the text of
    one run of each kind, about 300 bytes. Rows are dealt by gram and sorted;
-   a task takes whole grams until they fill a buffer, puts all suffixes of the
-   buffer in order and reads off the longest previous factors.
+   a task takes whole grams until they fill a buffer and puts the buffer's
+   suffixes in order (prefix doubling, from eight bytes on). Common prefixes of
+   neighbours follow from the orders of the rounds, and one pass over the
+   neighbours gives the longest previous factors (previous and next smaller
+   positions on a stack).
 4. A gram with more than ``MAX_GROUP`` kinds of run (a passage in very many
    different surroundings) is too large for one buffer: its windows are named
    one by one and dealt by name instead, with the same outcome.
@@ -223,30 +223,105 @@ def _window_names(pieces: list[bytes], length: int):
     return which, ok - (ends - sizes)[which], n1[ok], n2[ok]
 
 
-def repeated_suffixes(n1: np.ndarray, n2: np.ndarray, keep: str) -> np.ndarray:
-    """Which suffixes, given in order of position, have a previous factor of full length.
+def suffix_ranks(data: np.ndarray, left: np.ndarray) -> list[np.ndarray]:
+    """Ranks of all suffixes by their first 8, 16, 32 ... bytes, up to their ends.
 
-    ``keep="none"``: a previous or a later one. In suffix order equal names
-    stand together by position, so the previous smaller position is the
-    neighbour before, the next one with a larger position the one behind.
+    ``left`` is how many bytes a suffix has. The last ranks are the suffix
+    order; suffixes that are equal to their ends have equal ranks.
     """
-    order = np.lexsort((np.arange(len(n1)), n2, n1))
-    a, b = n1[order], n2[order]
-    same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-    previous = np.append(False, same)
-    found = previous | np.append(same, False) if keep == "none" else previous
-    out = np.empty(len(n1), dtype=bool)
-    out[order] = found
+    n = len(data)
+    key = np.zeros(n, dtype=np.uint64)
+    for b in range(8):
+        here = np.zeros(n, dtype=np.uint64)
+        here[: max(0, n - b)] = data[b:]
+        key = (key << np.uint64(8)) | np.where(left > b, here, np.uint64(0))
+    _, rank = np.unique(key, return_inverse=True)
+    if (data == 0).any():  # ended suffixes come before longer ones that go on with zero bytes
+        _, rank = np.unique(rank * 9 + np.minimum(left, 8), return_inverse=True)
+    ranks = [rank]
+    size, longest = 8, int(left.max(initial=0))
+    while size < longest and int(ranks[-1].max(initial=0)) + 1 < n:
+        then = np.zeros(n, dtype=np.int64)
+        then[: max(0, n - size)] = ranks[-1][size:] + 1
+        then[left <= size] = 0
+        _, rank = np.unique(ranks[-1] * (n + 1) + then, return_inverse=True)
+        ranks.append(rank.ravel())
+        size *= 2
+    return ranks
+
+
+def common_prefixes(ranks: list[np.ndarray], data: np.ndarray, left: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Lengths of the common prefixes of suffixes ``a[i]`` and ``b[i]``."""
+    out = np.zeros(len(a), dtype=np.int64)
+    most = np.minimum(left[a], left[b])
+
+    def grow(step, equal):
+        fits = np.flatnonzero(out + step <= most)
+        same = fits[equal(a[fits] + out[fits], b[fits] + out[fits])]
+        out[same] += step
+        return len(same)
+
+    for level in range(len(ranks) - 1, -1, -1):
+        while grow(8 << level, lambda x, y: ranks[level][x] == ranks[level][y]) and level == len(ranks) - 1:
+            pass
+    for _ in range(7):
+        if not grow(1, lambda x, y: data[x] == data[y]):
+            break
     return out
 
 
+def longest_previous(position: list[int], common: list[int]) -> list[int]:
+    """Longest previous factors, given positions in suffix order and the common prefix of each entry with the one before.
+
+    The stack holds entries with rising positions: below an entry is its
+    previous smaller position, and what pops it is its next smaller one.
+    """
+    out = [0] * len(position)
+    stack: list[tuple[int, int, int]] = []  # place, position, common prefix with the entry below
+    for place, at in enumerate([*position, -1]):
+        shared = common[place] if 0 < place < len(position) else 0
+        while stack and stack[-1][1] > at:
+            top, _, below = stack.pop()
+            out[top] = below if below > shared else shared
+            shared = below if below < shared else shared
+        stack.append((place, at, shared))
+    return out
+
+
+def repeated_suffixes(pieces: list[bytes], length: int, keep: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, place in it, decided) of the windows of pieces that come in order of position.
+
+    ``keep="first"``: decided are windows whose longest previous factor has
+    ``length`` bytes; ``keep="none"``: or whose longest following factor has.
+    """
+    data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+    sizes = np.array([len(x) for x in pieces])
+    ends = np.cumsum(sizes)
+    which = np.repeat(np.arange(len(pieces)), sizes)
+    left = ends[which] - np.arange(len(data))
+    ranks = suffix_ranks(data, left)
+    windows = np.flatnonzero(left >= length)
+    order = windows[np.argsort(ranks[-1][windows], kind="stable")]
+    common = np.zeros(len(order), dtype=np.int64)
+    common[1:] = common_prefixes(ranks, data, left, order[:-1], order[1:])
+    # Entries that share less than a window with both neighbours have no factor of that length.
+    near = np.flatnonzero((common >= length) | np.append(common[1:] >= length, False))
+    position, shared = order[near].tolist(), np.where(common[near] >= length, common[near], 0).tolist()
+    hit = np.array(longest_previous(position, shared), dtype=np.int64) >= length
+    if keep == "none":
+        hit |= np.array(longest_previous([len(data) - p for p in position], shared), dtype=np.int64) >= length
+    decided = np.zeros(len(data), dtype=bool)
+    decided[order[near[hit]]] = True
+    return which[windows], windows - (ends - sizes)[which[windows]], decided[windows]
+
+
 def _decide(batches: Iterator[pa.RecordBatch], keep: str, length: int) -> Iterator[pa.RecordBatch]:
     """Stretches of repeated windows; rows come sorted by gram and position."""
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("start", pa.int64()), ("windows", pa.int64())])
 
     def out(rows):
-        which, place, n1, n2 = _window_names([r[4] for r in rows], length)
-        hit = np.flatnonzero(repeated_suffixes(n1, n2, keep))
+        which, place, decided = repeated_suffixes([r[4] for r in rows], length, keep)
+        hit = np.flatnonzero(decided)
         if not len(hit):
             return None
         new = np.append(True, (hit[1:] != hit[:-1] + 1) | (which[hit[1:]] != which[hit[:-1]]))

@@ -48,6 +48,44 @@ def planted(seed=3):
     return docs
 
 
+def quadratic_lpf(pieces):
+    """Per position of the pieces laid end to end: the longest string that starts there and earlier; none crosses an end."""
+    suffixes = [p[i:] for p in pieces for i in range(len(p))]
+
+    def shared(a, b):
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        return n
+    return suffixes, [max((shared(s, t) for t in suffixes[:i]), default=0) for i, s in enumerate(suffixes)]
+
+
+def test_longest_previous_factors_against_quadratic_ones():
+    rng = random.Random(4)
+    cases = [[b"abracadabra"], [b"a" * 40], [b"ab" * 30], [b"\0" * 20, b"\0" * 9, b"", b"x\0\0"], [b""], [b"q"]]
+    cases += [[bytes(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(rng.randint(1, 6))]
+              for alphabet in (b"ab", b"abc\0", b"abcdefgh") for _ in range(25)]
+    cases.append([bytes(rng.choice(b"ab") for _ in range(300)) * 3, b"ab" * 200])
+    for pieces in cases:
+        data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        left = np.concatenate([np.arange(len(p), 0, -1) for p in pieces]).astype(np.int64)
+        suffixes, want = quadratic_lpf(pieces)
+        ranks = lpf_dedup.suffix_ranks(data, left)
+        order = np.argsort(ranks[-1], kind="stable")
+        assert [suffixes[i] for i in order] == sorted(suffixes)
+        common = np.zeros(len(order), dtype=np.int64)
+        common[1:] = lpf_dedup.common_prefixes(ranks, data, left, order[:-1], order[1:])
+        got = [0] * len(order)
+        for place, value in zip(order, lpf_dedup.longest_previous(order.tolist(), common.tolist())):
+            got[place] = value
+        assert got == want
+        # Decided windows follow from the factors.
+        for length in (1, 3, 20):
+            which, place, decided = lpf_dedup.repeated_suffixes(pieces, length, "first") if len(data) else ([], [], [])
+            start = np.cumsum([0] + [len(p) for p in pieces])
+            assert [start[w] + p for w, p, d in zip(which, place, decided) if d] == [i for i in range(len(want)) if want[i] >= length]
+
+
 def test_brute_force_both_ways(small_shuffles, monkeypatch):
     docs = planted()
     df = small_shuffles.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
