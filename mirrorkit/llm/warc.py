@@ -17,9 +17,10 @@ is kept only if the chain that starts at the file's first byte reaches it:
   with the run at offset 0, until no new run is reached;
 * of a reached run the candidates from the entry point on are records.
 
-A record whose block holds rejected candidates is cut from its file by offset:
-the files that have such records (and only those) are read a second time, whole
-in one task each, which ``RECORDS_PER_FILE`` keeps to a bounded size.
+A record whose block holds rejected candidates is put together from the rows
+between its magic and its successor's: the files that have such records (and
+only those) are split again, and only these rows are kept. No task holds more
+than a record; ``RECORDS_PER_FILE`` bounds what offsets are summed over.
 
 Defined results: null html is an empty payload; a null or unprintable url is
 written percent-encoded; null page ids are written as ``null`` and read back
@@ -40,6 +41,8 @@ END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MIN_REVISIT = 100
 RECORDS_PER_FILE = 20_000
+#: Rows of torn blocks (offsets, under 100 bytes each) up to which they are broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def _revisits(pages: DataFrame, min_revisit: int) -> DataFrame:
@@ -96,6 +99,47 @@ def write_warc(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT,
         "maxRecordsPerFile", records_per_file).text(path)
 
 
+def _raw(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(value, file, block, row): the text up to each magic line, numbered in the reader's order."""
+    return spark.read.option("lineSep", MAGIC).text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+
+
+def _torn_digests(spark: SparkSession, placed: DataFrame, true_at: DataFrame, torn: DataFrame, files: list[str]) -> DataFrame:
+    """(file, at, block_digest) of the records whose blocks hold magic lines.
+
+    A row belongs to the last true record before it. The rows of the torn
+    records are read again by their place in their split, and joined.
+    """
+    in_files = placed.join(torn.select("file").distinct(), "file", "left_semi")
+    firsts = in_files.groupBy("file", "block").agg(F.min("row").alias("first"))
+    order = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    owner = F.last(F.when(F.col("alone_").isNotNull(), F.struct("at", "alone_")), ignorenulls=True).over(order)
+    owned = in_files.join(firsts, ["file", "block"]).join(true_at.withColumnRenamed("alone", "alone_"), ["file", "at"], "left").select(
+        F.col("file").alias("o_file"), F.col("block").alias("o_block"), (F.col("row") - F.col("first")).alias("o_rank"), "at",
+        F.col("size").alias("o_size"), owner.alias("owner")).filter("NOT owner.alone_").select(
+        "o_file", "o_block", "o_rank", "at", "o_size", F.col("owner.at").alias("record_at"))
+    owned = written(owned, "warc-owned")
+    raw = _raw(spark, files)
+    begins = raw.groupBy("file", "block").agg(F.min("row").alias("begin")).withColumnsRenamed({"file": "b_file", "block": "b_block"})
+    again = raw.join(begins, (F.col("file") == F.col("b_file")) & (F.col("block") == F.col("b_block"))).withColumn(
+        "rank", F.col("row") - F.col("begin"))
+    small = owned.count() <= BROADCAST_ROWS
+    rows = again.join(F.broadcast(owned) if small else owned, (F.col("file") == F.col("o_file")) & (F.col("block") == F.col("o_block")) & (
+        F.col("rank") == F.col("o_rank"))).select("o_file", "record_at", "at", "o_size", "value")
+    same = F.when(F.octet_length("value") == F.col("o_size"), F.col("value")).otherwise(
+        F.raise_error(F.concat(F.lit("archive changed while it was read: "), F.col("o_file"))).cast("string"))
+    records = rows.groupBy("o_file", "record_at").agg(F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", same.alias("value")))), lambda x: x.value), MAGIC).alias("text"))
+    block = F.expr("substring(CAST(text AS BINARY), int(head_len) + 1, int(content))")
+    return records.join(torn, (F.col("o_file") == F.col("file")) & (F.col("record_at") == F.col("at"))).select(
+        "file", torn["at"], F.sha2(block, 256).alias("block_digest"))
+
+
 def _candidates(spark: SparkSession, path: str) -> DataFrame:
     """Every occurrence of the magic line with its offset and its successor's.
 
@@ -103,12 +147,7 @@ def _candidates(spark: SparkSession, path: str) -> DataFrame:
     split is the reader's; offsets are running sums over the splits of a file.
     The digest of a whole block is taken here, so no text travels on.
     """
-    raw = spark.read.option("lineSep", MAGIC).text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
+    raw = _raw(spark, [path])
     head_len = F.expr(f"locate('{END}', value)").cast("bigint") + 3  # the header with its empty line
     rows = (
         raw.withColumn("size", F.octet_length("value").cast("bigint"))
@@ -204,19 +243,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     fields = ("file", "at", "page", "record_type", "refers_to", "named_digest", "named_length", "content", "block_digest")
     easy = placed.filter("alone").join(true_at.filter("alone").drop("alone"), ["file", "at"], "left_semi").select(*fields)
 
-    # Blocks with a magic line inside: cut from their files.
-    torn = placed.join(true_at.filter("NOT alone").drop("alone"), ["file", "at"], "left_semi").select(
-        *[c for c in fields if c != "block_digest"], (F.col("at") + len(MAGIC) + F.col("head_len")).alias("block_at"))
-    torn = written(torn, "warc-torn")
+    # Blocks with a magic line inside: put together from their rows.
+    torn = written(placed.join(true_at.filter("NOT alone").drop("alone"), ["file", "at"], "left_semi").select(
+        *[c for c in fields if c != "block_digest"], "head_len"), "warc-torn")
     files = [r["file"] for r in torn.select("file").distinct().collect()]  # names only
     mended = None
     if files:
-        cuts = torn.groupBy("file").agg(F.collect_list(F.struct("at", "block_at", "content")).alias("cuts"))
-        whole_files = spark.read.format("binaryFile").load(files).select(F.col("_metadata.file_path").alias("file"), "content")
-        digests = whole_files.withColumnRenamed("content", "bytes").join(cuts, "file").select("file", F.explode(F.expr(
-            "transform(cuts, c -> named_struct('at', c.at, 'd', sha2(substring(bytes, int(c.block_at) + 1, int(c.content)), 256)))"
-        )).alias("cut")).select("file", "cut.at", F.col("cut.d").alias("block_digest"))
-        mended = torn.drop("block_at").join(digests, ["file", "at"]).select(*fields)
+        digests = _torn_digests(spark, placed, true_at, torn, files)
+        mended = torn.join(digests, ["file", "at"]).select(*fields)
 
     again = F.col("record_type") == "revisit"
     return (easy.unionByName(mended) if mended is not None else easy).select(

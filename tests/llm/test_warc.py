@@ -1,6 +1,7 @@
 import hashlib
 
 from mirrorkit.llm import warc
+from mirrorkit.llm.common import written
 from mirrorkit.session import work_dir
 
 FAKE = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:77>\r\nContent-Length: {n}\r\n\r\n{body}\r\n\r\n"
@@ -73,6 +74,36 @@ def test_pointer_jumping_follows_many_runs(small_shuffles):
     assert rows_read(warc.warc_round_trip(frame(small_shuffles, rows).coalesce(1))) == expected(rows)
 
 
+def test_no_file_is_read_whole(small_shuffles, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    spark = small_shuffles
+    torn = FAKE.format(n=3, body="abc") + "WARC/1.1\r\n" + "é" * 200 + FAKE.format(n=5, body="12345")
+    rows = [(i, "u", torn + str(i) if i % 50 == 7 else f"page {i} " * 800) for i in range(300)]
+    path = work_dir(spark, "warc-test")
+    warc.write_warc(frame(spark, rows).coalesce(1), path)
+    sizes = spark.read.format("binaryFile").load(path).agg({"length": "max"}).first()[0]
+    assert sizes > 1_500_000  # one file; its torn records have under 1,000 bytes each
+    plain = DataFrameReader.format
+
+    def refused(self, source):
+        assert source != "binaryFile", "a file was read whole"
+        return plain(self, source)
+
+    monkeypatch.setattr(DataFrameReader, "format", refused)
+    kept = []
+
+    def watched(df, purpose):
+        out = written(df, purpose)
+        if purpose == "warc-owned":
+            kept.extend(out.groupBy("o_file", "record_at").sum("o_size").collect())
+        return out
+
+    monkeypatch.setattr(warc, "written", watched)
+    assert rows_read(warc.read_warc(spark, path)) == expected(rows)
+    assert len(kept) == 6 and max(r[2] for r in kept) < 2_000  # what a task puts together
+
+
 def test_no_pages(small_shuffles):
     assert warc.warc_round_trip(frame(small_shuffles, [])).count() == 0
 
