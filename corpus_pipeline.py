@@ -41,7 +41,13 @@ def _stage(number: int):
 
 @_stage(0)
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents with a toxicity score of at least 0.3 (as query op4 predicts)."""
+    """Drops documents with a toxicity score of at least 0.3 (as query op4 predicts).
+
+    Null and empty texts have no token and are scored like a text without
+    evidence, so they stay unless most labelled texts are toxic; without
+    labelled rows of both classes everything stays. Repeated rows are judged
+    alike; an empty table gives no rows; all columns are kept.
+    """
     held_out = F.coalesce(crc32_mod("doc_id", 4) == 2, F.lit(False))
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
     return toxicity.score(docs, model).filter(F.col("score") < toxicity.THRESHOLD).select("row.*")
@@ -96,14 +102,24 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 @_stage(3)
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats documents of small sources (at most twice) towards even weights; rows come in the mixture's order."""
-    mixed = mixing.mix(docs)
-    return mixed.select("row", "block", "turn").select("row.*")
+    """Repeats documents of small sources (at most twice) towards even weights; files are in the mixture's order.
+
+    Every row is used once at least, those without text or source too (a null
+    source is a source). Rows equal in id and text go together; ties in the
+    order are broken by id and epoch; an empty table gives no rows; all columns
+    are kept.
+    """
+    return mixing.mixture(docs)
 
 
 @_stage(4)
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 2048 tokens."""
+    """Pieces of sequences of at most 2048 tokens.
+
+    Null and empty texts are the end token alone; rows that repeat an id are
+    documents of their own; an empty table gives no rows; other columns don't
+    matter.
+    """
     pieces = packing.pack(docs, tokenizer_path())
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
