@@ -42,6 +42,23 @@ def op3_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+# All windows of 200 bytes are named and counted.
+OP3_SQL = """
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, encode(coalesce(text, '')) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT id, pos, md5_number(x[pos + 1:pos + 200]) AS name FROM (
+  SELECT id, x, unnest(generate_series(0, n - 200)) AS pos FROM d WHERE n >= 200)),
+h AS (SELECT id, pos FROM w WHERE name IN (SELECT name FROM w GROUP BY name HAVING count(*) > 1)),
+g AS (SELECT id, pos, CASE WHEN pos > lag(pos) OVER (PARTITION BY id ORDER BY pos) + 200 THEN 1 ELSE 0 END AS new FROM h),
+i AS (SELECT id, pos, sum(new) OVER (PARTITION BY id ORDER BY pos) AS island FROM g),
+s AS (SELECT id, min(pos) AS a, max(pos) + 200 AS b FROM i GROUP BY id, island),
+k AS (SELECT id, count(*) AS spans, sum(b - a) AS gone, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends FROM s GROUP BY id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN spans IS NULL THEN hex(x) ELSE array_to_string(list_transform(generate_series(0, spans), lambda j:
+  hex(x[coalesce(ends[j], 0) + 1:coalesce(starts[j + 1], n)])), '') END)) AS kept_sha256
+FROM d LEFT JOIN k USING (id)
+"""
+
+
 def op4_toxicity_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc32_mod("doc_id", 4) == 2, F.lit(False))
@@ -83,6 +100,21 @@ def op9_heavy_light_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+# All pairs that share a shingle are counted; what links reach is followed to its end.
+OP9_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{merkle._UPPER}', '{merkle._LOWER}'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')] ELSE list_distinct(
+  list_transform(generate_series(1, len(words) - 4), lambda i: array_to_string(words[i:i+4], ' '))) END AS shingles FROM w),
+t AS (SELECT doc_id, len(shingles) AS n, hash(unnest(shingles)) AS h FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS shared FROM t a JOIN t b ON a.h = b.h AND a.doc_id <> b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY a.doc_id, b.doc_id, a.n, b.n),
+l AS (SELECT a, b FROM p WHERE 100 * shared >= 80 * (na + nb - shared)),
+r AS (SELECT DISTINCT a AS id, a AS met FROM l UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.met)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, coalesce(m.least, doc_id) AS component_id
+FROM s LEFT JOIN (SELECT id, min(met) AS least FROM r GROUP BY id) m ON m.id = doc_id
+"""
+
+
 def op10_hnsw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -238,6 +270,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_warc_chain": OP2_SQL,
+    "op3_lpf_dedup": OP3_SQL,
+    "op9_heavy_light_jaccard": OP9_SQL,
     "op11_gnat_negatives": OP11_SQL,
     "op12_fpgrowth_urls": OP12_SQL,
     "op13_merkle_checkpoints": OP13_SQL,
