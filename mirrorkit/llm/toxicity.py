@@ -105,26 +105,46 @@ class ChainField:
     def step(self, k: int) -> np.ndarray:
         return np.exp(self.move) * np.array([1.0, np.exp(self.emit[k])])
 
+    def _tables(self) -> tuple:
+        """Steps as plain numbers, and the neutral step (scaled to largest eigenvalue 1) as ``one + ratio ** n * other``."""
+        key = self.emit.tobytes(), self.move.tobytes()
+        if self.__dict__.get("_made", (None,))[0] != key:
+            steps = [tuple(self.step(k).ravel().tolist()) for k in range(len(self.emit))]
+            a, b, c, d = steps[0]
+            root = (((a - d) / 2) ** 2 + b * c) ** 0.5  # positive, as all entries are
+            top, ratio = (a + d) / 2 + root, ((a + d) / 2 - root) / ((a + d) / 2 + root)
+            one = tuple((x / top - ratio * unit) / (1 - ratio) for x, unit in zip(steps[0], (1, 0, 0, 1)))
+            other = tuple(unit - x for x, unit in zip(one, (1, 0, 0, 1)))
+            self._made = key, steps, ratio, one, other
+        return self._made[1:]
+
     def marginals(self, classes: list[int], gaps: list[int]) -> list[float]:
         """P(toxic) of the observed tokens; ``gaps[i]`` neutral tokens stand before token i, the last after all."""
-        steps = [self.step(k) for k in range(len(self.emit))]
-        neutral = steps[0] / np.linalg.eigvals(steps[0]).real.max()
-
-        def power(n):
-            return np.linalg.matrix_power(neutral, n)
-
-        forward, before = [], np.array([1.0, 0.0])  # a clean state stands before the text
+        steps, ratio, (a1, b1, c1, d1), (a2, b2, c2, d2) = self._tables()
+        forward, x, y = [], 1.0, 0.0  # a clean state stands before the text
         for k, gap in zip(classes, gaps):
-            before = before @ power(gap) @ steps[k]
-            before = before / before.sum()
-            forward.append(before)
-        backward = power(gaps[-1]) @ np.ones(2)
+            if gap:
+                f = ratio**gap
+                x, y = x * (a1 + f * a2) + y * (c1 + f * c2), x * (b1 + f * b2) + y * (d1 + f * d2)
+            a, b, c, d = steps[k]
+            x, y = x * a + y * c, x * b + y * d
+            total = x + y
+            x, y = x / total, y / total
+            forward.append((x, y))
+        f = ratio ** gaps[-1]
+        x, y = a1 + f * a2 + b1 + f * b2, c1 + f * c2 + d1 + f * d2
         out = []
         for i in range(len(classes) - 1, -1, -1):
-            both = forward[i] * backward
-            out.append(float(both[1] / both.sum()))
-            backward = power(gaps[i]) @ (steps[classes[i]] @ backward)
-            backward = backward / backward.sum()
+            clean, toxic = forward[i]
+            clean, toxic = clean * x, toxic * y
+            out.append(toxic / (clean + toxic))
+            a, b, c, d = steps[classes[i]]
+            x, y = a * x + b * y, c * x + d * y
+            if gaps[i]:
+                f = ratio ** gaps[i]
+                x, y = (a1 + f * a2) * x + (b1 + f * b2) * y, (c1 + f * c2) * x + (d1 + f * d2) * y
+            total = x + y
+            x, y = x / total, y / total
         return out[::-1]
 
     def evidence(self, marginals: list[float]) -> np.ndarray:
