@@ -12,7 +12,9 @@ replaced whole.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
@@ -32,16 +34,35 @@ _PARALLELISM_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
 
 def compacted(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """The frame behind one exchange that groups each Hive partition together.
+    """The frame behind one exchange that groups each Hive partition together."""
+    return df.hint("rebalance", *partitions)
+
+
+_MERGING: dict[str, int] = {}
+_MERGING_LOCK = threading.Lock()
 
-    Without partition columns, tasks are merged up to the advisory size. Spark
-    would otherwise keep one task (and so one small file) per core; that
-    preference is switched off for the session unless it is set already.
+
+@contextmanager
+def merged_small_tasks(spark: SparkSession):
+    """While writing, merge tasks up to the advisory size; Spark would keep one (and so one small file) per core.
+
+    ``build_session`` sets this for good. In a session that does not say either
+    way it holds while any write of this process runs, and is undone after.
     """
-    conf = df.sparkSession.conf
-    if conf.get(_PARALLELISM_FIRST, None) is None:
-        conf.set(_PARALLELISM_FIRST, "false")
-    return df.hint("rebalance", *partitions)
+    session = spark.sparkContext.applicationId
+    with _MERGING_LOCK:
+        mine = bool(_MERGING.get(session)) or spark.conf.get(_PARALLELISM_FIRST, None) is None
+        if mine:
+            _MERGING[session] = _MERGING.get(session, 0) + 1
+            spark.conf.set(_PARALLELISM_FIRST, "false")
+    try:
+        yield
+    finally:
+        with _MERGING_LOCK:
+            if mine:
+                _MERGING[session] -= 1
+                if not _MERGING[session]:
+                    spark.conf.unset(_PARALLELISM_FIRST)
 
 
 def write_mirror(
@@ -101,7 +122,8 @@ def write_mirror(
         writer = writer.partitionBy(*partitions).option(
             "partitionOverwriteMode", "dynamic" if replace_touched_only else "static"
         )
-    writer.parquet(path)
+    with merged_small_tasks(df.sparkSession):
+        writer.parquet(path)
 
 
 def stage_extract(df: DataFrame, path: str, **kwargs) -> None:

@@ -68,6 +68,21 @@ def test_point_reads_skip_row_groups_and_pages(spark, tmp_dir):
     assert rows_scanned(read_keys(points, "parid", [absent])) == 0
 
 
+def test_writes_leave_the_session_as_it_was(spark, tmp_dir):
+    name = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = spark.conf.get(name)
+    spark.conf.unset(name)
+    try:
+        unset = spark.conf.get(name, None)
+        write_mirror(spark.range(1000), f"{tmp_dir}/m")
+        assert spark.conf.get(name, None) == unset
+        assert spark.read.parquet(f"{tmp_dir}/m").select(F.input_file_name()).distinct().count() == 1
+    finally:
+        spark.conf.set(name, before)
+    write_mirror(spark.range(10), f"{tmp_dir}/n")
+    assert spark.conf.get(name) == before
+
+
 def test_point_reads_of_many_null_and_no_keys(spark, tmp_dir):
     df = spark.createDataFrame([(f"k{i:03}" if i % 10 else None, i) for i in range(100)], "parid string, v int")
     write_mirror(df, f"{tmp_dir}/m", point_key="parid")
