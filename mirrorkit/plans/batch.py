@@ -306,7 +306,7 @@ def _run_job_once(
 
         if versioned:
             commit = publish_run(spark, dest, run, schema, parts)
-            before = manifest_log.manifest(spark, dest, parts, commit.number - 1)
+            before = manifest_log.manifest(spark, dest, parts, commit.number - 1)  # as of the commit before
             after = manifest_log.manifest(spark, dest, parts, commit.number)
         else:
             after = file_manifest(spark, dest, parts, within=job.scope_glob)

@@ -70,13 +70,33 @@ def _commit_path(mirror: str, number: int) -> str:
     return f"{mirror}/{LOG_FOLDER}/commits/{number:08d}.json"
 
 
-def commits(spark: SparkSession, mirror: str) -> list[Commit]:
-    """All commit records, oldest first (one small record per run)."""
+def _records(spark: SparkSession, mirror: str) -> dict[int, str]:
+    """Texts of the commit records by number (one small record per run), empty for one that is being written."""
     folder = f"{mirror}/{LOG_FOLDER}/commits"
     if not path_exists(spark, folder):
-        return []
-    found = [json.loads(r["value"]) for r in spark.read.text(folder, wholetext=True).collect()]
-    return sorted((Commit(**{**c, "partitions": tuple(c["partitions"])}) for c in found), key=lambda c: c.number)
+        return {}
+    fs, hadoop_path = hadoop_file_system(spark, folder)
+    taken = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+    found = spark.read.text(folder, wholetext=True).select("value", F.col("_metadata.file_name").alias("name")).collect()
+    texts = {r["name"]: r["value"] for r in found}  # Spark skips empty files
+    return {int(name.split(".")[0]): texts.get(name, "") for name in taken if name.endswith(".json")}
+
+
+def _parsed(records: dict[int, str]) -> list[Commit]:
+    """The commits, oldest first. A record that is not whole (its writer is at it, or died) is none."""
+    found = []
+    for number in sorted(records):
+        try:
+            fields = json.loads(records[number])
+        except ValueError:
+            continue
+        found.append(Commit(**{**fields, "partitions": tuple(fields["partitions"])}))
+    return found
+
+
+def commits(spark: SparkSession, mirror: str) -> list[Commit]:
+    """All commits, oldest first."""
+    return _parsed(_records(spark, mirror))
 
 
 def _create(spark: SparkSession, path: str, text: str) -> bool:
@@ -133,8 +153,8 @@ def append(spark: SparkSession, mirror: str, run: str, schema: StructType, parti
     An unpartitioned mirror is replaced whole, also by a run without files.
     """
     for attempt in range(ATTEMPTS):
-        known = commits(spark, mirror)
-        number = known[-1].number + 1 if known else 1
+        records = _records(spark, mirror)
+        known, number = _parsed(records), max(records, default=0) + 1
         before = files_at(spark, mirror, known=known)
         replaced = before
         if partitions:

@@ -113,7 +113,7 @@ def test_old_versions_stay_as_long_as_asked(spark, tmp_dir):
 
 def test_a_taken_number_is_no_loss(spark, tmp_dir, monkeypatch):
     run(spark, FIRST, tmp_dir)
-    mirror, real = f"{tmp_dir}/t", manifest_log.commits
+    mirror, real = f"{tmp_dir}/t", manifest_log._records
     stale = real(spark, mirror)
     run(spark, SECOND, tmp_dir)  # another run takes number 2
     calls = []
@@ -122,7 +122,7 @@ def test_a_taken_number_is_no_loss(spark, tmp_dir, monkeypatch):
         calls.append(1)
         return stale if len(calls) == 1 else real(*args)
 
-    monkeypatch.setattr(manifest_log, "commits", late)
+    monkeypatch.setattr(manifest_log, "_records", late)
     other = versions.new_run()
     frame = spark.createDataFrame([(30, 2001, "Y")], "v int, taxyr int, cur string")
     write_mirror(frame, versions.run_folder(mirror, other), PARTS)
@@ -130,6 +130,14 @@ def test_a_taken_number_is_no_loss(spark, tmp_dir, monkeypatch):
     assert (30, 2001, "Y") in by_path(spark, tmp_dir) and (20, 2001, "Y") not in by_path(spark, tmp_dir)
 
 
+def test_a_record_that_was_never_finished(spark, tmp_dir):
+    run(spark, FIRST, tmp_dir)
+    Path(f"{tmp_dir}/t/_log/commits/00000002.json").write_text("")  # its writer died
+    assert by_path(spark, tmp_dir) == sorted(FIRST, key=repr)
+    assert run(spark, SECOND, tmp_dir).status == "ok"
+    assert [c.number for c in manifest_log.commits(spark, f"{tmp_dir}/t")] == [1, 3] and len(by_path(spark, tmp_dir)) == 4
+
+
 def test_snapshots_hold_the_same_files(spark, tmp_dir, monkeypatch):
     monkeypatch.setattr(manifest_log, "SNAPSHOT_EVERY", 2)
     for n in range(5):
