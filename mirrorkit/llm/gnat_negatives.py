@@ -71,22 +71,26 @@ class Tree:
     high: list[np.ndarray] = field(default_factory=list)
     leaves: int = 0
 
-    def grow(self, x: np.ndarray, rows_each: float, most: float, rng: np.random.Generator) -> int:
-        """The subtree of sample rows ``x``, each of which stands for ``rows_each`` rows."""
-        parts = int(min(BRANCH, len(x) // 4, len(x) * rows_each // most))
-        centres = far_apart(x, parts, rng) if parts > 1 else x[:0]
-        if len(centres) < 2:
-            self.leaves += 1
-            return -self.leaves
-        at = len(self.centres)
-        self.centres.append(centres)
-        self.kids.append([])
-        self.low.append(np.full((len(centres), len(centres)), np.inf))
-        self.high.append(np.full((len(centres), len(centres)), -np.inf))
-        nearest = distances(x, centres).argmin(axis=1)
-        for j in range(len(centres)):
-            self.kids[at].append(self.grow(x[nearest == j], rows_each, most, rng))
-        return at
+    def grow(self, x: np.ndarray, rows_each: float, most: float, rng: np.random.Generator) -> None:
+        """Splits sample rows ``x``, each of which stands for ``rows_each`` rows, into parts of ``most`` rows at most."""
+        todo = [(x, None, 0)]
+        while todo:
+            part, above, slot = todo.pop()
+            parts = int(min(BRANCH, len(part) // 4, len(part) * rows_each // most))
+            centres = far_apart(part, parts, rng) if parts > 1 else part[:0]
+            if len(centres) < 2:
+                self.leaves += 1
+                place = -self.leaves
+            else:
+                place = len(self.centres)
+                self.centres.append(centres)
+                self.kids.append([0] * len(centres))
+                self.low.append(np.full((len(centres), len(centres)), np.inf))
+                self.high.append(np.full((len(centres), len(centres)), -np.inf))
+                nearest = distances(part, centres).argmin(axis=1)
+                todo += [(part[nearest == j], place, j) for j in range(len(centres))]
+            if above is not None:
+                self.kids[above][slot] = place
 
     def descend(self, x: np.ndarray, meet=None) -> np.ndarray:
         """Leaf of each row; ``meet(split, part, distances)`` sees the rows of each part on the way."""
