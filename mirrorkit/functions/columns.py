@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from mirrorkit.functions.fixed import (
+    LOG_LOCAL_SECONDS_FORMAT,
     LOG_SECONDS_FORMAT,
     LOG_TIMESTAMP_FORMAT,
     LOG_TIMESTAMP_PATTERN,
@@ -53,8 +54,10 @@ def log_line_time_ms(text: Column, zone: str | None = None) -> Column:
     """
     found = F.regexp_extract(text, LOG_TIMESTAMP_PATTERN, 0)
     parts = F.split(found, r"\.", 2)  # seconds and fraction apart: the fraction's length varies
-    place = F.current_timezone() if zone is None else F.lit(zone)
-    instant = F.try_to_timestamp(F.concat(parts.getItem(0), F.lit(" "), place), F.lit(LOG_SECONDS_FORMAT))
+    if zone is None:  # no zone name to parse in every line
+        instant = F.try_to_timestamp(parts.getItem(0), F.lit(LOG_LOCAL_SECONDS_FORMAT))
+    else:
+        instant = F.try_to_timestamp(F.concat(parts.getItem(0), F.lit(" "), F.lit(zone)), F.lit(LOG_SECONDS_FORMAT))
     millis = F.rpad(F.substring(parts.getItem(1), 1, 3), 3, "0").cast("bigint")
     return F.when(found != "", F.unix_millis(instant) + millis)
 

@@ -14,8 +14,9 @@ TIMESTAMP_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 # Timestamp at the start of every job log line (underscore between date and time).
 LOG_TIMESTAMP_FORMAT = "yyyy-MM-dd_HH:mm:ss.SSS"
 # The same for reading: its shape (one to six fraction digits), and the part
-# before the fraction followed by a zone name.
+# before the fraction, alone or followed by a zone name.
 LOG_TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2}_\d{2}:\d{2}:\d{2}\.\d{1,6}$"
+LOG_LOCAL_SECONDS_FORMAT = "yyyy-MM-dd_HH:mm:ss"
 LOG_SECONDS_FORMAT = "yyyy-MM-dd_HH:mm:ss VV"
 # Source numbers that arrive as DECIMAL(38,10) are unscaled integers and are
 # narrowed to DECIMAL(10,0); no other decimal is touched.
