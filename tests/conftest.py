@@ -16,7 +16,8 @@ def spark():
     session = build_session(
         "local[*]",
         app_name="mirror-tests",
-        conf={"spark.sql.shuffle.partitions": "8"},
+        # Few reducers: the tables of these tests are small.
+        conf={"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "64"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
