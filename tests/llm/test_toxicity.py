@@ -73,52 +73,22 @@ def test_spans_are_byte_offsets(small_shuffles):
         assert found == ({"méchant", "crétin!"} if r.row.doc_id % 2 == 0 else set())
 
 
-def test_stretches_are_maximal_and_bridge_neutral_tokens(small_shuffles):
+def test_stretches_are_maximal(small_shuffles):
     spark = small_shuffles
-    texts = [f"été bon mot tiède {i} fin" if i % 2 else f"été  méchant\tet\n crétin! vilain numéro {i} loin de tout ça encore méchant" for i in range(400)]
+    texts = [f"été bon mot {i} fin" if i % 2 else f"été  méchant\n crétin! numéro {i} loin de tout encore méchant" for i in range(400)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(400)], "doc_id bigint, toxic int")
     field = toxicity.fit(docs, labels, F.lit(True))
-    field.lexicon = {k: v for k, v in field.lexicon.items() if k in ("=méchant", "=crétin", "=vilain")}
+    field.lexicon = {k: v for k, v in field.lexicon.items() if k in ("=méchant", "=crétin")}
     for r in toxicity.score(docs, field).collect():
         found = [r.row.text.encode()[s.start : s.end].decode() for s in r.stretches]
-        assert found == (["méchant\tet\n crétin! vilain", "méchant"] if r.row.doc_id % 2 == 0 else []) and all(s.p >= 0.5 for s in r.stretches)
-        inside = [any(t.start <= s.start and s.end <= t.end for t in r.stretches) for s in r.spans]
-        assert all(inside) and len(r.spans) == (4 if r.row.doc_id % 2 == 0 else 0)
+        assert found == (["méchant\n crétin!", "méchant"] if r.row.doc_id % 2 == 0 else []) and len(r.spans) == (3 if found else 0)
 
 
 def test_maximal_runs():
     assert toxicity.maximal([(0, 0, 2, 0.5), (1, 3, 4, 0.9), (3, 6, 7, 0.6)]) == [
         {"start": 0, "end": 4, "p": 0.9}, {"start": 6, "end": 7, "p": 0.6}]
     assert toxicity.maximal([]) == []
-    assert toxicity.bridged(np.array([1, 2, 6, 11])).tolist() == [1, 2, 3, 4, 5, 6, 11]
-
-
-def test_the_fit_is_at_the_maximum():
-    rng = np.random.default_rng(7)
-    x = np.where(rng.random((300, 40)) < 0.2, rng.integers(1, 6, (300, 40)), 0).astype(np.uint8)
-    y = ((x > 0) & (rng.random(300) < 0.4)[:, None] & (rng.random((300, 40)) < 0.25 + 0.15 * x)).astype(np.uint8)
-    length = rng.integers(1, 41, 300)
-    emit, move = toxicity.fit_chain(x, y, length)
-    live = np.arange(40)[None] < length[:, None]
-
-    def likelihood(emit, move):
-        z, _, _ = toxicity.chain_expectations(x, length, emit, move)
-        before = np.concatenate([np.zeros((300, 1), dtype=int), y[:, :-1]], axis=1)
-        state = np.where(y == 1, emit[x], 0.0) + move[before, y]
-        return (state * live).sum() - z.sum() - (emit @ emit + (move * move).sum()) / 2
-
-    best = likelihood(emit, move)
-    for k in range(6):
-        for d in (-0.02, 0.02):
-            more = emit.copy()
-            more[k] += d
-            assert likelihood(more, move) < best
-    for at in ((0, 1), (1, 0), (1, 1)):
-        for d in (-0.02, 0.02):
-            more = move.copy()
-            more[at] += d
-            assert likelihood(emit, more) < best
 
 
 def test_long_clean_documents_first_leave_the_toxic_ones_in_the_fit(small_shuffles):
