@@ -8,7 +8,9 @@ and balance. All measurements are one scan with a map-side partial aggregate.
 
 Lists built here are ``ChunkList``: they know whether every row is in exactly
 one chunk (then a chunked scan in Spark needs no test at all) and how to find
-a row's chunk by binary search instead of testing every predicate.
+a row's chunk by binary search instead of testing every predicate. They also
+know which values their predicates compare a row with: the check of a long
+list tests every predicate once for all rows between two of these values.
 """
 
 from __future__ import annotations
@@ -20,26 +22,35 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from mirrorkit.session import ensure_checkpoint_dir
 
 
+#: Lists up to this length are tested predicate by predicate on every row.
+FEW_CHUNKS = 64
+
+
 class ChunkList(tuple):
     """Chunk predicates with what is known about them.
 
     ``covering``: every row, whatever its key, satisfies exactly one.
     ``locate``: builds the id column of the one chunk a row satisfies (null
     for none); only for lists in which no two chunks overlap.
+    ``compared``: the column, and the ascending values that the predicates
+    compare it with, when (in Spark) they do nothing else.
     """
 
     covering: bool
     locate: Callable[[], Column] | None
+    compared: tuple[str, list] | None
 
-    def __new__(cls, predicates: Iterable[str], covering: bool = False,
-                locate: Callable[[], Column] | None = None) -> "ChunkList":
+    def __new__(cls, predicates: Iterable[str], covering: bool = False, locate: Callable[[], Column] | None = None,
+                compared: tuple[str, list] | None = None) -> "ChunkList":
         made = super().__new__(cls, predicates)
         made.covering = covering
         made.locate = locate
+        made.compared = compared
         return made
 
 
@@ -118,7 +129,8 @@ def inclusive_range_chunks(
             (value < lows[0]) | (value > highs[-1]), F.lit(count)).otherwise(inside)
 
     ordered = lows == sorted(lows) and highs == sorted(highs)  # as text: not beyond ``digits`` digits
-    return ChunkList(chunks, locate=locate if ordered else None)
+    return ChunkList(chunks, locate=locate if ordered else None,
+                     compared=(column, sorted({*lows, *highs})) if ordered else None)
 
 
 def half_open_chunks(column: str, bounds: Sequence, dialect: str = "spark") -> ChunkList:
@@ -142,7 +154,8 @@ def half_open_chunks(column: str, bounds: Sequence, dialect: str = "spark") -> C
         return F.when(_named(column).isNull(), F.lit(len(ordered) + 1)).otherwise(
             _search(_named(column), ordered, 0, len(ordered)))
 
-    return ChunkList(chunks, covering=True, locate=locate)
+    # Spark may read a literal written for a database otherwise (backslashes).
+    return ChunkList(chunks, covering=True, locate=locate, compared=(column, ordered) if dialect == "spark" else None)
 
 
 def _cumulative(counts: DataFrame, group: list[str], key: str) -> DataFrame:
@@ -280,9 +293,12 @@ def chunk_hits(predicates: Sequence[str]) -> Column:
 
     Every predicate is tested as it stands, also those of a ``ChunkList``:
     this is the check of a list. The sum is flat, so long lists are no deep
-    expression.
+    expression, and a long list is built as one text.
     """
-    tests = F.array(*[F.coalesce(F.expr(p).cast("int"), F.lit(0)) for p in predicates])
+    if len(predicates) <= FEW_CHUNKS:
+        tests = F.array(*[F.coalesce(F.expr(p).cast("int"), F.lit(0)) for p in predicates])
+    else:
+        tests = F.expr("array(" + ", ".join(f"coalesce(CAST(({p}\n) AS INT), 0)" for p in predicates) + ")")
     return F.aggregate(tests, F.lit(0), lambda total, hit: total + hit) if predicates else F.lit(0)
 
 
@@ -307,8 +323,60 @@ def chunked_scan(
     return found if chunk_column else found.drop(name)
 
 
+def _ordered_alike(df: DataFrame, t: DataType, values: Sequence) -> bool:
+    """Whether Spark surely orders ``values`` as they come, compared with a column of type ``t``."""
+    if not all(a < b for a, b in zip(values, values[1:])):  # not so with NaN
+        return False
+
+    def all_of(*kinds) -> bool:
+        return all(type(v) in kinds for v in values)
+
+    if isinstance(t, NumericType):
+        return all_of(int, float, Decimal) and all(v == v for v in values)
+    if isinstance(t, (TimestampType, TimestampNTZType)):  # no clock changes
+        return (all_of(_dt.datetime) and all(v.tzinfo is None for v in values)
+                and df.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC")
+    return (t == StringType() and all_of(str)) or (isinstance(t, DateType) and all_of(_dt.date))
+
+
+def _cell(column: str, values: Sequence) -> Column:
+    """Id of the row's cell: one for null, each of ``values``, and each range between, below and above them.
+
+    Rows of a cell compare alike with every value. Binary search in the array
+    of the values; ``i`` of them are known to be at or below the key.
+    """
+    name = sql_name(column)
+    if not values:
+        return F.expr(f"if({name} IS NULL, -1, 0)")
+    steps = ", ".join(str(2**k) for k in reversed(range(len(values).bit_length())))
+    listed = f"array({', '.join(sql_literal(v) for v in values)})"
+    # The key is bound as ``k``, so that it is computed once a row.
+    return F.expr(
+        f"transform(array({name}), k -> if(k IS NULL, -1, aggregate(array({steps}), 0, "
+        f"(i, s) -> if(get({listed}, i + s - 1) <= k, i + s, i), "
+        f"i -> 2 * i + if(get({listed}, i - 1) = k, 1, 0))))[0]")
+
+
 def chunk_coverage(df: DataFrame, predicates: Sequence[str]) -> DataFrame:
-    """``(hits, n)``: how many rows satisfy 0, 1, 2, ... chunks."""
+    """``(hits, n)``: how many rows satisfy 0, 1, 2, ... chunks.
+
+    Every predicate is tested as it stands: on every row or, in long lists
+    known to compare one column with given values and nothing else, on one row
+    of each cell (see ``_cell``), which counts for all its rows. So the cost
+    of a row does not grow with the list.
+    """
+    compared = getattr(predicates, "compared", None)
+    if compared is not None and len(predicates) > FEW_CHUNKS:
+        column, values = compared
+        key = _named(column)
+        if _ordered_alike(df, df.select(key).schema[0].dataType, values):
+            cells = df.groupBy(_cell(column, values).alias("__cell")).agg(
+                F.min(key).alias(column), F.count(F.lit(1)).alias("__n"))
+            return (
+                cells.select(chunk_hits(predicates).alias("hits"), "__n")
+                .groupBy("hits")
+                .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n"))
+            )
     return (
         df.select(chunk_hits(predicates).alias("hits"))
         .groupBy("hits")

@@ -1,7 +1,11 @@
+import datetime as dt
 import string
+from decimal import Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from mirrorkit.operators import chunks as ch
 from mirrorkit.registry import source_frame
@@ -89,3 +93,60 @@ def test_derived_chunks_of_an_empty_table(spark):
         assert preds[-1] == "parid IS NULL"
         later = spark.createDataFrame([("x", 1), (None, 2)], "parid string, yr int")
         assert rows_of(ch.chunk_coverage(later, preds), "hits", "n") == [(1, 2)]
+
+
+def _tested_row_by_row(df, preds):
+    """The coverage with every predicate tested on every row."""
+    return rows_of(ch.chunk_coverage(df, list(preds)), "hits", "n")
+
+
+def test_long_lists_are_checked_once_per_cell(spark, monkeypatch):
+    # Each row would be tested with each of 2,002 predicates; now rows between two bounds share the tests.
+    tested = []
+    hits = ch.chunk_hits
+    monkeypatch.setattr(ch, "chunk_hits", lambda p: tested.append(len(p)) or hits(p) + F.col("__n") * 0)
+    keys = [(f"{i:06d}" + ("A" if i % 7 == 0 else ""),) for i in range(9000)] + [(None,)] * 3 + [("",), ("~",), ("é",)]
+    df = spark.createDataFrame(keys, "parid string")
+    preds = ch.half_open_chunks("parid", [f"{i * 4:06d}" for i in range(1, 2001)])
+    assert len(preds) == 2002
+    assert rows_of(ch.chunk_coverage(df, preds), "hits", "n") == [(1, len(keys))] and tested == [2002]
+
+
+def test_faults_of_long_lists_are_found(spark):
+    """The predicates are what is tested: overlaps and gaps of a list show, at the bounds and between them."""
+    df = spark.createDataFrame([(i // 2,) for i in range(800)] + [(None,), (-(2**60),), (2**60,)], "k long")
+    bounds = list(range(3, 303, 3))
+    sound = ch.half_open_chunks("k", bounds)
+    texts = list(sound)
+    texts[5] = texts[5].replace(">=", ">")  # loses its bound
+    texts[9] = texts[9].replace("<", "<=")  # takes the next one's bound
+    texts[20] = "false"  # loses all of its rows
+    texts[30] = f"({texts[30]}) -- a note"
+    faulty = ch.ChunkList(texts, compared=("k", bounds))
+    assert rows_of(ch.chunk_coverage(df, sound), "hits", "n") == [(1, 803)]
+    found = rows_of(ch.chunk_coverage(df, faulty), "hits", "n")
+    assert found == [(0, 8), (1, 793), (2, 2)] == _tested_row_by_row(df, faulty)
+
+
+def test_long_inclusive_lists_lose_the_same_keys(spark):
+    preds = ch.inclusive_range_chunks("k", width=10, count=90, digits=4)
+    df = spark.createDataFrame([(f"{i:04d}" + "A" * (i % 5 == 4),) for i in range(1000)] + [(None,)], "k string")
+    found = rows_of(ch.chunk_coverage(df, preds), "hits", "n")
+    assert found == _tested_row_by_row(df, preds) and found[0][0] == 0
+
+
+@pytest.mark.parametrize("type_name, values, bounds", [
+    ("double", [float(i) for i in range(200)] + [float("nan"), float("inf"), -0.0, None], [i / 2 for i in range(100)]),
+    ("double", [1.0, float("nan"), None], [float(i) for i in range(99)] + [float("nan")]),
+    ("decimal(10,3)", [Decimal(i) / 8 for i in range(200)], [Decimal(i) / 4 for i in range(80)]),
+    ("date", [dt.date(2020, 1, 1) + dt.timedelta(i) for i in range(200)], [dt.date(2020, 1, 1) + dt.timedelta(2 * i) for i in range(70)]),
+    ("timestamp_ntz", [dt.datetime(2020, 1, 1) + dt.timedelta(hours=i) for i in range(200)],
+     [dt.datetime(2020, 1, 1) + dt.timedelta(hours=2 * i, microseconds=i) for i in range(70)]),
+    ("int", list(range(120)), [str(i) for i in range(100)]),  # text bounds, sorted as text, of numbers
+    ("string", ["a\\b", "a'b", "\\", None] + [f"\\{i}" for i in range(99)], [f"\\{i}" for i in range(80)]),
+])
+def test_long_lists_of_every_type(spark, type_name, values, bounds):
+    df = spark.createDataFrame([(v,) for v in values], f"`a key` {type_name}")
+    for preds in (ch.half_open_chunks("a key", bounds), ch.half_open_chunks("a key", bounds[:1] * 3)):
+        assert rows_of(ch.chunk_coverage(df, preds), "hits", "n") == _tested_row_by_row(df, preds)
+    assert len(ch.half_open_chunks("a key", bounds)) > ch.FEW_CHUNKS
