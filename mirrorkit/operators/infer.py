@@ -36,8 +36,36 @@ def _whole_type(low: Column, high: Column) -> Column:
     return out
 
 
-def _same_text(c: Column, type_name: str) -> Column:
-    return F.coalesce(c.try_cast(type_name).cast("string") == c, F.lit(False))
+#: Every text that a cast from the type to text gives looks like this (and few others do).
+_LOOKS = {
+    "bigint": r"\A(0|-?[1-9][0-9]{0,18})\z",
+    "date": r"\A[+-]?[0-9]{4,7}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])\z",
+    "boolean": r"\A(true|false)\z",
+}
+
+
+def _same_text(c: Column, type_name: str, t: DataType) -> Column:
+    """Whether a text reads back as it is. A cast that fails costs many times a
+    cast that doesn't, so a text that can't be one of the type isn't cast."""
+    same = F.coalesce(c.try_cast(type_name).cast("string") == c, F.lit(False))
+    if t != StringType():  # under a collation other texts may be equal
+        return same
+    looks = c.rlike(_LOOKS[type_name])
+    if type_name == "bigint":
+        # Of 19 digits, text order is number order.
+        digits = F.ltrim(c, F.lit("-"))
+        limit = F.when(c.startswith("-"), str(2**63)).otherwise(str(2**63 - 1))
+        looks = looks & ((F.length(digits) < 19) | (digits <= limit))
+    return F.when(looks, same).otherwise(F.lit(False))
+
+
+def _decimals(c: Column, t: DecimalType, low: int, high: int) -> Column:
+    """Decimals in use, by binary search: the least ``k`` for which a value equals itself rounded to ``k`` decimals."""
+    if low == high:
+        return F.lit(low)
+    k = (low + high) // 2
+    # A rounded value that does not fit is another one.
+    return F.when(F.round(c, k).try_cast(t).eqNullSafe(c), _decimals(c, t, low, k)).otherwise(_decimals(c, t, k + 1, high))
 
 
 def _measures(c: Column, t: DataType) -> dict[str, Column]:
@@ -45,9 +73,7 @@ def _measures(c: Column, t: DataType) -> dict[str, Column]:
     if isinstance(t, _WHOLE_TYPES):
         return {"low": F.min(c).cast("bigint"), "high": F.max(c).cast("bigint")}
     if isinstance(t, DecimalType):
-        # A value equals itself rounded to k decimals from some k on; a rounded value that does not fit is another one.
-        used = sum((F.when(F.round(c, k).try_cast(t).eqNullSafe(c), 0).otherwise(1) for k in range(t.scale)), F.lit(0))
-        return {"size": F.max(F.abs(c)), "used": F.max(F.when(c.isNotNull(), used))}
+        return {"size": F.max(F.abs(c)), "used": F.max(F.when(c.isNotNull(), _decimals(c, t, 0, t.scale)))}
     if isinstance(t, (FloatType, DoubleType)):
         whole = F.coalesce((c == F.floor(c)) & (F.abs(c) < _EXACT) & ~((c == 0) & F.signum(c).cast("string").startswith("-")), F.lit(False))
         return {"fits": F.bool_and(F.when(c.isNotNull(), whole)),
@@ -55,10 +81,10 @@ def _measures(c: Column, t: DataType) -> dict[str, Column]:
     if isinstance(t, (TimestampType, TimestampNTZType)):
         return {"fits": F.bool_and(F.date_trunc("day", c) == c)}
     if isinstance(t, StringType):
-        number = F.when(_same_text(c, "bigint"), c.try_cast("bigint"))
+        number = F.when(_same_text(c, "bigint", t), c.try_cast("bigint"))
         return {"number": F.bool_and(F.when(c.isNotNull(), number.isNotNull())), "low": F.min(number), "high": F.max(number),
-                "date": F.bool_and(F.when(c.isNotNull(), _same_text(c, "date"))),
-                "boolean": F.bool_and(F.when(c.isNotNull(), _same_text(c, "boolean")))}
+                "date": F.bool_and(F.when(c.isNotNull(), _same_text(c, "date", t))),
+                "boolean": F.bool_and(F.when(c.isNotNull(), _same_text(c, "boolean", t)))}
     return {}
 
 
