@@ -61,6 +61,8 @@ CHUNK_TOKENS = 2_000_000
 COUNTERS = 1 << 22
 #: Ids (8 bytes) up to which they are broadcast; beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
+#: Bytes of text whose shingles are named at once; a task holds some 60 times as much for a moment.
+SLICE = 1 << 18
 #: Bytes from which a text's shingles are named in parts.
 LONG_TEXT = 1 << 22
 BOUNDARIES = (0, 4, 9, 14)
@@ -142,14 +144,14 @@ def _shingles(texts: list[bytes], k: int) -> list[np.ndarray]:
 
 
 def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of about a megabyte of text."""
+    """Slices of about ``SLICE`` bytes of text."""
     for batch in batches:
         column = batch.column("text")
         texts, start, size = [], 0, 0
         for i in range(batch.num_rows):
             texts.append(column[i].as_py() or b"")
             size += len(texts[-1])
-            if size > 1 << 20 or i == batch.num_rows - 1:
+            if size > SLICE or i == batch.num_rows - 1:
                 yield batch.slice(start, i + 1 - start), texts
                 texts, start, size = [], i + 1, 0
 
@@ -186,9 +188,14 @@ def _local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     size = 0
 
     def count():
-        names, counts = np.unique(np.concatenate(pending), return_counts=True)
-        often = counts >= LOCAL
-        for counter, n in zip(counter_of(names[often]).tolist(), counts[often].tolist()):
+        names = np.concatenate(pending)
+        pending.clear()
+        names.sort()
+        # Few names repeat, so only their counts are made.
+        same = names[1:] == names[:-1]
+        repeated, counts = np.unique(names[1:][same], return_counts=True)
+        often = counts >= LOCAL - 1
+        for counter, n in zip(counter_of(repeated[often]).tolist(), (counts[often] + 1).tolist()):
             totals[counter] = totals.get(counter, 0) + n
 
     for piece, texts in _text_batches(batches):
@@ -199,7 +206,7 @@ def _local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 size += len(s)
         if size > CHUNK_TOKENS:
             count()
-            pending, size = [], 0
+            size = 0
     if pending:
         count()
     yield pa.RecordBatch.from_arrays([pa.array(list(totals), type=pa.int64()), pa.array(list(totals.values()), type=pa.int64())],

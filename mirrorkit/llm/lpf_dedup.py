@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mirrorkit.llm.common import map_batches, worker_caches, written
+from mirrorkit.llm.common import map_batches, slices, text_once, texts_of, worker_caches, written
 
 LENGTH = 200
 GRAM = 48
@@ -55,7 +55,11 @@ GRAM = 48
 BROADCAST_ROWS = 1_000_000
 #: Kinds of run of a gram that one task takes together (at most 352 bytes each).
 MAX_GROUP = 4096
-_SEGMENT = 1 << 19  # window starts handled at once; positions fit in _POS_BITS
+_SEGMENT = 1 << 19  # window starts of a part of a long text; positions fit in _POS_BITS
+#: Bytes of short texts gone through at once, and of runs whose suffixes are put in order at once
+#: (whole grams, so one more gram at most): a task holds some 100 times as much for a moment.
+_BATCH = 1 << 18
+_BUFFER = 1 << 17
 _POS_BITS = 20
 _M64 = (1 << 64) - 1
 
@@ -154,7 +158,7 @@ def _segments(texts: list[bytes], length: int) -> Iterator[tuple[list[tuple[int,
     for row, text in enumerate(texts):
         for at in range(0, max(1, len(text) - length + 1), _SEGMENT):
             chunk = text[at : at + _SEGMENT + length - 1]
-            if size + len(chunk) >= 2 * _SEGMENT:
+            if parts and size + len(chunk) > _BATCH:
                 yield _segment_batch(parts, chunks)
                 parts, chunks, size = [], [], 0
             parts.append((row, at))
@@ -172,24 +176,22 @@ def _segment_batch(parts, chunks):
 def _emit_runs(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("start", pa.int64()),
                         ("windows", pa.int64()), ("gram", pa.int64()), ("name", pa.int64())])
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            piece = batch.slice(at, 256)
-            texts = [t or b"" for t in piece.column("text").to_pylist()]
-            for parts, data, ends in _segments(texts, length):
-                start, windows, grams, names = runs_of(data, ends, length, gram)
-                part = np.searchsorted(ends, start, side="right")
-                row = np.array([p[0] for p in parts], dtype=np.int64)[part]
-                shift = np.array([p[1] for p in parts], dtype=np.int64)[part] - np.append(0, ends[:-1])[part]
-                yield pa.RecordBatch.from_arrays([
-                    piece.column("doc_id").take(pa.array(row)), piece.column("key").take(pa.array(row)),
-                    pa.array(start + shift), pa.array(windows.astype(np.int64)),
-                    pa.array(grams.view(np.int64)), pa.array(names.view(np.int64))], schema=schema)
+    for piece in slices(batches, 256):
+        texts = [t or b"" for t in piece.column("text").to_pylist()]
+        for parts, data, ends in _segments(texts, length):
+            start, windows, grams, names = runs_of(data, ends, length, gram)
+            part = np.searchsorted(ends, start, side="right")
+            row = np.array([p[0] for p in parts], dtype=np.int64)[part]
+            shift = np.array([p[1] for p in parts], dtype=np.int64)[part] - np.append(0, ends[:-1])[part]
+            yield pa.RecordBatch.from_arrays([
+                piece.column("doc_id").take(pa.array(row)), piece.column("key").take(pa.array(row)),
+                pa.array(start + shift), pa.array(windows.astype(np.int64)),
+                pa.array(grams.view(np.int64)), pa.array(names.view(np.int64))], schema=schema)
 
 
 def _emit_open_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The text of each listed run."""
-    for batch in batches:
+    for batch in slices(batches, 256):
         texts = batch.column("text")
         rows, runs_, pieces = [], [], []
         for row, runs in enumerate(batch.column("runs").to_pylist()):
@@ -238,14 +240,14 @@ def suffix_ranks(data: np.ndarray, left: np.ndarray) -> list[np.ndarray]:
     _, rank = np.unique(key, return_inverse=True)
     if (data == 0).any():  # ended suffixes come before longer ones that go on with zero bytes
         _, rank = np.unique(rank * 9 + np.minimum(left, 8), return_inverse=True)
-    ranks = [rank]
+    ranks = [rank.astype(np.int32)]
     size, longest = 8, int(left.max(initial=0))
     while size < longest and int(ranks[-1].max(initial=0)) + 1 < n:
         then = np.zeros(n, dtype=np.int64)
         then[: max(0, n - size)] = ranks[-1][size:] + 1
         then[left <= size] = 0
-        _, rank = np.unique(ranks[-1] * (n + 1) + then, return_inverse=True)
-        ranks.append(rank.ravel())
+        _, rank = np.unique(ranks[-1].astype(np.int64) * (n + 1) + then, return_inverse=True)
+        ranks.append(rank.ravel().astype(np.int32))
         size *= 2
     return ranks
 
@@ -334,10 +336,10 @@ def _decide(batches: Iterator[pa.RecordBatch], keep: str, length: int) -> Iterat
             pa.array(windows, type=pa.int64())], schema=schema)
 
     rows, size = [], 0
-    for batch in batches:
+    for batch in slices(batches, 2000):
         columns = [batch.column(c).to_pylist() for c in ("gram", "doc_id", "key", "start", "text")]
         for row in zip(*columns):
-            if size > _SEGMENT and row[0] != rows[-1][0]:
+            if size > _BUFFER and row[0] != rows[-1][0]:
                 if (found := out(rows)) is not None:
                     yield found
                 rows, size = [], 0
@@ -349,16 +351,14 @@ def _decide(batches: Iterator[pa.RecordBatch], keep: str, length: int) -> Iterat
 
 def _emit_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Names of all windows of runs."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            piece = batch.slice(at, 2000)
-            which, place, n1, n2 = _window_names(piece.column("text").to_pylist(), length)
-            row = pa.array(which)
-            start = np.asarray(piece.column("start").to_numpy(zero_copy_only=False))[which] + place
-            yield pa.RecordBatch.from_arrays([
-                piece.column("doc_id").take(row), piece.column("key").take(row), pa.array(start),
-                pa.array(n1.view(np.int64)), pa.array(n2.view(np.int64))],
-                names=["doc_id", "key", "start", "n1", "n2"])
+    for piece in slices(batches, 500):
+        which, place, n1, n2 = _window_names(piece.column("text").to_pylist(), length)
+        row = pa.array(which)
+        start = np.asarray(piece.column("start").to_numpy(zero_copy_only=False))[which] + place
+        yield pa.RecordBatch.from_arrays([
+            piece.column("doc_id").take(row), piece.column("key").take(row), pa.array(start),
+            pa.array(n1.view(np.int64)), pa.array(n2.view(np.int64))],
+            names=["doc_id", "key", "start", "n1", "n2"])
 
 
 def remove_ranges(text: bytes, ranges: list, length: int = LENGTH, characters: bool = False) -> tuple[bytes, int]:
@@ -381,19 +381,17 @@ def remove_ranges(text: bytes, ranges: list, length: int = LENGTH, characters: b
     return b"".join(kept), spans
 
 
-def _apply(batches: Iterator[pa.RecordBatch], length: int, characters: bool) -> Iterator[pa.RecordBatch]:
+def _apply(batches: Iterator[pa.RecordBatch], text_col: str, length: int, characters: bool) -> Iterator[pa.RecordBatch]:
     types = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
              ("kept_sha256", pa.string()), ("kept", pa.binary())]
-    for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            piece = batch.slice(at, 512)
-            rows = []
-            for text, ranges in zip(piece.column("text").to_pylist(), piece.column("ranges").to_pylist()):
-                kept, spans = remove_ranges(text, [(r["start"], r["windows"]) for r in ranges or ()], length, characters)
-                rows.append((len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("row"), *(pa.array(c, type=t) for c, (_, t) in zip(zip(*rows), types))],
-                names=["row", *(n for n, _ in types)])
+    for piece in slices(batches, 512):
+        rows = []
+        for text, ranges in zip(texts_of(piece, text_col), piece.column("ranges").to_pylist()):
+            kept, spans = remove_ranges(text, [(r["start"], r["windows"]) for r in ranges or ()], length, characters)
+            rows.append((len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
+        yield pa.RecordBatch.from_arrays(
+            [piece.column("row"), *(pa.array(c, type=t) for c, (_, t) in zip(zip(*rows), types))],
+            names=["row", *(n for n, _ in types)])
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -478,5 +476,5 @@ def dedup_passages(docs: DataFrame, keep: str = "none", length: int = LENGTH,
     joined = wide.join(ranges, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")), "left")
     row = wide.schema["row"].dataType.simpleString()
     return map_batches(
-        joined.select("row", "text", "ranges"), lambda it: _apply(it, length, characters),
+        text_once(joined, text_col, "ranges"), lambda it: _apply(it, text_col, length, characters),
         f"row {row}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")

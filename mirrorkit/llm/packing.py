@@ -153,8 +153,8 @@ def _fill(batches: Iterator[pa.RecordBatch], path: str, capacity: int, schema: p
         return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)
 
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            piece = batch.slice(at, 256)
+        for at in range(0, batch.num_rows, 64):
+            piece = batch.slice(at, 64)
             doc_ids = piece.column(0).to_pylist()
             for doc_id, text in zip(doc_ids, piece.column(1).to_pylist()):
                 raw = tok.encode(text or b"") + end
@@ -170,7 +170,7 @@ def _fill(batches: Iterator[pa.RecordBatch], path: str, capacity: int, schema: p
                             at_token += p[2]
                         n_bins += 1
                         open_bins[cls] = []
-            if len(rows) > 2000:
+            if len(rows) > 500:
                 yield emit()
                 rows.clear()
     for cls, bin_ in open_bins.items():

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mirrorkit.llm.common import map_batches, worker_caches
+from mirrorkit.llm.common import map_batches, slices, text_once, texts_of, worker_caches
 
 MAX_LABELLED = 15_000
 MIN_DOCS = 4
@@ -287,7 +287,7 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         rows = [(f, c, n) for c in (0, 1) for f, n in counts[c].items()]
         return pa.RecordBatch.from_arrays([pa.array(col, type=f.type) for col, f in zip(zip(*rows), schema)], schema=schema)
 
-    for batch in batches:
+    for batch in slices(batches, 512):
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             found = set()
             for token in set((text or b"").split()):
@@ -308,7 +308,7 @@ def _training_rows(batches: Iterator[pa.RecordBatch], lexicon: dict[str, int]) -
     obs = Observations(lexicon)
     schema = pa.schema([("toxic", pa.int32()), ("at", pa.list_(pa.int64())), ("classes", pa.list_(pa.int32())),
                         ("tokens", pa.int64())])
-    for batch in batches:
+    for batch in slices(batches, 512):
         rows = []
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             at, classes, gaps = observed(obs, text or b"")
@@ -393,15 +393,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
     return model
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: ChainField) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], model: ChainField, text_col: str) -> Iterator[pa.RecordBatch]:
     worker_caches("toxicity")
     obs = Observations(model.lexicon)
     none = model.score([])
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
-    for batch in batches:
+    for batch in slices(batches, 512):
         scores, spans, stretches = [], [], []
-        for text in batch.column("text"):
-            raw = text.as_py() or b""
+        for raw in texts_of(batch, text_col):
             at, classes, gaps = observed(obs, raw)
             if not at:
                 scores.append(none)
@@ -441,4 +440,4 @@ def score(docs: DataFrame, model: ChainField, text_col: str = "text", carry: lis
     slim = docs.select(F.struct(*(carry or docs.columns)).alias("row"), F.col(text_col).cast("binary").alias("text"))
     row = slim.schema["row"].dataType.simpleString()
     span = "array<struct<start: bigint, end: bigint, p: double>>"
-    return map_batches(slim, lambda it: _score(it, model), f"row {row}, score double, spans {span}, stretches {span}")
+    return map_batches(text_once(slim, text_col), lambda it: _score(it, model, text_col), f"row {row}, score double, spans {span}, stretches {span}")
